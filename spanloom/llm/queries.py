@@ -4,15 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import simhash
+from spanloom.llm import language, licence, packing, quality, simhash
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), packing.default_tokenizer())
 
 
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.hamming_groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3, tau=2)
+    return simhash.hamming_groups(_table(spark, sf_dir, "documents"), shingle=3, tau=2)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(_table(spark, sf_dir, "documents"))
+
+
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licence.scan(_table(spark, sf_dir, "documents"))
+    return found.selectExpr("doc_id", "place", "licence", "array_join(sentences, '|') AS sentences")
 
 
 QUERIES = {
+    "op5_quality_classifier": op5_quality_classifier,
+    "op7_packing": op7_packing,
     "op8_simhash_groups": op8_simhash_groups,
+    "op9_language_id": op9_language_id,
+    "op10_licence_scan": op10_licence_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}

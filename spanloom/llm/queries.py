@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import language, licence, packing, quality, simhash
+from spanloom.llm import language, licence, mixing, packing, quality, simhash, syncmers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprinted(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), packing.default_tokenizer())
 
@@ -33,7 +41,9 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_source_mixing": op6_source_mixing,
     "op7_packing": op7_packing,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_language_id": op9_language_id,

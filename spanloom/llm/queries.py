@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import language, licence, mixing, packing, quality, simhash, syncmers
+from spanloom.llm import language, licence, mixing, packing, passages, quality, simhash, syncmers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprinted(_table(spark, sf_dir, "documents"))
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(_table(spark, sf_dir, "documents")).drop("mark")
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
+    "op2_repeated_passages": op2_repeated_passages,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_source_mixing": op6_source_mixing,
     "op7_packing": op7_packing,

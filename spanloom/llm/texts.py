@@ -84,6 +84,14 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of 64-bit values, in their order."""
+    up, down = _power(len(values))
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def shingles(hashes: np.ndarray, firsts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of ``k`` words of each text, and each text's first, with the end.
 

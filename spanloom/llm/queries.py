@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import language, licence, mixing, neighbours, packing, passages, quality, simhash, syncmers
+from spanloom.llm import language, licence, mixing, neighbours, ngram_lm, packing, passages, quality, simhash, syncmers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated(_table(spark, sf_dir, "documents")).drop("mark")
 
 
+def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.scored(_table(spark, sf_dir, "documents"))
+
+
 def op4_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.linked(_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
@@ -51,6 +55,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op2_repeated_passages": op2_repeated_passages,
+    "op3_ngram_scores": op3_ngram_scores,
     "op4_embedding_links": op4_embedding_links,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_source_mixing": op6_source_mixing,

@@ -15,6 +15,7 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import os
 import re
 import zlib
 from functools import partial
@@ -29,8 +30,8 @@ from spanloom.llm.shared import settled
 
 CAPACITY = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
-#: Distinct chunks whose ids a task remembers; it starts anew beyond.
-REMEMBERED = 200_000
+#: Distinct chunks whose ids a task remembers; twice as many at most.
+REMEMBERED = 150_000
 #: Parts in which pieces of one length are ranked.
 SLOTS = 4096
 _rare_space = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
@@ -52,24 +53,53 @@ class ChunkTokenizer:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are what runs in parallel
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
         self.coder.encode_special_tokens = True
-        self.known: dict[bytes, np.ndarray] = {}
+        self.fresh: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.mark = self.coder.token_to_id("\u010a")  # the id of a line feed
 
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.coder.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+    def encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(c.ids, dtype=np.uint32) for c in self.coder.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def chunks(self, unique: list[bytes]) -> list[np.ndarray]:
-        new = [c for c in unique if c not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, unique
-        for at in range(0, len(new), 2000):
-            some = new[at : at + 2000]
-            for chunk, code in zip(some, self.coder.encode_batch_fast([c.decode() for c in some], add_special_tokens=False), strict=True):
-                self.known[chunk] = np.array(code.ids, dtype=np.uint32)
-        return [self.known[c] for c in unique]
+    def whole(self, text: str) -> np.ndarray:
+        return self.encoded([text])[0]
+
+    def learn(self, new: list[bytes]) -> None:
+        """Encode chunks, those without a line feed as lines of one text, whose feeds are tokens of their own."""
+        lines = [c for c in new if b"\n" not in c]
+        other = [c for c in new if b"\n" in c]
+        for at in range(0, len(lines), 20000):
+            some = lines[at : at + 20000]
+            ids = self.whole(b"\n".join(some).decode())
+            feeds = np.flatnonzero(ids == self.mark)
+            if len(feeds) != len(some) - 1:
+                other += some
+                continue
+            raw, end = ids.tobytes(), (4 * np.append(feeds, len(ids))).tolist()
+            begin = [0, *(4 * feeds + 4).tolist()]
+            self.fresh.update(zip(some, (raw[x:y] for x, y in zip(begin, end, strict=True)), strict=True))
+        for at in range(0, len(other), 1000):
+            some = other[at : at + 1000]
+            self.fresh.update(zip(some, (x.tobytes() for x in self.encoded([c.decode() for c in some])), strict=True))
+
+    def chunks(self, unique: list[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of each chunk; chunks not seen for long are forgotten."""
+        if len(self.fresh) > REMEMBERED:
+            self.older, self.fresh = self.fresh, {}
+        fresh, older, new = self.fresh, self.older, []
+        for chunk in unique:
+            if chunk not in fresh:
+                ids = older.get(chunk)
+                if ids is None:
+                    new.append(chunk)
+                else:
+                    fresh[chunk] = ids
+        self.learn(new)
+        return [fresh[c] for c in unique]
 
 
 def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -95,8 +125,8 @@ def tokenised(data: np.ndarray, offsets: np.ndarray, coder: ChunkTokenizer) -> t
     coded = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, at, pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
     unique = coder.chunks(coded.dictionary.to_pylist())
     code = coded.indices.to_numpy()
-    length = np.array([len(u) for u in unique], dtype=np.int64)
-    joined = np.concatenate(unique) if unique else np.zeros(0, np.uint32)
+    length = np.array([len(u) // 4 for u in unique], dtype=np.int64)
+    joined = np.frombuffer(b"".join(unique), dtype=np.uint32)
     place = np.concatenate([[0], np.cumsum(length)])
     count = length[code]
     to = np.concatenate([[0], np.cumsum(count)])
@@ -107,7 +137,7 @@ def tokenised(data: np.ndarray, offsets: np.ndarray, coder: ChunkTokenizer) -> t
 def _piece_batches(batches, path: str, capacity: int, end_id: int):
     coder = ChunkTokenizer(path)
     for batch in batches:
-        for part in texts.slices(batch, limit=1 << 20):
+        for part in texts.slices(batch, limit=3 << 20):
             data, offsets = texts.flat(part.column("text"))
             ids, firsts = tokenised(data, offsets, coder)
             odd = data.tobytes().decode()

@@ -63,13 +63,14 @@ def _stretch_batches(batches, dim: int, threshold: float):
     def compared(rows: pa.Table):
         node = rows.column("node").to_numpy()
         likes = (x := _unit(rows.column("v").combine_chunks(), dim)) @ x.T
-        np.fill_diagonal(likes, -2)
+        likes[node[:, None] == node[None, :]] = -2  # a stretch may hold the end of one order and the start of the next
         k = min(K, len(node) - 1)
         if k < 1:
             return
         best = np.argpartition(-likes, k - 1, axis=1)[:, :k]
         row = np.repeat(np.arange(len(node)), k)
-        yield _edges(node[row], node[best.ravel()], likes[row, best.ravel()])
+        real = likes[row, best.ravel()] > -2
+        yield _edges(node[row][real], node[best.ravel()][real], likes[row, best.ravel()][real])
         first = np.argmax(likes >= threshold, axis=1)
         some = np.flatnonzero(likes[np.arange(len(node)), first] >= threshold)
         yield _edges(node[some], node[first[some]], likes[some, first[some]])

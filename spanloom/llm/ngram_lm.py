@@ -107,11 +107,11 @@ class EliasFano:
         """The position of the first element that is not below each value; the length where there is none."""
         if not self.n:
             return np.zeros(len(values), dtype=np.int64)
-        high = (values >> np.uint64(self.low_bits)).astype(np.int64)
+        high = values >> np.uint64(self.low_bits)
         low = values & np.uint64((1 << self.low_bits) - 1)
         last = len(self.high) * 64 - int(self.ones[-1]) - 1
-        beyond = high > last
-        high = np.minimum(high, last)
+        beyond = high > np.uint64(last)
+        high = np.minimum(high, np.uint64(last)).astype(np.int64)
         start = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1 - high, 0)
         end = np.minimum(self._zero(high) - high, self.n)
         active = np.flatnonzero((start < end) & ~beyond)
@@ -270,7 +270,7 @@ def _rows(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
 
 def _word_counts(batches):
     for batch in batches:
-        for part in texts.slices(batch):
+        for part in texts.slices(batch, limit=3 << 20):
             word, n = np.unique(_tokens(part)[0], return_counts=True)
             yield _rows(["word", "n"], word ^ _FLIP, n)  # signed order is then the unsigned one
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanloom.plans import interval_queries, table_queries
+from spanloom.plans import interval_queries, rule_queries, table_queries
 
-QUERIES = interval_queries.QUERIES | table_queries.QUERIES
-SQL = interval_queries.SQL | table_queries.SQL
+QUERIES = interval_queries.QUERIES | table_queries.QUERIES | rule_queries.QUERIES
+SQL = interval_queries.SQL | table_queries.SQL | rule_queries.SQL

@@ -81,7 +81,9 @@ def star_links(rows: DataFrame, key: str = "key", node: str = "node") -> DataFra
     links, never its pairs. Rows are dealt by key and sorted with spill; a task streams over its runs.
     """
     rows = rows.select(F.col(key).alias("key"), F.col(node).alias("node"))
-    dealt = rows.repartition(F.col("key")).sortWithinPartitions("key", "node")
+    # these rows shrink so much in a shuffle file that partitions merged by its size would be large in memory
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(parts, F.col("key")).sortWithinPartitions("key", "node")
     return dealt.mapInArrow(_run_links, "a long, b long").distinct()
 
 

@@ -37,6 +37,8 @@ DISCOUNT = 0.75
 LEAST = 2
 #: Step and number of the quantised logarithms (base 10).
 STEP, LEVELS = 12 / 4095, 4096
+#: Bits of a position in a packed (context, position): 2^30 words, 2^33 contexts.
+PLACES = 30
 _FLIP = np.uint64(1 << 63)
 _END = np.uint64(0x5D7E1F0C3A9B2468)
 ONE = np.uint64(1)
@@ -103,24 +105,34 @@ class EliasFano:
         word = np.minimum(np.searchsorted(self.zeros, k, side="right") - 1, len(self.high) - 1)
         return word * 64 + self._in_word(~self.high[word], k - self.zeros[word])
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """The position of the first element that is not below each value; the length where there is none."""
+    def _is_one(self, place: np.ndarray) -> np.ndarray:
+        inside = place < len(self.high) * 64
+        word = self.high[np.where(inside, place >> 6, 0)]
+        return inside & ((word >> (place & 63).astype(np.uint64)) & ONE).astype(bool)
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The position of the first element that is not below each value (the length where there is none), and
+        whether it equals the value."""
+        exact = np.zeros(len(values), dtype=bool)
         if not self.n:
-            return np.zeros(len(values), dtype=np.int64)
+            return np.zeros(len(values), dtype=np.int64), exact
         high = values >> np.uint64(self.low_bits)
         low = values & np.uint64((1 << self.low_bits) - 1)
         last = len(self.high) * 64 - int(self.ones[-1]) - 1
         beyond = high > np.uint64(last)
         high = np.minimum(high, np.uint64(last)).astype(np.int64)
-        start = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1 - high, 0)
-        end = np.minimum(self._zero(high) - high, self.n)
-        active = np.flatnonzero((start < end) & ~beyond)
+        start = np.zeros(len(values), dtype=np.int64)
+        some = np.flatnonzero(high > 0)
+        start[some] = self._zero(high[some] - 1) + 1 - high[some]
+        active = np.flatnonzero(~beyond)
         while len(active):
-            less = self._lows(start[active]) < low[active]
-            active = active[less]
+            # an element of the bucket stands here if its unary bit is set
+            active = active[self._is_one(start[active] + high[active])]
+            own = self._lows(start[active])
+            exact[active[own == low[active]]] = True
+            active = active[own < low[active]]
             start[active] += 1
-            active = active[start[active] < end[active]]
-        return np.where(beyond, self.n, start)
+        return np.where(beyond, self.n, start), exact
 
 
 def save(path: str, arrays: dict[str, np.ndarray]) -> None:
@@ -195,34 +207,34 @@ class Level:
             if i >= 0:
                 yield int(i), np.flatnonzero(owner == i)
 
-    def starts(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each context its first entry or -1, the entry after its last, and the quantised back-off weight."""
-        out = np.full(len(context), -1, dtype=np.int64), np.full(len(context), -1, dtype=np.int64), np.zeros(len(context), dtype=np.uint16)
+    def starts(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each context its first entry or -1, the entry after its last, the quantised back-off weight, and the
+        base of its successors."""
+        n = len(context)
+        out = np.full(n, -1, dtype=np.int64), np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.uint16), np.zeros(n, dtype=np.uint64)
         for i, rows in self._split(context):
             s = self.shard(i)
-            c = s["contexts"]
-            at = c.find(context[rows])
-            here = np.flatnonzero(at < c.n)
-            here = here[c.at(at[here]) == context[rows[here]]]
+            at, here = s["contexts"].find(context[rows])
             rows, at = rows[here], at[here]
             if len(rows):
-                out[0][rows] = s["pointers"].at(at).astype(np.int64) + self.base[i]
+                first = s["pointers"].at(at).astype(np.int64)
+                out[0][rows] = first + self.base[i]
                 out[1][rows] = s["pointers"].at(at + 1).astype(np.int64) + self.base[i]
                 out[2][rows] = s["back"][at]
+                out[3][rows] = np.where(first > 0, s["successors"].at(np.maximum(first - 1, 0)) + ONE, np.uint64(0))
         return out
 
-    def find(self, context: np.ndarray, start: np.ndarray, end: np.ndarray, position: np.ndarray) -> np.ndarray:
-        """The entry of each context's successor at that position, or -1: a search relative to the context."""
+    def find(self, context: np.ndarray, end: np.ndarray, base: np.ndarray, position: np.ndarray) -> np.ndarray:
+        """The entry of each context's successor at that position, or -1: a search relative to the context.
+
+        ``end`` and ``base`` are what ``starts`` gave for the context; contexts that it did not find have end -1.
+        """
         out = np.full(len(context), -1, dtype=np.int64)
-        known = np.flatnonzero((start >= 0) & (position >= 0))
+        known = np.flatnonzero((end >= 0) & (position >= 0))
         for i, rows in self._split(context[known]):
             rows = known[rows]
-            s, first = self.shard(i)["successors"], start[rows] - self.base[i]
-            base = np.where(first > 0, s.at(np.maximum(first - 1, 0)) + ONE, np.uint64(0))
-            want = base + position[rows].astype(np.uint64)
-            at = s.find(want)
-            good = at < end[rows] - self.base[i]
-            good[good] = s.at(at[good]) == want[good]
+            at, good = self.shard(i)["successors"].find(base[rows] + position[rows].astype(np.uint64))
+            good &= at < end[rows] - self.base[i]
             out[rows[good]] = at[good] + self.base[i]
         return out
 
@@ -247,14 +259,28 @@ class Model:
         level = self.levels[0]
         out = np.full(len(hashes), -1, dtype=np.int64)
         for i, rows in level._split(hashes):
-            s = level.shard(i)["successors"]
-            at = s.find(hashes[rows])
-            good = at < s.n
-            good[good] = s.at(at[good]) == hashes[rows][good]
+            at, good = level.shard(i)["successors"].find(hashes[rows])
             out[rows[good]] = at[good] + level.base[i]
         return out
 
 
+    def suffixes(self, pair: np.ndarray, position: np.ndarray) -> np.ndarray:
+        """The entry of the pair that ends a triple, from the triple's first pair and its position."""
+        level = self.levels[1]
+        unique, at = np.unique(pair, return_inverse=True)
+        last = np.zeros(len(unique), dtype=np.int64)
+        owner = np.searchsorted(level.base, unique, side="right") - 1
+        for i in np.unique(owner):
+            rows, s = np.flatnonzero(owner == i), level.shard(int(i))
+            own = unique[rows] - level.base[i]
+            # the first entry of the pair's context is the last pointer that is not above the entry
+            context, exact = s["pointers"].find(own.astype(np.uint64))
+            first = s["pointers"].at(context - ~exact).astype(np.int64)
+            base = np.where(first > 0, s["successors"].at(np.maximum(first - 1, 0)) + ONE, np.uint64(0))
+            last[rows] = (s["successors"].at(own) - base).astype(np.int64)
+        return level.starts(last.astype(np.uint64))[0][at] + position
+
+
 def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts with the end tokens, and each text's first, with the end."""
     data, offsets = texts.flat(part.column("text"))
@@ -291,27 +317,24 @@ class Positions:
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct known (context, word) and, for each token, which one it is or -1."""
         good = (self.context >= 0) & (self.ids >= 0)
-        code, back = np.unique((self.context[good] << 32) | self.ids[good], return_inverse=True)
+        code, back = np.unique((self.context[good] << PLACES) | self.ids[good], return_inverse=True)
         which = np.full(len(self.ids), -1, dtype=np.int64)
         which[good] = back
-        return code >> 32, code & 0xFFFFFFFF, which
+        return code >> PLACES, code & ((1 << PLACES) - 1), which
 
     def look_up_pairs(self, model: Model) -> None:
         level = model.levels[1]
         context, word, which = self.pairs()
-        start, end, back = level.starts(context.astype(np.uint64))
-        entry = level.find(context.astype(np.uint64), start, end, word)
-        some = which >= 0
-        n = len(self.ids)
-        self.pair, self.pair_start, self.pair_back = np.full(n, -1, dtype=np.int64), np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.uint16)
+        n, some = len(self.ids), which >= 0
+        # every known context once, also those whose word is not known
+        own, at = np.unique(self.context, return_inverse=True)
+        start, end, back, base = level.starts(np.maximum(own, 0).astype(np.uint64))
+        start[own < 0], end[own < 0], back[own < 0] = -1, -1, 0
+        self.pair_start, self.pair_back = start[at], back[at]
+        mine = np.searchsorted(own, context)
+        entry = level.find(context.astype(np.uint64), end[mine], base[mine], word)
+        self.pair = np.full(n, -1, dtype=np.int64)
         self.pair[some] = entry[which[some]]
-        self.pair_start[some], self.pair_back[some] = start[which[some]], back[which[some]]
-        # the context may be known though the word is not
-        lone = np.flatnonzero((self.context >= 0) & ~some)
-        if len(lone):
-            own, at = np.unique(self.context[lone], return_inverse=True)
-            start, _, back = level.starts(own.astype(np.uint64))
-            self.pair_start[lone], self.pair_back[lone] = start[at], back[at]
         # position of a pair's word among its context's successors
         self.position = np.where(self.pair >= 0, self.pair - self.pair_start, -1)
         last = np.concatenate([[-1], self.pair[:-1]])
@@ -325,7 +348,7 @@ def _pair_counts(batches, model):
         for part in texts.slices(batch, limit=3 << 20):
             context, word, which = Positions(part, held).pairs()
             n = np.bincount(which[which >= 0], minlength=len(context))
-            yield _rows(["context", "position", "n"], context, word, n)
+            yield _rows(["code", "n"], context << PLACES | word, n)
 
 
 def _triple_counts(batches, model):
@@ -335,14 +358,8 @@ def _triple_counts(batches, model):
             p = Positions(part, held)
             p.look_up_pairs(held)
             good = (p.long_context >= 0) & (p.pair >= 0)
-            rows = np.stack([p.long_context[good], p.position[good], p.pair[good]], axis=1)
-            if not len(rows):
-                continue
-            order = np.lexsort((rows[:, 1], rows[:, 0]))
-            rows = rows[order]
-            fresh = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])
-            at = np.flatnonzero(fresh)
-            yield _rows(["context", "position", "lower", "n"], *rows[at].T, np.diff(np.append(at, len(rows))))
+            code, n = np.unique(p.long_context[good] << PLACES | p.position[good], return_counts=True)
+            yield _rows(["code", "n"], code, n)
 
 
 def _collected(batches, names):
@@ -384,11 +401,12 @@ def _word_shards(batches, folder: str, total: int, discount: float):
 
 
 def _longer_shards(batches, folder: str, model, order: int):
-    got = _collected(batches, ["context", "position", "lower", "n"])
+    got = _collected(batches, ["context", "position", "n"])
     if got is None:
         return
     held = Model(*model.value)
-    context, position, lower, n = got
+    context, position, n = got
+    lower = position if order == 2 else held.suffixes(context, position)
     fresh = np.concatenate([[True], context[1:] != context[:-1]])
     begin = np.flatnonzero(fresh)
     size = np.diff(np.append(begin, len(context)))
@@ -422,8 +440,8 @@ def _score_batches(batches, model):
             if len(held.levels) > 2:
                 level, rows = held.levels[2], np.flatnonzero(p.long_context >= 0)
                 code, at = np.unique(p.long_context[rows], return_inverse=True)
-                start, end, back = (x[at] for x in level.starts(code.astype(np.uint64)))
-                entry = level.find(p.long_context[rows].astype(np.uint64), start, end, p.position[rows])
+                start, end, back, under = (x[at] for x in level.starts(code.astype(np.uint64)))
+                entry = level.find(p.long_context[rows].astype(np.uint64), end, under, p.position[rows])
                 log[rows] = np.where(start >= 0, log[rows] - STEP * back, log[rows])
                 hit = entry >= 0
                 log[rows[hit]] = -STEP * level.values(entry[hit], "log")
@@ -457,11 +475,9 @@ def fit(docs: DataFrame, orders: int = 3) -> tuple:
     share = spark.sparkContext.broadcast
     for order in range(2, orders + 1):
         sent = share(model)
-        count, names = (_pair_counts, "context long, position long, n long") if order == 2 else (_triple_counts, "context long, position long, lower long, n long")
-        rows = body.mapInArrow(partial(count, model=sent), names).groupBy("context", "position")
-        lower = F.col("position") if order == 2 else F.min("lower")
-        rows = rows.agg(*([] if order == 2 else [lower.alias("lower")]), F.sum("n").alias("n")).where(f"n >= {LEAST}")
-        rows = rows.select("context", "position", (F.col("position") if order == 2 else F.col("lower")).alias("lower"), "n")
+        count = _pair_counts if order == 2 else _triple_counts
+        rows = body.mapInArrow(partial(count, model=sent), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(f"n >= {LEAST}")
+        rows = rows.select(F.shiftright("code", PLACES).alias("context"), F.col("code").bitwiseAND(F.lit((1 << PLACES) - 1)).alias("position"), "n")
         made = _level(rows, partial(_longer_shards, folder=folder, model=sent, order=order))
         if not made:
             break

@@ -208,7 +208,8 @@ def test_elias_fano():
         at = np.arange(len(values))
         assert (ef.at(at) == values).all() if len(values) else ef.n == 0
         ask = np.concatenate([values, values + np.uint64(1), rng.integers(0, 2**64 - 1, 50, dtype=np.uint64), np.zeros(1, np.uint64)])
-        assert (ef.find(ask) == np.searchsorted(values, ask)).all()
+        at, exact = ef.find(ask)
+        assert (at == np.searchsorted(values, ask)).all() and (exact == np.isin(ask, values)).all()
 
 
 def test_packing(docs, rows, empty):

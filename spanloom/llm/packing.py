@@ -22,6 +22,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ from spanloom.llm.shared import settled
 
 CAPACITY = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
-#: Distinct chunks whose ids a task remembers; twice as many at most.
-REMEMBERED = 150_000
+#: Distinct chunks whose ids a task remembers from one slice to the next.
+REMEMBERED = 300_000
 #: Parts in which pieces of one length are ranked.
 SLOTS = 4096
 _rare_space = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
@@ -58,9 +59,11 @@ class ChunkTokenizer:
 
         self.coder = Tokenizer.from_file(path)
         self.coder.encode_special_tokens = True
-        self.fresh: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
         self.mark = self.coder.token_to_id("\u010a")  # the id of a line feed
+        self.known = pa.array([], pa.binary())
+        # where each known chunk's ids lie in ``ids``, and the turn in which it was last seen
+        self.starts, self.lengths, self.seen = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        self.ids, self.turn = np.zeros(0, dtype=np.uint32), 0
 
     def encoded(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(c.ids, dtype=np.uint32) for c in self.coder.encode_batch_fast(texts, add_special_tokens=False)]
@@ -68,38 +71,55 @@ class ChunkTokenizer:
     def whole(self, text: str) -> np.ndarray:
         return self.encoded([text])[0]
 
-    def learn(self, new: list[bytes]) -> None:
-        """Encode chunks, those without a line feed as lines of one text, whose feeds are tokens of their own."""
-        lines = [c for c in new if b"\n" not in c]
-        other = [c for c in new if b"\n" in c]
-        for at in range(0, len(lines), 20000):
-            some = lines[at : at + 20000]
-            ids = self.whole(b"\n".join(some).decode())
+    def learned(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of chunks, with starts and lengths; those without a line feed are encoded as lines of one text,
+        whose feeds are tokens of their own."""
+        starts, lengths = np.zeros(len(new), dtype=np.int64), np.zeros(len(new), dtype=np.int64)
+        lined = ~pc.match_substring(new, "\n").to_numpy(zero_copy_only=False)
+        rows, alone, parts, size = np.flatnonzero(lined), [np.flatnonzero(~lined)], [], 0
+        for at in range(0, len(rows), 20000):
+            own = rows[at : at + 20000]
+            some = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), new.take(pa.array(own)))
+            ids = self.whole(pc.binary_join(some, b"\n")[0].as_py().decode())
             feeds = np.flatnonzero(ids == self.mark)
-            if len(feeds) != len(some) - 1:
-                other += some
+            if len(feeds) != len(own) - 1:
+                alone.append(own)
                 continue
-            raw, end = ids.tobytes(), (4 * np.append(feeds, len(ids))).tolist()
-            begin = [0, *(4 * feeds + 4).tolist()]
-            self.fresh.update(zip(some, (raw[x:y] for x, y in zip(begin, end, strict=True)), strict=True))
-        for at in range(0, len(other), 1000):
-            some = other[at : at + 1000]
-            self.fresh.update(zip(some, (x.tobytes() for x in self.encoded([c.decode() for c in some])), strict=True))
-
-    def chunks(self, unique: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of each chunk; chunks not seen for long are forgotten."""
-        if len(self.fresh) > REMEMBERED:
-            self.older, self.fresh = self.fresh, {}
-        fresh, older, new = self.fresh, self.older, []
-        for chunk in unique:
-            if chunk not in fresh:
-                ids = older.get(chunk)
-                if ids is None:
-                    new.append(chunk)
-                else:
-                    fresh[chunk] = ids
-        self.learn(new)
-        return [fresh[c] for c in unique]
+            begin = np.concatenate([[0], feeds + 1])
+            starts[own], lengths[own] = size + begin, np.append(feeds, len(ids)) - begin
+            parts.append(ids)
+            size += len(ids)
+        alone = np.concatenate(alone)
+        for i, ids in zip(alone, self.encoded([x.decode() for x in new.take(pa.array(alone)).to_pylist()]), strict=True):
+            starts[i], lengths[i] = size, len(ids)
+            parts.append(ids)
+            size += len(ids)
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), starts, lengths
+
+    def forget(self) -> None:
+        """Keep the half of the known chunks that were seen last."""
+        keep = np.sort(np.argsort(self.seen, kind="stable")[len(self.seen) // 2 :])
+        self.known, self.seen = self.known.take(pa.array(keep)), self.seen[keep]
+        to = np.concatenate([[0], np.cumsum(self.lengths[keep])])
+        self.ids = self.ids[np.arange(to[-1]) + np.repeat(self.starts[keep] - to[:-1], self.lengths[keep])]
+        self.starts, self.lengths = to[:-1], self.lengths[keep]
+
+    def chunks(self, unique: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """For each chunk where its ids start in ``ids``, and how many there are."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        self.turn += 1
+        at = pc.index_in(unique, value_set=self.known)
+        new = unique.filter(at.is_null())
+        place = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(new))
+        ids, starts, lengths = self.learned(new)
+        self.known = pa.concat_arrays([self.known, new])
+        self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+        self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
+        self.seen = np.concatenate([self.seen, np.zeros(len(new), dtype=np.int64)])
+        self.seen[place] = self.turn
+        return self.starts[place], self.lengths[place]
 
 
 def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -123,14 +143,11 @@ def tokenised(data: np.ndarray, offsets: np.ndarray, coder: ChunkTokenizer) -> t
     starts = chunk_bounds(data, offsets)
     at = pa.py_buffer(np.concatenate([starts, [len(data)]]).astype(np.int32))
     coded = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, at, pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-    unique = coder.chunks(coded.dictionary.to_pylist())
+    where, length = coder.chunks(coded.dictionary)
     code = coded.indices.to_numpy()
-    length = np.array([len(u) // 4 for u in unique], dtype=np.int64)
-    joined = np.frombuffer(b"".join(unique), dtype=np.uint32)
-    place = np.concatenate([[0], np.cumsum(length)])
     count = length[code]
     to = np.concatenate([[0], np.cumsum(count)])
-    ids = joined[np.arange(to[-1]) + np.repeat(place[code] - to[:-1], count)]
+    ids = coder.ids[np.arange(to[-1]) + np.repeat(where[code] - to[:-1], count)]
     return ids, to[np.searchsorted(starts, offsets)]
 
 

@@ -121,9 +121,11 @@ def _fit(batches, classes: int = 2, seed: int = 7):
             np.subtract.at(table, b, rate * np.float32(40) * back[owner] * share[:, None])
             step += 1
     logit = table @ (output[:, 1] - output[:, 0])
+    del buckets, shares
     yield pa.RecordBatch.from_arrays(
         [pa.array([logit.astype(np.float32).tobytes()], pa.binary()), pa.array([float(bias[1] - bias[0])])], names=["table", "bias"]
     )
+    texts.give_back()
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[bytes, float]:

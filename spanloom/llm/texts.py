@@ -22,6 +22,11 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
 
+def give_back() -> None:
+    """Return memory that Arrow holds but does not use; tasks after this one share the process."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into row ranges of about ``limit`` bytes of text; one long text is never cut."""
     n = batch.num_rows
@@ -34,6 +39,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         to = max(at + 1, int(np.searchsorted(size, done + limit, side="right")))
         yield batch.slice(at, to - at)
         at = to
+    give_back()
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

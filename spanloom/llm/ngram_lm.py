@@ -105,11 +105,6 @@ class EliasFano:
         word = np.minimum(np.searchsorted(self.zeros, k, side="right") - 1, len(self.high) - 1)
         return word * 64 + self._in_word(~self.high[word], k - self.zeros[word])
 
-    def _is_one(self, place: np.ndarray) -> np.ndarray:
-        inside = place < len(self.high) * 64
-        word = self.high[np.where(inside, place >> 6, 0)]
-        return inside & ((word >> (place & 63).astype(np.uint64)) & ONE).astype(bool)
-
     def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The position of the first element that is not below each value (the length where there is none), and
         whether it equals the value."""
@@ -124,14 +119,18 @@ class EliasFano:
         start = np.zeros(len(values), dtype=np.int64)
         some = np.flatnonzero(high > 0)
         start[some] = self._zero(high[some] - 1) + 1 - high[some]
-        active = np.flatnonzero(~beyond)
+        # a context with many successors fills a bucket densely, so its low bits are searched by halves
+        stop = self._zero(high) - high
+        end = stop.copy()
+        active = np.flatnonzero((start < end) & ~beyond)
         while len(active):
-            # an element of the bucket stands here if its unary bit is set
-            active = active[self._is_one(start[active] + high[active])]
-            own = self._lows(start[active])
-            exact[active[own == low[active]]] = True
-            active = active[own < low[active]]
-            start[active] += 1
+            middle = (start[active] + end[active]) >> 1
+            less = self._lows(middle) < low[active]
+            start[active[less]] = middle[less] + 1
+            end[active[~less]] = middle[~less]
+            active = active[start[active] < end[active]]
+        held = np.flatnonzero((start < stop) & ~beyond)
+        exact[held] = self._lows(start[held]) == low[held]
         return np.where(beyond, self.n, start), exact
 
 

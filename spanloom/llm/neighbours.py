@@ -1,11 +1,14 @@
 """Near-duplicate embeddings by NN-descent.
 
-Equal vectors are one node. A first neighbour graph comes from a few orders of the nodes by the signs of
-random projections, in which stretches of nodes are compared. Then rounds of local joins follow: the
-neighbours of a node, in either direction, are compared with one another where one of them is new, and each
-node's list takes what is nearer. A list holds ``K`` neighbours, and up to ``ENLARGED`` while all of them
-are above the threshold. Lists that are still saturated then are completed: the members of their component
-are compared with one another in pairs of blocks, which counts the links that a list has no room for.
+Equal vectors are one node. A first neighbour graph comes from orders of the nodes by the signs of random
+projections, in which stretches of nodes are compared; there are more orders the more nodes there are, so
+that a pair at the threshold meets as often in a large table as in a small one. Then rounds of local joins
+follow until few lists change: the neighbours of a node, in either direction, are compared with one another
+where one of them is new, and each node's list takes what is nearer. A list holds ``K`` neighbours, and up
+to ``ENLARGED`` while all of them are above the threshold. Then the members of a component that is small or
+holds a saturated list are compared with one another in pairs of blocks, which counts the links that a list
+has no room for. At last the links of every hundredth vector are counted against all rows; while less than
+``AUDIT`` of them were found, further orders and rounds are added.
 
 Defined results: a vector that is null, empty, zero, of another length than most, or holds null or
 non-finite components links with nothing; equal vectors are links of each other; ties go to the smaller
@@ -22,11 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.shared import components, settled
+from spanloom.llm.shared import components, released, settled
 
 K, ENLARGED = 12, 48
 ORDERS, BITS, STRETCH = 4, 24, 160
-ROUNDS = 4
+#: Share of the pairs at the threshold that may meet in no order, and of the audited links that must be found.
+MISSED, AUDIT = 0.01, 0.995
+#: Tables of no more nodes are audited whole; queries of an audit that a driver holds at a time.
+WHOLE, QUERIES = 10_000, 4096
 FEW = 0.005
 MEMBERS = 256
 SIDE = 24
@@ -43,18 +49,24 @@ def _edges(a, b, s) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], names=["a", "b", "s"])
 
 
-def _code_batches(batches, dim: int, seed: int):
-    planes = np.random.default_rng(seed).normal(size=(dim, ORDERS * BITS))
+def orders_for(nodes: int, threshold: float) -> int:
+    """Orders after which a pair at the threshold has met in a stretch, but for a share of ``MISSED``."""
+    agree = 1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi
+    # a stretch shares about so many leading signs; its ends part one pair in two or so
+    meet = 0.5 * agree ** max(0.0, np.log2(max(nodes, 1) / STRETCH))
+    return max(ORDERS, int(np.ceil(np.log(MISSED) / np.log1p(-meet))))
+
+
+def _code_batches(batches, dim: int, seed: int, orders: int):
+    planes = np.random.default_rng(seed).normal(size=(dim, orders * BITS))
     for batch in batches:
         if not batch.num_rows:
             continue
-        signs = (_unit(batch.column("v"), dim) @ planes > 0).reshape(-1, ORDERS, BITS)
-        codes = signs @ (1 << np.arange(BITS)[::-1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.tile(np.arange(ORDERS), batch.num_rows), pa.int32()), pa.array(codes.ravel(), pa.int64()),
-             batch.column("node").take(pa.array(np.repeat(np.arange(batch.num_rows), ORDERS))), batch.column("v").take(pa.array(np.repeat(np.arange(batch.num_rows), ORDERS)))],
-            names=["turn", "code", "node", "v"],
-        )
+        unit = _unit(batch.column("v"), dim)
+        for turn in range(orders):
+            codes = (unit @ planes[:, turn * BITS : (turn + 1) * BITS] > 0) @ (1 << np.arange(BITS)[::-1])
+            turns = pa.array(np.full(batch.num_rows, turn), pa.int32())
+            yield pa.RecordBatch.from_arrays([turns, pa.array(codes, pa.int64()), batch.column("node"), batch.column("v")], names=["turn", "code", "node", "v"])
 
 
 def _stretch_batches(batches, dim: int, threshold: float):
@@ -108,8 +120,11 @@ def _grouped(batches, key: str):
         yield held.combine_chunks(), np.array([0, held.num_rows])
 
 
-def _join_batches(batches, dim: int, most: int = 4):
-    """Local joins: among the neighbours of each node, the pairs that improve either one's list."""
+def _join_batches(batches, dim: int, most: int = K):
+    """Local joins: among the neighbours of each node, the pairs that improve either one's list.
+
+    A list that is not saturated takes no more than the ``K`` best of a join, so the others are no loss to it.
+    """
     for table, cuts in _grouped(batches, "a"):
         unit = _unit(table.column("v").chunk(0), dim)
         node, floor, fresh = (table.column(c).to_numpy() for c in ("b", "floor", "fresh"))
@@ -150,7 +165,8 @@ def _pair_batches(batches, dim: int, threshold: float):
 
 def _kept(edges: DataFrame, threshold: float) -> DataFrame:
     """Lists of the nearest: ``K``, or up to ``ENLARGED`` above the threshold; with the bar for a new one."""
-    one = edges.groupBy("a", "b").agg(F.max("s").alias("s"), F.min("fresh").alias("fresh"))
+    marks = [F.min(c).alias(c) for c in edges.columns if c not in ("a", "b", "s")]
+    one = edges.groupBy("a", "b").agg(F.max("s").alias("s"), *marks)
     near = Window.partitionBy("a").orderBy(F.col("s").desc(), "b")
     one = one.withColumn("rank", F.row_number().over(near)).where(f"rank <= {K} or (rank <= {ENLARGED} and s >= {threshold!r})")
     return one.drop("rank")
@@ -162,28 +178,106 @@ def _floors(graph: DataFrame, threshold: float) -> DataFrame:
     return ends.select(F.col("a").alias("b"), bar.alias("floor"))
 
 
-def graph(nodes: DataFrame, dim: int, threshold: float, rounds: int = ROUNDS, seed: int = 11) -> DataFrame:
-    """(a, b, s): the neighbour lists of ``nodes`` (node, v) after NN-descent, settled."""
-    coded = nodes.select("node", "v").mapInArrow(partial(_code_batches, dim=dim, seed=seed), "turn int, code long, node long, v array<float>")
+def _first_lists(nodes: DataFrame, dim: int, threshold: float, orders: int, seed: int) -> DataFrame:
+    """(a, b, s, fresh): what stretches of ``orders`` orders show."""
+    code = partial(_code_batches, dim=dim, seed=seed, orders=orders)
+    coded = nodes.select("node", "v").mapInArrow(code, "turn int, code long, node long, v array<float>")
     turn = F.xxhash64("node", "turn")
     ordered = coded.repartitionByRange("turn", "code", turn).sortWithinPartitions("turn", "code", turn)
     edges = ordered.mapInArrow(partial(_stretch_batches, dim=dim, threshold=threshold), "a long, b long, s double")
-    lists = settled(_kept(edges.withColumn("fresh", F.lit(True)), threshold))
+    return edges.withColumn("fresh", F.lit(True))
+
+
+def graph(nodes: DataFrame, dim: int, threshold: float, orders: int, seed: int = 11, lists: DataFrame | None = None) -> DataFrame:
+    """(a, b, s, fresh): the neighbour lists of ``nodes`` (node, v) after NN-descent, settled.
+
+    ``lists`` are those of an earlier call, which are taken further.
+    """
+    first = _first_lists(nodes, dim, threshold, orders, seed)
+    before, lists = lists, settled(_kept(first if lists is None else lists.unionByName(first), threshold))
+    if before is not None:
+        released(before)
     enough = FEW * K * nodes.count()
-    for _ in range(rounds):
-        if lists.where("fresh").count() <= enough:
-            break
-        both = lists.select("a", "b", "fresh").unionByName(lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "fresh"))
-        both = both.groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
-        some = Window.partitionBy("a").orderBy(F.col("fresh").desc(), F.xxhash64("a", "b"))
-        both = both.withColumn("rank", F.row_number().over(some)).where(f"rank <= {SIDE}").drop("rank")
-        both = both.join(_floors(lists, threshold), "b").join(nodes.select(F.col("node").alias("b"), "v"), "b")
-        joined = both.repartition("a").sortWithinPartitions("a").select("a", "b", "floor", "fresh", "v")
-        new = joined.mapInArrow(partial(_join_batches, dim=dim), "a long, b long, s double").withColumn("fresh", F.lit(True))
-        lists = settled(_kept(lists.withColumn("fresh", F.lit(False)).unionByName(new), threshold))
+    turn, changed = 0, lists.where("fresh").count()
+    while changed > enough:
+        turn += 1
+        own = lists.select("a", "b", "fresh", F.lit(True).alias("own"))
+        both = own.unionByName(lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "fresh", F.lit(False).alias("own")))
+        both = both.groupBy("a", "b").agg(F.max("fresh").alias("fresh"), F.max("own").alias("own"))
+        # a node's own list is joined whole; of the lists that it stands in, some take part each time
+        some = Window.partitionBy("a", "own").orderBy(F.col("fresh").desc(), F.xxhash64("a", "b", F.lit(turn)))
+        both = settled(both.withColumn("rank", F.row_number().over(some)).where(f"own or rank <= {SIDE}").select("a", "b", "fresh"))
+        valued = both.join(_floors(lists, threshold), "b").join(nodes.select(F.col("node").alias("b"), "v"), "b")
+        joined = valued.repartition("a").sortWithinPartitions("a").select("a", "b", "floor", "fresh", "v")
+        new = joined.mapInArrow(partial(_join_batches, dim=dim), "a long, b long, s double")
+        # an entry is old when both of its nodes have joined it
+        done = both.where("fresh").select(F.col("b").alias("a"), F.col("a").alias("b"), F.lit(True).alias("done"))
+        held = lists.join(done, ["a", "b"], "left").select("a", "b", "s", (F.col("fresh") & F.col("done").isNull()).alias("fresh"), F.lit(False).alias("new"))
+        new = new.select("a", "b", "s", F.lit(True).alias("fresh"), F.lit(True).alias("new"))
+        after = settled(_kept(held.unionByName(new), threshold))
+        released(both), released(lists)
+        changed = after.where("new").count()
+        lists = after.drop("new")
     return lists
 
 
+def _completed(nodes: DataFrame, lists: DataFrame, dim: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(node, links) and (node, component) of the nodes with a link, both settled."""
+    links = lists.where(F.col("s") >= threshold).select("a", "b")
+    links = settled(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    classes = settled(components(links))
+    full = lists.groupBy("a").agg(F.count("*").alias("held"), F.min("s").alias("least")).where((F.col("held") >= K) & (F.col("least") >= threshold))
+    dense = classes.join(full.select(F.col("a").alias("node")), "node", "left_semi").select("component").distinct().withColumn("dense", F.lit(True))
+    sizes = classes.groupBy("component").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"))
+    sizes = sizes.join(dense, "component", "left").where("dense or blocks = 1").drop("dense")
+    members = classes.join(sizes, "component").join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # a block meets every block of its component once: as the left one, as the right one, or as both
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    members = members.select(F.xxhash64("component", low, high).alias("pair"), "node", "n", "v", (F.col("block") == low).alias("left"), (F.col("block") == high).alias("right"))
+    dealt = members.repartition("pair").sortWithinPartitions("pair", "node")
+    counted = dealt.mapInArrow(partial(_pair_batches, dim=dim, threshold=threshold), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    sparse = links.join(nodes.select(F.col("node").alias("b"), "n"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
+    totals = sparse.join(counted.withColumnRenamed("links", "dense"), "node", "full").select("node", F.coalesce("dense", "links").alias("links"))
+    totals = settled(totals)
+    released(links)
+    return totals, classes
+
+
+def _query_batches(batches, dim: int, threshold: float, asked):
+    """Links of the asked nodes with the rows of each batch."""
+    node, x = asked.value
+    sums = np.zeros(len(node), dtype=np.int64)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            if part.num_rows:
+                linked = (x @ _unit(part.column("v"), dim).T >= threshold) & (node[:, None] != part.column("node").to_numpy()[None, :])
+                sums += linked @ part.column("n").to_numpy()
+    yield pa.RecordBatch.from_arrays([pa.array(node[sums > 0], pa.int64()), pa.array(sums[sums > 0], pa.int64())], names=["node", "links"])
+
+
+def true_links(nodes: DataFrame, asked: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """(node, links) of the ``asked`` nodes (node, v) against all ``nodes``, in blocks of queries; settled."""
+    spark = nodes.sparkSession
+    blocks = -(-asked.count() // QUERIES)
+    found = spark.createDataFrame([], "node long, links long")
+    for block in range(blocks):
+        some = asked.where(F.pmod(F.xxhash64("node"), F.lit(blocks)) == block).select("node", "v").toArrow().combine_chunks()
+        if some.num_rows:
+            unit = _unit(some.column("v").chunk(0), dim)
+            held = spark.sparkContext.broadcast((some.column("node").to_numpy(), unit))
+            found = found.unionByName(nodes.select("node", "n", "v").mapInArrow(partial(_query_batches, dim=dim, threshold=threshold, asked=held), "node long, links long"))
+    return settled(found.groupBy("node").agg(F.sum("links").alias("links")))
+
+
+def recall(true: DataFrame, totals: DataFrame) -> float:
+    """Share of the ``true`` links (node, links) of the audited nodes that ``totals`` counts."""
+    both = true.join(totals.withColumnRenamed("links", "found"), "node", "left")
+    row = both.agg(F.sum("links").alias("links"), F.sum(F.coalesce("found", F.lit(0))).alias("found")).first()
+    return row["found"] / row["links"] if row["links"] else 1.0
+
+
 def linked(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of links at a cosine of ``threshold`` or more."""
     whole = F.size("embedding") > 0
@@ -198,23 +292,17 @@ def linked(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
     least = rows.where("sound").groupBy("mark").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
     nodes = rows.where("sound").join(least, "mark").where("vec_id = node").dropDuplicates(["node"]).select("node", "mark", "n", "v")
     nodes = settled(nodes)
-    lists = graph(nodes, dim, threshold)
-    links = lists.where(F.col("s") >= threshold).select("a", "b")
-    links = settled(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    classes = settled(components(links))
-    full = lists.groupBy("a").agg(F.count("*").alias("held"), F.min("s").alias("least")).where((F.col("held") >= K) & (F.col("least") >= threshold))
-    dense = classes.join(full.select(F.col("a").alias("node")), "node", "left_semi").select("component").distinct()
-    members = classes.join(dense, "component").join(nodes, "node")
-    sizes = classes.join(dense, "component").groupBy("component").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("blocks"))
-    members = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # a block meets every block of its component once: as the left one, as the right one, or as both
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    members = members.select(F.xxhash64("component", low, high).alias("pair"), "node", "n", "v", (F.col("block") == low).alias("left"), (F.col("block") == high).alias("right"))
-    dealt = members.repartition("pair").sortWithinPartitions("pair", "node")
-    counted = dealt.mapInArrow(partial(_pair_batches, dim=dim, threshold=threshold), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
-    sparse = links.join(nodes.select(F.col("node").alias("b"), "n"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
-    totals = sparse.join(counted.withColumnRenamed("links", "dense"), "node", "full").select("node", F.coalesce("dense", "links").alias("links"))
+    count = nodes.count()
+    asked = nodes if count <= WHOLE else nodes.join(every.where("vec_id % 100 = 0").select("mark").distinct(), "mark", "left_semi")
+    true = true_links(nodes, asked, dim, threshold)
+    orders, seed, lists = orders_for(count, threshold), 11, None
+    while True:
+        lists = graph(nodes, dim, threshold, orders, seed, lists)
+        totals, classes = _completed(nodes, lists, dim, threshold)
+        if recall(true, totals) >= AUDIT:
+            break
+        orders, seed = 2 * orders, seed + 1
+        released(totals), released(classes)
     result = nodes.select("node", "mark", "n").join(totals, "node", "left").join(classes, "node", "left")
     result = result.select("mark", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     out = every.join(result, "mark", "left")

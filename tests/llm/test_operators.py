@@ -333,6 +333,25 @@ def test_neighbours(spark):
     assert neighbours.linked(df.limit(0)).count() == 0
 
 
+def test_neighbours_in_pairs(spark, tmp_path):
+    """Pairs just above the threshold that no third vector connects, in a table of 20,000."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(20000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=(1000, 48))
+    away -= (away * x[:1000]).sum(axis=1, keepdims=True) * x[:1000]
+    x[1000:2000] = 0.91 * x[:1000] + (1 - 0.91**2) ** 0.5 * away / np.linalg.norm(away, axis=1, keepdims=True)
+    order = rng.permutation(len(x))
+    place = np.argsort(order)
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x[order].astype(np.float32))}), tmp_path / "pairs.parquet")
+    found = {r.vec_id: r for r in neighbours.linked(spark.read.parquet(f"file://{tmp_path}/pairs.parquet")).collect()}
+    lost = [i for i in range(1000) if not (found[place[i]].n_links == found[place[i + 1000]].n_links == 1 and found[place[i]].component_id == found[place[i + 1000]].component_id)]
+    assert len(lost) <= 10 and sum(r.n_links for r in found.values()) == 2 * (1000 - len(lost))
+
+
 def test_quality(spark, docs, empty):
     rng = random.Random(3)
     good = [(i, " ".join(sentence(rng, 9) for _ in range(6))) for i in range(150)]

@@ -7,7 +7,8 @@ same paragraphs inside it wherever it stands.
 
 Paragraphs with equal words are one node. Nodes are filed under ``BANDS`` bands of ``ROWS`` minima of
 five-word shingles (two alike at 0.8 meet with a probability of 98 %), tied to the least node of each
-collision, checked by exact Jaccard similarity, and put into classes by connected components. A class that
+collision, checked by exact Jaccard similarity, and put into classes by connected components; the members
+of a collision that are in different classes then are compared with one another. A class that
 spans documents is a repetition where it stands in a run of such paragraphs of ``RUN`` words or more; the
 smallest document keeps it, the others lose it. A passage of over 50 words loses the paragraphs inside it;
 the parts of sentences around its ends may stay.
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import components, settled, star_links
+from spanloom.llm.shared import bucket_links, components, settled, star_links
 
 SHINGLE = 5
 ALIKE = 0.8
@@ -73,12 +74,20 @@ class Paragraphs:
         return rolled, inside
 
 
-def _band_batches(batches):
+def _marked(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    place = hashes >> np.uint64(64 - _MARK_BITS)
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _band_batches(batches, marks=None):
+    bits = np.frombuffer(marks.value, dtype=np.uint64) if marks is not None else None
     for batch in batches:
         for part in texts.slices(batch):
             found = Paragraphs(*texts.flat(part.column("text")))
             _, some = np.unique(found.hash, return_index=True)
             some = some[(found.end - found.first)[some] >= LEAST_WORDS]
+            if bits is not None:
+                some = some[_marked(found.hash[some], bits)]
             if not len(some):
                 continue
             rolled, inside = found.shingled()
@@ -103,8 +112,7 @@ def _set_batches(batches, marks):
             if not len(found.hash):
                 continue
             _, some = np.unique(found.hash, return_index=True)
-            place = found.hash[some] >> np.uint64(64 - _MARK_BITS)
-            some = some[(bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1]
+            some = some[_marked(found.hash[some], bits)]
             rolled, inside = found.shingled()
             sets = []
             for i in some:
@@ -137,6 +145,25 @@ def _marks(nodes: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def _alike_sets(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which sets of the left side have that Jaccard similarity or more with which of the right."""
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    known, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    row = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    cut = int(sizes[0].sum())
+    column = place[:cut], place[cut:]
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, len(known), 4096):
+        ones = []
+        for r, c, side in zip(row, column, (left, right), strict=True):
+            own = (c >= at) & (c < at + 4096)
+            part = np.zeros((len(side), min(4096, len(known) - at)), dtype=np.float32)
+            part[r[own], c[own] - at] = 1
+            ones.append(part)
+        shared += ones[0] @ ones[1].T
+    return shared >= threshold * (sizes[0][:, None] + sizes[1][None, :] - shared.astype(np.float64))
+
+
 def alike(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     """(a, b): links between unequal paragraphs whose shingle sets have that Jaccard similarity or more."""
     body = docs.select("text")
@@ -147,7 +174,9 @@ def alike(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     sets = settled(sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")))
     both = met.join(sets.selectExpr("node AS a", "shingles AS p"), "a").join(sets.selectExpr("node AS b", "shingles AS q"), "b")
     shared = F.size(F.array_intersect("p", "q"))
-    return both.where(shared >= threshold * (F.size("p") + F.size("q") - shared)).select("a", "b")
+    links = both.where(shared >= threshold * (F.size("p") + F.size("q") - shared)).select("a", "b")
+    rows = settled(body.mapInArrow(partial(_band_batches, marks=marks), "key long, node long").distinct())
+    return bucket_links(rows, links, sets, partial(_alike_sets, threshold=threshold))
 
 
 def repeated(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:

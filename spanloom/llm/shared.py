@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -102,3 +103,88 @@ def _run_links(batches):
         a, b = np.concatenate([node[new], node[far]]), np.concatenate([roots[new], before[far]])
         last_key, last_node, root = key[-1], node[-1], roots[-1]
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+#: Members of a block of a bucket; two blocks are compared at a time.
+BLOCK = 256
+
+
+def mixed_buckets(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """(pair, node, component, left, right): members of buckets that ``links`` (a, b) do not tie together.
+
+    ``rows`` holds distinct long columns ``key`` and ``node``. A star of three nodes has all their pairs, so
+    keys of three nodes or fewer are left out, and those whose nodes are all in one component; the others
+    are cut into blocks, and each two blocks of a key are one ``pair``.
+    """
+    large = settled(rows.groupBy("key").count().where("count > 3").select("key"))
+    rows = settled(rows.join(large, "key", "left_semi"))
+    rows = rows.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    sizes = sizes.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    return rows.select(F.xxhash64("key", low, high).alias("pair"), "node", "component", (F.col("block") == low).alias("left"), (F.col("block") == high).alias("right"))
+
+
+def grouped(batches, key: str):
+    """Whole groups of rows that arrive sorted by ``key``: a table of some groups, and where each begins, with the end."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        ids = table.column(key).to_numpy()
+        cuts = np.flatnonzero(ids[1:] != ids[:-1]) + 1
+        last = int(cuts[-1]) if len(cuts) else 0
+        if last:
+            yield table.slice(0, last).combine_chunks(), np.concatenate([[0], cuts])
+        held = table.slice(last)
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
+
+
+def joined_components(batches, column: str, check):
+    """Links (a, b) between members of a pair of blocks that ``check`` finds alike, as a forest over their components.
+
+    ``check`` gets the lists of ``column`` of the left and the right members and returns a matrix of truths.
+    """
+    for table, cuts in grouped(batches, "pair"):
+        node, component, left, right = (table.column(c).to_numpy() for c in ("node", "component", "left", "right"))
+        lists = table.column(column).chunk(0)
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        out = []
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            a, b = np.flatnonzero(left[i:j]) + i, np.flatnonzero(right[i:j]) + i
+            if not len(a) or not len(b):
+                continue
+            apart = component[a][:, None] != component[b][None, :]
+            if not apart.any():
+                continue
+            parts = [[flat[ends[x] : ends[x + 1]] for x in side] for side in (a, b)]
+            parent = {}
+            for x, y in zip(*np.nonzero(apart & check(*parts)), strict=True):
+                p, q = int(component[a[x]]), int(component[b[y]])
+                while p in parent:
+                    p = parent[p]
+                while q in parent:
+                    q = parent[q]
+                if p != q:
+                    parent[max(p, q)] = min(p, q)
+                    out.append((node[a[x]], node[b[y]]))
+        if out:
+            one, two = np.array(out, dtype=np.int64).T
+            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], names=["a", "b"])
+
+
+def bucket_links(rows: DataFrame, links: DataFrame, values: DataFrame, check) -> DataFrame:
+    """``links`` (a, b), and those that tie together what is alike in one bucket of ``rows`` (key, node).
+
+    ``links`` may hold a star of each bucket only. A member that is unlike the star's centre can be like
+    another member; all members that no link has tied yet are therefore compared by their ``values``
+    (node, and one list of longs). ``rows`` are distinct.
+    """
+    links = settled(links)
+    column = next(c for c in values.columns if c != "node")
+    members = mixed_buckets(rows, links).join(values, "node").select("pair", "node", "component", "left", "right", column)
+    dealt = members.repartition("pair").sortWithinPartitions("pair", "node")
+    return links.unionByName(dealt.mapInArrow(partial(joined_components, column=column, check=check), "a long, b long"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import components, released, settled, star_links
+from spanloom.llm.shared import bucket_links, components, released, settled, star_links
 
 SEED = 42
 
@@ -122,6 +122,14 @@ def on_ring(a: list[Column], b: list[Column], tau: int, start: int) -> Column:
     return F.transform(F.array(F.concat(apart, apart)), lambda ring: F.exists(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: keeps(ring, i)))[0]
 
 
+def _near_prints(left: list[np.ndarray], right: list[np.ndarray], tau: int) -> np.ndarray:
+    p, q = (np.stack(side).view(np.uint64) for side in (left, right))
+    apart = np.zeros((len(p), len(q)), dtype=np.int64)
+    for i in range(p.shape[1]):
+        apart += np.bitwise_count(p[:, i][:, None] ^ q[:, i][None, :])
+    return apart <= tau
+
+
 def near_links(prints: DataFrame, tau: int, segments: int, width: int, entry_segments: int, entry_width: int, flips: int) -> DataFrame:
     """Links (a, b) between the nodes of ``prints`` (node, prints) that pass the ring and the Hamming check.
 
@@ -136,7 +144,9 @@ def near_links(prints: DataFrame, tau: int, segments: int, width: int, entry_seg
     both = met.join(left, "a").join(right, "b")
     p, q = (_segments(F.col(x), segments, width) for x in "pq")
     apart = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(p, q, strict=True)), F.lit(0))
-    return both.where(on_ring(p, q, tau, max(tau // segments, 2 * flips if segments == entry_segments else 0))).where(apart <= tau).select("a", "b")
+    links = both.where(on_ring(p, q, tau, max(tau // segments, 2 * flips if segments == entry_segments else 0))).where(apart <= tau).select("a", "b")
+    # members of a bucket that are far from its least may be near one another
+    return bucket_links(rows, links, prints.select("node", "prints"), partial(_near_prints, tau=tau))
 
 
 def hamming_groups(docs: DataFrame, shingle: int = 5, tau: int = 2) -> DataFrame:

@@ -308,6 +308,47 @@ def test_paragraph_cuts_do_not_depend_on_context():
     assert len(cut(inner) & cut(f"{sentence(rng, 5)[:-1]} {inner} {sentence(rng, 9)}")) >= len(cut(inner)) - 3
 
 
+def test_passages_in_mixed_buckets(spark):
+    """Pairs alike at 0.8 that meet in bands with many unlike paragraphs."""
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    open_words = []
+    while len(open_words) < 4000:  # words that end no sentence
+        word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+        data = np.frombuffer(word.encode(), np.uint8)
+        if int(texts.word_hashes(data, np.array([0]), np.array([8]))[0]) & 15:
+            open_words.append(word)
+    common, bodies = [rng.choice(open_words) for _ in range(45)], []
+    for _ in range(120):
+        own = [rng.choice(open_words) for _ in range(17)]
+        bodies += [common + own, common + [*own[:-1], rng.choice(open_words)]]
+    all_texts = [" ".join(b) for b in bodies]
+    df = spark.createDataFrame(list(enumerate(all_texts)), "doc_id long, text string")
+    nodes = [int(passages.Paragraphs(*texts.flat(pa.array([t]))).hash.view(np.int64)[0]) for t in all_texts]
+    sets = [{tuple(b[k : k + 5]) for k in range(len(b) - 4)} for b in bodies]
+    keys = collections.defaultdict(set)
+    for part in passages._band_batches([pa.record_batch({"text": pa.array(all_texts)})]):
+        for key, node in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            keys[node].add(key)
+    limit = 0.9  # families are about 0.5 alike, copies 0.95
+    pairs = [(nodes[a], nodes[b]) for a in range(len(nodes)) for b in range(a) if len(sets[a] & sets[b]) >= limit * len(sets[a] | sets[b]) and keys[nodes[a]] & keys[nodes[b]]]
+    links = [(r.a, r.b) for r in passages.alike(df, limit).collect()]
+    assert len(pairs) > 100 and roots(nodes, links) == roots(nodes, pairs)
+
+
+def test_near_links_in_mixed_buckets(spark):
+    """Fingerprints that agree in one segment but for pairs of neighbours are far apart."""
+    rng = random.Random(13)
+    base = [rng.getrandbits(64) & ~0xFFFF for _ in range(40)]
+    prints = [x ^ (1 << rng.randrange(16, 64)) * k for x in base for k in (0, 1)]
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    order = rng.sample(range(len(prints)), len(prints))
+    df = spark.createDataFrame([(order[i], [signed(x)]) for i, x in enumerate(prints)], "node long, prints array<long>")
+    links = [(r.a, r.b) for r in simhash.near_links(df, 2, 4, 16, 1, 16, 0).collect()]
+    assert roots(order, links) == roots(order, [(order[i], order[i + 1]) for i in range(0, len(order), 2)])
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(5)
     center = rng.normal(size=(12, 24))

@@ -89,7 +89,7 @@ RULES = [
 
 _other = re.compile(r"[\W_]+")
 # every known sentence has one of these words, so other texts need no normalising
-_sign = re.compile(r"licen|permission|redistribution|without\s+warrant|rights|free\s+software|any\s+later|public\s+domain|cc0", re.IGNORECASE)
+_sign = re.compile(r"licen|permission|redistribution|rights|software|cc0", re.IGNORECASE)
 
 
 def normalised(text: str) -> str:

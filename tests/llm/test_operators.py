@@ -435,3 +435,12 @@ def test_licences(spark, docs, empty):
     df = spark.createDataFrame([(1, "x Licensed under CC BY-NC 4.0. Released under the MIT License.", "q"), (2, None, "q"), (3, "the licence of a licensee", "q")], "doc_id long, text string, licence string")
     assert [(r.doc_id, r.place, r.licence) for r in licence.scan(df).orderBy("place").collect()] == [(1, 0, "CC-BY-NC-4.0"), (1, 1, "MIT")]
     assert licence.scan(docs).count() == 0 and licence.scan(empty).count() == 0
+
+
+def test_licence_sentences_in_comments():
+    """A known sentence counts with a comment mark or mark-up between any two of its words."""
+    known = licence.automaton()
+    for wording in licence.SENTENCES.values():
+        plain = licence.sentence_ids(wording, known)
+        assert plain and licence.sentence_ids("\n * ".join(wording.split()), known) == plain
+        assert licence.sentence_ids("<br/>".join(wording.split()).replace("br", "_"), known) == plain

@@ -14,9 +14,12 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import heapq
+import itertools
 import os
 import re
+import string
 import zlib
 from functools import partial
 
@@ -31,10 +34,11 @@ from spanloom.llm.shared import settled
 
 CAPACITY = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
-#: Distinct chunks whose ids a task remembers from one slice to the next.
-REMEMBERED = 300_000
+#: Distinct chunks whose ids a worker remembers from one slice and task to the next.
+REMEMBERED = 600_000
 #: Parts in which pieces of one length are ranked.
 SLOTS = 4096
+_LETTER, _MARK = (np.array([keep(chr(i)) for i in range(128)] + [False] * 128) for keep in (str.isalpha, lambda c: c in string.punctuation and c != "'"))
 _rare_space = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 
 
@@ -48,9 +52,10 @@ def default_tokenizer() -> str:
 class ChunkTokenizer:
     """Byte-level BPE ids, encoding each distinct chunk once.
 
-    The pre-tokenizer never joins characters across the start of a white-space run, so a text's ids are
-    those of its chunks: words with at most one space before them, and what white space is left. Texts
-    with white space beyond ASCII's are encoded whole instead.
+    The pre-tokenizer never joins characters across the start of a white-space run, nor a letter with
+    punctuation other than an apostrophe, so a text's ids are those of its chunks: words with at most one
+    space before them, and what white space and punctuation is left. Texts with white space beyond ASCII's
+    are encoded whole instead.
     """
 
     def __init__(self, path: str):
@@ -59,9 +64,11 @@ class ChunkTokenizer:
 
         self.coder = Tokenizer.from_file(path)
         self.coder.encode_special_tokens = True
-        self.mark = self.coder.token_to_id("\u010a")  # the id of a line feed
-        self.known = pa.array([], pa.binary())
-        # where each known chunk's ids lie in ``ids``, and the turn in which it was last seen
+        self.feed = self.coder.token_to_id("\u010a")  # the id of a line feed
+        # whether a token begins with a blank
+        self.blank = np.array([(self.coder.id_to_token(i) or "").startswith("\u0120") for i in range(self.coder.get_vocab_size())])
+        # each known chunk's number; by number where its ids lie in ``ids``, and the turn in which it was last seen
+        self.known: dict[bytes, int] = {}
         self.starts, self.lengths, self.seen = (np.zeros(0, dtype=np.int64) for _ in range(3))
         self.ids, self.turn = np.zeros(0, dtype=np.uint32), 0
 
@@ -72,23 +79,28 @@ class ChunkTokenizer:
         return self.encoded([text])[0]
 
     def learned(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of chunks, with starts and lengths; those without a line feed are encoded as lines of one text,
-        whose feeds are tokens of their own."""
+        """Ids of chunks, with starts and lengths.
+
+        Words behind a blank are encoded in a row, as only their first tokens begin with a blank; the others
+        as lines of one text, whose feeds are tokens of their own. Chunks that hold a feed stand alone.
+        """
         starts, lengths = np.zeros(len(new), dtype=np.int64), np.zeros(len(new), dtype=np.int64)
-        lined = ~pc.match_substring(new, "\n").to_numpy(zero_copy_only=False)
-        rows, alone, parts, size = np.flatnonzero(lined), [np.flatnonzero(~lined)], [], 0
-        for at in range(0, len(rows), 20000):
-            own = rows[at : at + 20000]
-            some = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), new.take(pa.array(own)))
-            ids = self.whole(pc.binary_join(some, b"\n")[0].as_py().decode())
-            feeds = np.flatnonzero(ids == self.mark)
-            if len(feeds) != len(own) - 1:
-                alone.append(own)
-                continue
-            begin = np.concatenate([[0], feeds + 1])
-            starts[own], lengths[own] = size + begin, np.append(feeds, len(ids)) - begin
-            parts.append(ids)
-            size += len(ids)
+        word = pc.match_substring_regex(new, "^ [^ \\t-\\r]").to_numpy(zero_copy_only=False)
+        fed = pc.match_substring(new, "\n").to_numpy(zero_copy_only=False)
+        alone, parts, size = [np.flatnonzero(fed)], [], 0
+        for rows, joint in ((np.flatnonzero(word), b""), (np.flatnonzero(~word & ~fed), b"\n")):
+            for at in range(0, len(rows), 20000):
+                own = rows[at : at + 20000]
+                some = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), new.take(pa.array(own)))
+                ids = self.whole(pc.binary_join(some, joint)[0].as_py().decode())
+                ends = np.flatnonzero(ids == self.feed) if joint else np.flatnonzero(self.blank[ids])[1:]
+                if len(ends) != len(own) - 1:
+                    alone.append(own)
+                    continue
+                begin = np.concatenate([[0], ends + len(joint)])
+                starts[own], lengths[own] = size + begin, np.append(ends, len(ids)) - begin
+                parts.append(ids)
+                size += len(ids)
         alone = np.concatenate(alone)
         for i, ids in zip(alone, self.encoded([x.decode() for x in new.take(pa.array(alone)).to_pylist()]), strict=True):
             starts[i], lengths[i] = size, len(ids)
@@ -98,32 +110,43 @@ class ChunkTokenizer:
 
     def forget(self) -> None:
         """Keep the half of the known chunks that were seen last."""
-        keep = np.sort(np.argsort(self.seen, kind="stable")[len(self.seen) // 2 :])
-        self.known, self.seen = self.known.take(pa.array(keep)), self.seen[keep]
+        stays = np.zeros(len(self.seen), dtype=bool)
+        stays[np.argsort(self.seen, kind="stable")[len(self.seen) // 2 :]] = True
+        keep = np.flatnonzero(stays)
+        self.known = {chunk: i for i, chunk in enumerate(itertools.compress(self.known, stays.tolist()))}
         to = np.concatenate([[0], np.cumsum(self.lengths[keep])])
         self.ids = self.ids[np.arange(to[-1]) + np.repeat(self.starts[keep] - to[:-1], self.lengths[keep])]
-        self.starts, self.lengths = to[:-1], self.lengths[keep]
+        self.starts, self.lengths, self.seen = to[:-1], self.lengths[keep], self.seen[keep]
 
     def chunks(self, unique: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For each chunk where its ids start in ``ids``, and how many there are."""
         if len(self.known) > REMEMBERED:
             self.forget()
         self.turn += 1
-        at = pc.index_in(unique, value_set=self.known)
-        new = unique.filter(at.is_null())
-        place = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        place[place < 0] = len(self.known) + np.arange(len(new))
-        ids, starts, lengths = self.learned(new)
-        self.known = pa.concat_arrays([self.known, new])
-        self.starts = np.concatenate([self.starts, starts + len(self.ids)])
-        self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
-        self.seen = np.concatenate([self.seen, np.zeros(len(new), dtype=np.int64)])
+        chunk = unique.to_pylist()
+        place = np.fromiter(map(self.known.get, chunk, itertools.repeat(-1)), dtype=np.int64, count=len(chunk))
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            ids, starts, lengths = self.learned(unique.take(pa.array(missing)))
+            first = len(self.known)
+            place[missing] = first + np.arange(len(missing))
+            self.known.update(zip(map(chunk.__getitem__, missing.tolist()), range(first, first + len(missing)), strict=True))
+            self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+            self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
+            self.seen = np.concatenate([self.seen, np.zeros(len(missing), dtype=np.int64)])
         self.seen[place] = self.turn
         return self.starts[place], self.lengths[place]
 
 
+@functools.lru_cache(maxsize=1)
+def _coder(path: str) -> ChunkTokenizer:
+    """The tokenizer of this worker process: its tasks follow one another and share what it has encoded."""
+    return ChunkTokenizer(path)
+
+
 def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where chunks start in ``data``: the pieces of ``\\ ?\\S+|\\s+(?!\\S)|\\s+`` with ASCII white space."""
+    """Where chunks start in ``data``: the pieces of ``\\ ?\\S+|\\s+(?!\\S)|\\s+`` with ASCII white space, cut again
+    where an ASCII letter and ASCII punctuation other than an apostrophe meet."""
     space = texts.SPACE[data]
     border = np.zeros(len(data) + 1, dtype=bool)
     border[offsets] = True
@@ -135,6 +158,8 @@ def chunk_bounds(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     start |= first | (space & ~before)  # a white-space run, or a text
     start |= space & last  # the run's last one stands apart from the rest
     start |= ~space & before & ~np.concatenate([[False], blank[:-1]])  # a word joins only a blank
+    letter, mark = _LETTER[data], _MARK[data]
+    start[1:] |= (letter[1:] & mark[:-1]) | (mark[1:] & letter[:-1])
     return np.flatnonzero(start)
 
 
@@ -152,7 +177,7 @@ def tokenised(data: np.ndarray, offsets: np.ndarray, coder: ChunkTokenizer) -> t
 
 
 def _piece_batches(batches, path: str, capacity: int, end_id: int):
-    coder = ChunkTokenizer(path)
+    coder = _coder(path)
     for batch in batches:
         for part in texts.slices(batch, limit=3 << 20):
             data, offsets = texts.flat(part.column("text"))

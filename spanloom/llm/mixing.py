@@ -2,10 +2,10 @@
 
 Golden-ratio points are mapped through the sources' cumulative target shares: slot ``t`` of the mix belongs
 to the source whose share holds ``frac(t * phi)``, so every stretch of slots holds each source nearly in
-proportion. A source's documents are put into a shuffled order by hash, end to end and if need be again,
-and cut into blocks of ``BLOCK`` words; the source's slot of rank ``r`` takes its block ``r``. Ranks and
-places are prefix sums in two levels (a part of the hash range, then within the part), so no source is
-ordered in one task however large it is.
+proportion. A source's documents are put into a shuffled order by hash, end to end and twice over, and cut
+into blocks of ``BLOCK`` words; the source's slot of rank ``r`` is joined to its block ``r``, and a document
+takes the words that its joined blocks hold. Ranks and places are prefix sums in two levels (a stretch of
+slots or a part of the hash range, then within it), so no source is ordered in one task however large it is.
 
 Defined results: a null text has size 0; a null source is a source of its own that sorts last; a source
 without words has target 0 and takes nothing; repeated rows are documents of their own; equal hashes go by
@@ -14,6 +14,8 @@ doc_id and size; extra columns are ignored unless asked for; an empty table give
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,9 +26,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 BLOCK = 32
-#: Parts of a source's shuffled order, as bits of the hash; slots of a chunk of the schedule; grid cells.
+#: Parts of a source's shuffled order, as bits of the hash; grid cells of the cumulative shares.
 PART_BITS = 14
-CHUNK = 4096
 CELLS = 4096
 _LOW = 1 << 20
 #: frac(phi) and frac(2^20 * phi): with both, slots up to 2^40 keep 32 exact bits.
@@ -34,11 +35,16 @@ _PHI = (5**0.5 - 1) / 2
 _PHI_HIGH = ((_LOW * 0x9E3779B97F4A7C15F39CC0605CEDC835) % (1 << 128)) / (1 << 128)
 
 
+def named(source: Column) -> Column:
+    """A source as a string that is never null, so that joins need no null-safe comparison."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
 def sized(docs: DataFrame, keep: list[str], seed: int = 0) -> DataFrame:
     """``keep`` as __k0, __k1 ... and source, size in words, and the place in the shuffled order as part and hash."""
     mark = F.xxhash64("doc_id", F.lit(seed))
-    rows = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], *[F.col(c).alias(f"__{c}") for c in ("doc_id", "source")],
-                       F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("__size"), mark.alias("__h"))
+    rows = docs.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(keep)], F.col("doc_id").alias("__doc_id"), F.col("source").alias("__source"),
+                       named(F.col("source")).alias("__name"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("__size"), mark.alias("__h"))
     return rows.withColumn("__part", F.shiftrightunsigned("__h", 64 - PART_BITS))
 
 
@@ -86,44 +92,54 @@ def schedule(goals: DataFrame, block: int = BLOCK) -> DataFrame:
     return slots.join(share, "cell").where("x >= low and x < high").select("slot", "source")
 
 
-def ranked(slots: DataFrame) -> DataFrame:
-    """The schedule with each slot's rank among those of its source, which is the block it takes."""
-    slots = slots.withColumn("chunk", F.floor(F.col("slot") / CHUNK))
+def ranked(slots: DataFrame, count: int) -> DataFrame:
+    """A schedule of ``count`` slots, with each slot's rank among those of its source, which is the block it takes."""
+    slots = slots.withColumn("source", named(F.col("source"))).withColumn("chunk", F.floor(F.col("slot") / max(1, math.isqrt(count))))
     before = slots.groupBy("source", "chunk").agg(F.count("*").alias("n"))
-    before = before.selectExpr("source AS s", "chunk AS c", "sum(n) OVER (PARTITION BY source ORDER BY chunk) - n AS before")
+    before = before.selectExpr("source", "chunk", "sum(n) OVER (PARTITION BY source ORDER BY chunk) - n AS before")
     own = slots.selectExpr("*", "row_number() OVER (PARTITION BY source, chunk ORDER BY slot) - 1 AS own")
-    both = own.join(before, F.expr("source <=> s and chunk = c"))
-    return both.select("slot", "source", (F.col("own") + F.col("before")).alias("block"))
+    return own.join(before, ["source", "chunk"]).select("slot", F.col("source").alias("__name"), (F.col("own") + F.col("before")).alias("block"))
+
+
+def block_parts(rows: DataFrame, block: int) -> DataFrame:
+    """(__name, block, place, words): how many words of each document each block of its source holds, in both turns."""
+    turns = F.array(F.col("place"), F.col("place") + F.col("source_size"))
+    rows = rows.where("__size > 0").select("__name", "place", "__size", F.explode(turns).alias("start"))
+    rows = rows.withColumn("end", F.col("start") + F.col("__size"))
+    rows = rows.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("end") - 1) / block))))
+    words = F.least("end", (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
+    return rows.select("__name", "block", "place", words.alias("words"))
 
 
 def _placed(docs: DataFrame, keep: list[str], seed: int, block: int) -> DataFrame:
     rows = sized(docs, keep, seed)
     if "text" not in keep:
         rows = settled(rows)
-    parts = settled(rows.groupBy("__source", "__part").agg(F.sum("__size").alias("n")))
+    parts = settled(rows.groupBy("__source", "__name", "__part").agg(F.sum("__size").alias("n")))
     goals = settled(targets(parts.groupBy(F.col("__source").alias("source")).agg(F.sum("n").alias("source_size"))))
-    quota = schedule(goals, block).groupBy("source").agg((F.count("*") * block).alias("quota"))
-    goals = goals.join(quota.withColumnRenamed("source", "q"), F.expr("source <=> q"), "left").drop("q")
-    parts = parts.selectExpr("__source AS s", "__part AS p", "sum(n) OVER (PARTITION BY __source ORDER BY __part) - n AS before")
-    parts = parts.join(goals, F.expr("s <=> source")).drop("source")
-    within = Window.partitionBy("__source", "__part").orderBy("__h", "__doc_id", "__size").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("within", F.sum("__size").over(within) - F.col("__size"))
-    rows = rows.join(parts, F.expr("__source <=> s and __part = p"))
-    quota = F.least(F.coalesce("quota", F.lit(0)), 2 * F.col("source_size"))
-    place, zero = F.col("before") + F.col("within"), F.lit(0).cast("long")
-    once = F.greatest(zero, F.least("__size", quota - place))
-    again = F.greatest(zero, F.least("__size", quota - F.col("source_size") - place))
-    return rows.withColumn("taken", once + again).withColumn("place", place)
+    parts = parts.selectExpr("__name", "__part", "sum(n) OVER (PARTITION BY __name ORDER BY __part) - n AS before")
+    parts = settled(parts.join(goals.select(named(F.col("source")).alias("__name"), "source_size", "target"), "__name"))
+    within = Window.partitionBy("__name", "__part").orderBy("__h", "__doc_id", "__size").rowsBetween(Window.unboundedPreceding, 0)
+    light = rows.select("__name", "__part", "__h", "__doc_id", "__size") if "text" in keep else rows
+    placed = lambda x: x.withColumn("within", F.sum("__size").over(within) - F.col("__size")).join(parts, ["__name", "__part"]).withColumn("place", F.col("before") + F.col("within"))
+    slots = schedule(goals, block)
+    count = int(-(-(goals.agg(F.sum("target")).first()[0] or 0.0) // block))
+    joined = block_parts(placed(light), block).join(ranked(slots, count), ["__name", "block"])
+    taken = joined.groupBy("__name", "place").agg(F.sum("words").alias("taken"), F.min("slot").alias("slot"))
+    # a document without words shares its place with the one after it
+    taken = taken.withColumn("__some", F.lit(True))
+    return placed(rows).withColumn("__some", F.col("__size") > 0).join(taken, ["__name", "place", "__some"], "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
 
 
 def mixed(docs: DataFrame, keep: list[str], seed: int = 0, block: int = BLOCK) -> DataFrame:
-    """``keep`` and size, source_size, target, taken, and ``place``: the document's first word in its source's order.
+    """``keep`` and size, source_size, target, taken, ``place``, the document's first word in its source's order, and
+    ``slot``, the first slot of the mix that takes of it (null where none does).
 
     A document takes those of its words, in its first and second turn, that lie in scheduled blocks.
     """
     rows = _placed(docs, keep, seed, block)
     own = [F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)]
-    return rows.select(*own, F.col("__size").alias("size"), "source_size", "target", "taken", "place")
+    return rows.select(*own, F.col("__size").alias("size"), "source_size", "target", "taken", "place", "slot")
 
 
 def repeated(docs: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:

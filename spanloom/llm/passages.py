@@ -28,14 +28,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import bucket_links, components, settled, star_links
+from spanloom.llm.shared import bucket_links, buckets, components, marked, marks, settled
 
 SHINGLE = 5
 ALIKE = 0.8
 BANDS, ROWS = 4, 2
 #: Words of a paragraph that is compared beyond equality, at least, and of a run that is a repetition.
 LEAST_WORDS, RUN = 8, 16
-_MARK_BITS = 25
 
 
 class Paragraphs:
@@ -74,20 +73,12 @@ class Paragraphs:
         return rolled, inside
 
 
-def _marked(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(64 - _MARK_BITS)
-    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
-def _band_batches(batches, marks=None):
-    bits = np.frombuffer(marks.value, dtype=np.uint64) if marks is not None else None
+def _band_batches(batches):
     for batch in batches:
         for part in texts.slices(batch):
             found = Paragraphs(*texts.flat(part.column("text")))
             _, some = np.unique(found.hash, return_index=True)
             some = some[(found.end - found.first)[some] >= LEAST_WORDS]
-            if bits is not None:
-                some = some[_marked(found.hash[some], bits)]
             if not len(some):
                 continue
             rolled, inside = found.shingled()
@@ -103,16 +94,16 @@ def _band_batches(batches, marks=None):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(node.view(np.int64))], names=["key", "node"])
 
 
-def _set_batches(batches, marks):
+def _set_batches(batches, wanted):
     """Node and distinct shingles of paragraphs whose hash is marked."""
-    bits = np.frombuffer(marks.value, dtype=np.uint64)
+    bits = np.frombuffer(wanted.value, dtype=np.uint64)
     for batch in batches:
         for part in texts.slices(batch):
             found = Paragraphs(*texts.flat(part.column("text")))
             if not len(found.hash):
                 continue
             _, some = np.unique(found.hash, return_index=True)
-            some = some[_marked(found.hash[some], bits)]
+            some = some[marked(found.hash[some], bits)]
             rolled, inside = found.shingled()
             sets = []
             for i in some:
@@ -135,16 +126,6 @@ def _place_batches(batches):
             yield pa.RecordBatch.from_arrays([*own, *numbers], names=["doc_id", "mark", "first_word", "words", "begin", "close", "node"])
 
 
-def _marks(nodes: DataFrame) -> bytes:
-    """A bit set of fixed size (4 MB) that holds all nodes' leading bits; it only spares work, never decides."""
-    place = F.shiftrightunsigned("node", 64 - _MARK_BITS)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-    rows = nodes.groupBy(F.shiftrightunsigned(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    out = np.zeros(1 << (_MARK_BITS - 6), dtype=np.int64)
-    out[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
-    return out.tobytes()
-
-
 def _alike_sets(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which sets of the left side have that Jaccard similarity or more with which of the right."""
     sizes = [np.array([len(x) for x in side]) for side in (left, right)]
@@ -167,16 +148,16 @@ def _alike_sets(left: list[np.ndarray], right: list[np.ndarray], threshold: floa
 def alike(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     """(a, b): links between unequal paragraphs whose shingle sets have that Jaccard similarity or more."""
     body = docs.select("text")
-    met = settled(star_links(body.mapInArrow(_band_batches, "key long, node long")))
-    nodes = met.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    marks = docs.sparkSession.sparkContext.broadcast(_marks(nodes))
-    sets = body.mapInArrow(partial(_set_batches, marks=marks), "node long, shingles array<long>")
+    met = buckets(body.mapInArrow(_band_batches, "key long, node long"))
+    nodes = settled(met.select("node").distinct())
+    wanted = docs.sparkSession.sparkContext.broadcast(marks(nodes))
+    sets = body.mapInArrow(partial(_set_batches, wanted=wanted), "node long, shingles array<long>")
     sets = settled(sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")))
-    both = met.join(sets.selectExpr("node AS a", "shingles AS p"), "a").join(sets.selectExpr("node AS b", "shingles AS q"), "b")
+    pairs = met.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
+    both = pairs.join(sets.selectExpr("node AS a", "shingles AS p"), "a").join(sets.selectExpr("node AS b", "shingles AS q"), "b")
     shared = F.size(F.array_intersect("p", "q"))
     links = both.where(shared >= threshold * (F.size("p") + F.size("q") - shared)).select("a", "b")
-    rows = settled(body.mapInArrow(partial(_band_batches, marks=marks), "key long, node long").distinct())
-    return bucket_links(rows, links, sets, partial(_alike_sets, threshold=threshold))
+    return bucket_links(met.select("key", "node"), links, sets, partial(_alike_sets, threshold=threshold))
 
 
 def repeated(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:

@@ -45,7 +45,7 @@ def crc_remainder(column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 200) -> DataFrame:
     """Connected components of undirected links: (node, component), component being the smallest node.
 
     Alternates large-star and small-star steps: each node's larger neighbours, then its smaller ones,
@@ -71,60 +71,73 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
+    else:
+        raise RuntimeError(f"components have not settled after {most_rounds} rounds")
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def star_links(rows: DataFrame, key: str = "key", node: str = "node") -> DataFrame:
-    """Distinct links (a, b) that tie each key's nodes together: each to the least and to the one before it.
+def buckets(rows: DataFrame) -> DataFrame:
+    """(key, node, root): the distinct nodes of each key that has two or more, with the least of them; settled.
 
-    ``rows`` holds long columns ``key`` and ``node``. A key with m distinct nodes gives fewer than 2 m
-    links, never its pairs. Rows are dealt by key and sorted with spill; a task streams over its runs.
+    ``rows`` holds long columns ``key`` and ``node``. They are dealt by key once and sorted with spill; a task
+    streams over its runs. A key alone with its node, as most are, goes no further.
     """
-    rows = rows.select(F.col(key).alias("key"), F.col(node).alias("node"))
     # these rows shrink so much in a shuffle file that partitions merged by its size would be large in memory
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(parts, F.col("key")).sortWithinPartitions("key", "node")
-    return dealt.mapInArrow(_run_links, "a long, b long").distinct()
+    dealt = rows.select("key", "node").repartition(parts, F.col("key")).sortWithinPartitions("key", "node")
+    return settled(dealt.mapInArrow(_run_batches, "key long, node long, root long"))
 
 
-def _run_links(batches):
-    last_key = last_node = root = None
+def _run_batches(batches):
+    last = None  # key, root, newest node of the open run, and whether its root has been given out
     for batch in batches:
         key, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         if not len(key):
             continue
-        fresh = np.concatenate([[key[0] != last_key], key[1:] != key[:-1]])
-        before = np.concatenate([[node[0] if last_node is None else last_node], node[:-1]])
-        at = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), -1))
-        roots = np.where(at >= 0, node[np.maximum(at, 0)], root if root is not None else 0)
-        new = ~fresh & (node != before)
-        far = new & (before != roots)
-        a, b = np.concatenate([node[new], node[far]]), np.concatenate([roots[new], before[far]])
-        last_key, last_node, root = key[-1], node[-1], roots[-1]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        joins = last is not None and key[0] == last[0]
+        fresh = np.concatenate([[not joins], key[1:] != key[:-1]])
+        begin = np.flatnonzero(fresh)
+        run = np.cumsum(fresh)  # 0: the run that an earlier batch began
+        roots = np.concatenate([[last[1] if joins else 0], node[begin]])
+        new = np.concatenate([[joins and node[0] != last[2]], node[1:] != node[:-1]]) & ~fresh
+        several = np.bincount(run[new], minlength=len(roots)) > 0
+        heads = several.copy()
+        heads[0] &= joins and not last[3]
+        keys = np.concatenate([[last[0] if joins else 0], key[begin]])
+        out = np.concatenate([keys[heads], key[new]]), np.concatenate([roots[heads], node[new]]), np.concatenate([roots[heads], roots[run[new]]])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["key", "node", "root"])
+        told = bool(several[run[-1]]) or (run[-1] == 0 and last[3])
+        last = key[-1], roots[run[-1]], node[-1], told
 
 
 #: Members of a block of a bucket; two blocks are compared at a time.
 BLOCK = 256
 
 
-def mixed_buckets(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """(pair, node, component, left, right): members of buckets that ``links`` (a, b) do not tie together.
+def mixed_buckets(rows: DataFrame, links: DataFrame, least: int = 3) -> DataFrame:
+    """(pair, key, node, component, left, right): members of buckets that ``links`` (a, b) do not tie together.
 
-    ``rows`` holds distinct long columns ``key`` and ``node``. A star of three nodes has all their pairs, so
-    keys of three nodes or fewer are left out, and those whose nodes are all in one component; the others
-    are cut into blocks, and each two blocks of a key are one ``pair``.
+    ``rows`` (key, node) are distinct. A bucket whose members are all in one component is left out, and of
+    buckets with the same members one is taken. ``least`` members: of two, ``links`` has judged the only pair. The members outside a bucket's largest component are cut
+    into blocks, and so are those inside; a ``pair`` is two blocks of a key, at least one of them outside.
     """
-    large = settled(rows.groupBy("key").count().where("count > 3").select("key"))
-    rows = settled(rows.join(large, "key", "left_semi"))
-    rows = rows.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-    sizes = sizes.where("low <> high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    return rows.select(F.xxhash64("key", low, high).alias("pair"), "node", "component", (F.col("block") == low).alias("left"), (F.col("block") == high).alias("right"))
+    rows = rows.join(components(links), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    parts = rows.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
+    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.sum("mark").alias("mark"), F.max(F.struct("n", "component")).alias("top"))
+    whole = whole.where(f"parts > 1 and n >= {least}").groupBy("n", "mark").agg(F.min(F.struct("key", "top")).alias("one"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    whole = whole.select("one.key", F.col("one.top.component").alias("top"), blocks(F.col("one.top.n")).alias("inside"), blocks(F.col("n") - F.col("one.top.n")).alias("outside"))
+    rows = rows.join(whole, "key").withColumn("inner", F.col("component") == F.col("top"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("inner"), F.col("inside")).otherwise(F.col("outside"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    pair = lambda kind, i, j, left, right: F.struct(F.xxhash64("key", F.lit(kind), i, j).alias("pair"), left.alias("left"), right.alias("right"))
+    block, yes, no = F.col("block"), F.lit(True), F.lit(False)
+    inner = F.transform(upto(F.col("outside")), lambda j: pair(0, block, j, yes, no))
+    outer = F.concat(F.transform(upto(F.col("inside")), lambda i: pair(0, i, block, no, yes)),
+                     F.transform(upto(F.col("outside")), lambda j: pair(1, F.least(block, j), F.greatest(block, j), block <= j, block >= j)))
+    rows = rows.withColumn("pairs", F.explode(F.when(F.col("inner"), inner).otherwise(outer)))
+    return rows.select("pairs.pair", "key", "node", "component", "pairs.left", "pairs.right")
 
 
 def grouped(batches, key: str):
@@ -143,15 +156,17 @@ def grouped(batches, key: str):
         yield held.combine_chunks(), np.array([0, held.num_rows])
 
 
-def joined_components(batches, column: str, check):
-    """Links (a, b) between members of a pair of blocks that ``check`` finds alike, as a forest over their components.
+def _near_members(batches, column: str, check, confirm, links: bool):
+    """What ``check`` finds alike across components in pairs of blocks: links (a, b) as a forest over the components, or members (key, node).
 
-    ``check`` gets the lists of ``column`` of the left and the right members and returns a matrix of truths.
+    ``check`` gets the lists of ``column`` of the left and the right members and returns a matrix of truths;
+    ``confirm`` gets the lists ``sure`` of two members and decides, if given.
     """
+    names = ("a", "b") if links else ("key", "node")
     for table, cuts in grouped(batches, "pair"):
-        node, component, left, right = (table.column(c).to_numpy() for c in ("node", "component", "left", "right"))
-        lists = table.column(column).chunk(0)
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        key, node, component, left, right = (table.column(c).to_numpy() for c in ("key", "node", "component", "left", "right"))
+        lists = {c: (x.offsets.to_numpy(), x.values.to_numpy(zero_copy_only=False)) for c in (column, *(["sure"] if confirm else [])) for x in [table.column(c).chunk(0)]}
+        own = lambda c, i: lists[c][1][lists[c][0][i] : lists[c][0][i + 1]]  # noqa: E731, B023
         out = []
         for i, j in zip(cuts[:-1], cuts[1:], strict=True):
             a, b = np.flatnonzero(left[i:j]) + i, np.flatnonzero(right[i:j]) + i
@@ -160,20 +175,33 @@ def joined_components(batches, column: str, check):
             apart = component[a][:, None] != component[b][None, :]
             if not apart.any():
                 continue
-            parts = [[flat[ends[x] : ends[x + 1]] for x in side] for side in (a, b)]
+            near = apart & check([own(column, x) for x in a], [own(column, y) for y in b])
+            if not links:
+                out += [(key[x], node[x]) for x in {*a[near.any(axis=1)], *b[near.any(axis=0)]}]
+                continue
             parent = {}
-            for x, y in zip(*np.nonzero(apart & check(*parts)), strict=True):
+            for x, y in zip(*np.nonzero(near), strict=True):
                 p, q = int(component[a[x]]), int(component[b[y]])
                 while p in parent:
                     p = parent[p]
                 while q in parent:
                     q = parent[q]
-                if p != q:
+                if p != q and (confirm is None or confirm(own("sure", a[x]), own("sure", b[y]))):
                     parent[max(p, q)] = min(p, q)
                     out.append((node[a[x]], node[b[y]]))
         if out:
             one, two = np.array(out, dtype=np.int64).T
-            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], names=names)
+
+
+def compared(members: DataFrame, values: DataFrame, check, confirm=None, links: bool = True) -> DataFrame:
+    """Links (a, b) between ``members`` (of ``mixed_buckets``) that ``check`` and ``confirm`` find alike by their
+    ``values`` (node, a list of longs, and ``sure``); or the (key, node) of those that ``check`` finds near another."""
+    column = next(c for c in values.columns if c not in ("node", "sure"))
+    names = ["pair", "key", "node", "component", "left", "right", column, *(["sure"] if confirm else [])]
+    dealt = members.join(values, "node").select(*names).repartition("pair").sortWithinPartitions("pair", "node")
+    run = partial(_near_members, column=column, check=check, confirm=confirm, links=links)
+    return dealt.mapInArrow(run, "a long, b long" if links else "key long, node long")
 
 
 def bucket_links(rows: DataFrame, links: DataFrame, values: DataFrame, check) -> DataFrame:
@@ -181,10 +209,27 @@ def bucket_links(rows: DataFrame, links: DataFrame, values: DataFrame, check) ->
 
     ``links`` may hold a star of each bucket only. A member that is unlike the star's centre can be like
     another member; all members that no link has tied yet are therefore compared by their ``values``
-    (node, and one list of longs). ``rows`` are distinct.
+    (node, and one list of longs).
     """
     links = settled(links)
-    column = next(c for c in values.columns if c != "node")
-    members = mixed_buckets(rows, links).join(values, "node").select("pair", "node", "component", "left", "right", column)
-    dealt = members.repartition("pair").sortWithinPartitions("pair", "node")
-    return links.unionByName(dealt.mapInArrow(partial(joined_components, column=column, check=check), "a long, b long"))
+    return links.unionByName(compared(mixed_buckets(rows, links), values, check))
+
+
+#: Leading bits of a node that a mark is made of.
+MARK_BITS = 25
+
+
+def marks(nodes: DataFrame) -> bytes:
+    """A bit set of fixed size (4 MB) that holds all nodes' leading bits; it only spares work, never decides."""
+    place = F.shiftrightunsigned("node", 64 - MARK_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    rows = nodes.groupBy(F.shiftrightunsigned(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    out = np.zeros(1 << (MARK_BITS - 6), dtype=np.int64)
+    out[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
+    return out.tobytes()
+
+
+def marked(nodes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which nodes (uint64) may be in the set of ``marks``."""
+    place = nodes >> np.uint64(64 - MARK_BITS)
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1

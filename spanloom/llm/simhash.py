@@ -1,11 +1,17 @@
 """SimHash near-duplicates, found by pigeonring chains of fingerprint segments.
 
 A fingerprint is a ring of ``m`` segments. If two fingerprints differ in at most ``tau`` bits, then from
-some segment on, every chain of ``l`` consecutive segments differs in at most ``l * tau / m`` bits; its
-first segment in ``tau // m`` bits. Chains are entered from both sides: each fingerprint files itself
-under the values of a chain's start with up to half of the bits flipped that the start may differ in, so
-that fingerprints meet under a value half way. Those that meet are tied to the least of them, checked
-along the ring, and then by their whole Hamming distance. No step makes all pairs of a group.
+some segment on, every chain of ``l`` consecutive segments differs in at most ``l * tau / m`` bits. So
+fingerprints are filed under what a chain's start may look like; those that meet are tied to the least of
+them, pass the ring's budgets, and then the whole Hamming distance. Members of a bucket that its least
+one does not tie are compared in blocks. No step makes all pairs of a group.
+
+``hamming_groups`` is complete: with three segments and a distance of two, some segment is equal and the
+chain of it and the next one differs in one bit, so one half of the next is equal too; fingerprints are
+filed under the segment and either half. ``near_groups`` asks for a Jaccard similarity, which bits only
+estimate. Its chains start within ``tau // m`` bits; a fingerprint is filed under each segment and its likeliest
+changes, those of the bits that the fewest shingles decided, which finds all but about one in a hundred
+pairs at 0.8; the ring and Hamming budgets are wide enough to keep them, and the exact similarity decides.
 
 Defined results: a null text counts as empty; a text without words has fingerprint zero and is linked like
 any other; a text of fewer words than a shingle is one shingle; repeated rows get the same result; extra
@@ -14,8 +20,10 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import math
 from functools import partial
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -24,22 +32,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import bucket_links, components, released, settled, star_links
+from spanloom.llm.shared import bucket_links, buckets, compared, components, marked, marks, mixed_buckets, settled
 
 SEED = 42
 
 
-def _majority(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """For each text the bits that over half of its hashes have set."""
-    out = np.zeros(len(firsts) - 1, dtype=np.uint64)
+def _votes(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """For each text and bit of its hashes (rows of one or more 64-bit words), twice the set ones less all."""
+    bits = 64 * hashes.shape[1]
+    out = np.zeros((len(firsts) - 1, bits), dtype=np.int64)
     for i in np.flatnonzero(np.diff(firsts)):
-        total = np.zeros(64, dtype=np.int64)
         own = hashes[firsts[i] : firsts[i + 1]]
         for at in range(0, len(own), 200):  # few enough that a byte holds each count
-            bits = np.unpackbits(own[at : at + 200].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            total += np.add.reduce(bits, axis=0, dtype=np.uint8)
-        out[i] = np.packbits(total * 2 > len(own), bitorder="little").view(np.uint64)[0]
-    return out
+            rows = np.unpackbits(own[at : at + 200].view(np.uint8), axis=1, bitorder="little")
+            out[i] += np.add.reduce(rows, axis=0, dtype=np.uint8)
+    return 2 * out - np.diff(firsts)[:, None]
 
 
 def _exact_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,19 +67,33 @@ def _exact_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.n
     return hashes, to
 
 
+def _shingles(part: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = texts.flat(part.column("text"))
+    starts, ends, words = texts.word_bounds(data, offsets)
+    return texts.shingles(texts.word_hashes(texts.LOWER[data], starts, ends), words, k)
+
+
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1]), pa.int32()), pa.array(rows.ravel()))
+
+
 def _fingerprint_batches(batches, k: int, blocks: int, keep: list[str]):
     for batch in batches:
         for part in texts.slices(batch):
-            data, offsets = texts.flat(part.column("text"))
             if blocks == 1:
-                hashes, firsts = _exact_shingles(data, offsets, k)
+                hashes, firsts = _exact_shingles(*texts.flat(part.column("text")), k)
+                hashes = hashes[:, None]
             else:
-                starts, ends, words = texts.word_bounds(data, offsets)
-                hashes, firsts = texts.shingles(texts.word_hashes(texts.LOWER[data], starts, ends), words, k)
-            out = [hashes if blocks == 1 else texts.mix(hashes + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % 2**64)) for j in range(blocks)]
-            prints = np.stack([_majority(h, firsts) for h in out], axis=1).view(np.int64)
-            rows = pa.ListArray.from_arrays(pa.array(np.arange(0, prints.size + 1, blocks), pa.int32()), pa.array(prints.ravel()))
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), rows], names=[*keep, "prints"])
+                hashes, firsts = _shingles(part, k)
+                hashes = np.stack([texts.mix(hashes + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % 2**64)) for j in range(blocks)], axis=1)
+            votes = _votes(hashes, firsts)
+            columns, names = [*(part.column(c) for c in keep)], [*keep, "prints"]
+            columns.append(_lists(np.packbits(votes > 0, axis=1, bitorder="little").view(np.int64)))
+            if blocks > 1:
+                near = np.argsort(np.abs(votes).reshape(len(votes), -1, WIDTH), axis=2, kind="stable")[:, :, :WEAK]
+                columns.append(_lists((near << (5 * np.arange(WEAK))).sum(axis=2)))
+                names.append("weak")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def mark() -> Column:
@@ -84,39 +105,21 @@ def fingerprints(docs: DataFrame, shingle: int = 5, blocks: int = 1) -> DataFram
     """(doc_id, mark, prints): ``blocks`` SimHash words of 64 bits over the shingles, repeats included.
 
     One block takes XXH64 with seed 42 of the space-joined words; further blocks take independent
-    scramblings of a 64-bit hash.
+    scramblings of a 64-bit hash, and then ``weak`` has, for each segment of ``WIDTH`` bits, the places of
+    the ``WEAK`` bits with the closest votes, five bits for each.
     """
-    return docs.select("doc_id", "text", mark().alias("mark")).mapInArrow(
-        partial(_fingerprint_batches, k=shingle, blocks=blocks, keep=["doc_id", "mark"]), "doc_id long, mark long, prints array<long>"
-    )
-
-
-def _segments(prints: Column, count: int, width: int) -> list[Column]:
-    per = 64 // width
-    mask = F.lit((1 << width) - 1 if width < 64 else -1)
-    return [F.shiftrightunsigned(prints[i // per], width * (i % per)).bitwiseAND(mask) for i in range(count)]
-
-
-def _chain_keys(prints: Column, count: int, width: int, flips: int) -> Column:
-    """Array of long keys: each segment's value, and with one bit flipped where ``flips`` is 1."""
-    keys = []
-    for i, value in enumerate(_segments(prints, count, width)):
-        tag = F.lit(i << width if width < 64 else 0)
-        values = F.array(value)
-        if flips:
-            values = F.concat(values, F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda b, v=value: v.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))))
-        keys.append(F.transform(values, lambda v, t=tag: v.bitwiseOR(t) if width < 64 else v))
-    return F.concat(*keys)
+    schema = "doc_id long, mark long, prints array<long>" + (", weak array<long>" if blocks > 1 else "")
+    return docs.select("doc_id", "text", mark().alias("mark")).mapInArrow(partial(_fingerprint_batches, k=shingle, blocks=blocks, keep=["doc_id", "mark"]), schema)
 
 
-def on_ring(a: list[Column], b: list[Column], tau: int, start: int) -> Column:
-    """Whether from some segment on all chains keep within their share of ``tau``; the first within ``start`` bits."""
+def on_ring(a: list[Column], b: list[Column], tau: int) -> Column:
+    """Whether from some segment on all chains keep within their share of ``tau``, the segment itself as the first."""
     m = len(a)
     apart = F.array(*[F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b, strict=True)])
 
     def keeps(ring: Column, i: Column) -> Column:
         total = lambda length: F.aggregate(F.slice(ring, i + 1, length), F.lit(0), lambda t, x: t + x)
-        return (F.get(ring, i) <= start) & F.forall(F.sequence(F.lit(2), F.lit(m)), lambda length: total(length) <= F.floor(length * tau / m))
+        return F.forall(F.sequence(F.lit(1), F.lit(m)), lambda length: total(length) <= F.floor(length * tau / m))
 
     # the array holds the ring twice, and is bound once for all its uses
     return F.transform(F.array(F.concat(apart, apart)), lambda ring: F.exists(F.sequence(F.lit(0), F.lit(m - 1)), lambda i: keeps(ring, i)))[0]
@@ -130,74 +133,149 @@ def _near_prints(left: list[np.ndarray], right: list[np.ndarray], tau: int) -> n
     return apart <= tau
 
 
-def near_links(prints: DataFrame, tau: int, segments: int, width: int, entry_segments: int, entry_width: int, flips: int) -> DataFrame:
-    """Links (a, b) between the nodes of ``prints`` (node, prints) that pass the ring and the Hamming check.
+#: Segments of a 64-bit ring: first bit and width.
+RING = ((0, 22), (22, 21), (43, 21))
 
-    Chains are entered at ``entry_segments`` segments of ``entry_width`` bits with ``flips`` flipped bits on
-    either side. Complete for distances of at most ``entry_segments * (2 * flips + 1) - 1`` bits, by the
-    pigeonhole principle; beyond that a pair is found if one start agrees within ``2 * flips`` bits.
-    """
-    rows = prints.select("node", F.explode(_chain_keys(F.col("prints"), entry_segments, entry_width, flips)).alias("key"))
-    met = star_links(rows)
-    left = prints.select(F.col("node").alias("a"), F.col("prints").alias("p"))
-    right = prints.select(F.col("node").alias("b"), F.col("prints").alias("q"))
-    both = met.join(left, "a").join(right, "b")
-    p, q = (_segments(F.col(x), segments, width) for x in "pq")
-    apart = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(p, q, strict=True)), F.lit(0))
-    links = both.where(on_ring(p, q, tau, max(tau // segments, 2 * flips if segments == entry_segments else 0))).where(apart <= tau).select("a", "b")
-    # members of a bucket that are far from its least may be near one another
-    return bucket_links(rows, links, prints.select("node", "prints"), partial(_near_prints, tau=tau))
 
+def _bits(value: Column, first: int, width: int) -> Column:
+    return F.shiftrightunsigned(value, first).bitwiseAND(F.lit((1 << width) - 1))
 
-def hamming_groups(docs: DataFrame, shingle: int = 5, tau: int = 2) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of 64-bit fingerprints linked at ``tau`` (2 at most) differing bits.
 
-    Ring of three segments (22, 21 and 21 bits would do; the check takes bits 0-20, 21-41, 42-63). A pair
-    within 2 bits has a fingerprint half way that is within one bit of both, and it differs from both only
-    outside the segment where the chain starts. So each fingerprint files itself and its 64 one-bit
-    neighbours, at most 65 fingerprints meet under one value, any two of them link, and hanging them on the
-    least loses no component.
-    """
+def chain_keys(node: Column, tau: int) -> Column:
+    """What a 64-bit fingerprint is filed under: a segment, and from two bits on a half of the next one beside it."""
+    keys = []
+    for i, (first, width) in enumerate(RING):
+        if tau < 2:  # chains of up to two segments are equal: the next one whole
+            halves = [RING[(i + 1) % 3]]
+        else:
+            start, size = RING[(i + 1) % 3]
+            halves = [(start, size // 2), (start + size // 2, size - size // 2)]
+        keys += [F.xxhash64(F.lit(3 * j + i), _bits(node, first, width), _bits(node, *half)) for j, half in enumerate(halves)]
+    return F.array(*keys)
+
+
+def candidates(nodes: DataFrame, tau: int) -> DataFrame:
+    """(key, node, root) of the fingerprints that meet under a chain's start."""
+    return buckets(nodes.select("node", F.explode(chain_keys(F.col("node"), tau)).alias("key")))
+
+
+def within_ring(met: DataFrame, tau: int) -> DataFrame:
+    """The pairs (a, b) of fingerprints whose chains keep within their budgets from some segment on."""
+    a, b = ([_bits(F.col(x), *segment) for segment in RING] for x in "ab")
+    return met.where(on_ring(a, b, tau))
+
+
+def hamming_groups(docs: DataFrame, shingle: int = 5, tau: int = 2) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of 64-bit fingerprints linked at ``tau`` (2 at most) differing bits."""
     if not 0 <= tau <= 2:
         raise ValueError("tau must be 0, 1 or 2")
     each = settled(fingerprints(docs, shingle).select("doc_id", F.col("prints")[0].alias("node")))
     unique = each.groupBy("node").agg(F.min("doc_id").alias("least"))
-    neighbours = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.col("node").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
-    own = F.array("node")
-    rows = unique.select("node", F.explode(F.concat(own, neighbours) if tau else own).alias("key"))
-    met = star_links(rows)
-    cut = [(0, (1 << 21) - 1), (21, (1 << 21) - 1), (42, (1 << 22) - 1)]
-    a, b = ([F.shiftrightunsigned(F.col(x), s).bitwiseAND(F.lit(mask)) for s, mask in cut] for x in "ab")
-    links = met.where(on_ring(a, b, tau, tau // 3)).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau)
-    found = components(links)
+    met = candidates(unique, tau)
+    pairs = met.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
+    links = within_ring(pairs, tau).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau)
+    values = unique.select("node", F.array("node").alias("prints"))
+    found = components(bucket_links(met, links, values, partial(_near_prints, tau=tau)))
     roots = found.join(unique, "node").groupBy("component").agg(F.min("least").alias("component_id"))
     classes = unique.join(found, "node", "left").join(roots, "component", "left")
     classes = classes.select("node", F.coalesce("component_id", "least").alias("component_id"))
     return each.join(classes, "node").select("doc_id", F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-BLOCKS, WIDTH = 5, 28
+#: Words of a long fingerprint, bits of its segments, bits of a segment whose votes are closest, and ways to file one.
+BLOCKS, WIDTH, WEAK, WAYS = 5, 32, 8, 32
+
+
+def changes(similarity: float = 0.8) -> list[tuple[int, ...]]:
+    """The ``WAYS`` likeliest changes of a segment, as ranks among its bits by closeness of the vote, none first.
+
+    Votes of alike sets are about normal with the cosine as correlation; the vote of rank r of n lies about
+    where the normal distribution has half of (r + 1/2) / n of its mass on either side of zero.
+    """
+    normal, cosine = NormalDist(), 2 * similarity / (1 + similarity)
+    turn = [normal.cdf(-cosine / (1 - cosine**2) ** 0.5 * normal.inv_cdf(0.5 + (r + 0.5) / (2 * WIDTH))) for r in range(WEAK)]
+    cost = lambda ranks: sum(math.log((1 - turn[r]) / turn[r]) for r in ranks)
+    every = itertools.chain.from_iterable(itertools.combinations(range(WEAK), n) for n in range(5))
+    return sorted(every, key=lambda ranks: (cost(ranks), ranks))[:WAYS]
+
+
+def _key_batches(batches):
+    """(key, node): each segment of the prints with each of its likeliest changes."""
+    ways = changes()
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2000):
+            part = batch.slice(at, 2000)
+            prints, weak = (np.stack([np.asarray(x.values) for x in part.column(c)]) for c in ("prints", "weak"))
+            segments = prints.view(np.uint32).reshape(len(prints), -1).astype(np.uint64)  # little end first, as the votes' bits
+            flips = np.uint64(1) << ((weak[:, :, None].view(np.uint64) >> (np.uint64(5) * np.arange(WEAK, dtype=np.uint64))) & np.uint64(31))
+            change = np.stack([np.bitwise_or.reduce(flips[:, :, list(way)], axis=2) if way else np.zeros_like(segments) for way in ways], axis=2)
+            tag = np.arange(segments.shape[1], dtype=np.uint64)[None, :, None] << np.uint64(WIDTH)
+            key = (segments[:, :, None] ^ change) | tag
+            node = np.repeat(part.column("node").to_numpy(), key.shape[1] * key.shape[2])
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(node)], names=["key", "node"])
 
 
 def most_apart(similarity: float, bits: int) -> int:
-    """Bits that shingle sets of that Jaccard similarity differ in, and one standard deviation more."""
+    """Bits that shingle sets of that Jaccard similarity differ in, and two and a half standard deviations more."""
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + (bits * share * (1 - share)) ** 0.5)
+    return round(bits * share + 2.5 * (bits * share * (1 - share)) ** 0.5)
+
+
+def _set_batches(batches, k: int, wanted):
+    """Node and distinct shingles of the texts whose node is marked."""
+    bits = np.frombuffer(wanted.value, dtype=np.uint64)
+    for batch in batches:
+        batch = batch.filter(pa.array(marked(batch.column("node").to_numpy().view(np.uint64), bits)))
+        for part in texts.slices(batch):
+            hashes, firsts = _shingles(part, k)
+            sets = [np.unique(hashes[i:j]).view(np.int64) for i, j in zip(firsts[:-1], firsts[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "sure"])
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """(node, sure): the distinct shingles of those texts; settled."""
+    wanted = docs.sparkSession.sparkContext.broadcast(marks(nodes))
+    rows = docs.select(mark().alias("node"), "text").mapInArrow(partial(_set_batches, k=shingle, wanted=wanted), "node long, sure array<long>")
+    return settled(rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("sure").alias("sure")))
+
+
+def _sure(left: np.ndarray, right: np.ndarray, similarity: float) -> bool:
+    shared = len(np.intersect1d(left, right, assume_unique=True))
+    return shared >= similarity * (len(left) + len(right) - shared)
+
+
+def near_links(docs: DataFrame, unique: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (a, b) between the nodes of ``unique`` (node, prints, weak), texts of ``docs`` with that Jaccard similarity or more."""
+    tau = most_apart(similarity, 64 * BLOCKS)
+    met = buckets(unique.select("node", "prints", "weak").mapInArrow(_key_batches, "key long, node long"))
+    prints = unique.select("node", "prints")
+    left, right = prints.selectExpr("node AS a", "prints AS p"), prints.selectExpr("node AS b", "prints AS q")
+    pairs = met.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
+    p, q = ([_bits(F.col(x)[i], at, WIDTH) for i in range(BLOCKS) for at in range(0, 64, WIDTH)] for x in "pq")
+    apart = sum((F.bit_count(F.col("p")[i].bitwiseXOR(F.col("q")[i])) for i in range(BLOCKS)), F.lit(0))
+    near = settled(pairs.join(left, "a").join(right, "b").where(on_ring(p, q, tau)).where(apart <= tau).select("a", "b"))
+    sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle)
+    both = near.join(sets.selectExpr("node AS a", "sure AS s"), "a").join(sets.selectExpr("node AS b", "sure AS t"), "b")
+    shared = F.size(F.array_intersect("s", "t"))
+    links = settled(both.where(shared >= similarity * (F.size("s") + F.size("t") - shared)).select("a", "b"))
+    # members of a bucket that are unlike its least may be like one another: first by bits, what is left by shingles
+    screened = partial(_near_prints, tau=tau)
+    rest = settled(compared(mixed_buckets(met.select("key", "node"), links), prints, screened, links=False).distinct())
+    sets = _sets(docs, rest.select("node").distinct(), shingle)
+    more = compared(mixed_buckets(rest, links, 2), prints.join(sets, "node"), screened, partial(_sure, similarity=similarity))
+    return links.unionByName(more)
 
 
 def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, mark, group_id): documents whose fingerprints of 280 bits are as near as the similarity asks.
+    """(doc_id, mark, group_id): documents whose shingle sets have that Jaccard similarity, or a chain of such.
 
-    ``mark`` is a hash of the text; equal texts are one node. The ring has ten segments of 28 bits. Every
-    pair that agrees within 2 bits in some segment meets, which all pairs within 29 bits do, and about six
-    in seven of those at 42 bits, where shingle sets of similarity 0.8 lie on average.
+    ``mark`` is a hash of the text; equal texts are one node.
     """
-    count, bits = 2 * BLOCKS, 2 * BLOCKS * WIDTH
     each = settled(fingerprints(docs, shingle, BLOCKS))
-    unique = each.groupBy(F.col("mark").alias("node")).agg(F.min("doc_id").alias("least"), *[F.min(F.col("prints")[i]).alias(f"p{i}") for i in range(BLOCKS)])
-    unique = settled(unique.select("node", "least", F.array(*[f"p{i}" for i in range(BLOCKS)]).alias("prints")))
-    links = near_links(unique.select("node", "prints"), most_apart(similarity, bits), count, WIDTH, count, WIDTH, 1)
-    found = components(links)
+    words = lambda c, n: F.array(*[F.min(F.col(c)[i]) for i in range(n)]).alias(c)
+    unique = each.groupBy(F.col("mark").alias("node")).agg(F.min("doc_id").alias("least"), words("prints", BLOCKS), words("weak", 64 * BLOCKS // WIDTH))
+    unique = settled(unique)
+    found = components(near_links(docs, unique, shingle, similarity))
     roots = found.join(unique, "node").groupBy("component").agg(F.min("least").alias("group_id"))
     groups = unique.join(found, "node", "left").join(roots, "component", "left")
     groups = groups.select("node", F.coalesce("group_id", "least").alias("group_id"))
@@ -206,6 +284,6 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
 
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents with one row of each group of near copies: the one with the smallest doc_id."""
-    keep = near_groups(docs, shingle, similarity).where("doc_id <=> group_id").select(F.col("doc_id").alias("__d"), F.col("mark").alias("__m")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__d")) & (mark() == F.col("__m"))
-    return docs.join(keep, same).dropDuplicates(["__d", "__m"]).select(*docs.columns)
+    # one key column on either side, so that dropping repeated rows needs no shuffle after the join's
+    keep = near_groups(docs, shingle, similarity).where("doc_id <=> group_id").select(F.xxhash64("doc_id", "mark").alias("__k")).distinct()
+    return docs.withColumn("__k", F.xxhash64("doc_id", mark())).join(keep, "__k").dropDuplicates(["__k"]).select(*docs.columns)

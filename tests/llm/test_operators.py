@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from spanloom.llm import language, licence, mixing, neighbours, ngram_lm, packing, passages, quality, simhash, syncmers, texts
+from spanloom.llm import language, licence, mixing, neighbours, ngram_lm, packing, passages, quality, shared, simhash, syncmers, texts
 from spanloom.llm.shared import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -117,8 +117,10 @@ def test_near_copies(docs, rows, empty):
         by_text[t].append(i)
     assert all(len(ids & set(v)) <= 1 for t, v in by_text.items())
     for i, s in sets.items():
-        if i not in ids:  # what goes has something like it that stays
-            assert max(near(s, sets[k]) for k in ids) >= 0.6
+        if i not in ids:  # what goes has something like it
+            assert max(near(s, t) for k, t in sets.items() if k != i) >= 0.8
+    unlike = [(a, b) for a in sets for b in sets if a < b and near(sets[a], sets[b]) >= 0.8]
+    assert sum(a in ids and b in ids for a, b in unlike) <= 0.01 * len(unlike)
     assert simhash.one_of_each(empty).count() == 0
 
 
@@ -129,15 +131,76 @@ def test_ring_budgets(spark):
 
     def brute(a, b, tau):
         d = [(x ^ y).bit_count() for x, y in zip(cut(a), cut(b), strict=True)]
-        return any(all(sum(d[(i + j) % 4] for j in range(n)) <= tau * n / 4 for n in range(1, 5)) for i in range(4))
+        return any(all(sum(d[(i + j) % 4] for j in range(n)) <= tau * n // 4 for n in range(1, 5)) for i in range(4))
 
     df = spark.createDataFrame(pairs, "a long, b long")
     seg = lambda c: [F.shiftrightunsigned(c, s).bitwiseAND(F.lit(0xFFFF)) for s in (0, 16, 32, 48)]
-    found = df.select(simhash.on_ring(seg("a"), seg("b"), 8, 2)).collect()
+    found = df.select(simhash.on_ring(seg("a"), seg("b"), 8)).collect()
     assert [r[0] for r in found] == [brute(a, b, 8) for a, b in pairs]
     assert all(brute(a, b, 8) for a, b in pairs if (a ^ b).bit_count() <= 8)  # the filter loses nothing
 
 
+def signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def test_ring_prunes_candidates(spark):
+    """All pairs within two bits meet; of those that meet, the ring leaves out what is over its budgets."""
+    rng = random.Random(3)
+    prints = []
+    for _ in range(40):
+        x = rng.getrandbits(64)
+        prints += [x, *(x ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 2))) for _ in range(3))]
+        prints += [(x & (1 << 43) - 1) | rng.getrandbits(21) << 43 for _ in range(3)]  # meet in two segments, far in the third
+    by = collections.defaultdict(set)
+    for r in simhash.candidates(spark.createDataFrame([(signed(x),) for x in set(prints)], "node long"), 2).collect():
+        by[r.key].add(r.node % 2**64)
+    met = {(a, b) for v in by.values() for a in v for b in v if a < b}
+    near = {(a, b) for a in set(prints) for b in set(prints) if a < b and (a ^ b).bit_count() <= 2}
+    assert len(near) > 60 and near <= met
+    left = simhash.within_ring(spark.createDataFrame([(signed(a), signed(b)) for a, b in met], "a long, b long"), 2)
+    left = {tuple(sorted((r.a % 2**64, r.b % 2**64))) for r in left.collect()}
+    assert near <= left and len(left) <= len(met) - 100
+
+
+def test_buckets(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(400), rng.randrange(30)) for _ in range(900)] + [(1000, i) for i in range(500)] * 2 + [(1001, 7)] * 300
+    want = collections.defaultdict(set)
+    for k, n in rows:
+        want[k].add(n)
+    found = shared.buckets(spark.createDataFrame(rows, "key long, node long").repartition(5)).collect()
+    assert sorted(map(tuple, found)) == sorted((k, n, min(v)) for k, v in want.items() if len(v) > 1 for n in v)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
+def test_runs_across_batches(size):
+    import pyarrow as pa
+
+    rng = random.Random(size)
+    rows = sorted((rng.randrange(12), rng.randrange(6)) for _ in range(60))
+    batches = [pa.record_batch({"key": [r[0] for r in rows[i : i + size]], "node": [r[1] for r in rows[i : i + size]]}) for i in range(0, len(rows), size)]
+    found = [r for b in shared._run_batches(iter(batches)) for r in zip(*b.to_pydict().values(), strict=True)]
+    want = collections.defaultdict(set)
+    for k, n in rows:
+        want[k].add(n)
+    assert sorted(found) == sorted((k, n, min(v)) for k, v in want.items() if len(v) > 1 for n in v)
+
+
+def test_compared_blocks(spark, monkeypatch):
+    """Every pair of a bucket that lies across components is compared, whatever the blocks."""
+    monkeypatch.setattr(shared, "BLOCK", 4)
+    rng = random.Random(8)
+    rows = [(k, n) for k in range(6) for n in rng.sample(range(60), 30)]
+    links = [(a, b) for a, b in ((rng.randrange(60), rng.randrange(60)) for _ in range(25)) if a != b]
+    value = {n: [rng.randrange(12)] for n in range(60)}
+    near = lambda left, right: np.array([[x[0] == y[0] for y in right] for x in left])
+    base = spark.createDataFrame(links, "a long, b long")
+    found = shared.bucket_links(spark.createDataFrame(rows, "key long, node long"), base, spark.createDataFrame(list(value.items()), "node long, v array<long>"), near)
+    every = links + [(a, b) for k in range(6) for a in [n for j, n in rows if j == k] for b in [n for j, n in rows if j == k] if value[a] == value[b]]
+    assert roots(range(60), [tuple(r) for r in found.collect()]) == roots(range(60), every)
+
+
 def test_syncmers(docs, rows, empty):
     found = sorted(map(tuple, syncmers.fingerprinted(docs).collect()))
     assert len(found) == len(rows)
@@ -178,10 +241,9 @@ def test_language_model(docs, rows, empty):
     once, twice = (sum(1 for v in c[0].values() if v == k) for k in (1, 2))
     first = once / (once + 2 * twice)
     unknown = max(first * distinct / total, 1 / (total + distinct + 1))
-    big = [{k: v for k, v in x.items() if v > 1} for x in c]
     taken = [collections.Counter(), collections.Counter(), collections.Counter()]
     for n in (1, 2):
-        for k, v in big[n].items():
+        for k, v in c[n].items():
             taken[n][k[:-1]] += v - 0.75
 
     def p(gram):
@@ -191,16 +253,43 @@ def test_language_model(docs, rows, empty):
         if context not in taken[n]:
             return p(gram[1:])
         rest = max(1 - taken[n][context] / c[n - 1][context], 1e-9) * p(gram[1:])
-        return (big[n][gram] - 0.75) / c[n - 1][context] + rest if gram in big[n] else rest
+        return (c[n][gram] - 0.75) / c[n - 1][context] + rest if gram in c[n] else rest
 
     for i, t, *_ in rows:
         w, r = [*words_of(t), None], found[i]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(w), sum((x,) in c[0] for x in w), total, zlib.crc32(str(i).encode()) % 7 == 2)
         assert math.isclose(r.base_score, sum(math.log10((c[0][(x,)] + 1) / (total + distinct + 1)) for x in w), abs_tol=1e-6)
         assert math.isclose(r.score, sum(math.log10(p(tuple(w[max(0, k - 2) : k + 1]))) for k in range(len(w))), abs_tol=0.01 * len(w))
+    by = collections.defaultdict(set)
+    for i, t, *_ in rows:
+        by[" ".join(words_of(t))].add((found[i].base_score, found[i].score))
+    assert all(len(v) == 1 for v in by.values())  # equal sequences score equally wherever they stand
     assert ngram_lm.scored(empty).count() == 0
 
 
+def test_merged_shards(monkeypatch):
+    """Blocks of a shard are merged while they arrive, also where many hold one code."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(ngram_lm, "MERGE", 50)
+    rng = np.random.default_rng(1)
+    want = collections.defaultdict(collections.Counter)
+    rows = []
+    for _ in range(60):
+        shard = int(rng.integers(0, 3))
+        code = np.unique(rng.integers(0, 80, 30))
+        n = rng.integers(1, 5, len(code))
+        want[shard].update(dict(zip(code.tolist(), n.tolist(), strict=True)))
+        rows.append((shard, ngram_lm._packed(code.astype(np.int64)), n.astype(np.uint32).tobytes(), (code + 1).astype(np.uint16).tobytes()))
+    rows.sort(key=lambda r: r[0])
+    batches = [pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*part, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["shard", "codes", "counts", "below"]) for part in (rows[:25], rows[25:26], rows[26:])]
+    got = list(ngram_lm._merged(iter(batches)))
+    assert {shard: dict(zip(code.tolist(), n.tolist(), strict=True)) for shard, code, n, _ in got} == {k: dict(v) for k, v in want.items()}
+    assert all((below == code + 1).all() for _, code, _, below in got)
+    for code in (np.array([5]), np.array([-7, 2**62]), np.unique(rng.integers(0, 2**60, 900))):
+        assert (ngram_lm._unpacked(ngram_lm._packed(code), len(code)) == code).all()
+
+
 def test_elias_fano():
     rng = np.random.default_rng(3)
     for values in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.sort(rng.integers(0, 90, 400)).astype(np.uint64), np.unique(rng.integers(0, 2**64 - 1, 5000, dtype=np.uint64))):
@@ -275,11 +364,41 @@ def test_schedule_is_even(spark):
     for at in range(0, 10000, 500):
         part = collections.Counter(slots[at : at + 500])
         assert abs(part["a"] - 300) <= 4 and abs(part["b"] - 150) <= 4 and abs(part["c"] - 50) <= 4
-    ranks = mixing.ranked(mixing.schedule(goals, 1)).orderBy("slot").collect()
+    ranks = mixing.ranked(mixing.schedule(goals, 1), 10000).orderBy("slot").collect()
     seen = collections.Counter()
     for r in ranks:
-        assert r.block == seen[r.source]
-        seen[r.source] += 1
+        assert r.block == seen[r["__name"]]
+        seen[r["__name"]] += 1
+
+
+def golden(t):
+    from decimal import Decimal, getcontext
+
+    getcontext().prec = 40
+    phi = (Decimal(5).sqrt() - 1) / 2
+    return float((t + Decimal(1) / 2) * phi % 1)
+
+
+def test_mixing_takes_scheduled_blocks(docs, rows):
+    """Words taken, document by document, from a plain walk over slots, ranks and blocks."""
+    found = mixing.mixed(docs.where("doc_id <> 5"), ["doc_id", "source"]).toPandas().sort_values("place")
+    goals = found[["source", "target", "source_size"]].drop_duplicates()
+    names = [*sorted(s for s in goals.source if s is not None), *([None] if goals.source.isna().any() else [])]
+    target = {None if s is None or s != s else s: t for s, t in zip(goals.source, goals.target, strict=True)}
+    total, low, bounds = sum(target.values()), 0.0, []
+    for s in names:
+        bounds.append((low, low + target[s], s))
+        low += target[s]
+    ranks = collections.Counter()
+    for t in range(int(-(-total // mixing.BLOCK))):
+        x = golden(t) * total
+        ranks[next(s for lo, hi, s in bounds if lo <= x < hi)] += 1
+    for s in names:
+        own = found[found.source.isna()] if s is None else found[found.source == s]
+        words = [i for i, n in zip(own.doc_id, own["size"], strict=True) for _ in range(n)] * 2
+        want = collections.Counter(words[: ranks[s] * mixing.BLOCK])
+        assert {i: n for i, n in zip(own.doc_id, own.taken, strict=True) if n} == dict(want)
+    assert found.slot[found.taken > 0].notna().all() and found.slot[found.taken == 0].isna().all()
 
 
 def test_passages(docs, rows, empty):
@@ -337,16 +456,45 @@ def test_passages_in_mixed_buckets(spark):
     assert len(pairs) > 100 and roots(nodes, links) == roots(nodes, pairs)
 
 
-def test_near_links_in_mixed_buckets(spark):
-    """Fingerprints that agree in one segment but for pairs of neighbours are far apart."""
-    rng = random.Random(13)
-    base = [rng.getrandbits(64) & ~0xFFFF for _ in range(40)]
-    prints = [x ^ (1 << rng.randrange(16, 64)) * k for x in base for k in (0, 1)]
-    signed = lambda x: x - 2**64 if x >= 2**63 else x
-    order = rng.sample(range(len(prints)), len(prints))
-    df = spark.createDataFrame([(order[i], [signed(x)]) for i, x in enumerate(prints)], "node long, prints array<long>")
-    links = [(r.a, r.b) for r in simhash.near_links(df, 2, 4, 16, 1, 16, 0).collect()]
-    assert roots(order, links) == roots(order, [(order[i], order[i + 1]) for i in range(0, len(order), 2)])
+def edited(rng, words, similarity):
+    """The words with as many replaced as bring the five-word similarity down to about that."""
+    out = list(words)
+    sets = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    while True:
+        after = list(out)
+        after[rng.randrange(len(after))] = f"q{rng.getrandbits(30)}"
+        a, b = sets(words), sets(after)
+        if len(a & b) < similarity * len(a | b):
+            return out
+        out = after
+
+
+def test_near_copies_recall(spark):
+    """Unlike texts at 0.8 or just above are found, those below are not, alone and inside a family."""
+    rng = random.Random(17)
+    bodies, want = [], []
+    for n in range(240):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([25, 60, 120, 400]))]
+        bodies += [words, edited(rng, words, 0.8 if n % 2 else 0.9)]
+        want.append((2 * n, 2 * n + 1))
+    family = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    first = len(bodies)
+    for _ in range(60):  # members are alike to few others
+        bodies.append(edited(rng, edited(rng, family, 0.9), 0.9))
+    order = rng.sample(range(len(bodies)), len(bodies))
+    df = spark.createDataFrame([(order[i], " ".join(b)) for i, b in enumerate(bodies)], "doc_id long, text string")
+    sets = [{tuple(b[k : k + 5]) for k in range(len(b) - 4)} for b in bodies]
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    found = {r.doc_id: r.group_id for r in simhash.near_groups(df).collect()}
+    assert sum(found[order[a]] == found[order[b]] for a, b in near) >= 0.97 * len(near)
+    assert sum(found[order[a]] == found[order[b]] for a, b in want) >= 0.96 * len(want)
+    exact = roots(range(len(bodies)), near)
+    assert all(exact[order.index(i)] == exact[order.index(g)] for i, g in found.items()) and first + 60 == len(bodies)
+
+
+def test_changes():
+    ways = simhash.changes()
+    assert len(set(ways)) == len(ways) == simhash.WAYS and ways[0] == () and {(r,) for r in range(simhash.WEAK)} <= set(ways)
 
 
 def test_neighbours(spark):
@@ -425,13 +573,46 @@ def test_language(spark, docs, empty):
     assert language.has_letter("é") and not language.has_letter("½ ² ٣ _")
 
 
+HEADERS = {
+    "SPDX-License-Identifier: MIT": ["MIT"],
+    "/* SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 */": ["GPL-2.0-or-later WITH Classpath-exception-2.0"],
+    "Copyright (c) 2020, X\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above "
+    "copyright notice,\n   this list of conditions and the following disclaimer in the documentation.\n": ["BSD-2-Clause"],
+    " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n"
+    " * version 2.1 of the License, or (at your option) any later version.\n": ["LGPL-2.1-or-later"],
+    "This is not an MIT license issue": [],
+    "It is not licensed under the MIT License.": [],
+    "Apache helicopters are used by the GPL crowd.": [],
+    "GNU General Public License version 3": ["GPL-3.0"],
+    "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007": ["GPL-3.0"],
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT\n * WARRANTY OF ANY KIND, EXPRESS OR IMPLIED": ["unknown"],
+    "# This program is free\n# software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n"
+    "# (at your option) any later version.\n#\n# This program is distributed in the hope that it will be useful,\n# but WITHOUT ANY WARRANTY.": ["GPL-3.0-or-later"],
+    "some text Licensed under the Apache License, Version 2.0. More": ["Apache-2.0"],
+    "License: Apache-2.0": ["Apache-2.0"],
+    "text. All rights reserved.": ["proprietary"],
+    "All rights reserved. " + "A sentence. " * 30 + "Released under the MIT License.": ["proprietary", "MIT"],
+    "All rights reserved. Released under the MIT License.": ["MIT"],
+    "The MIT License (MIT)\n\nCopyright (c) X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files": ["MIT"],
+}
+
+
+@pytest.mark.parametrize("header", HEADERS)
+def test_licence_headers(header):
+    known = licence.automaton()
+    assert [name for name, _ in licence.licences(licence.identified(header, known))] == HEADERS[header]
+    wrapped = "\n".join(f"// {line}" for line in header.split("\n"))
+    if not header.lstrip().startswith(("/*", "*", "#")):
+        assert [name for name, _ in licence.licences(licence.identified(wrapped, known))] == HEADERS[header]
+
+
 def test_licences(spark, docs, empty):
-    full = "\n\n".join(licence.SENTENCES[s] for s in ("mit-name-short", "mit-grant", "mit-notice", "mit-as-is")).replace(" ", "\n ")
+    full = "MIT License\n\n" + "\n\n".join(licence.SENTENCES[s] for s in ("mit-grant", "mit-notice", "mit-as-is")).replace(" ", "\n ")
     known = licence.automaton()
-    assert licence.licences(licence.sentence_ids(full, known)) == [("MIT", ["mit-name-short", "mit-grant", "mit-notice", "mit-as-is"])]
-    for name, wording in licence.SENTENCES.items():
-        assert licence.sentence_ids(f"some words {wording}, more", known) == [name], name
-    assert licence.licences(["apache-2.0-copy", "apache-2.0-grant"]) == [("unknown", ["apache-2.0-copy"]), ("Apache-2.0", ["apache-2.0-grant"])]
+    names = ["title:MIT", "mit-grant", "mit-notice", "mit-as-is"]
+    assert licence.licences(licence.identified(full, known)) == [("MIT", names)]
+    assert licence.licences([(0, "apache-copy"), (1, "grant:Apache-2.0")]) == [("unknown", ["apache-copy"]), ("Apache-2.0", ["grant:Apache-2.0"])]
     df = spark.createDataFrame([(1, "x Licensed under CC BY-NC 4.0. Released under the MIT License.", "q"), (2, None, "q"), (3, "the licence of a licensee", "q")], "doc_id long, text string, licence string")
     assert [(r.doc_id, r.place, r.licence) for r in licence.scan(df).orderBy("place").collect()] == [(1, 0, "CC-BY-NC-4.0"), (1, 1, "MIT")]
     assert licence.scan(docs).count() == 0 and licence.scan(empty).count() == 0
@@ -440,7 +621,22 @@ def test_licences(spark, docs, empty):
 def test_licence_sentences_in_comments():
     """A known sentence counts with a comment mark or mark-up between any two of its words."""
     known = licence.automaton()
-    for wording in licence.SENTENCES.values():
-        plain = licence.sentence_ids(wording, known)
-        assert plain and licence.sentence_ids("\n * ".join(wording.split()), known) == plain
-        assert licence.sentence_ids("<br/>".join(wording.split()).replace("br", "_"), known) == plain
+    for name, wording in licence.SENTENCES.items():
+        assert [i for _, i in licence.identified(f"some words {wording}, more", known)] == [name], name
+        assert [i for _, i in licence.identified("\n * ".join(wording.replace("v. ", "").split()) if "v. " not in wording else wording, known)] == [name]
+        assert [i for _, i in licence.identified("<br/>".join(wording.split(" ")), known)] == [name]
+
+
+def test_licence_sentences_against_plain_search():
+    """Identifiers and their order against a search of every wording in every sentence."""
+    rng, known = random.Random(21), licence.automaton()
+    plain = lambda x: " ".join(re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", x.lower()))
+    for _ in range(200):
+        parts = [rng.choice([sentence(rng, rng.randint(1, 8)), rng.choice(list(licence.SENTENCES.values())) + "."]) for _ in range(rng.randint(1, 8))]
+        parts = [p.replace("v. ", "") for p in parts]
+        want = []
+        for part in parts:
+            hits = [(f" {plain(part)} ".find(f" {plain(w.replace('v. ', ''))} "), name) for name, w in licence.SENTENCES.items() if name != "mpl-terms"]
+            want += [name for at, name in sorted(hits) if at >= 0]
+        got = [i for _, i in licence.identified(rng.choice([" ", "\n", "\n\n", "\n# "]).join(parts), known) if i != "mpl-terms"]
+        assert [g for g in got if not g.startswith("grant:")] == want

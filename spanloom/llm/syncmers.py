@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 K, S = 5, 2
 SPACE = r"[\x20\x09-\x0D]+"
-SKETCH = 16
+SKETCH = 128
 #: Rows of a stretch of the id order, and the most stretches there are; their first ids are what a driver sees.
 STRETCH, STRETCHES = 2000, 65536
 
@@ -54,17 +54,36 @@ def anchors(text: Column) -> Column:
     return _let(F.transform(words, lambda w: F.xxhash64(w)), chosen)
 
 
-def digest(found: Column) -> Column:
-    """A string of fixed length or less: a hash of all anchors with their places, then the least hashes."""
-    least = F.slice(F.array_sort(F.array_distinct(F.transform(found, lambda a: F.shiftrightunsigned(a["hash"], 32)))), 1, SKETCH)
-    return F.concat_ws("-", F.lower(F.lpad(F.hex(F.xxhash64(found)), 16, "0")), F.array_join(F.transform(least, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), ""))
+def sketch(found: Column) -> Column:
+    """The hashes (32 bits) that a fingerprint lists, in the order of their first places."""
+    hashes = F.array_distinct(F.transform(found, lambda a: F.shiftrightunsigned(a["hash"], 32)))
+    least = lambda every: F.filter(every, lambda x: x <= F.element_at(F.array_sort(every), SKETCH))
+    return _let(hashes, lambda every: F.when(F.size(every) > SKETCH, least(every)).otherwise(every))
+
+
+def fingerprint(listed: Column) -> Column:
+    """The string of a sketch: eight hexadecimal digits for each anchor."""
+    return F.array_join(F.transform(listed, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two arrays of distinct hashes."""
-    shared = F.size(F.array_intersect(a, b))
-    every = F.size(a) + F.size(b) - shared
-    return F.when(every == 0, 1.0).otherwise(shared / every)
+    """Share of the anchors of two sketches that both have in the same order."""
+    largest = lambda x: F.when(F.size(x) >= SKETCH, F.array_max(x)).otherwise(F.lit(1 << 32))
+
+    def upto(limit: Column) -> Column:
+        return F.struct(*[F.filter(x, lambda h: h <= limit).alias(name) for x, name in ((a, "p"), (b, "q"))])
+
+    def matched(both: Column) -> Column:
+        places = F.filter(F.transform(both["p"], lambda h: F.array_position(both["q"], h)), lambda at: at > 0)
+
+        def share(places: Column) -> Column:
+            ordered = F.filter(places, lambda at, i: (i == 0) | (at > F.get(places, i - 1)))
+            every = F.size(both["p"]) + F.size(both["q"]) - F.size(places)
+            return F.when(every == 0, 1.0).otherwise(F.size(ordered) / every)
+
+        return _let(places, share)
+
+    return _let(_let(F.least(largest(a), largest(b)), upto), matched)
 
 
 def _stretch_of(doc_id: Column, bounds: list[int]) -> Column:
@@ -113,11 +132,8 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
     rows = with_next(docs).select("doc_id", "stretch", "guest", "turn", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    hashes = lambda c: F.array_distinct(F.transform(F.col(c), lambda a: a["hash"]))
     rows = rows.select("doc_id", "stretch", "guest", "turn", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                       anchors(F.col("text")).alias("own"), anchors(F.when(~F.col("guest"), F.col("edited"))).alias("new"))
-    rows = rows.select("doc_id", "stretch", "guest", "turn", "n_chars", "edited_sha256", digest(F.col("own")).alias("fingerprint"),
-                       digest(F.col("new")).alias("edited_fingerprint"), hashes("own").alias("own"), hashes("new").alias("new"))
+                       sketch(anchors(F.col("text"))).alias("own"), sketch(anchors(F.when(~F.col("guest"), F.col("edited")))).alias("new"))
     rows = rows.withColumn("next", F.coalesce(F.lead("own").over(_order()), F.col("own"))).where(~F.col("guest"))
-    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    return rows.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("new")).alias("edited_fingerprint"),
                        likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))

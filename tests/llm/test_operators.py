@@ -201,26 +201,57 @@ def test_compared_blocks(spark, monkeypatch):
     assert roots(range(60), [tuple(r) for r in found.collect()]) == roots(range(60), every)
 
 
+def split_print(print_):
+    return [print_[i : i + 8] for i in range(0, len(print_), 8)]
+
+
+def plain_likeness(a, b):
+    """Likeness of two fingerprints from their strings alone."""
+    cut = min(max(x) if len(x) >= syncmers.SKETCH else "g" for x in (a, b))
+    p, q = ([h for h in x if h <= cut] for x in (a, b))
+    at = [q.index(h) for h in p if h in q]
+    ordered = sum(i == 0 or at[i] > at[i - 1] for i in range(len(at)))
+    every = len(p) + len(q) - len(at)
+    return ordered / every if every else 1.0
+
+
 def test_syncmers(docs, rows, empty):
     found = sorted(map(tuple, syncmers.fingerprinted(docs).collect()))
     assert len(found) == len(rows)
     unique = sorted({r[0]: r[1] or "" for r in rows}.items())
-    by = {}
+    by, prints = {}, collections.defaultdict(set)
     for k, (i, t) in enumerate(unique):
         by[i] = (t, unique[(k + 1) % len(unique)][1])
+    for r in found:
+        prints[by[r[0]][0]].add(r[3])
+        prints[by[r[0]][0]].discard(None)
+    assert all(len(v) == 1 for v in prints.values())  # equal texts, equal fingerprints
+    one = {t: next(iter(v)) for t, v in prints.items()}
     for r in found:
         t, after = by[r[0]]
         if r[0] != 5:  # that id is there three times, so two of it are followed by a copy
             edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
             assert r[1:3] == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= r[5] <= 1 and 0 <= r[6] <= 1
-    prints = collections.defaultdict(set)
-    for r in found:
-        prints[by[r[0]][0]].add(r[3])
-    assert all(len(v) == 1 for v in prints.values())
+            assert one.get(edited, r[4]) == r[4]
+            assert math.isclose(r[6], plain_likeness(split_print(r[3]), split_print(one[after])))
+        assert math.isclose(r[5], plain_likeness(split_print(r[3]), split_print(r[4])))
+        assert len(r[3]) % 8 == 0 and len(r[3]) <= 8 * syncmers.SKETCH
+    assert max(len(r[3]) for r in found) == 8 * syncmers.SKETCH
     assert syncmers.fingerprinted(empty).count() == 0
 
 
+def test_syncmers_in_order(spark):
+    """The same anchors in another order are less alike; a shared first half counts for its share."""
+    rng = random.Random(10)
+    parts = [[f"w{rng.randrange(9000)}" for _ in range(6)] for _ in range(40)]
+    join = lambda p: " ".join(w for x in p for w in x)
+    mixed_up = rng.sample(parts, len(parts))
+    df = spark.createDataFrame([(join(parts), join(mixed_up), join(parts[:20] + [[f"v{i}{j}" for j in range(6)] for i in range(20)]))], "a string, b string, c string")
+    s = {c: syncmers.sketch(syncmers.anchors(F.col(c))) for c in "abc"}
+    r = df.select(syncmers.likeness(s["a"], s["a"]).alias("same"), syncmers.likeness(s["a"], s["b"]).alias("mixed"), syncmers.likeness(s["a"], s["c"]).alias("half")).first()
+    assert r.same == 1.0 and r.mixed < 0.3 and 0.25 < r.half < 0.42
+
+
 def test_syncmers_are_context_free(spark):
     rng = random.Random(9)
     inner = [f"w{rng.randrange(500)}" for _ in range(60)]

@@ -68,6 +68,11 @@ def days_in_month(day: Column) -> Column:
     return F.day(F.last_day(day))
 
 
+def last_complete_day(newest_us: Column, zone: str = ZONE) -> Column:
+    """The last local day that a source covers whole: the one before the day of its newest instant."""
+    return F.date_sub(local_day(newest_us, zone), 1)
+
+
 def ratio(a: Column, b: Column, scale: float = 1.0) -> Column:
     """``scale * a / b`` as a double; null where ``b`` is zero."""
     return F.when(b != 0, a.cast("double") * scale / b.cast("double"))

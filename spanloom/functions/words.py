@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Word stems that make a report relevant, and month names.
-PLACE = r"(?i)\b(city|district|region|oblast|raion)"
-ATTACK = r"(?i)\b(attack|shell|strike|drone|missile|explo)"
-LOSS = r"(?i)\b(dead|killed|died|casualt|wounded|injured|victim)"
-MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+#: Stems of words that make a report relevant, by kind.
+ATTACK = ["атак", "обстріл", "удар", "ракета", "ракет", "дрон", "бпла", "шахед", "влуч", "вибух"]
+LOSS = ["загиб", "загин", "помер", "смерт"]
+PLACE = ["київ", "києв", "столиц"]
+#: Month names as they stand in dates.
+MONTHS = ["січня", "лютого", "березня", "квітня", "травня", "червня", "липня", "серпня", "вересня", "жовтня", "листопада", "грудня"]
+#: Patterns whose first group is a number of dead.
+DEATHS = [
+    r"\b(\d{1,3})\s+(?:люд\w*\s+)?загин\w*",
+    r"\b(\d{1,3})\s+загибл\w*",
+    r"загибл\w*\s+(?:щонайменше\s+|понад\s+)?(\d{1,3})\b",
+    r"відомо\s+про\s+(\d{1,3})\s+загибл\w*",
+    r"кільк\w*\s+загибл\w*[^.]{0,60}?\b(\d{1,3})\b",
+]
 
 
 def name_key(name: Column) -> Column:
@@ -17,31 +26,47 @@ def name_key(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.translate(name, "’ʼ`", "'''")), r"\s+", " "))
 
 
-def relevant(text: Column, place: str = PLACE, attack: str = ATTACK, loss: str = LOSS) -> Column:
-    return F.coalesce(text.rlike(place) & text.rlike(attack) & text.rlike(loss), F.lit(False))
+def relevant(text: Column, place: list[str] = PLACE, attack: list[str] = ATTACK, loss: list[str] = LOSS) -> Column:
+    """Whether a text holds a stem of each of the three kinds, in any case."""
+    low = F.lower(text)
+    held = F.lit(True)
+    for stems in (place, attack, loss):
+        some = F.lit(False)
+        for stem in stems:
+            some = some | low.contains(stem)
+        held = held & some
+    return F.coalesce(held, F.lit(False))
 
 
-def counts_near(text: Column, patterns: list[str], low: int = 1, high: int = 200) -> Column:
-    """Distinct numbers that stand in the patterns' first groups, in range, sorted."""
-    found = F.concat(*[F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in patterns])
+def counts_near(text: Column, patterns: list[str] = DEATHS, low: int = 1, high: int = 200) -> Column:
+    """Distinct numbers that stand in the patterns' first groups, in range, sorted. Letters are those of any script."""
+    found = F.concat(*[F.regexp_extract_all(F.lower(text), F.lit(f"(?U){p}"), F.lit(1)) for p in patterns])
     numbers = F.transform(found, lambda x: x.try_cast("int"))
     return F.array_sort(F.array_distinct(F.filter(numbers, lambda x: (x >= low) & (x <= high))))
 
 
-def dates_in(text: Column, year: Column) -> Column:
-    """Sorted distinct dates written as day, month name and perhaps year."""
-    names = "|".join(MONTHS)
-    found = F.regexp_extract_all(F.lower(text), F.lit(rf"\b(\d{{1,2}} (?:{names})(?: \d{{4}})?)\b"), F.lit(1))
+def dates_in(text: Column, year: Column, months: list[str] = MONTHS) -> Column:
+    """Sorted distinct dates written as day and month name; the year counts if a word for it follows, else it is ``year``."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(rf"(?U)\b([0-3]?\d\s+(?:{'|'.join(months)})(?:\s+20\d{{2}}\s+року)?)\b"), F.lit(1))
 
     def made(written: Column) -> Column:
-        part = F.split(written, " ")
-        number = F.array_position(F.array(*map(F.lit, MONTHS)), part[1]).cast("int")
+        part = F.split(written, r"\s+")
+        number = F.array_position(F.array(*map(F.lit, months)), part[1]).cast("int")
         own = F.when(F.size(part) > 2, F.get(part, F.lit(2)).try_cast("int")).otherwise(year)
         return F.try_to_date(F.concat_ws("-", own, F.lpad(number.cast("string"), 2, "0"), F.lpad(part[0], 2, "0")), "yyyy-MM-dd")
 
     return F.array_sort(F.array_distinct(F.filter(F.transform(found, made), lambda d: d.isNotNull())))
 
 
+#: Words before a value that mark it as a secret.
+SECRET = r"(?i)\b(api[_-]?key|token|secret|password|authorization)\b"
+
+
+def masked(text: Column, marks: str = SECRET) -> Column:
+    """A text with the values behind words such as token or password replaced by ``***``."""
+    return F.regexp_replace(text, rf"{marks}(\s*[:=]\s*(?:bearer\s+)?)[^\s,;\"']+", "$1$2***")
+
+
 def plain_text(html: Column) -> Column:
     """Text of a page without scripts, styles, comments and tags, white space squeezed."""
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
@@ -57,8 +82,8 @@ def bare_url(url: Column) -> Column:
 
 
 def canonical_hash(*columns: Column) -> Column:
-    """SHA-256 of the JSON of a struct of the given columns."""
-    return F.sha2(F.to_json(F.struct(*columns)), 256)
+    """SHA-256 of the JSON of a struct of the given columns; a null field is not an absent one."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
 
 
 def episode_id(key: Column, start: Column, end: Column) -> Column:

@@ -112,3 +112,8 @@ def appended(base: DataFrame, live: DataFrame) -> DataFrame:
     last = base.agg(F.max("start_us").alias("last_us"))
     late = live.join(F.broadcast(last), F.expr("last_us is null or start_us > last_us"))
     return base.withColumn("appended", F.lit(False)).unionByName(late.drop("last_us").withColumn("appended", F.lit(True)))
+
+
+def in_order(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows by the columns, empty values first, as published files have them."""
+    return rows.orderBy(*[F.col(c).asc_nulls_first() for c in columns])

@@ -31,15 +31,28 @@ def in_periods(rows: DataFrame, periods: DataFrame) -> DataFrame:
     return intervals.clipped(every, F.col("low_us"), F.col("high_us")).drop("low_us", "high_us")
 
 
-def full_coverage(rows: DataFrame, group: str, member: str, sizes: DataFrame) -> DataFrame:
-    """Per group: time with any member active, time with all active, episodes and how many of them reach all."""
-    any_one = intervals.islands(rows, [group])
-    full = intervals.all_active(rows, [group], member, sizes)
+def full_coverage(rows: DataFrame, group: str, member: str, sizes: DataFrame, explicit: Column) -> DataFrame:
+    """Per group: time with any alert, with an explicit one of the whole group, and with full coverage.
+
+    Rows where ``explicit`` holds are alerts of the group itself, the others of one member. Full coverage is an
+    explicit alert, or alerts of all members at once; episodes are unions of any alert.
+    """
+    whole, parts = rows.where(explicit), rows.where(~explicit)
+    any_one, own = intervals.islands(rows, [group]), intervals.islands(whole, [group])
+    full = intervals.islands(own.unionByName(intervals.all_active(parts, [group], member, sizes)), [group])
     episodes = any_one.withColumn("event_id", F.concat_ws(":", group, "start_us"))
-    reached = intervals.overlapping(episodes, full, [group]) .groupBy(group).agg(F.count("*").alias("full_episodes"))
+    reached = intervals.overlapping(episodes, full, [group]).groupBy(group).agg(F.count("*").alias("full_episodes"))
+    seen = intervals.positive(parts).groupBy(group).agg(F.count_distinct(member).alias("members_seen"))
     total = any_one.groupBy(group).agg(F.sum(F.col("end_us") - F.col("start_us")).alias("any_us"), F.count("*").alias("episodes"))
-    out = total.join(intervals.total_us(full, [group], "full_us"), group, "left").join(reached, group, "left").na.fill(0, ["full_us", "full_episodes"])
-    return out.withColumn("full_pct", times.ratio(F.col("full_us"), F.col("any_us"), 100))
+    out = total.join(intervals.total_us(own, [group], "explicit_us"), group, "left").join(intervals.total_us(full, [group], "full_us"), group, "left")
+    out = out.join(reached, group, "left").join(seen, group, "left").na.fill(0, ["explicit_us", "full_us", "full_episodes", "members_seen"])
+    share = lambda c, of: times.ratio(F.col(c), F.col(of), 100)
+    return out.withColumns({"explicit_pct": share("explicit_us", "any_us"), "full_pct": share("full_us", "any_us"), "full_episodes_pct": share("full_episodes", "episodes")})
+
+
+def by_share(rows: DataFrame, share: str = "full_pct") -> DataFrame:
+    """Rows by falling share; those without one come last."""
+    return rows.orderBy(F.col(share).desc_nulls_last(), *[c for c in rows.columns[:1]])
 
 
 def largest_gap(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -69,43 +82,65 @@ def stable_start(rows: DataFrame, keys: list[str], gap_us: int = 90 * times.DAY,
 
     The start after the last gap of ``gap_us`` or more that has ``tail`` starts from there on, in a series
     that reaches within ``reach_us`` of the newest end of all; else the first start. Distinct starts count.
+    ``gap_before_us`` is the gap before that start, null where there is none.
     """
     newest = rows.agg(F.max("end_us").alias("newest_us"))
     order = Window.partitionBy(*keys).orderBy("start_us")
     starts = rows.select(*keys, "start_us").distinct()
     starts = starts.withColumn("gap_us", F.col("start_us") - F.lag("start_us").over(order))
-    starts = starts.withColumn("left_n", F.count("*").over(order.rowsBetween(0, Window.unboundedFollowing)))
+    back = Window.partitionBy(*keys).orderBy(F.desc("start_us"))  # from the end, so that the frame only grows
+    starts = starts.withColumn("left_n", F.row_number().over(back))
     starts = starts.withColumn("last_us", F.max("start_us").over(Window.partitionBy(*keys)))
     starts = starts.join(F.broadcast(newest))
     good = (F.col("gap_us") >= gap_us) & (F.col("left_n") >= tail) & (F.col("last_us") >= F.col("newest_us") - reach_us)
-    chosen = starts.groupBy(*keys).agg(F.coalesce(F.max(F.when(good, F.col("start_us"))), F.min("start_us")).alias("stable_us"))
-    after = starts.join(chosen, keys).where("start_us >= stable_us").groupBy(*keys, "stable_us")
-    return after.agg(F.count("*").alias("tail_events"), F.max(F.when(F.col("start_us") > F.col("stable_us"), F.col("gap_us"))).alias("tail_gap_us"))
+    chosen = starts.groupBy(*keys).agg(F.coalesce(F.max(F.when(good, F.col("start_us"))), F.min("start_us")).alias("stable_us"),
+                                       F.min("start_us").alias("first_us"), F.max("start_us").alias("last_observed_us"))
+    after = starts.join(chosen, keys).where("start_us >= stable_us").groupBy(*keys, "stable_us", "first_us", "last_observed_us")
+    at = F.col("start_us") == F.col("stable_us")
+    return after.agg(F.max(F.when(at, F.col("gap_us"))).alias("gap_before_us"), F.count("*").alias("tail_events"), F.max(F.when(~at, F.col("gap_us"))).alias("tail_gap_us"))
+
 
+#: The states of a place's own series, worst last.
+ACTIVITY = ["no_states_match", "current_exact_city_candidate", "sparse_or_intermittent_2026", "historical_2025_only", "no_2025_2026_exact_city_events"]
 
-def activity(rows: DataFrame, keys: list[str], recent_us: int = 90 * times.DAY) -> DataFrame:
-    """Counts by status: all events and those within ``recent_us`` of the newest end, with a status cascade."""
+
+def activity(places: DataFrame, rows: DataFrame, keys: list[str], before_us: tuple[int, int], now_us: tuple[int, int], recent_us: int = 90 * times.DAY) -> DataFrame:
+    """Starts of each place's series in the earlier and the current year and within ``recent_us`` of the newest end, with a status.
+
+    ``places`` (keys, matched) are all that are asked for; ``before_us`` and ``now_us`` are the years' bounds.
+    """
     newest = rows.agg(F.max("end_us").alias("newest_us"))
-    recent = F.col("start_us") >= F.col("newest_us") - recent_us
-    out = rows.join(F.broadcast(newest)).groupBy(*keys).agg(F.count("*").alias("events"), F.count_if(recent).alias("recent"), F.max("start_us").alias("last_us"))
-    status = F.when(F.col("recent") == 0, "silent").when(F.col("recent") < 5, "sparse").when(F.col("events") == F.col("recent"), "new").otherwise("active")
-    return out.withColumn("status", status)
+    within = lambda bounds: F.count_if((F.col("start_us") >= bounds[0]) & (F.col("start_us") < bounds[1]))
+    counted = rows.join(F.broadcast(newest)).groupBy(*keys).agg(
+        within(before_us).alias("before_n"), within(now_us).alias("now_n"), F.count_if(F.col("start_us") >= F.col("newest_us") - recent_us).alias("recent_n"))
+    out = places.join(counted, keys, "left").na.fill(0, ["before_n", "now_n", "recent_n"])
+    status = F.when(~F.col("matched"), ACTIVITY[0]).when((F.col("now_n") >= 10) & (F.col("recent_n") >= 2), ACTIVITY[1])
+    return out.withColumn("status", status.when(F.col("now_n") > 0, ACTIVITY[2]).when(F.col("before_n") > 0, ACTIVITY[3]).otherwise(ACTIVITY[4]))
+
+
+#: What a city's own community is called before its name, and the scores of the two ways to match.
+CITY_MARK, EXACT, INSIDE = "м. ", 100, 50
 
 
-def best_match(names: DataFrame, candidates: DataFrame, within: list[str]) -> DataFrame:
-    """For each (within, name) the candidate of the same group whose name fits best; ties go to the last in order.
+def best_match(names: DataFrame, candidates: DataFrame, within: list[str], mark: str = CITY_MARK) -> DataFrame:
+    """For each (within, name) the candidate of the same group whose name fits best; of equals, the last in order.
 
-    Equal keys score 3, one that begins with the other 2, one that holds the other 1; others do not match.
+    A candidate that is the mark and the name, or goes on with a space, scores ``EXACT``; one that holds the
+    name anywhere, in any case, ``INSIDE``. Exact ones are met by an equi-join on the candidates' leading words;
+    only names without one are searched for within their group.
     """
-    left = names.withColumn("want", words.name_key(F.col("name")))
-    right = candidates.select(*within, F.col("name").alias("candidate"), words.name_key(F.col("name")).alias("have"))
-    want, have = F.col("want"), F.col("have")
-    score = F.when(want == have, 3).when(have.startswith(want) | want.startswith(have), 2).when(have.contains(want) | want.contains(have), 1)
-    scored = left.join(right, within).withColumn("score", score).where("score is not null")
+    left = names.select(*within, "name").distinct()
+    right = candidates.select(*within, F.col("name").alias("candidate")).distinct()
+    parts = F.split("candidate", " ")
+    heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), " "))
+    headed = right.select(*within, "candidate", F.explode(heads).alias("head"))
+    exact = left.withColumn("head", F.concat(F.lit(mark), "name")).join(headed, [*within, "head"]).select(*within, "name", "candidate", F.lit(EXACT).alias("score"))
+    rest = left.join(exact, [*within, "name"], "left_anti").join(right, within).where(F.lower("candidate").contains(F.lower("name")))
+    scored = exact.unionByName(rest.select(*within, "name", "candidate", F.lit(INSIDE).alias("score")))
     return scored.groupBy(*within, "name").agg(F.max(F.struct("score", "candidate")).alias("best")).select(*within, "name", "best.candidate", "best.score")
 
 
 def first_alias(names: DataFrame, aliases: DataFrame, key: Column) -> DataFrame:
     """Regions by the first alias that a node answers to; ``aliases`` (region, alias, rank) is a dimension."""
-    met = names.withColumn("alias", key).join(F.broadcast(aliases), "alias")
+    met = names.withColumn("alias", key).join(aliases, "alias")
     return met.groupBy("region").agg(F.min_by("node", "rank").alias("node"))

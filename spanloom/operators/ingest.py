@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.functions import times
+from spanloom.functions import times, words
 from spanloom.operators import intervals
 
 STALE = 36 * 3600 * times.SECOND
@@ -24,19 +24,31 @@ def upserted(store: DataFrame, polled: DataFrame, key: list[str]) -> DataFrame:
     return newest.select(*key, *[F.col(f"row.{c}").alias(c) for c in rest], "first_fetched_us")
 
 
-def continuity(targets: DataFrame, polled: DataFrame, limit: int = 25) -> DataFrame:
-    """Whether each target's poll reaches back to its cutoff (``cutoff_us``), with the reason."""
-    seen = polled.groupBy("region").agg(F.min("start_us").alias("oldest_us"), F.max("end_us").alias("latest_us"), F.count("*").alias("history_n"))
-    rows = targets.join(seen, "region", "left").na.fill(0, ["history_n"])
+#: Why a region's history is continuous or not.
+REASONS = {"missing": "region_missing_from_history_payload", "reached": "history_overlaps_upstream", "short": "history_window_does_not_reach_upstream"}
+
+
+def continuity(targets: DataFrame, polled: DataFrame, groups: DataFrame | None = None, limit: int = 25) -> DataFrame:
+    """Whether each target's poll reaches back to its cutoff (``cutoff_us``), with the reason.
+
+    ``groups`` (region) are the regions that the poll answered for, also those with an empty history; without
+    it, those with rows. All rows count for the oldest start and the limit; only completed air alerts
+    (``kind`` AIR, or any where there is no such column) give the latest end.
+    """
+    air = F.upper("kind") == "AIR" if "kind" in polled.columns else F.lit(True)
+    done = air & (F.col("end_us") > F.col("start_us"))
+    seen = polled.groupBy("region").agg(F.min("start_us").alias("oldest_us"), F.max(F.when(done, F.col("end_us"))).alias("latest_us"),
+                                        F.count("*").alias("history_n"), F.count_if(done).alias("completed_n"))
+    groups = polled if groups is None else groups
+    rows = targets.join(groups.select("region").distinct().withColumn("present", F.lit(True)), "region", "left").join(seen, "region", "left").na.fill(0, ["history_n", "completed_n"])
     reached = F.coalesce(F.col("oldest_us") <= F.col("cutoff_us"), F.lit(False))
-    reason = F.when(F.col("history_n") == 0, "region_missing_from_history_payload").when(reached, "history_overlaps_upstream").otherwise("history_window_does_not_reach_upstream")
-    return rows.withColumns({"limit_hit": F.col("history_n") >= limit, "continuous": reached, "reason": reason})
+    reason = F.when(F.col("present").isNull(), REASONS["missing"]).when(reached, REASONS["reached"]).otherwise(REASONS["short"])
+    return rows.withColumns({"limit_hit": F.col("history_n") >= limit, "continuous": reached & F.col("present").isNotNull(), "reason": reason}).drop("present")
 
 
 def bridged(polled: DataFrame, status: DataFrame) -> DataFrame:
     """Events of continuous regions that end after the region's cutoff."""
-    open_regions = status.where("continuous").select("region", "cutoff_us")
-    return polled.join(F.broadcast(open_regions), "region").where("end_us > cutoff_us").drop("cutoff_us")
+    return polled.join(status.where("continuous").select("region", "cutoff_us"), "region").where("end_us > cutoff_us").drop("cutoff_us")
 
 
 def bridged_union(base: DataFrame, polled: DataFrame, status: DataFrame) -> DataFrame:
@@ -59,14 +71,26 @@ def paired(marks: DataFrame, keys: list[str]) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy("ts_us", F.when(F.col("kind") == "end", 0).otherwise(1))
     rows = marks.select(*keys, "ts_us", "kind").distinct()
     rows = rows.withColumn("before", F.lag("kind").over(order))
-    ends = F.first(F.when(F.col("kind") == "end", F.col("ts_us")), ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    # the nearest end after a mark is the last one before it in the reversed order, so the frame only grows
+    back = Window.partitionBy(*keys).orderBy(F.desc("ts_us"), F.when(F.col("kind") == "end", 1).otherwise(0))
+    ends = F.last(F.when(F.col("kind") == "end", F.col("ts_us")), ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("end_us", ends).where("kind = 'start' and coalesce(before, 'end') = 'end' and end_us is not null")
     return rows.select(*keys, F.col("ts_us").alias("start_us"), "end_us").where("end_us > start_us")
 
 
 def accepted_names(rows: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Rows whose embedded name is among the names accepted for their region."""
-    return rows.join(F.broadcast(aliases.select("region", "name").distinct()), ["region", "name"], "left_semi")
+    """Rows whose embedded name is accepted for their region: the region's own, its group's, or one of ``aliases`` (region, name).
+
+    A blank name falls back to ``group_name``, where rows have one, and is accepted if that is blank too.
+    Names are compared by ``name_key``.
+    """
+    group = F.col("group_name") if "group_name" in rows.columns else F.lit(None).cast("string")
+    filled = lambda c: F.nullif(F.trim(c), F.lit(""))
+    own = words.name_key(F.coalesce(filled(F.col("name")), filled(group)))
+    names = aliases.select("region", words.name_key(F.col("name")).alias("__key")).distinct().withColumn("__known", F.lit(True))
+    met = rows.withColumn("__key", own).join(names, ["region", "__key"], "left")
+    good = F.col("__key").isNull() | F.col("__known") | (F.col("__key") == words.name_key(F.col("region").cast("string"))) | (F.col("__key") == words.name_key(group))
+    return met.where(F.coalesce(good, F.lit(False))).select(*rows.columns)
 
 
 def coverage(required: DataFrame, covered: DataFrame) -> DataFrame:

@@ -27,12 +27,19 @@ def baseline_violations(baseline: DataFrame) -> DataFrame:
     return rows.select("month", F.explode(reasons).alias("reason"))
 
 
-def revision_violations(revisions: DataFrame, statuses: tuple[str, ...] = ("pending", "confirmed", "rejected")) -> DataFrame:
-    rows = revisions.withColumn("twice", F.count("*").over(Window.partitionBy("record_id")) > 1)
+#: States of a revision.
+STATUSES = ("confirmed", "needs_review", "rejected")
+
+
+def revision_violations(revisions: DataFrame, statuses: tuple[str, ...] = STATUSES) -> DataFrame:
+    """(record_id, reason) of revisions that break a rule. Rows without an id are not read; a blank count is 0."""
+    rows = revisions.withColumn("record_id", F.trim("record_id")).where("record_id <> ''")
+    rows = rows.withColumn("twice", F.count("*").over(Window.partitionBy("record_id")) > 1)
+    count = F.coalesce(F.nullif(F.trim(F.col("deaths_delta").cast("string")), F.lit("")), F.lit("0"))
     reasons = F.array_compact(F.array(
-        F.when(F.coalesce(F.trim("record_id") == "", F.lit(True)), "no id"), F.when(F.col("twice"), "id twice"),
-        F.when(~F.coalesce(F.col("status").isin(*statuses), F.lit(False)), "bad status"),
-        F.when(F.try_to_date("attack_date").isNull(), "bad date"), F.when(F.col("deaths_delta").isNull(), "no count")))
+        F.when(F.col("twice"), "id twice"),
+        F.when(~F.coalesce(F.lower(F.trim("status")).isin(*statuses), F.lit(False)), "bad status"),
+        F.when(F.try_to_date(F.trim("attack_date"), "yyyy-MM-dd").isNull(), "bad date"), F.when(count.try_cast("int").isNull(), "bad count")))
     return rows.select("record_id", F.explode(reasons).alias("reason"))
 
 
@@ -44,9 +51,9 @@ def monthly_counts(baseline: DataFrame, revisions: DataFrame) -> DataFrame:
 
 
 def control_totals(monthly: DataFrame, expected: DataFrame) -> DataFrame:
-    """Years whose sums differ from what is expected."""
+    """(year, deaths, expected) of years whose sums differ, also those that only one side has."""
     sums = monthly.groupBy(F.substring("month", 1, 4).alias("year")).agg(F.sum("deaths").alias("deaths"))
-    return sums.join(F.broadcast(expected), "year").where("deaths <> expected")
+    return sums.join(expected, "year", "full").where("not (deaths <=> expected)")
 
 
 def effective(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -98,15 +105,35 @@ def reviewed(candidates: DataFrame, decisions: DataFrame) -> DataFrame:
     return rows.select("candidate_id", "city_key", "status", "to_status", "at", reasons.alias("reasons"), (F.size(reasons) == 0).alias("accepted"))
 
 
-def confirmation_reasons(rows: DataFrame, identifier: str = r"^[A-Za-z0-9][A-Za-z0-9._:-]{2,127}$") -> DataFrame:
-    """Rows with ``reasons``: why a confirmation is not complete."""
+#: Formats of an incident's id and of a proof that cannot change.
+INCIDENT = r"^incident:[a-z0-9][a-z0-9:_-]{7,119}$"
+PROOF = r"^(?:sha256:[0-9a-f]{64}|git:[0-9a-f]{40}:[^\s]+)$"
+
+
+def confirmation_reasons(rows: DataFrame) -> DataFrame:
+    """Rows with ``reasons``: why a confirmation is not complete, in the order of the rules."""
+    text = lambda c: F.trim(F.col(c).cast("string"))
     rules = {
-        "bad id": F.col("record_id").rlike(identifier), "bad date": F.try_to_date("attack_date").isNotNull(),
-        "bad count": F.col("deaths_delta") > 0, "bad source": words.bare_url(F.col("source_url")).isNotNull(), "no incident": F.trim("incident_id") != "",
+        "no id": text("record_id") != "", "bad date": F.try_to_date(text("attack_date"), "yyyy-MM-dd").isNotNull(),
+        "bad count": text("deaths_delta").try_cast("int") > 0, "no source": text("source_name") != "",
+        "bad address": text("source_url").rlike(r"^(?i)https?://[^/\s]"), "bad incident": text("incident_id").rlike(INCIDENT),
+        "bad kind": F.lower(text("count_kind")).isin("cumulative", "delta"), "bad credit": text("baseline_credited").rlike("^(?:0|[1-9][0-9]*)$"),
+        "no identity": text("identity_proof").rlike(PROOF), "no credit proof": text("credited_proof").rlike(PROOF),
     }
     return rows.withColumn("reasons", F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in rules.items()])))
 
 
+def reviewed_history(candidates: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Candidates after accepted decisions: the new status, and ``review_history`` with the decision appended.
+
+    ``candidates`` have ``review_history`` (an array of structs at, from, to); one decision a candidate at most.
+    """
+    made = accepted.where("accepted").select("candidate_id", "to_status", F.struct("at", F.col("status").alias("from"), F.col("to_status").alias("to")).alias("step"))
+    rows = candidates.join(made, "candidate_id", "left")
+    history = F.when(F.col("step").isNull(), F.col("review_history")).otherwise(F.array_append(F.coalesce("review_history", F.array().cast(candidates.schema["review_history"].dataType)), F.col("step")))
+    return rows.withColumns({"status": F.coalesce("to_status", "status"), "review_history": history}).select(*candidates.columns)
+
+
 def duplicate_warnings(rows: DataFrame, group: str, url: str, title: str, day: str) -> DataFrame:
     """Pairs (a, b, kind) of rows of one group: the same address or title, or the same day only.
 
@@ -126,7 +153,7 @@ def by_status(rows: DataFrame) -> DataFrame:
 
 def outside_set(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in the dimension."""
-    return rows.join(F.broadcast(dim.select(key).distinct()), key, "left_anti")
+    return rows.join(dim.select(key).distinct(), key, "left_anti")
 
 
 def inbox(queue: DataFrame, n: int = 30) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import times
@@ -47,11 +47,14 @@ def fingerprint(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per table: its name, number of rows, and an order-free hash of them."""
+    """One row per table: its name, number of rows, and a SHA-256 of it that no order of rows changes.
+
+    Row hashes are brought together in parts, whose digests make the table's.
+    """
     out = None
     for name, rows in sorted(tables.items()):
-        one = rows.select(F.lit(name).alias("name"), F.xxhash64(*sorted(rows.columns)).cast("decimal(38,0)").alias("h"))
-        one = one.groupBy("name").agg(F.count("*").alias("n"), F.sum("h").cast("string").alias("hash_sum"))
+        one = fingerprint(rows.select(F.lit(name).alias("__name"), F.struct(*sorted(rows.columns)).alias("row")), ["__name"])
+        one = one.select(F.col("__name").alias("name"), "n", F.col("digest").alias("sha256"))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -99,5 +102,25 @@ def list_changes(frozen: DataFrame, now: DataFrame, key: str) -> DataFrame:
 
 def generations(rows: DataFrame, last: int) -> DataFrame:
     """Outputs whose generation is not newer than the last one or not that of the others."""
-    top = F.max("generation").over(Window.partitionBy())
-    return rows.withColumn("top", top).where((F.col("generation") <= last) | (F.col("generation") != F.col("top")))
+    top = rows.agg(F.max("generation").alias("top"))  # one row
+    return rows.join(F.broadcast(top)).where((F.col("generation") <= last) | (F.col("generation") != F.col("top")))
+
+
+def snapshot_violations(rows: DataFrame, now_us: Column) -> DataFrame:
+    """(event_id, reason) of snapshot rows that break a rule: ends, order, lengths and times after the snapshot."""
+    reasons = F.array_compact(F.array(
+        F.when(F.col("start_us").isNull(), "no start"), F.when(F.col("end_us") <= F.col("start_us"), "ends before it starts"),
+        F.when(F.col("start_us") > now_us, "starts after the snapshot"), F.when(F.col("end_us") > now_us, "ends after the snapshot"),
+        F.when(F.col("length_us") != F.col("end_us") - F.col("start_us"), "wrong length")))
+    return rows.select("event_id", F.explode(reasons).alias("reason"))
+
+
+def page_counts(pages: DataFrame, messages: DataFrame, key: str, total: str) -> DataFrame:
+    """Sources whose declared number of pages, or whose pages' declared messages, are not what there is.
+
+    ``pages`` (key, page, total, declared) with the number of all pages and of a page's messages; ``messages`` (key, page).
+    """
+    held = messages.groupBy(key, "page").agg(F.count("*").alias("found"))
+    both = pages.join(held, [key, "page"], "left").na.fill(0, ["found"])
+    one = both.groupBy(key).agg(F.max(total).alias("total"), F.count_distinct("page").alias("pages"), F.count_if(F.col("declared") != F.col("found")).alias("wrong_pages"))
+    return one.where("total <> pages or wrong_pages > 0")

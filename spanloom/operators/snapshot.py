@@ -44,6 +44,30 @@ def period_totals(rows: DataFrame, keys: list[str], when: DataFrame) -> DataFram
     return parts.groupBy(*keys, "period").agg(F.sum(F.col("end_us") - F.col("start_us")).alias("closed_us"))
 
 
+def provisional_totals(closed: DataFrame, opened: DataFrame, keys: list[str], when: DataFrame, now_us: Column) -> DataFrame:
+    """Period totals of closed intervals, and of them with the open ones up to now: (keys, period, closed_us, provisional_us)."""
+    columns = [*keys, "start_us", "end_us"]
+    every = closed.select(*columns).unionByName(opened.select(*keys, "start_us", now_us.cast("long").alias("end_us")))
+    both = period_totals(every, keys, when).withColumnRenamed("closed_us", "provisional_us")
+    return both.join(period_totals(closed, keys, when), [*keys, "period"], "left").na.fill(0, ["closed_us"]).select(*keys, "period", "closed_us", "provisional_us")
+
+
+SKEW, CAPTURE_AGE = 120 * times.SECOND, 8 * HOUR
+
+
+def usable_open(rows: DataFrame, now_us: Column, zone: str = times.ZONE) -> DataFrame:
+    """Open intervals (start_us, captured_us) with ``reasons`` why they may not be shown as going on.
+
+    A capture may be ``SKEW`` ahead of the clock and ``CAPTURE_AGE`` old, and must be of the same local day as now.
+    """
+    age = now_us - F.col("captured_us")
+    reasons = F.array_compact(F.array(
+        F.when(F.col("captured_us").isNull(), "no capture"), F.when(age < -SKEW, "captured in the future"), F.when(age > CAPTURE_AGE, "capture too old"),
+        F.when(times.local_day(F.col("captured_us"), zone) != times.local_day(now_us, zone), "captured on another day"),
+        F.when(F.col("start_us") > F.col("captured_us") + SKEW, "starts after its capture")))
+    return rows.withColumns({"reasons": reasons, "usable": F.size(reasons) == 0})
+
+
 def overlapping_open(open_rows: DataFrame, closed: DataFrame, keys: list[str]) -> DataFrame:
     """Open intervals whose start lies inside a closed one: violations."""
     late = closed.groupBy(*keys).agg(F.max("end_us").alias("last_end_us"))

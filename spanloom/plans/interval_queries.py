@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import times
 from spanloom.operators import calendar, coverage, intervals
 from spanloom.plans import views
-from spanloom.plans.views import ORDER_SPANS_SQL, RATES_SQL, SPANS_SQL, alerts, daily_sql, islands_sql, order_spans, sweep_sql
+from spanloom.plans.views import NOW_US, ORDER_SPANS_SQL, RATES_SQL, SPANS_SQL, alerts, daily_sql, islands_sql, order_spans, sweep_sql
 
 QUERIES, SQL = {}, {}
 
@@ -161,21 +161,29 @@ def proxy_metrics_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.overlap_metrics(fine, mid, ["raion", "period"])
 
 
-@query(f"""WITH {SPANS_SQL}, {islands_sql('e', 'alerts', 'oblast')}, {islands_sql('m', 'alerts', 'oblast, raion')},
+_HOURLY = "SELECT raion, oblast, level, start_us, start_us + CASE WHEN level = 'raion' THEN 30 ELSE 1 END * greatest(end_us - start_us, 0) AS end_us FROM alerts WHERE level IN ('raion', 'oblast')"
+
+
+@query(f"""WITH {SPANS_SQL}, l AS ({_HOURLY}), {islands_sql('e', 'l', 'oblast')}, o AS (SELECT * FROM l WHERE level = 'oblast'), {islands_sql('w', 'o', 'oblast')},
+r AS (SELECT * FROM l WHERE level = 'raion'), {islands_sql('m', 'r', 'oblast, raion')},
 t AS (SELECT oblast, start_us AS t, 1 AS x FROM m UNION ALL SELECT oblast, end_us, -1 FROM m), g AS (SELECT oblast, t, sum(x) AS x FROM t GROUP BY ALL),
-w AS (SELECT oblast, t AS start_us, lead(t) OVER z AS end_us, sum(x) OVER z AS active FROM g WINDOW z AS (PARTITION BY oblast ORDER BY t)),
-size AS (SELECT CAST(n_regionkey AS BIGINT) AS oblast, count(*) // 3 AS members FROM nation GROUP BY 1),
-f AS (SELECT w.* FROM w JOIN size USING (oblast) WHERE end_us IS NOT NULL AND active = members), {islands_sql('u', 'f', 'oblast')},
+v AS (SELECT oblast, t AS start_us, lead(t) OVER z AS end_us, sum(x) OVER z AS active FROM g WINDOW z AS (PARTITION BY oblast ORDER BY t)),
+size AS (SELECT CAST(n_regionkey AS BIGINT) AS oblast, count(*) AS members FROM nation GROUP BY 1),
+f AS (SELECT v.oblast, start_us, end_us FROM v JOIN size USING (oblast) WHERE end_us IS NOT NULL AND active = members UNION ALL SELECT oblast, start_us, end_us FROM w), {islands_sql('u', 'f', 'oblast')},
 a AS (SELECT oblast, sum(end_us - start_us)::BIGINT AS any_us, count(*) AS episodes FROM e GROUP BY oblast),
-b AS (SELECT oblast, sum(end_us - start_us)::BIGINT AS full_us FROM u GROUP BY oblast),
-c AS (SELECT oblast, count(*) AS full_episodes FROM e WHERE EXISTS (SELECT 1 FROM u WHERE u.oblast = e.oblast AND u.start_us < e.end_us AND u.end_us > e.start_us) GROUP BY oblast)
-SELECT oblast, any_us, episodes, coalesce(full_us, 0) AS full_us, coalesce(full_episodes, 0) AS full_episodes,
-  CASE WHEN any_us <> 0 THEN coalesce(full_us, 0)::DOUBLE * 100.0::DOUBLE / any_us::DOUBLE END AS full_pct
-FROM a LEFT JOIN b USING (oblast) LEFT JOIN c USING (oblast)""")
+x AS (SELECT oblast, sum(end_us - start_us)::BIGINT AS explicit_us FROM w GROUP BY oblast), b AS (SELECT oblast, sum(end_us - start_us)::BIGINT AS full_us FROM u GROUP BY oblast),
+c AS (SELECT oblast, count(*) AS full_episodes FROM e WHERE EXISTS (SELECT 1 FROM u WHERE u.oblast = e.oblast AND u.start_us < e.end_us AND u.end_us > e.start_us) GROUP BY oblast),
+d AS (SELECT oblast, count(DISTINCT raion) AS members_seen FROM r GROUP BY oblast)
+SELECT oblast, any_us, episodes, coalesce(explicit_us, 0) AS explicit_us, coalesce(full_us, 0) AS full_us, coalesce(full_episodes, 0) AS full_episodes, coalesce(members_seen, 0) AS members_seen,
+  CASE WHEN any_us <> 0 THEN coalesce(explicit_us, 0)::DOUBLE * 100.0::DOUBLE / any_us::DOUBLE END AS explicit_pct, CASE WHEN any_us <> 0 THEN coalesce(full_us, 0)::DOUBLE * 100.0::DOUBLE / any_us::DOUBLE END AS full_pct,
+  CASE WHEN episodes <> 0 THEN coalesce(full_episodes, 0)::DOUBLE * 100.0::DOUBLE / episodes::DOUBLE END AS full_episodes_pct
+FROM a LEFT JOIN x USING (oblast) LEFT JOIN b USING (oblast) LEFT JOIN c USING (oblast) LEFT JOIN d USING (oblast)""")
 def full_coverage_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Here a third of an oblast's raions counts as all, since all of them at once do not occur in these tables."""
-    sizes = views.table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").cast("long").alias("oblast")).agg(F.floor(F.count("*") / 3).alias("members"))
-    return coverage.full_coverage(alerts(spark, sf_dir), "oblast", "raion", sizes)
+    """All raions of an oblast; their alerts are taken thirty times as long, so that all are active at once now and then. Highest share first."""
+    sizes = views.table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").cast("long").alias("oblast")).agg(F.count("*").alias("members"))
+    times_long = F.when(F.col("level") == "raion", 30).otherwise(1)
+    rows = alerts(spark, sf_dir, "raion", "oblast").withColumn("end_us", F.col("start_us") + times_long * (F.col("end_us") - F.col("start_us")))
+    return coverage.by_share(coverage.full_coverage(rows, "oblast", "raion", sizes, F.col("level") == "oblast"))
 
 
 _ALONE = "NOT EXISTS (SELECT 1 FROM coarse c WHERE c.oblast = m.oblast AND c.start_us < m.end_us AND c.end_us > m.start_us)"
@@ -206,16 +214,25 @@ _GAP, _TAIL, _REACH = 60 * times.DAY, 3, 400 * times.DAY
 @query(f"""WITH d AS (SELECT DISTINCT o_custkey AS k, epoch_us(o_orderdate) AS start_us FROM orders),
 x AS (SELECT *, start_us - lag(start_us) OVER (PARTITION BY k ORDER BY start_us) AS gap, count(*) OVER (PARTITION BY k ORDER BY start_us ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_n,
   max(start_us) OVER (PARTITION BY k) AS last_us FROM d),
-c AS (SELECT k, coalesce(max(start_us) FILTER (gap >= {_GAP} AND left_n >= {_TAIL} AND last_us >= (SELECT max(start_us) FROM d) - {_REACH}), min(start_us)) AS stable_us FROM x GROUP BY k)
-SELECT k, stable_us, count(*) AS tail_events, coalesce(max(gap) FILTER (start_us > stable_us), 0) AS tail_gap_us FROM x JOIN c USING (k) WHERE start_us >= stable_us GROUP BY k, stable_us""")
+c AS (SELECT k, coalesce(max(start_us) FILTER (gap >= {_GAP} AND left_n >= {_TAIL} AND last_us >= (SELECT max(start_us) FROM d) - {_REACH}), min(start_us)) AS stable_us, min(start_us) AS first_us, max(start_us) AS last_observed_us FROM x GROUP BY k)
+SELECT k, stable_us, first_us, last_observed_us, coalesce(max(gap) FILTER (start_us = stable_us), 0) AS gap_before_us, count(*) AS tail_events, coalesce(max(gap) FILTER (start_us > stable_us), 0) AS tail_gap_us
+FROM x JOIN c USING (k) WHERE start_us >= stable_us GROUP BY k, stable_us, first_us, last_observed_us""")
 def stable_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = times.micros(F.col("o_orderdate"))
     rows = views.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), start.alias("start_us"), start.alias("end_us"))
-    return coverage.stable_start(rows, ["k"], gap_us=_GAP, tail=_TAIL, reach_us=_REACH).na.fill(0, ["tail_gap_us"])
+    return coverage.stable_start(rows, ["k"], gap_us=_GAP, tail=_TAIL, reach_us=_REACH).na.fill(0, ["tail_gap_us", "gap_before_us"])
+
+
+_YEARS = ((NOW_US - 20 * times.DAY, NOW_US - 5 * times.DAY), (NOW_US - 5 * times.DAY, NOW_US + 60 * times.DAY))
 
 
-@query(f"""WITH {SPANS_SQL}, n AS (SELECT max(end_us) AS newest FROM alerts),
-c AS (SELECT k, count(*) AS events, count(*) FILTER (start_us >= newest - {3 * times.DAY}) AS recent, max(start_us) AS last_us FROM alerts, n GROUP BY k)
-SELECT *, CASE WHEN recent = 0 THEN 'silent' WHEN recent < 5 THEN 'sparse' WHEN events = recent THEN 'new' ELSE 'active' END AS status FROM c""")
+@query(f"""WITH {SPANS_SQL}, n AS (SELECT max(end_us) AS newest FROM fine), p AS (SELECT DISTINCT k, k % 7 <> 0 AS matched FROM spans),
+c AS (SELECT k, count(*) FILTER (start_us >= {_YEARS[0][0]} AND start_us < {_YEARS[0][1]}) AS before_n, count(*) FILTER (start_us >= {_YEARS[1][0]} AND start_us < {_YEARS[1][1]}) AS now_n,
+  count(*) FILTER (start_us >= newest - {3 * times.DAY}) AS recent_n FROM fine, n GROUP BY k),
+x AS (SELECT k, matched, coalesce(before_n, 0) AS before_n, coalesce(now_n, 0) AS now_n, coalesce(recent_n, 0) AS recent_n FROM p LEFT JOIN c USING (k))
+SELECT *, CASE WHEN NOT matched THEN 'no_states_match' WHEN now_n >= 10 AND recent_n >= 2 THEN 'current_exact_city_candidate' WHEN now_n > 0 THEN 'sparse_or_intermittent_2026'
+  WHEN before_n > 0 THEN 'historical_2025_only' ELSE 'no_2025_2026_exact_city_events' END AS status FROM x""")
 def activity_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coverage.activity(alerts(spark, sf_dir), ["k"], recent_us=3 * times.DAY)
+    """Users as places, those with a key divisible by seven without a match; two stretches of the month as the years."""
+    places = views.spans(spark, sf_dir).select("k", (F.col("k") % 7 != 0).alias("matched")).distinct()
+    return coverage.activity(places, alerts(spark, sf_dir, "hromada"), ["k"], *_YEARS, recent_us=3 * times.DAY)

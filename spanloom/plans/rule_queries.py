@@ -69,20 +69,25 @@ def first_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.first_alias(one, aliases, words.name_key(F.col("n_name")))
 
 
-@query("""SELECT year, deaths FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS deaths FROM orders GROUP BY 1) WHERE deaths <> 2000 + CAST(year AS BIGINT) % 5 AND CAST(year AS BIGINT) BETWEEN 1990 AND 2030""")
+@query("""WITH a AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS deaths FROM orders GROUP BY 1), b AS (SELECT CAST(year(l_shipdate) AS VARCHAR) AS year, count(DISTINCT l_orderkey) AS expected FROM lineitem GROUP BY 1)
+SELECT year, coalesce(deaths, -1) AS deaths, coalesce(expected, -1) AS expected FROM a FULL JOIN b USING (year) WHERE deaths IS DISTINCT FROM expected""")
 def control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by month against shipped orders by year; the last year of shipments has no orders."""
     monthly = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("deaths"))
-    expected = monthly.select(F.substring("month", 1, 4).alias("year")).distinct().withColumn("expected", 2000 + F.col("year").cast("long") % 5)
-    return ledger.control_totals(monthly, expected).select("year", "deaths")
+    expected = table(spark, sf_dir, "lineitem").groupBy(F.year("l_shipdate").cast("string").alias("year")).agg(F.count_distinct("l_orderkey").alias("expected"))
+    return ledger.control_totals(monthly, expected).na.fill(-1, ["deaths", "expected"])
 
 
-@query("""WITH r AS (SELECT l_partkey % 500 AS record_id, l_returnflag AS f, l_linenumber AS n FROM lineitem WHERE l_suppkey % 10 = 0), x AS (SELECT *, count(*) OVER (PARTITION BY record_id) > 1 AS twice FROM r)
-SELECT CAST(record_id AS VARCHAR) AS record_id, 'id twice' AS reason, count(*) AS n FROM x WHERE twice GROUP BY ALL UNION ALL SELECT CAST(record_id AS VARCHAR), 'bad status', count(*) FROM x WHERE f = 'N' GROUP BY ALL
-UNION ALL SELECT CAST(record_id AS VARCHAR), 'no count', count(*) FROM x WHERE n = 7 GROUP BY ALL""")
+@query("""WITH r AS (SELECT l_orderkey || '-' || (l_linenumber // 2) AS record_id, l_returnflag AS f, l_linenumber AS n, l_linestatus AS s FROM lineitem), x AS (SELECT *, count(*) OVER (PARTITION BY record_id) > 1 AS twice FROM r)
+SELECT record_id, 'id twice' AS reason, count(*) AS n FROM x WHERE twice GROUP BY ALL UNION ALL SELECT record_id, 'bad status', count(*) FROM x WHERE f = 'N' GROUP BY ALL
+UNION ALL SELECT record_id, 'bad count', count(*) FROM x WHERE n = 7 GROUP BY ALL UNION ALL SELECT record_id, 'bad date', count(*) FROM x WHERE n = 5 AND s = 'F' GROUP BY ALL""")
 def revision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").where("l_suppkey % 10 = 0").select(
-        (F.col("l_partkey") % 500).cast("string").alias("record_id"), F.when(F.col("l_returnflag") == "N", "odd").otherwise("confirmed").alias("status"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("attack_date"), F.when(F.col("l_linenumber") != 7, F.lit(1)).alias("deaths_delta"))
+    """Line items as revisions: a status that there isn't, two that there are (in any case), blank and unreadable counts, a day that there isn't."""
+    status = F.when(F.col("l_returnflag") == "N", "pending").when(F.col("l_returnflag") == "A", " Needs_Review").otherwise("confirmed")
+    day = F.when((F.col("l_linenumber") == 5) & (F.col("l_linestatus") == "F"), "2024-02-30").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", F.floor(F.col("l_linenumber") / 2)).alias("record_id"), status.alias("status"), day.alias("attack_date"),
+        F.when(F.col("l_linenumber") == 7, "x").when(F.col("l_linenumber") == 6, " ").otherwise("1").alias("deaths_delta"))
     return ledger.revision_violations(rows).groupBy("record_id", "reason").agg(F.count("*").alias("n"))
 
 
@@ -93,12 +98,19 @@ def inbox_top30(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.inbox(queue).select("candidate_id", "updated_at")
 
 
-@query("""SELECT o_orderkey, concat_ws('|', CASE WHEN o_totalprice < 100000 THEN 'bad count' END, CASE WHEN o_orderstatus = 'O' THEN 'bad source' END, CASE WHEN o_orderpriority = '5-LOW' THEN 'no incident' END) AS reasons FROM orders""")
+@query("""SELECT o_orderkey, concat_ws('|', CASE WHEN o_orderkey % 5 = 0 THEN 'no id' END, CASE WHEN o_totalprice < 100000 THEN 'bad count' END, CASE WHEN o_orderkey % 7 = 0 THEN 'no source' END,
+  CASE WHEN o_orderstatus = 'O' THEN 'bad address' END, CASE WHEN o_orderpriority = '5-LOW' THEN 'bad incident' END, CASE WHEN o_orderpriority = '1-URGENT' THEN 'bad kind' END,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'bad credit' END, CASE WHEN o_orderkey % 11 = 0 THEN 'no identity' END, CASE WHEN o_orderkey % 13 = 0 THEN 'no credit proof' END) AS reasons FROM orders""")
 def confirmation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
     rows = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.concat(F.lit("rec-"), "o_orderkey").alias("record_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("attack_date"),
-        F.when(F.col("o_totalprice") >= 100000, 1).otherwise(0).alias("deaths_delta"), F.when(F.col("o_orderstatus") == "O", "ftp://x").otherwise("https://example.org/a").alias("source_url"),
-        F.when(F.col("o_orderpriority") == "5-LOW", " ").otherwise("i").alias("incident_id"))
+        "o_orderkey", F.when(key % 5 == 0, "  ").otherwise(F.concat(F.lit("rec "), key)).alias("record_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("attack_date"),
+        F.when(F.col("o_totalprice") >= 100000, "1").otherwise("0").alias("deaths_delta"), F.when(key % 7 != 0, "paper").alias("source_name"),
+        F.when(F.col("o_orderstatus") == "O", "ftp://x").otherwise("HTTPS://example.org/a").alias("source_url"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "incident:short").otherwise(F.concat(F.lit("incident:2024-05-01_"), key)).alias("incident_id"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "total").otherwise("Delta").alias("count_kind"), F.when(key % 3 == 0, "01").otherwise("0").alias("baseline_credited"),
+        F.when(key % 11 == 0, "git:main:x").otherwise(F.concat(F.lit("git:" + "a" * 40 + ":x/"), key)).alias("identity_proof"),
+        F.when(key % 13 == 0, "sha256:0").otherwise(F.concat(F.lit("sha256:"), F.sha2(key.cast("string"), 256))).alias("credited_proof"))
     return ledger.confirmation_reasons(rows).select("o_orderkey", F.array_join("reasons", "|").alias("reasons"))
 
 
@@ -108,11 +120,12 @@ def outside_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.outside_set(table(spark, sf_dir, "customer"), dim, "c_mktsegment").select("c_custkey", "c_mktsegment")
 
 
-@query("""WITH o AS (SELECT c_nationkey AS region, count(*) AS n, max(c_acctbal) AS top FROM customer GROUP BY 1), p AS (SELECT s_nationkey AS region, count(*) AS n, max(s_acctbal) AS top FROM supplier WHERE s_suppkey % 4 = 0 GROUP BY 1)
+@query("""WITH o AS (SELECT c_nationkey AS region, count(*) AS n, max(c_acctbal) AS top FROM customer GROUP BY 1), p AS (SELECT s_nationkey AS region, count(*) AS n, max(s_acctbal) AS top FROM supplier GROUP BY 1 HAVING max(s_acctbal) > 8000)
 SELECT CAST(region AS BIGINT) AS region, coalesce(p.n, o.n) AS n, coalesce(p.top, o.top) AS top, p.region IS NOT NULL AS continuous FROM o FULL JOIN p USING (region)""")
 def region_status_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one = lambda t, k, b, c: table(spark, sf_dir, t).where(c).groupBy(F.col(k).cast("long").alias("region")).agg(F.count("*").alias("n"), F.max(b).alias("top"))
-    return ingest.status_kept(one("customer", "c_nationkey", "c_acctbal", "true"), one("supplier", "s_nationkey", "s_acctbal", "s_suppkey % 4 = 0"), ["n", "top"])
+    """Nations' customers as the old state, their suppliers as a poll that leaves out nations whose best balance is low."""
+    one = lambda t, k, b: table(spark, sf_dir, t).groupBy(F.col(k).cast("long").alias("region")).agg(F.count("*").alias("n"), F.max(b).alias("top"))
+    return ingest.status_kept(one("customer", "c_nationkey", "c_acctbal"), one("supplier", "s_nationkey", "s_acctbal").where("top > 8000"), ["n", "top"])
 
 
 @query("SELECT count(*) AS required, count(*) FILTER (has) AS covered, count(*) FILTER (NOT has) AS uncovered FROM (SELECT n_nationkey IN (SELECT s_nationkey FROM supplier) AS has FROM nation)")
@@ -188,11 +201,15 @@ def unequal_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.parts_unequal(table(spark, sf_dir, "lineitem"), "l_partkey", ["l_suppkey", "l_linenumber"], 5).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query(f"""WITH {SPANS_SQL}, n AS (SELECT k AS region, level AS name FROM spans GROUP BY ALL HAVING count(*) >= 14) SELECT event_id, k AS region, level AS name FROM spans JOIN n ON region = k AND name = level""")
+@query(f"""WITH {SPANS_SQL}, n AS (SELECT k AS region, level AS name FROM spans GROUP BY ALL HAVING count(*) >= 14)
+SELECT event_id, k AS region, level AS name FROM spans LEFT JOIN n ON region = k AND name = level WHERE name IS NOT NULL OR event_id % 9 < 2""")
 def accepted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spans(spark, sf_dir).select("event_id", F.col("k").alias("region"), F.col("level").alias("name"))
-    aliases = rows.groupBy("region", "name").count().where("count >= 14")
-    return ingest.accepted_names(rows, aliases).select("event_id", "region", "name")
+    """Names in other cases and spacing count as the same; a blank or missing one, and the region's own, are accepted."""
+    own, key = F.col("level"), F.col("event_id")
+    name = F.when(key % 9 == 0, F.when(key % 2 == 0, "  ")).when(key % 9 == 1, F.col("k").cast("string")).otherwise(F.concat(F.lit(" "), F.initcap("level")))
+    rows = spans(spark, sf_dir).select("event_id", F.col("k").alias("region"), own.alias("level"), name.alias("name"))
+    aliases = rows.groupBy("region", F.col("level").alias("name")).count().where("count >= 14")
+    return ingest.accepted_names(rows, aliases).select("event_id", "region", F.col("level").alias("name"))
 
 
 @query(f"""WITH {SPANS_SQL}, {views.daily_sql('d', 'alerts', 'k')}, p AS (SELECT k, date_trunc('week', day)::DATE AS period, count(*) AS days, sum(alerts_started)::BIGINT AS alerts_started FROM d GROUP BY ALL),
@@ -200,3 +217,49 @@ f AS (SELECT k, min(day) AS first_day FROM d GROUP BY k) SELECT k, period, alert
 def trimmed_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = calendar.daily(alerts(spark, sf_dir), ["k"])
     return calendar.after_first_day(calendar.weekly(days, ["k"]), days, ["k"]).select("k", "period", "alerts_started")
+
+
+@query("SELECT o_orderkey, o_custkey, CAST(epoch_us(o_orderdate) AS BIGINT) AS at_us FROM orders WHERE o_orderstatus = 'F' ORDER BY at_us, o_custkey, o_orderkey")
+def ordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", times.micros(F.col("o_orderdate")).alias("at_us"))
+    return calendar.in_order(rows, ["at_us", "o_custkey", "o_orderkey"])
+
+
+@query(f"""WITH {SPANS_SQL} SELECT k, {views.local_day_sql('max(end_us)')} - 1 AS day FROM alerts GROUP BY k""")
+def last_whole_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts(spark, sf_dir).groupBy("k").agg(F.max("end_us").alias("newest_us")).select("k", times.last_complete_day(F.col("newest_us")).alias("day"))
+
+
+@query("""SELECT c_custkey, 'user ' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN ' token: ***, x' ELSE ' tokens: ' || c_name END AS text FROM customer""")
+def masked_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    text = F.concat(F.lit("user "), key, F.when(key % 2 == 0, F.concat(F.lit(" token: "), "c_name", F.lit(", x"))).otherwise(F.concat(F.lit(" tokens: "), "c_name")))
+    return table(spark, sf_dir, "customer").select("c_custkey", words.masked(text).alias("text"))
+
+
+@query(f"""WITH {SPANS_SQL}, c AS (SELECT event_id, start_us, start_us + CAST(event_id % 13 AS BIGINT) * 3600000000 - 60000000 AS captured_us FROM alerts),
+d AS (SELECT event_id, concat_ws('|', CASE WHEN {NOW_US} - captured_us < -120000000 THEN 'captured in the future' END, CASE WHEN {NOW_US} - captured_us > 28800000000 THEN 'capture too old' END,
+  CASE WHEN {views.local_day_sql('captured_us')} <> {views.local_day_sql(str(NOW_US))} THEN 'captured on another day' END, CASE WHEN start_us > captured_us + 120000000 THEN 'starts after its capture' END) AS reasons FROM c)
+SELECT event_id, reasons, reasons = '' AS usable FROM d""")
+def usable_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = alerts(spark, sf_dir).select("event_id", "start_us", (F.col("start_us") + F.col("event_id") % 13 * snapshot.HOUR - 60 * times.SECOND).alias("captured_us"))
+    return snapshot.usable_open(rows, F.lit(NOW_US)).select("event_id", F.array_join("reasons", "|").alias("reasons"), "usable")
+
+
+@query(f"""WITH {SPANS_SQL}, r AS (SELECT event_id, start_us, end_us, (end_us - start_us) + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS length_us FROM spans)
+SELECT event_id, unnest(list_filter([CASE WHEN end_us <= start_us THEN 'ends before it starts' END, CASE WHEN start_us > {NOW_US} THEN 'starts after the snapshot' END,
+  CASE WHEN end_us > {NOW_US} THEN 'ends after the snapshot' END, CASE WHEN length_us <> end_us - start_us THEN 'wrong length' END], lambda x: x IS NOT NULL)) AS reason FROM r""")
+def snapshot_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spans(spark, sf_dir).withColumn("length_us", F.col("end_us") - F.col("start_us") + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0))
+    return proofs.snapshot_violations(rows, F.lit(NOW_US))
+
+
+@query("""WITH p AS (SELECT o_custkey AS key, o_orderkey AS page, (o_orderkey % 6) + 1 AS declared, (SELECT count(*) FROM orders x WHERE x.o_custkey = o.o_custkey) - CASE WHEN o_custkey % 4 = 0 THEN 1 ELSE 0 END AS total FROM orders o),
+f AS (SELECT l_orderkey AS page, count(*) AS found FROM lineitem GROUP BY 1), b AS (SELECT p.*, coalesce(found, 0) AS found FROM p LEFT JOIN f USING (page))
+SELECT key, max(total) AS total, count(DISTINCT page) AS pages, count(*) FILTER (declared <> found) AS wrong_pages FROM b GROUP BY key HAVING max(total) <> count(DISTINCT page) OR count(*) FILTER (declared <> found) > 0""")
+def page_count_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as sources, their orders as pages, line items as messages."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("page"), (F.col("o_orderkey") % 6 + 1).alias("declared"))
+    total = orders.groupBy("key").agg((F.count("*") - F.when(F.col("key") % 4 == 0, 1).otherwise(0)).alias("total"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page")).join(orders.select("key", "page"), "page")
+    return proofs.page_counts(orders.join(total, "key"), lines, "key", "total")

@@ -25,15 +25,16 @@ def query(sql: str | None = None):
 
 
 @query("""WITH p AS (SELECT n_nationkey AS g, n_name AS name FROM nation), c AS (
-  SELECT s_nationkey AS g, 'nation_' || (s_suppkey % 40) AS name FROM supplier UNION SELECT c_nationkey, 'Nation_' || (c_custkey % 40) || ' west' FROM customer),
-m AS (SELECT p.g, p.name, c.name AS candidate, lower(p.name) AS want, lower(c.name) AS have FROM p JOIN c USING (g)),
-s AS (SELECT *, CASE WHEN want = have THEN 3 WHEN starts_with(have, want) OR starts_with(want, have) THEN 2 WHEN contains(have, want) OR contains(want, have) THEN 1 END AS score FROM m)
-SELECT CAST(g AS BIGINT) AS g, name, (arg_max(candidate, (score, candidate))) AS candidate, max(score) AS score FROM s WHERE score IS NOT NULL GROUP BY g, name""")
+  SELECT s_nationkey AS g, 'м. NATION_' || (s_suppkey % 40) || CASE WHEN s_suppkey % 3 = 0 THEN ' міська' ELSE '' END AS name FROM supplier
+  UNION SELECT c_nationkey, 'old Nation_' || (c_custkey % 40) || ' west' FROM customer UNION SELECT c_nationkey, 'м. NATION_' || (c_custkey % 40) || 'x' FROM customer),
+m AS (SELECT p.g, p.name, c.name AS candidate, CASE WHEN c.name = 'м. ' || p.name OR starts_with(c.name, 'м. ' || p.name || ' ') THEN 100 WHEN contains(lower(c.name), lower(p.name)) THEN 50 END AS score FROM p JOIN c USING (g))
+SELECT CAST(g AS BIGINT) AS g, name, (arg_max(candidate, (score, candidate))) AS candidate, max(score) AS score FROM m WHERE score IS NOT NULL GROUP BY g, name""")
 def best_name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("g"), F.col("n_name").alias("name"))
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("long").alias("g"), F.concat(F.lit("nation_"), F.col("s_suppkey") % 40).alias("name"))
-    customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("g"), F.concat(F.lit("Nation_"), F.col("c_custkey") % 40, F.lit(" west")).alias("name"))
-    return coverage.best_match(names, suppliers.union(customers).distinct(), ["g"])
+    made = lambda t, g, key, head, tail: table(spark, sf_dir, t).select(F.col(g).cast("long").alias("g"), F.concat(F.lit(head), F.col(key) % 40, tail).alias("name"))
+    candidates = made("supplier", "s_nationkey", "s_suppkey", "м. NATION_", F.when(F.col("s_suppkey") % 3 == 0, " міська").otherwise(""))
+    candidates = candidates.union(made("customer", "c_nationkey", "c_custkey", "old Nation_", F.lit(" west"))).union(made("customer", "c_nationkey", "c_custkey", "м. NATION_", F.lit("x")))
+    return coverage.best_match(names, candidates.distinct(), ["g"])
 
 
 @query("""WITH b AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS deaths FROM orders GROUP BY 1),
@@ -74,13 +75,13 @@ def promote_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.promoted(candidates, old.withColumn("candidate_ids", ids), ["y"]).withColumn("candidate_ids", F.array_join("candidate_ids", "|"))
 
 
-@query("""WITH d AS (SELECT doc_id AS id, source AS city, md5(text) AS url, left(text, 24) AS title, CAST(n_chars % 40 AS VARCHAR) AS day FROM documents),
+@query("""WITH d AS (SELECT doc_id AS id, source AS city, md5(text) AS url, sha256(lower(text)) AS title, CAST(n_chars % 40 AS VARCHAR) AS day FROM documents),
 u AS (SELECT city, min(id) OVER (PARTITION BY city, url) AS a, id AS b FROM d WHERE url IS NOT NULL), t AS (SELECT city, min(id) OVER (PARTITION BY city, title) AS a, id AS b FROM d WHERE title IS NOT NULL),
 m AS (SELECT * FROM u WHERE a <> b UNION SELECT * FROM t WHERE a <> b), y AS (SELECT city, min(id) OVER (PARTITION BY city, day) AS a, id AS b FROM d)
 SELECT city, a, b, 'media' AS kind FROM m UNION ALL SELECT city, a, b, 'day' FROM (SELECT * FROM y WHERE a <> b EXCEPT SELECT * FROM m)""")
 def duplicate_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("city"), F.md5(F.col("text").cast("binary")).alias("url"),
-                                                    F.substring("text", 1, 24).alias("title"), (F.col("n_chars") % 40).cast("string").alias("day"))
+                                                    F.sha2(F.lower("text").cast("binary"), 256).alias("title"), (F.col("n_chars") % 40).cast("string").alias("day"))
     return ledger.duplicate_warnings(rows, "city", "url", "title", "day")
 
 
@@ -129,22 +130,33 @@ def history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CUT = NOW_US - 2 * times.DAY
 
 
-@query(f"""WITH {SPANS_SQL}, t AS (SELECT DISTINCT k AS region, {_CUT} + k * 600000000 AS cutoff_us FROM spans), p AS (SELECT k AS region, min(start_us) AS oldest_us, max(end_us) AS latest_us, count(*) AS history_n FROM spans WHERE start_us >= {_CUT} GROUP BY k)
-SELECT region, cutoff_us, coalesce(oldest_us, -1) AS oldest_us, coalesce(latest_us, -1) AS latest_us, coalesce(history_n, 0) AS history_n, coalesce(history_n, 0) >= 25 AS limit_hit, coalesce(oldest_us <= cutoff_us, false) AS continuous,
-  CASE WHEN history_n IS NULL THEN 'region_missing_from_history_payload' WHEN oldest_us <= cutoff_us THEN 'history_overlaps_upstream' ELSE 'history_window_does_not_reach_upstream' END AS reason
-FROM t LEFT JOIN p USING (region)""")
+_POLLED = f"SELECT k AS region, start_us, end_us, CASE WHEN level IN ('hromada', 'raion', 'oblast') THEN 'Air' ELSE 'OTHER' END AS kind FROM spans WHERE start_us >= {_CUT} AND NOT (k % 6 = 0)"
+
+
+@query(f"""WITH {SPANS_SQL}, t AS (SELECT DISTINCT k AS region, {_CUT} + k * 600000000 AS cutoff_us FROM spans), h AS (SELECT DISTINCT k AS region FROM spans WHERE k % 12 <> 0),
+p AS (SELECT region, min(start_us) AS oldest_us, max(end_us) FILTER (kind = 'Air' AND end_us > start_us) AS latest_us, count(*) AS history_n, count(*) FILTER (kind = 'Air' AND end_us > start_us) AS completed_n FROM ({_POLLED}) GROUP BY region)
+SELECT region, cutoff_us, coalesce(oldest_us, -1) AS oldest_us, coalesce(latest_us, -1) AS latest_us, coalesce(history_n, 0) AS history_n, coalesce(completed_n, 0) AS completed_n, coalesce(history_n, 0) >= 25 AS limit_hit, coalesce(oldest_us <= cutoff_us, false) AS continuous,
+  CASE WHEN h.region IS NULL THEN 'region_missing_from_history_payload' WHEN oldest_us <= cutoff_us THEN 'history_overlaps_upstream' ELSE 'history_window_does_not_reach_upstream' END AS reason
+FROM t LEFT JOIN h USING (region) LEFT JOIN p USING (region)""")
 def continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sixth user has no rows in the poll: half of these answered with an empty history, half not at all."""
     rows = spans(spark, sf_dir).withColumnRenamed("k", "region")
     targets = rows.select("region", (F.col("region") * 600_000_000 + _CUT).alias("cutoff_us")).distinct()
-    return ingest.continuity(targets, rows.where(F.col("start_us") >= _CUT)).na.fill(-1, ["oldest_us", "latest_us"])
+    kind = F.when(F.col("level").isin("hromada", "raion", "oblast"), "Air").otherwise("OTHER")
+    polled = rows.where((F.col("start_us") >= _CUT) & (F.col("region") % 6 != 0)).withColumn("kind", kind)
+    return ingest.continuity(targets, polled, rows.where("region % 12 <> 0").select("region")).na.fill(-1, ["oldest_us", "latest_us"])
+
+
+def _targets(rows: DataFrame) -> DataFrame:
+    return rows.select("region", (F.col("region") * 600_000_000 + _CUT).alias("cutoff_us")).distinct()
 
 
-@query(f"""WITH {SPANS_SQL}, s AS (SELECT k AS region, {_CUT} + k * 600000000 AS cutoff_us FROM spans GROUP BY k HAVING coalesce(min(start_us) FILTER (start_us >= {_CUT}) <= {_CUT} + k * 600000000, false)),
+@query(f"""WITH {SPANS_SQL}, s AS (SELECT k AS region, {_CUT} + k * 600000000 AS cutoff_us FROM alerts GROUP BY k HAVING coalesce(min(start_us) FILTER (start_us >= {_CUT}) <= {_CUT} + k * 600000000, false)),
 r AS (SELECT k AS region, start_us, end_us FROM alerts WHERE start_us < {_CUT} UNION ALL SELECT region, start_us, end_us FROM s JOIN alerts ON k = region WHERE start_us >= {_CUT} AND end_us > cutoff_us),
 {islands_sql('u', 'r', 'region')} SELECT * FROM u""")
 def bridged_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alerts(spark, sf_dir).withColumnRenamed("k", "region")
-    return ingest.bridged_union(rows.where(F.col("start_us") < _CUT), rows.where(F.col("start_us") >= _CUT), continuity(spark, sf_dir))
+    return ingest.bridged_union(rows.where(F.col("start_us") < _CUT), rows.where(F.col("start_us") >= _CUT), ingest.continuity(_targets(rows), rows.where(F.col("start_us") >= _CUT)))
 
 
 @query(f"""WITH {SPANS_SQL}, m AS (SELECT DISTINCT raion, start_us AS ts, CASE level WHEN 'oblast' THEN 'start' ELSE 'end' END AS kind FROM spans WHERE level IN ('oblast', 'clear')),
@@ -180,6 +192,17 @@ d0 AS {_DAY0}, p AS ({' UNION ALL '.join(f"SELECT '{n}' AS period, {views.midnig
 SELECT k, period, sum(least(end_us, {NOW_US}) - greatest(start_us, low_us))::BIGINT AS closed_us FROM u, p WHERE end_us > low_us AND start_us < {NOW_US} GROUP BY k, period"""
 
 
+@query()
+def provisional_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = snapshot.cut_at(alerts(spark, sf_dir).select("k", "start_us", "end_us"), F.lit(NOW_US))
+    return snapshot.provisional_totals(known.where("end_us is not null"), known.where("end_us is null"), ["k"], snapshot.periods(spark, NOW_US), F.lit(NOW_US))
+
+
+_TOTALS = "SELECT k, period, sum(least(end_us, {0}) - greatest(start_us, low_us))::BIGINT AS {2} FROM {1}, p WHERE end_us > low_us AND start_us < {0} GROUP BY k, period"
+SQL["provisional_totals"] = SQL["period_totals"].partition("SELECT k, period, sum(least")[0] + f""", every AS (SELECT k, start_us, coalesce(end_us, {NOW_US}) AS end_us FROM known WHERE start_us < {NOW_US}), {islands_sql('v', 'every', 'k')},
+a AS ({_TOTALS.format(NOW_US, 'u', 'closed_us')}), b AS ({_TOTALS.format(NOW_US, 'v', 'provisional_us')}) SELECT k, period, coalesce(closed_us, 0) AS closed_us, provisional_us FROM b LEFT JOIN a USING (k, period)"""
+
+
 @query(f"""WITH {SPANS_SQL}, s AS (SELECT k, max(end_us) AS checked_us, count(*) > 30 AS continuous FROM alerts WHERE start_us < {NOW_US} GROUP BY k)
 SELECT k, checked_us, continuous, {NOW_US} - checked_us AS age_us, concat_ws('|', CASE WHEN {NOW_US} < checked_us THEN 'from the future' END, CASE WHEN {NOW_US} - checked_us > 129600000000 THEN 'too old' END,
   CASE WHEN NOT continuous THEN 'not continuous' END) AS reasons, checked_us BETWEEN {NOW_US} - 129600000000 AND {NOW_US} AND continuous AS fresh FROM s""")
@@ -225,10 +248,12 @@ def multiset_retained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.lost(rows.select("l_orderkey", "l_linenumber"), rows.where("l_returnflag <> 'R'"))
 
 
-@query(f"""WITH {SPANS_SQL}, a AS (SELECT DISTINCT k FROM alerts WHERE level = 'hromada'), b AS (SELECT DISTINCT k FROM alerts WHERE level = 'oblast')
+@query("""WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'), b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'P')
 SELECT k, 'a' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT k, 'b' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)""")
 def unequal_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return proofs.unequal_sets(*(alerts(spark, sf_dir, level).select("k").distinct() for level in ("hromada", "oblast")))
+    """Customers with an urgent order against those with a pending one."""
+    orders = table(spark, sf_dir, "orders")
+    return proofs.unequal_sets(*(orders.where(c).select(F.col("o_custkey").alias("k")).distinct() for c in ("o_orderpriority = '1-URGENT'", "o_orderstatus = 'P'")))
 
 
 @query()
@@ -240,7 +265,7 @@ def corpus_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def table_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels", "conversations"]
+    names = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
     return proofs.manifest({n: table(spark, sf_dir, n) for n in names})
 
 
@@ -285,17 +310,36 @@ def page_text_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.articles(table(spark, sf_dir, "pages"))
 
 
-@query(r"""WITH n AS (SELECT doc_id, unnest(regexp_extract_all(text, '\b(\d{1,6})\b', 1)) AS x FROM documents), m AS (SELECT DISTINCT doc_id, TRY_CAST(x AS INTEGER) AS n FROM n)
-SELECT doc_id, array_to_string(list_sort(list(n)), '|') AS numbers FROM m WHERE n BETWEEN 1 AND 200 GROUP BY doc_id""")
+def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as reports of an attack: the number of dead is the key modulo 250, told in one of four ways."""
+    key = F.col("o_orderkey")
+    dead = key % 250
+    how = [F.concat(F.lit("Унаслідок атаки у Києві "), dead, F.lit(" людей загинуло")), F.concat(F.lit("Столицю накрив обстріл, відомо про "), dead, F.lit(" загиблих")),
+           F.concat(F.lit("Загиблих щонайменше "), dead, F.lit(" після удару")), F.concat(F.lit("Поранено "), dead, F.lit(" людей у КИЄВІ, дрон"))]
+    text = F.when(key % 4 == 0, how[0]).when(key % 4 == 1, how[1]).when(key % 4 == 2, how[2]).otherwise(how[3])
+    month = F.element_at(F.array(*map(F.lit, words.MONTHS)), F.month("o_orderdate"))
+    told = F.concat(text, F.lit(", "), F.dayofmonth("o_orderdate"), F.lit(" "), month, F.when(key % 3 == 0, F.concat(F.lit(" "), F.year("o_orderdate"), F.lit(" року"))).otherwise(""), F.lit("."))
+    return table(spark, sf_dir, "orders").select("o_orderkey", told.alias("text"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderkey % 250 AS VARCHAR) AS numbers FROM orders WHERE o_orderkey % 4 < 3 AND o_orderkey % 250 BETWEEN 1 AND 200")
 def extract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = words.counts_near(F.col("text"), [r"\b(\d{1,6})\b"])
-    rows = table(spark, sf_dir, "documents").select("doc_id", found.alias("n")).where(F.size("n") > 0)
-    return rows.select("doc_id", F.array_join(F.transform("n", lambda x: x.cast("string")), "|").alias("numbers"))
+    rows = _reports(spark, sf_dir).select("o_orderkey", words.counts_near(F.col("text")).alias("n")).where(F.size("n") > 0)
+    return rows.select("o_orderkey", F.array_join(F.transform("n", lambda x: x.cast("string")), "|").alias("numbers"))
+
 
+@query("""WITH o AS (SELECT o_orderkey, o_orderdate AS d, o_orderkey % 3 = 0 AND year(o_orderdate) BETWEEN 2000 AND 2099 AS told FROM orders)
+SELECT o_orderkey, CASE WHEN told THEN strftime(d, '%Y-%m-%d') ELSE '2026-' || strftime(d, '%m-%d') END AS dates FROM o WHERE told OR strftime(d, '%m-%d') <> '02-29'""")
+def extract_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days and months named in reports; where no year of this century is named it is 2026, in which 29 February is no date."""
+    rows = _reports(spark, sf_dir).select("o_orderkey", words.dates_in(F.col("text"), F.lit(2026)).alias("d")).where(F.size("d") > 0)
+    return rows.select("o_orderkey", F.array_join(F.transform("d", lambda x: x.cast("string")), "|").alias("dates"))
 
-@query("""SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)licens') AND regexp_matches(text, '(?i)the') AND regexp_matches(text, '(?i)public|apache')""")
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 4 < 2")
 def relevant_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where(words.relevant(F.col("text"), "(?i)licens", "(?i)the", "(?i)public|apache")).select("doc_id")
+    """The third way names no place and the fourth no dead."""
+    return _reports(spark, sf_dir).where(words.relevant(F.col("text"))).select("o_orderkey")
 
 
 _STATUS = "CASE role WHEN 'user' THEN 'needs_review' WHEN 'assistant' THEN 'hold' ELSE 'confirmed' END"
@@ -316,6 +360,19 @@ def turn_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select(part[0].cast("long").alias("conv_id"), F.col("at").alias("turn"), "status", "to_status", "accepted")
 
 
+@query("""SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus <> 'F' THEN 'hold' WHEN o_orderstatus = 'F' THEN 'confirmed' ELSE 'needs_review' END AS status,
+  CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus <> 'F' THEN 2 ELSE 1 END AS steps FROM orders""")
+def review_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Urgent orders are put on hold; what is confirmed already stays, as that transition is not allowed."""
+    orders = table(spark, sf_dir, "orders")
+    status = F.when(F.col("o_orderstatus") == "F", "confirmed").otherwise("needs_review")
+    first = F.array(F.struct(F.lit(0).cast("long").alias("at"), F.lit("new").alias("from"), status.alias("to")))
+    candidates = orders.select(F.col("o_orderkey").cast("string").alias("candidate_id"), F.lit("x").alias("city_key"), status.alias("status"), first.alias("review_history"))
+    decisions = orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").cast("string").alias("candidate_id"), F.lit("x").alias("city_key"), F.lit("hold").alias("to_status"), F.lit(1).cast("long").alias("at"))
+    done = ledger.reviewed_history(candidates, ledger.reviewed(candidates, decisions))
+    return done.select(F.col("candidate_id").cast("long").alias("o_orderkey"), "status", F.size("review_history").alias("steps"))
+
+
 @query("SELECT CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'open' END AS status, count(*) AS n FROM orders GROUP BY 1")
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "F", "done").when(F.col("o_orderstatus") == "P", "failed").otherwise("open")
@@ -331,10 +388,10 @@ def orphan_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {SPANS_SQL}, g AS (SELECT raion, date_trunc('day', make_timestamp(start_us))::DATE AS day, count(*) AS n FROM alerts GROUP BY ALL)
-SELECT raion, day, n FROM g WHERE raion % 5 = 0 AND NOT EXISTS (SELECT 1 FROM g h WHERE h.raion = g.raion AND h.day = g.day AND h.n > 10)""")
+SELECT raion, day, n FROM g WHERE n <= 10""")
 def incomplete_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alerts(spark, sf_dir).groupBy("raion", F.to_date(times.instant(F.col("start_us"))).alias("day")).agg(F.count("*").alias("n"))
-    return proofs.incomplete_index(rows.where("n > 10"), rows.where("raion % 5 = 0"), ["raion", "day"]).select("raion", "day", "n")
+    return proofs.incomplete_index(rows.where("n > 10"), rows, ["raion", "day"]).select("raion", "day", "n")
 
 
 @query("""WITH p AS (SELECT o_custkey AS key, CAST(year(o_orderdate) AS VARCHAR) AS source, min(epoch_us(o_orderdate)) AS first_us, min(epoch_us(o_orderdate) + 86400000000 * 200) AS check_us, count(*) AS completed FROM orders GROUP BY ALL),

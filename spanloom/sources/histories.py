@@ -49,12 +49,19 @@ def national(spark: SparkSession, path: str) -> DataFrame:
 
 
 def by_region(rows: DataFrame, dim: DataFrame) -> DataFrame:
-    """Distinct events of the wanted regions. ``dim`` (level, oblast, raion, hromada, key, valid_from_us) is small;
-    a null column of it does not matter for the match."""
-    same = lambda c: F.col(f"d.{c}").isNull() | (F.col(f"d.{c}") == F.col(f"e.{c}"))
-    met = rows.alias("e").join(F.broadcast(dim).alias("d"), (F.col("d.level") == F.col("e.level")) & same("oblast") & same("raion") & same("hromada"))
+    """Distinct events of the wanted regions, from ``dim`` (level, oblast, raion, hromada, key, valid_from_us); a null
+    column of it does not matter for the match.
+
+    An event asks with each choice of its columns left out, so that the join is one of equal keys.
+    """
+    places = ("oblast", "raion", "hromada")
+    asked = F.array(*[F.struct(*[(F.col(c) if kept >> i & 1 else F.lit(None).cast("string")).alias(f"d_{c}") for i, c in enumerate(places)]) for kept in range(8)])
+    events = rows.withColumn("asked", F.explode(F.array_distinct(asked))).select("*", "asked.*")
+    events = events.select("level", "start_us", "end_us", F.to_json(F.struct(*[f"d_{c}" for c in places])).alias("place"))
+    wanted = dim.select("level", "key", "valid_from_us", F.to_json(F.struct(*[F.col(c).alias(f"d_{c}") for c in places])).alias("place"))
+    met = events.alias("e").join(wanted.alias("d"), ["level", "place"])
     met = met.where(F.coalesce(F.col("e.start_us") >= F.col("d.valid_from_us"), F.lit(True)))
-    return met.select(F.col("d.level").alias("level"), F.col("d.key").alias("key"), "e.start_us", "e.end_us").dropDuplicates()
+    return met.select("level", F.col("d.key").alias("key"), "e.start_us", "e.end_us").dropDuplicates()
 
 
 def alarms(bodies: DataFrame, body: str, default_id: Column | None = None, default_name: Column | None = None) -> DataFrame:

@@ -32,39 +32,65 @@ def event_file(rows: DataFrame, path: str) -> None:
 
 
 class VersionedTable:
-    """A table that is replaced as a whole: a new version is written beside the old one, then a pointer is moved.
+    """A table that is replaced as a whole: a new version is written beside the old one, then a pointer is made.
 
-    Readers see the old version or the new one. A stream passes its epoch, and a repeated epoch does nothing.
+    Readers see the old version or the new one. Versions count up by one. A pointer's name holds the version
+    and, for a stream's batch, the stream and its epoch, so making it commits both at once: an epoch that is
+    repeated does nothing, while one of another stream, or of a stream begun anew, is a batch of its own. Of
+    versions older than the last ``keep`` the data go, and pointers but each stream's last.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, keep: int = 5):
+        self.spark, self.path, self.keep = spark, path.rstrip("/"), max(1, keep)
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._system = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _versions(self) -> list[int]:
+    def _pointers(self) -> list[tuple[int, str, int]]:
+        """(version, stream, epoch), in order; batch versions have no stream and epoch -1."""
         if not self._system.exists(self._path(f"{self.path}/pointers")):
             return []
-        return sorted(int(f.getPath().getName()) for f in self._system.listStatus(self._path(f"{self.path}/pointers")))
+        names = [f.getPath().getName().split("@") for f in self._system.listStatus(self._path(f"{self.path}/pointers"))]
+        return sorted((int(v), stream, int(epoch)) for v, stream, epoch in names)
 
     def current(self) -> DataFrame | None:
-        versions = self._versions()
-        return self.spark.read.parquet(f"{self.path}/data/{versions[-1]}") if versions else None
-
-    def replace(self, rows: DataFrame, epoch: int | None = None) -> int:
-        versions = self._versions()
-        version = epoch if epoch is not None else (versions[-1] + 1 if versions else 0)
-        if version in versions:
-            return version
+        pointers = self._pointers()
+        return self.spark.read.parquet(f"{self.path}/data/{pointers[-1][0]}") if pointers else None
+
+    def replace(self, rows: DataFrame, epoch: int | None = None, stream: str = "") -> int:
+        """Write a version; with an epoch, once for each epoch of ``stream``. Returns the version."""
+        pointers = self._pointers()
+        if epoch is None:
+            stream, epoch = "", -1
+        else:
+            stream = stream or "stream"
+            done = [v for v, s, e in pointers if (s, e) == (stream, epoch)]
+            if done:
+                return done[0]
+            if any(s == stream and e > epoch for _, s, e in pointers):
+                raise ValueError(f"epoch {epoch} of {stream} comes after a later one; a stream that was begun anew needs a name of its own")
+        version = pointers[-1][0] + 1 if pointers else 0
         rows.write.mode("overwrite").parquet(f"{self.path}/data/{version}")
         self._system.mkdirs(self._path(f"{self.path}/pointers"))
-        self._system.create(self._path(f"{self.path}/pointers/{version}"), True).close()
+        self._system.create(self._path(f"{self.path}/pointers/{version:012d}@{stream}@{epoch}"), False).close()
+        self._forget([*pointers, (version, stream, epoch)])
         return version
 
+    def _forget(self, pointers: list[tuple[int, str, int]]) -> None:
+        newest = {stream: version for version, stream, _ in pointers}
+        for version, stream, epoch in pointers[: -self.keep]:
+            self._system.delete(self._path(f"{self.path}/data/{version}"), True)
+            if newest[stream] != version:
+                self._system.delete(self._path(f"{self.path}/pointers/{version:012d}@{stream}@{epoch}"), False)
+
+
+def stream_name(batch: DataFrame) -> str:
+    """The id of the streaming query that a ``foreachBatch`` function runs in: it lasts as long as its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+
 
 def snapshot(tables: dict[str, DataFrame], path: str) -> DataFrame:
-    """Write each table, and a manifest with its rows and hash; the manifest is taken from what was written."""
+    """Write each table, and a manifest with its rows and SHA-256; the manifest is taken from what was written."""
     spark = next(iter(tables.values())).sparkSession
     for name, rows in tables.items():
         rows.write.mode("overwrite").parquet(f"{path}/{name}")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from spanloom.operators import ingest
-from spanloom.sources.sinks import VersionedTable
+from spanloom.sources.sinks import VersionedTable, stream_name
 
 OPEN_HOURS = 36
 
@@ -63,7 +63,7 @@ def upsert_into(table: VersionedTable, key: list[str]):
         if store is None:
             store = batch.limit(0)
             batch = batch.drop("first_fetched_us")
-        table.replace(ingest.upserted(store, batch, key), epoch)
+        table.replace(ingest.upserted(store, batch, key), epoch, stream_name(batch))
 
     return merge
 
@@ -73,13 +73,14 @@ def receipts_into(table: VersionedTable, receipts: VersionedTable):
 
     def record(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
+        stream = stream_name(batch)
         before = table.current()
         if before is None:
             before = spark.createDataFrame([], "key string, source string, checked_us long")
-        rows = ingest.receipts(batch, before)
-        receipts.replace(rows, epoch)
+        # a repeated batch finds its receipts written, and takes the checkpoints from them
+        receipts.replace(ingest.receipts(batch, before), epoch, stream)
         done = receipts.current().select("key", "source", F.col("next_us").alias("new"))
-        table.replace(before.join(done, ["key", "source"], "full").select("key", "source", F.coalesce("new", "checked_us").alias("checked_us")), epoch)
+        table.replace(before.join(done, ["key", "source"], "full").select("key", "source", F.coalesce("new", "checked_us").alias("checked_us")), epoch, stream)
 
     return record
 
@@ -89,13 +90,14 @@ def parents_first(parents: VersionedTable, children: VersionedTable, keys: list[
     from spanloom.operators import proofs
 
     def write(batch: DataFrame, epoch: int) -> None:
+        stream = stream_name(batch)
         old = parents.current()
         new = batch.where("kind = 'parent'").select(*keys)
-        parents.replace((new if old is None else old.unionByName(new)).distinct(), epoch)
+        parents.replace((new if old is None else old.unionByName(new)).distinct(), epoch, stream)
         mine = batch.where("kind = 'child'")
         bad = proofs.orphans(mine, parents.current(), keys).select(mine.columns)
         good = mine.exceptAll(bad)
         held = children.current()
-        children.replace(good if held is None else held.unionByName(good), epoch)
+        children.replace(good if held is None else held.unionByName(good), epoch, stream)
 
     return write

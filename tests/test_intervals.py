@@ -136,3 +136,21 @@ def test_calendar_rules(spark):
     assert calendar.rolling(days, ["k"]).count() == 45 - 1 - 6
     head = calendar.headline(calendar.last_days(days, ["k"]), ["k"]).first()
     assert head.alerts == 28 and str(head.busiest_day) == "2024-01-18"  # the first of equal days
+
+
+def test_full_coverage_joins_explicit_and_all_members(spark):
+    rows = [("g", "raion", "r1", 0, 10), ("g", "raion", "r2", 5, 20), ("g", "oblast", "", 30, 40), ("h", "raion", "r3", 0, 4)]
+    df = spark.createDataFrame(rows, "g string, level string, m string, start_us long, end_us long")
+    sizes = spark.createDataFrame([("g", 2), ("h", 2)], "g string, members long")
+    found = coverage.full_coverage(df, "g", "m", sizes, F.col("level") == "oblast")
+    by = {r.g: r for r in found.collect()}
+    g, h = by["g"], by["h"]
+    assert (g.any_us, g.explicit_us, g.full_us, g.episodes, g.full_episodes, g.members_seen) == (30, 10, 15, 2, 2, 2)
+    assert (h.any_us, h.explicit_us, h.full_us, h.full_episodes, h.members_seen) == (4, 0, 0, 0, 1)
+    assert (g.full_pct, g.explicit_pct, g.full_episodes_pct) == (50.0, pytest.approx(100 / 3), 100.0)
+    assert [r.g for r in coverage.by_share(found).collect()] == ["g", "h"]
+
+
+def test_last_complete_day(spark):
+    rows = spark.createDataFrame([(us("2024-01-10T23:00"),), (us("2024-01-10T21:59"),)], "t long")  # 01:00 and 23:59 local
+    assert [str(r[0]) for r in rows.select(times.last_complete_day(F.col("t"))).collect()] == ["2024-01-10", "2024-01-09"]

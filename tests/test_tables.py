@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.functions import times, words
-from spanloom.operators import ingest, ledger, observations, proofs, snapshot
+from spanloom.operators import coverage, ingest, ledger, observations, proofs, snapshot
 from spanloom.sources import histories, pages, sinks
 from spanloom.streaming import polls
 
@@ -136,25 +136,143 @@ def test_links_and_articles(spark):
 
 
 def test_text_extraction(spark):
-    rows = spark.createDataFrame([("killed 3 people, 12 dead on 9 May and 10 june 2024; 999 seen",)], "t string")
-    assert rows.select(words.counts_near(F.col("t"), [r"killed (\d+)", r"(\d+) dead"])).first()[0] == [3, 12]
-    assert [str(d) for d in rows.select(words.dates_in(F.col("t"), F.lit(2026))).first()[0]] == ["2024-06-10", "2026-05-09"]
+    texts = ["Унаслідок обстрілу Києва загиблих щонайменше 12, 3 людини загинули 9 травня та 10 ЧЕРВНЯ 2024 року; 999 загиблих", "killed 3 people on 9 may"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = rows.select(words.counts_near(F.col("t")), words.dates_in(F.col("t"), F.lit(2026)), words.relevant(F.col("t"))).collect()
+    assert [(r[0], [str(d) for d in r[1]], r[2]) for r in found] == [([3, 12], ["2024-06-10", "2026-05-09"], True), ([], [], False)]
     assert rows.select(words.name_key(F.lit("  Кам’янець  A"))).first()[0] == "кам'янець a"
+    secret = rows.select(words.masked(F.lit("url?token=abc&x, API_KEY: zz; Authorization: Bearer q.w.e tokens")), words.masked(F.lit(None).cast("string"))).first()
+    assert secret[0] == "url?token=***, API_KEY: ***; Authorization: Bearer *** tokens" and secret[1] is None
+    pair = spark.createDataFrame([(None, 1)], "a string, b int").select(words.canonical_hash(F.col("a"), F.col("b")), words.canonical_hash(F.col("b"))).first()
+    assert pair[0] != pair[1]
+
+
+def test_revision_rules(spark):
+    rows = [("a", "confirmed", "2026-01-02", "3"), ("b", " Needs_Review ", "2026-01-02", ""), ("c", "pending", "2026-01-02", None), ("d", "rejected", "2026-02-30", "1"), ("", "x", "x", "x"), (" e ", "confirmed", "2026-01-02", "1.5"), ("e", "confirmed", "2026-01-02", "-1")]
+    found = ledger.revision_violations(spark.createDataFrame(rows, "record_id string, status string, attack_date string, deaths_delta string"))
+    assert sorted(map(tuple, found.collect())) == [("c", "bad status"), ("d", "bad date"), ("e", "bad count"), ("e", "id twice"), ("e", "id twice")]
+
+
+def test_control_years_of_either_side(spark):
+    monthly = spark.createDataFrame([("2022-02", 3), ("2022-03", 4), ("2023-01", 1)], "month string, deaths long")
+    want = spark.createDataFrame([("2022", 7), ("2023", 2), ("2024", 5)], "year string, expected long")
+    assert sorted(tuple(r) for r in ledger.control_totals(monthly, want).collect()) == [("2023", 1, 2), ("2024", None, 5)]
+
+
+def test_confirmation_rules(spark):
+    good = {"record_id": "r", "attack_date": "2026-05-01", "deaths_delta": "2", "source_name": "n", "source_url": "https://e.org/x", "incident_id": "incident:2026-05-01:kyiv", "count_kind": "cumulative",
+            "baseline_credited": "0", "identity_proof": "sha256:" + "0" * 64, "credited_proof": "git:" + "f" * 40 + ":data/x.csv"}
+    bad = {"record_id": " ", "attack_date": "1.5.2026", "deaths_delta": "0", "source_name": None, "source_url": "ftp://e.org", "incident_id": "2026", "count_kind": "total", "baseline_credited": "00", "identity_proof": "sha256:1", "credited_proof": "git:main:x"}
+    rows = [good, *({**good, k: v} for k, v in bad.items()), bad]
+    schema = ", ".join(f"{k} string" for k in good)
+    found = [r.reasons for r in ledger.confirmation_reasons(spark.createDataFrame([tuple(r.values()) for r in rows], schema)).collect()]
+    names = ["no id", "bad date", "bad count", "no source", "bad address", "bad incident", "bad kind", "bad credit", "no identity", "no credit proof"]
+    assert found == [[], *[[n] for n in names], names]
+
+
+def test_review_history_grows(spark):
+    c = spark.createDataFrame([("a", "x", "needs_review", None), ("b", "x", "needs_review", [(1, "new", "needs_review")])], "candidate_id string, city_key string, status string, review_history array<struct<at:long,from:string,to:string>>")
+    d = spark.createDataFrame([("a", "x", "hold", 5), ("b", "x", "new", 6)], "candidate_id string, city_key string, to_status string, at long")
+    after = {r.candidate_id: (r.status, [tuple(s) for s in r.review_history]) for r in ledger.reviewed_history(c, ledger.reviewed(c, d)).collect()}
+    assert after == {"a": ("hold", [(5, "needs_review", "hold")]), "b": ("needs_review", [(1, "new", "needs_review")])}
+
+
+def test_accepted_names(spark):
+    rows = [(1, "Київ", "м. Київ", ""), (2, "Київ", "м. Київ", None), (3, "Київ", "м. Київ", " київ "), (4, "Київ", "м. Київ", "М. КИЇВ"), (5, "Київ", "м. Київ", "Kyiv"), (6, "Київ", "м. Київ", "Львів"), (7, "Київ", "", "")]
+    df = spark.createDataFrame(rows, "id long, region string, group_name string, name string")
+    aliases = spark.createDataFrame([("Київ", "KYIV"), ("Львів", "Lviv")], "region string, name string")
+    assert sorted(r.id for r in ingest.accepted_names(df, aliases).collect()) == [1, 2, 3, 4, 5, 7]
+
+
+def test_empty_history_is_not_missing(spark):
+    targets = spark.createDataFrame([("a", 5), ("b", 5), ("c", 5)], "region string, cutoff_us long")
+    polled = spark.createDataFrame([("a", 1, 3, "AIR"), ("a", 4, 99, "OTHER"), ("a", 6, 6, "air")], "region string, start_us long, end_us long, kind string")
+    found = {r.region: (r.reason, r.latest_us, r.history_n, r.completed_n) for r in ingest.continuity(targets, polled, spark.createDataFrame([("a",), ("b",)], "region string")).collect()}
+    assert found == {"a": (ingest.REASONS["reached"], 3, 3, 1), "b": (ingest.REASONS["short"], None, 0, 0), "c": (ingest.REASONS["missing"], None, 0, 0)}
+
+
+def test_best_match(spark):
+    names = spark.createDataFrame([("o", "Біла Церква"), ("o", "Бар"), ("o", "Суми"), ("p", "Суми")], "oblast string, name string")
+    have = [("o", "м. Біла Церква"), ("o", "м. Біла Церква та інші"), ("o", "м. Барвінкове"), ("o", "Барська громада"), ("o", "БАР-селищна"), ("p", "Сумська")]
+    found = {(r.oblast, r.name): (r.candidate, r.score) for r in coverage.best_match(names, spark.createDataFrame(have, "oblast string, name string"), ["oblast"]).collect()}
+    assert found == {("o", "Біла Церква"): ("м. Біла Церква та інші", 100), ("o", "Бар"): ("м. Барвінкове", 50)}
 
 
 def test_versioned_table_and_snapshot(spark, tmp_path):
-    table = sinks.VersionedTable(spark, f"file://{tmp_path}/t")
+    table = sinks.VersionedTable(spark, f"file://{tmp_path}/t", keep=2)
     assert table.current() is None
-    table.replace(spark.range(3), 0)
-    table.replace(spark.range(9), 0)
-    assert table.current().count() == 3
-    assert table.replace(spark.range(4)) == 1 and table.current().count() == 4
+    assert [table.replace(spark.range(2)), table.replace(spark.range(4))] == [0, 1]
+    # a stream's epochs are not versions
+    assert table.replace(spark.range(7), 0, "s") == 2 and table.current().count() == 7
+    assert table.replace(spark.range(9), 0, "s") == 2 and table.current().count() == 7
+    assert table.replace(spark.range(8), 0, "t") == 3 and table.current().count() == 8
+    assert table.replace(spark.range(5), 1, "s") == 4 and table.replace(spark.range(6)) == 5
+    assert table.replace(spark.range(9), 0, "t") == 3  # known although its data are gone
+    with pytest.raises(ValueError):
+        table.replace(spark.range(1), 0, "s")
+    assert sorted(p.name for p in (tmp_path / "t/data").iterdir()) == ["4", "5"]
     told = sinks.snapshot({"a": spark.range(5)}, f"file://{tmp_path}/s").first()
-    assert (told["name"], told.n) == ("a", 5)
+    assert (told["name"], told.n, len(told.sha256)) == ("a", 5, 64)
+    assert told.sha256 == proofs.manifest({"a": spark.range(5).repartition(3)}).first().sha256 != proofs.manifest({"a": spark.range(1, 6)}).first().sha256
     text = sinks.document({"g": (spark.range(3).select("id", (F.col("id") * 2).alias("v")), ["id"])}).first().document
     assert json.loads(text) == {"g": [{"id": i, "v": 2 * i} for i in range(3)]}
 
 
+def run_stream(frame, into, checkpoint):
+    run = frame.writeStream.foreachBatch(into).option("checkpointLocation", f"file://{checkpoint}").start()
+    run.processAllAvailable()
+    run.stop()
+
+
+def test_streams_lose_no_batches(spark, tmp_path):
+    """Into a table with batch versions, and again with a new checkpoint."""
+    source = f"file://{tmp_path}/in"
+    spark.createDataFrame([("a", 1), ("b", 2)], "key string, fetched_us long").write.mode("append").parquet(source)
+    stream = spark.readStream.schema("key string, fetched_us long").parquet(source)
+    table = sinks.VersionedTable(spark, f"file://{tmp_path}/table")
+    first = spark.createDataFrame([("z", 9, 9)], "key string, fetched_us long, first_fetched_us long")
+    table.replace(first), table.replace(first)
+    run_stream(stream, polls.upsert_into(table, ["key"]), tmp_path / "c1")
+    assert {r.key for r in table.current().collect()} == {"a", "b", "z"}
+    spark.createDataFrame([("c", 3)], "key string, fetched_us long").write.mode("append").parquet(source)
+    run_stream(stream, polls.upsert_into(table, ["key"]), tmp_path / "c1")
+    assert {r.key for r in table.current().collect()} == {"a", "b", "c", "z"}
+    spark.createDataFrame([("d", 4)], "key string, fetched_us long").write.mode("append").parquet(source)
+    run_stream(stream, polls.upsert_into(table, ["key"]), tmp_path / "c2")
+    assert {r.key: r.fetched_us for r in table.current().collect()} == {"a": 1, "b": 2, "c": 3, "d": 4, "z": 9}
+
+
+def test_parents_and_receipts_as_streams(spark, tmp_path):
+    for name in ("rows", "captures"):
+        (tmp_path / name).mkdir()
+    source = f"file://{tmp_path}/rows"
+    schema = "kind string, k long, v long"
+    stream = spark.readStream.schema(schema).parquet(source)
+    parents, children = (sinks.VersionedTable(spark, f"file://{tmp_path}/{n}") for n in ("parents", "children"))
+    for rows in ([("parent", 1, 0), ("child", 1, 5), ("child", 2, 6)], [("parent", 2, 0), ("child", 2, 7)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        run_stream(stream, polls.parents_first(parents, children, ["k"]), tmp_path / "c3")
+    assert sorted(r.k for r in parents.current().collect()) == [1, 2] and sorted((r.k, r.v) for r in children.current().collect()) == [(1, 5), (2, 7)]
+    source = f"file://{tmp_path}/captures"
+    schema = "key string, source string, start_us long, captured_us long"
+    stream = spark.readStream.schema(schema).parquet(source)
+    checks, told = (sinks.VersionedTable(spark, f"file://{tmp_path}/{n}") for n in ("checks", "told"))
+    seen = []
+    for row in (("k", "s", 5, 10), ("k", "s", 8, 20), ("k", "s", 25, 30)):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(source)
+        run_stream(stream, polls.receipts_into(checks, told), tmp_path / "c4")
+        seen.append((told.current().first().continuous, checks.current().first().checked_us))
+    assert seen == [(False, 10), (True, 20), (False, 20)]
+
+
+def test_regions_by_left_out_columns(spark):
+    rows = [("raion", "O", "R", None, 1, 2), ("hromada", "O", "R", "H", 3, 4), ("hromada", "O", "Q", "H", 5, 6), ("oblast", "O", None, None, 7, 8)]
+    dim = [("raion", "O", "R", None, "a", 0), ("hromada", None, None, "H", "b", None), ("hromada", "O", "R", "H", "c", 0), ("oblast", "O", None, None, "d", 9), ("oblast", None, None, None, "e", 0)]
+    found = histories.by_region(spark.createDataFrame(rows, "level string, oblast string, raion string, hromada string, start_us long, end_us long"),
+                                spark.createDataFrame(dim, "level string, oblast string, raion string, hromada string, key string, valid_from_us long"))
+    assert sorted((r.key, r.start_us) for r in found.collect()) == [("a", 1), ("b", 3), ("b", 5), ("c", 3), ("e", 7)]
+
+
 def test_streams_equal_their_batch_twins(spark, tmp_path):
     rows = [("a", 1, "start"), ("a", 4, "end"), ("b", 2, "start"), ("a", 6, "start"), ("b", 9, "end"), ("a", 8, "end"), ("b", 11, "end")]
     second = 1_000_000

@@ -25,17 +25,29 @@ def started_daily(rows: DataFrame, keys: list[str], zone: str = times.ZONE) -> D
     return rows.groupBy(*keys, times.local_day(F.col("start_us"), zone).alias("day")).agg(F.count("*").alias("alerts_started"), F.sum(length).alias("length_us"))
 
 
-def spine(rows: DataFrame, keys: list[str], first: Column, last: Column) -> DataFrame:
-    """Every day from ``first`` to ``last`` (aggregates of ``rows``) for every key."""
-    ends = rows.groupBy(*keys).agg(first.alias("f"), last.alias("l"))
-    return ends.select(*keys, F.explode(F.sequence("f", "l")).alias("day"))
-
-
 def daily(rows: DataFrame, keys: list[str], zone: str = times.ZONE) -> DataFrame:
-    """Dense days of each key, from its first start to its last end, with counts, lengths and time under alert."""
-    days = spine(rows, keys, F.min(times.local_day(F.col("start_us"), zone)), F.max(times.local_day(F.col("end_us") - 1, zone)))
-    full = days.join(started_daily(rows, keys, zone), [*keys, "day"], "left").join(covered_daily(rows, keys, zone), [*keys, "day"], "left")
-    return full.na.fill(0, ["alerts_started", "length_us", "alert_us"])
+    """Dense days of each key, from its first start to its last end, with counts, lengths and time under alert.
+
+    One pass over rows that are brought together by key once: behind the ends of those before it, each row adds
+    a piece of time that no other adds, so its pieces by day sum up to time under alert. Days without rows are
+    filled in up to a key's next day.
+    """
+    order = Window.partitionBy(*keys).orderBy("start_us", "end_us")
+    rows = rows.select(*keys, "start_us", "end_us")
+    fresh = F.greatest("start_us", F.max("end_us").over(order.rowsBetween(*intervals.PAST)))
+    rows = rows.withColumn("fresh_us", fresh)
+    length, zero = F.greatest(F.col("end_us") - F.col("start_us"), F.lit(0)), F.lit(0).cast("long")
+    part = lambda day, n, us, alert: F.struct(day.alias("day"), n.alias("n"), us.alias("us"), alert.alias("alert"))
+    days = F.sequence(times.local_day(F.col("fresh_us"), zone), times.local_day(F.col("end_us") - 1, zone))
+    inside = lambda d: F.least("end_us", times.midnight(F.date_add(d, 1), zone)) - F.greatest("fresh_us", times.midnight(d, zone))
+    started = F.array(part(times.local_day(F.col("start_us"), zone), F.lit(1).cast("long"), length, zero))
+    covered = F.transform(days, lambda d: part(d, zero, zero, inside(d)))
+    parts = rows.select(*keys, F.explode(F.when(F.col("end_us") > F.col("fresh_us"), F.concat(started, covered)).otherwise(started)).alias("p")).select(*keys, "p.*")
+    held = parts.groupBy(*keys, "day").agg(F.sum("n").alias("alerts_started"), F.sum("us").alias("length_us"), F.sum("alert").alias("alert_us"))
+    until = F.coalesce(F.date_sub(F.lead("day").over(Window.partitionBy(*keys).orderBy("day")), 1), F.col("day"))
+    dense = held.withColumn("until", until).withColumn("each", F.explode(F.sequence("day", "until")))
+    own = lambda c: F.when(F.col("each") == F.col("day"), F.col(c)).otherwise(0).alias(c)
+    return dense.select(*keys, F.col("each").alias("day"), own("alerts_started"), own("length_us"), own("alert_us"))
 
 
 def _summed(days: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,17 +66,22 @@ def _rates(rows: DataFrame, days: Column) -> DataFrame:
     })
 
 
-def monthly(days: DataFrame, keys: list[str]) -> DataFrame:
-    """Complete calendar months of a dense daily table."""
-    rows = _summed(days.withColumn("period", times.month(F.col("day"))), [*keys, "period"])
-    length = times.days_in_month(F.col("period"))
+def _complete(days: DataFrame, keys: list[str], period: Column, length: Column, skip_first: bool) -> DataFrame:
+    rows = _summed(days.withColumn("period", period), [*keys, "period"])
+    if skip_first:
+        first = F.min("period").over(Window.partitionBy(*keys))
+        rows = rows.withColumn("first", first).where("period > first").drop("first")
     return _rates(rows.where(F.col("days") == length), length)
 
 
-def weekly(days: DataFrame, keys: list[str]) -> DataFrame:
-    """Complete weeks, Monday to Sunday."""
-    rows = _summed(days.withColumn("period", times.week(F.col("day"))), [*keys, "period"]).where("days = 7")
-    return _rates(rows, F.lit(7))
+def monthly(days: DataFrame, keys: list[str], skip_first: bool = False) -> DataFrame:
+    """Complete calendar months of a dense daily table; ``skip_first`` leaves out the month of a key's first day."""
+    return _complete(days, keys, times.month(F.col("day")), times.days_in_month(F.col("period")), skip_first)
+
+
+def weekly(days: DataFrame, keys: list[str], skip_first: bool = False) -> DataFrame:
+    """Complete weeks, Monday to Sunday; ``skip_first`` leaves out the week of a key's first day."""
+    return _complete(days, keys, times.week(F.col("day")), F.lit(7), skip_first)
 
 
 def after_first_day(periods: DataFrame, days: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,8 +92,7 @@ def after_first_day(periods: DataFrame, days: DataFrame, keys: list[str]) -> Dat
 
 def last_days(days: DataFrame, keys: list[str], n: int = 28) -> DataFrame:
     """The last ``n`` days of each key's dense table, with minutes rounded as they are published."""
-    ends = days.groupBy(*keys).agg(F.max("day").alias("end_day"))
-    rows = days.join(ends, keys).where(F.col("day") > F.date_sub("end_day", n)).drop("end_day")
+    rows = days.withColumn("end_day", F.max("day").over(Window.partitionBy(*keys))).where(F.col("day") > F.date_sub("end_day", n)).drop("end_day")
     return rows.withColumn("alert_minutes", times.round3(F.col("alert_us") / (60 * times.SECOND)))
 
 

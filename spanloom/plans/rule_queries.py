@@ -215,8 +215,7 @@ def accepted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SPANS_SQL}, {views.daily_sql('d', 'alerts', 'k')}, p AS (SELECT k, date_trunc('week', day)::DATE AS period, count(*) AS days, sum(alerts_started)::BIGINT AS alerts_started FROM d GROUP BY ALL),
 f AS (SELECT k, min(day) AS first_day FROM d GROUP BY k) SELECT k, period, alerts_started FROM p JOIN f USING (k) WHERE days = 7 AND period > first_day""")
 def trimmed_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = calendar.daily(alerts(spark, sf_dir), ["k"])
-    return calendar.after_first_day(calendar.weekly(days, ["k"]), days, ["k"]).select("k", "period", "alerts_started")
+    return calendar.weekly(calendar.daily(alerts(spark, sf_dir), ["k"]), ["k"], skip_first=True).select("k", "period", "alerts_started")
 
 
 @query("SELECT o_orderkey, o_custkey, CAST(epoch_us(o_orderdate) AS BIGINT) AS at_us FROM orders WHERE o_orderstatus = 'F' ORDER BY at_us, o_custkey, o_orderkey")

@@ -115,6 +115,14 @@ def _run_batches(batches):
 BLOCK = 256
 
 
+def _tagged(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (key, node) with their component by ``links`` (a, b), and the keys whose nodes are not all in one."""
+    rows = rows.join(components(links), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    parts = rows.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"), F.min("node").alias("low"), F.max("node").alias("high"))
+    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.sum("mark").alias("mark"), F.max(F.struct("n", "component")).alias("top"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return rows, whole.where("parts > 1")
+
+
 def mixed_buckets(rows: DataFrame, links: DataFrame, least: int = 3) -> DataFrame:
     """(pair, key, node, component, left, right): members of buckets that ``links`` (a, b) do not tie together.
 
@@ -122,10 +130,18 @@ def mixed_buckets(rows: DataFrame, links: DataFrame, least: int = 3) -> DataFram
     buckets with the same members one is taken. ``least`` members: of two, ``links`` has judged the only pair. The members outside a bucket's largest component are cut
     into blocks, and so are those inside; a ``pair`` is two blocks of a key, at least one of them outside.
     """
-    rows = rows.join(components(links), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    parts = rows.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
-    whole = parts.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.sum("mark").alias("mark"), F.max(F.struct("n", "component")).alias("top"))
-    whole = whole.where(f"parts > 1 and n >= {least}").groupBy("n", "mark").agg(F.min(F.struct("key", "top")).alias("one"))
+    return _in_blocks(*_tagged(rows, links), least)
+
+
+def parted_buckets(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) that are a bucket of two in different components, and ``mixed_buckets`` of three or more."""
+    rows, whole = _tagged(rows, links)
+    whole = settled(whole)
+    return whole.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct(), _in_blocks(rows, whole, 3)
+
+
+def _in_blocks(rows: DataFrame, whole: DataFrame, least: int) -> DataFrame:
+    whole = whole.where(f"n >= {least}").groupBy("n", "mark").agg(F.min(F.struct("key", "top")).alias("one"))
     blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     whole = whole.select("one.key", F.col("one.top.component").alias("top"), blocks(F.col("one.top.n")).alias("inside"), blocks(F.col("n") - F.col("one.top.n")).alias("outside"))
     rows = rows.join(whole, "key").withColumn("inner", F.col("component") == F.col("top"))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import bucket_links, buckets, compared, components, marked, marks, mixed_buckets, settled
+from spanloom.llm.shared import bucket_links, buckets, compared, components, marked, marks, mixed_buckets, parted_buckets, settled
 
 SEED = 42
 
@@ -247,21 +247,28 @@ def _sure(left: np.ndarray, right: np.ndarray, similarity: float) -> bool:
 def near_links(docs: DataFrame, unique: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Links (a, b) between the nodes of ``unique`` (node, prints, weak), texts of ``docs`` with that Jaccard similarity or more."""
     tau = most_apart(similarity, 64 * BLOCKS)
-    met = buckets(unique.select("node", "prints", "weak").mapInArrow(_key_batches, "key long, node long"))
     prints = unique.select("node", "prints")
     left, right = prints.selectExpr("node AS a", "prints AS p"), prints.selectExpr("node AS b", "prints AS q")
-    pairs = met.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
     p, q = ([_bits(F.col(x)[i], at, WIDTH) for i in range(BLOCKS) for at in range(0, 64, WIDTH)] for x in "pq")
     apart = sum((F.bit_count(F.col("p")[i].bitwiseXOR(F.col("q")[i])) for i in range(BLOCKS)), F.lit(0))
-    near = settled(pairs.join(left, "a").join(right, "b").where(on_ring(p, q, tau)).where(apart <= tau).select("a", "b"))
-    sets = _sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingle)
-    both = near.join(sets.selectExpr("node AS a", "sure AS s"), "a").join(sets.selectExpr("node AS b", "sure AS t"), "b")
-    shared = F.size(F.array_intersect("s", "t"))
-    links = settled(both.where(shared >= similarity * (F.size("s") + F.size("t") - shared)).select("a", "b"))
-    # members of a bucket that are unlike its least may be like one another: first by bits, what is left by shingles
-    screened = partial(_near_prints, tau=tau)
-    rest = settled(compared(mixed_buckets(met.select("key", "node"), links), prints, screened, links=False).distinct())
-    sets = _sets(docs, rest.select("node").distinct(), shingle)
+    near = lambda pairs: settled(pairs.join(left, "a").join(right, "b").where(on_ring(p, q, tau)).where(apart <= tau).select("a", "b"))
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
+    def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        both = pairs.join(sets.selectExpr("node AS a", "sure AS s"), "a").join(sets.selectExpr("node AS b", "sure AS t"), "b")
+        shared = F.size(F.array_intersect("s", "t"))
+        return settled(both.where(shared >= similarity * (F.size("s") + F.size("t") - shared)).select("a", "b"))
+
+    met = buckets(unique.select("node", "prints", "weak").mapInArrow(_key_batches, "key long, node long"))
+    # first each fingerprint with the least one that it meets anywhere, which ties most of a large group
+    stars = near(met.where("node <> root").groupBy(F.col("node").alias("a")).agg(F.min("root").alias("b")))
+    links = alike(stars, _sets(docs, ends(stars).distinct(), shingle))
+    # then what shares a bucket and is not tied: pairs, and larger buckets by bits before by shingles
+    pairs, members = parted_buckets(met.select("key", "node"), links)
+    pairs, screened = near(pairs), partial(_near_prints, tau=tau)
+    rest = settled(compared(members, prints, screened, links=False).distinct())
+    sets = _sets(docs, ends(pairs).unionByName(rest.select("node")).distinct(), shingle)
+    links = links.unionByName(alike(pairs, sets))
     more = compared(mixed_buckets(rest, links, 2), prints.join(sets, "node"), screened, partial(_sure, similarity=similarity))
     return links.unionByName(more)
 

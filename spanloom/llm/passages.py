@@ -1,21 +1,22 @@
 """Removal of passages that repeat across documents, by MinHash banding of paragraphs.
 
-Paragraphs are cut by content: sentences end at ``.``, ``!``, ``?``, a line's end or a word whose hash says
-so, and a paragraph ends at those sentence ends whose hash is below the next one's (about every second).
-The cut depends on the words around it only, so a passage that was pasted into the middle of a line has the
-same paragraphs inside it wherever it stands.
+Paragraphs are cut by content: a paragraph ends with a word whose hash is the least of the ``NEAR`` words on
+either side, where words with ``.``, ``!``, ``?`` or a line's end behind them come before all others. The cut
+depends on the words around it only, so a passage that was pasted into the middle of a line has the same
+paragraphs inside it wherever it stands.
 
 Paragraphs with equal words are one node. Nodes are filed under ``BANDS`` bands of ``ROWS`` minima of
 five-word shingles (two alike at 0.8 meet with a probability of 98 %), tied to the least node of each
 collision, checked by exact Jaccard similarity, and put into classes by connected components; the members
-of a collision that are in different classes then are compared with one another. A class that
-spans documents is a repetition where it stands in a run of such paragraphs of ``RUN`` words or more; the
-smallest document keeps it, the others lose it. A passage of over 50 words loses the paragraphs inside it;
-the parts of sentences around its ends may stay.
+of a collision that are in different classes then are compared with one another. Of a class that spans
+documents the smallest document keeps its paragraph. The others' paragraphs make runs, and a run goes on,
+word by word on either side, as far as the words are those around the keeper's paragraphs. A run that has
+``RUN`` words with that is a repetition and is removed whole.
 
 Defined results: null and empty texts have no paragraphs; paragraphs that repeat within one document only
-are left alone; texts of any length are cut whole; rows with the same id and text share their spans; extra
-columns are kept by ``without_repeats`` and ignored otherwise; an empty table gives an empty result.
+are left alone; texts of any length are cut whole; rows with the same id and text share their spans; rows
+without an id keep their text; extra columns are kept by ``without_repeats`` and ignored otherwise; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
@@ -33,8 +34,12 @@ from spanloom.llm.shared import bucket_links, buckets, components, marked, marks
 SHINGLE = 5
 ALIKE = 0.8
 BANDS, ROWS = 4, 2
-#: Words of a paragraph that is compared beyond equality, at least, and of a run that is a repetition.
-LEAST_WORDS, RUN = 8, 16
+#: Words of a paragraph that is compared beyond equality, of paragraphs that begin a run, and of a repetition, at least.
+LEAST_WORDS, SEED, RUN = 8, 8, 32
+#: Words on either side of a run that may belong to it; more would hold a paragraph of their own.
+REACH = 64
+#: Words on either side that a paragraph's last word is compared with.
+NEAR = 7
 
 
 class Paragraphs:
@@ -49,18 +54,29 @@ class Paragraphs:
             self.first = self.end = np.zeros(0, np.int64)
             self.hash = self.words
             return
-        closing = np.isin(data[ends - 1], np.frombuffer(b".!?", np.uint8)) | ((self.words & np.uint64(15)) == 0)
-        closing |= np.append(data, np.uint8(10))[ends] == 10
+        closing = np.isin(data[ends - 1], np.frombuffer(b".!?", np.uint8)) | (np.append(data, np.uint8(10))[ends] == 10)
         finals = self.firsts[1:][np.diff(self.firsts) > 0] - 1
-        closing[finals] = True
-        at = np.flatnonzero(closing)
-        before = np.where(np.isin(at, self.firsts[:-1]), np.uint64(0), self.words[np.maximum(at - 1, 0)])
-        value = texts.mix(self.words[at] * np.uint64(3) + before)
-        cut = np.append(value[:-1] < value[1:], True) | np.isin(at, finals)
-        self.end = at[cut] + 1
+        closing[finals] = True  # whatever follows in memory
+        before = np.concatenate([np.zeros(1, np.uint64), self.words[:-1]])
+        before[self.firsts[:-1][np.diff(self.firsts) > 0]] = 0
+        value = texts.mix(self.words * np.uint64(3) + before) >> np.uint64(1) | np.where(closing, np.uint64(0), np.uint64(1 << 63))
+        cut = self._least(value)
+        cut[finals] = True
+        self.end = np.flatnonzero(cut) + 1
         self.first = np.concatenate([[0], self.end[:-1]])
         self.hash = texts.run_hashes(self.words, self.first, self.end)
 
+    def _least(self, value: np.ndarray) -> np.ndarray:
+        """Whether each word's value is below those of the words before it and not above those behind it, in its text."""
+        texts_before = np.repeat(np.arange(len(self.firsts) - 1), np.diff(self.firsts))
+        at = np.arange(len(value)) + NEAR * (texts_before + 1)  # with room between texts
+        held = np.full(at[-1] + NEAR + 1, np.uint64(2**64 - 1))
+        held[at] = value
+        two = np.minimum(held[:-1], held[1:])
+        four = np.minimum(two[:-2], two[2:])
+        seven = np.minimum(four[:-3], four[3:])  # of NEAR words, from each place on
+        return (value < seven[at - NEAR]) & (value <= seven[at + 1])
+
     def shingled(self) -> tuple[np.ndarray, np.ndarray]:
         """For each word the hash of the shingle from there on, and whether it lies within the paragraph."""
         n = len(self.words)
@@ -160,25 +176,82 @@ def alike(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     return bucket_links(met.select("key", "node"), links, sets, partial(_alike_sets, threshold=threshold))
 
 
+def _around_batches(batches, wanted):
+    """The words before and after paragraphs whose hash is marked, nearest first, with the byte where each begins or closes."""
+    bits = np.frombuffer(wanted.value, dtype=np.uint64)
+    for batch in batches:
+        for part in texts.slices(batch):
+            data, offsets = texts.flat(part.column("text"))
+            found = Paragraphs(data, offsets)
+            some = np.flatnonzero(marked(found.hash, bits))
+            doc = np.searchsorted(found.firsts, found.first[some], side="right") - 1
+            low, high, size = found.firsts[doc], found.firsts[doc + 1], np.diff(offsets)[doc]
+            words, starts = found.words.view(np.int64), np.append(found.starts, 0)
+            sides = [[], [], [], []]
+            for first, end, lo, hi, start, length in zip(found.first[some], found.end[some], low, high, offsets[doc], size, strict=True):
+                before, after = np.arange(first - 1, max(lo, first - REACH) - 1, -1), np.arange(end, min(hi, end + REACH))
+                begin, close = starts[before] - start, starts[after + 1] - start
+                begin[before == lo] = 0
+                close[after + 1 == hi] = length
+                for side, x in zip(sides, (words[before], begin, words[after], close), strict=True):
+                    side.append(x)
+            columns = [part.column(c).take(pa.array(doc)) for c in ("doc_id", "mark")]
+            columns += [pa.array(found.first[some] - low), *(pa.array(x, pa.list_(pa.int64())) for x in sides)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "first_word", "before", "begins", "after", "closes"])
+
+
+def _shared(a: Column, b: Column) -> Column:
+    """How many leading elements of two arrays are equal; 0 where one is missing."""
+    parted = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
+    return F.coalesce(F.when(parted == 0, F.size(a)).otherwise(parted - 1), F.lit(0)).cast("long")
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    """Paragraphs that follow one another, have the same keeper, and go or stay together."""
+    order = Window.partitionBy("doc_id", "mark").orderBy("first_word")
+    joined = (F.col("first_word") == F.lag(F.col("first_word") + F.col("words")).over(order)) & (F.col("first_doc_id") == F.lag("first_doc_id").over(order))
+    rows = rows.withColumn("fresh", F.when(joined, 0).otherwise(1)).withColumn("run", F.sum("fresh").over(order))
+    first, last = (lambda c, take=take: take(c, "first_word") for take in (F.min_by, F.max_by))
+    runs = rows.groupBy("doc_id", "mark", "run", "first_doc_id", "removed").agg(
+        F.min("first_word").alias("first_word"), F.sum("words").alias("words"), F.min("begin").alias("begin"), F.max("close").alias("close"), F.max("first_word").alias("last_word"),
+        first("class_id").alias("class_id"), last("class_id").alias("last_class"), first("node").alias("first_node"), last("node").alias("last_node"))
+    return runs.where(F.col("words") >= SEED).drop("run")
+
+
 def repeated(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
-    """(doc_id, mark, first_word, words, begin, close, class_id, first_doc_id, removed) of repeated paragraphs.
+    """(doc_id, mark, first_word, words, begin, close, class_id, first_doc_id, removed) of repeated runs.
 
-    ``begin`` and ``close`` are offsets in the text's UTF-8 bytes, ``mark`` a hash of the text, ``class_id``
-    the class's least paragraph hash.
+    ``begin`` and ``close`` are offsets in the text's UTF-8 bytes, ``mark`` a hash of the text, ``class_id`` the
+    least paragraph hash of the class that the run begins with.
     """
-    places = settled(docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
-        _place_batches, "doc_id long, mark long, first_word long, words long, begin long, close long, node long"))
+    body = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    places = settled(body.mapInArrow(_place_batches, "doc_id long, mark long, first_word long, words long, begin long, close long, node long"))
     found = components(alike(docs, threshold))
     classes = places.groupBy("node").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).join(found, "node", "left")
     classes = settled(classes.withColumn("class_id", F.coalesce("component", "node")).drop("component"))
     spans = classes.groupBy("class_id").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("last")).where("first_doc_id <> last")
     wanted = classes.join(spans, "class_id").select("node", "class_id", "first_doc_id")
-    rows = places.join(wanted, "node")
-    own = Window.partitionBy("doc_id", "mark")
-    fresh = F.when(F.col("first_word") == F.lag(F.col("first_word") + F.col("words")).over(own.orderBy("first_word")), 0).otherwise(1)
-    rows = rows.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(own.orderBy("first_word")))
-    rows = rows.withColumn("long", F.sum("words").over(Window.partitionBy("doc_id", "mark", "run"))).where(F.col("long") >= RUN)
-    return rows.select("doc_id", "mark", "first_word", "words", "begin", "close", "class_id", "first_doc_id", (F.col("doc_id") != F.col("first_doc_id")).alias("removed"))
+    rows = places.join(wanted, "node").where("doc_id is not null").dropDuplicates(["doc_id", "mark", "first_word"])
+    rows = rows.withColumn("removed", F.col("doc_id") != F.col("first_doc_id"))
+    keepers = settled(rows.where("not removed").groupBy("class_id").agg(F.min(F.struct("first_word", "mark", "doc_id", "node")).alias("k")).select("class_id", "k.*"))
+    runs = settled(_runs(rows))
+    gone = runs.where("removed")
+    edges = gone.select(F.explode(F.array("class_id", "last_class")).alias("class_id")).distinct()
+    nodes = gone.select(F.explode(F.array("first_node", "last_node")).alias("node")).unionByName(keepers.join(edges, "class_id").select("node"))
+    sent = docs.sparkSession.sparkContext.broadcast(marks(nodes))
+    around = body.mapInArrow(partial(_around_batches, wanted=sent), "doc_id long, mark long, first_word long, before array<long>, begins array<long>, after array<long>, closes array<long>")
+    around = settled(around.dropDuplicates(["doc_id", "mark", "first_word"]))
+    kept = settled(around.join(keepers.drop("node"), ["doc_id", "mark", "first_word"]).select("class_id", "before", "after"))
+    place = ["doc_id", "mark", "first_word"]
+    left = gone.join(around.select(*place, "before", "begins"), place, "left").join(kept.select("class_id", F.col("before").alias("kept_before")), "class_id", "left")
+    left = left.withColumn("back", _shared(F.col("before"), F.col("kept_before")))
+    right = left.join(around.select("doc_id", "mark", F.col("first_word").alias("last_word"), "after", "closes"), ["doc_id", "mark", "last_word"], "left")
+    right = right.join(kept.select(F.col("class_id").alias("last_class"), F.col("after").alias("kept_after")), "last_class", "left").withColumn("on", _shared(F.col("after"), F.col("kept_after")))
+    grown = right.select(
+        "doc_id", "mark", (F.col("first_word") - F.col("back")).alias("first_word"), (F.col("words") + F.col("back") + F.col("on")).alias("words"),
+        F.when(F.col("back") > 0, F.get("begins", F.col("back").cast("int") - 1)).otherwise(F.col("begin")).alias("begin"),
+        F.when(F.col("on") > 0, F.get("closes", F.col("on").cast("int") - 1)).otherwise(F.col("close")).alias("close"), "class_id", "first_doc_id", "removed")
+    return grown.unionByName(runs.where("not removed").select(*grown.columns)).where(F.col("words") >= RUN)
 
 
 def _cut_batches(batches, names):

@@ -10,15 +10,15 @@ holds a saturated list are compared with one another in pairs of blocks, which c
 has no room for. At last the links of every hundredth vector are counted against all rows; while less than
 ``AUDIT`` of them were found, further orders and rounds are added.
 
-Defined results: a vector that is null, empty, zero, of another length than most, or holds null or
-non-finite components links with nothing; equal vectors are links of each other; ties go to the smaller
+Defined results: a vector that is null, empty, zero, or holds null or non-finite components links with nothing;
+vectors link with those of their own length only; equal vectors are links of each other; ties go to the smaller
 id; repeated rows count as vectors of their own; extra columns are ignored; an empty table gives an empty
 result.
 """
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -181,7 +181,7 @@ def _floors(graph: DataFrame, threshold: float) -> DataFrame:
 def _first_lists(nodes: DataFrame, dim: int, threshold: float, orders: int, seed: int) -> DataFrame:
     """(a, b, s, fresh): what stretches of ``orders`` orders show."""
     code = partial(_code_batches, dim=dim, seed=seed, orders=orders)
-    coded = nodes.select("node", "v").mapInArrow(code, "turn int, code long, node long, v array<float>")
+    coded = nodes.select("node", "v").mapInArrow(code, f"turn int, code long, node long, v {nodes.schema['v'].dataType.simpleString()}")
     turn = F.xxhash64("node", "turn")
     ordered = coded.repartitionByRange("turn", "code", turn).sortWithinPartitions("turn", "code", turn)
     edges = ordered.mapInArrow(partial(_stretch_batches, dim=dim, threshold=threshold), "a long, b long, s double")
@@ -278,22 +278,12 @@ def recall(true: DataFrame, totals: DataFrame) -> float:
     return row["found"] / row["links"] if row["links"] else 1.0
 
 
-def linked(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of links at a cosine of ``threshold`` or more."""
-    whole = F.size("embedding") > 0
-    sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
-    rows = embeddings.select("vec_id", F.col("embedding").cast("array<float>").alias("v"), F.coalesce(whole & sound, F.lit(False)).alias("sound"))
-    common = rows.where("sound").groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if common is None:
-        return embeddings.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = common["dim"]
-    rows = rows.withColumn("sound", F.col("sound") & (F.size("v") == dim)).withColumn("mark", F.when(F.col("sound"), F.xxhash64("v")))
-    every = settled(rows.select("vec_id", "mark"))
-    least = rows.where("sound").groupBy("mark").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
-    nodes = rows.where("sound").join(least, "mark").where("vec_id = node").dropDuplicates(["node"]).select("node", "mark", "n", "v")
-    nodes = settled(nodes)
+def _of_one_length(rows: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """(mark, dim, n_links, component_id) of the sound vectors (vec_id, mark, v) of one length."""
+    least = rows.groupBy("mark").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
+    nodes = settled(rows.join(least, "mark").where("vec_id = node").dropDuplicates(["node"]).select("node", "mark", "n", "v"))
     count = nodes.count()
-    asked = nodes if count <= WHOLE else nodes.join(every.where("vec_id % 100 = 0").select("mark").distinct(), "mark", "left_semi")
+    asked = nodes if count <= WHOLE else nodes.join(rows.where("vec_id % 100 = 0").select("mark").distinct(), "mark", "left_semi")
     true = true_links(nodes, asked, dim, threshold)
     orders, seed, lists = orders_for(count, threshold), 11, None
     while True:
@@ -304,7 +294,21 @@ def linked(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
         orders, seed = 2 * orders, seed + 1
         released(totals), released(classes)
     result = nodes.select("node", "mark", "n").join(totals, "node", "left").join(classes, "node", "left")
-    result = result.select("mark", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    out = every.join(result, "mark", "left")
+    return result.select("mark", F.lit(dim).alias("dim"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+
+
+def linked(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
+    """(vec_id, n_links, component_id, kept) of links at a cosine of ``threshold`` or more, in double precision."""
+    sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
+    kind = embeddings.schema["embedding"].dataType.simpleString()
+    value = F.col("embedding") if kind in ("array<float>", "array<double>") else F.col("embedding").cast("array<double>")
+    rows = embeddings.select("vec_id", value.alias("v"), F.when(F.coalesce(sound, F.lit(False)), F.size("embedding")).alias("dim"))
+    rows = rows.withColumn("mark", F.when(F.col("dim").isNotNull(), F.xxhash64("v")))
+    every = settled(rows.select("vec_id", "mark", "dim"))
+    out = every.withColumns({"n_links": F.lit(None).cast("long"), "component_id": F.lit(None).cast("long")})
+    lengths = [r.dim for r in every.where("dim is not null").groupBy("dim").count().where("count > 1").orderBy("dim").collect()]
+    if lengths:
+        found = [_of_one_length(rows.where(F.col("dim") == dim), dim, threshold) for dim in lengths]
+        out = every.join(reduce(DataFrame.unionByName, found), ["mark", "dim"], "left")
     own = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), (F.col("vec_id") == own).alias("kept"))

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from spanloom.llm import texts
 from spanloom.llm.shared import crc_remainder
@@ -142,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[bytes
     return (bytes(model[0]), model[1]) if model else (np.zeros(1 << BUCKET_BITS, np.float32).tobytes(), 0.0)
 
 
-def _score_batches(batches, table, bias: float, keep: list[str]):
+def _score_batches(batches, table, bias: float, keep: list[str], into: str):
     weight = np.frombuffer(table.value, dtype=np.float32)
     for batch in batches:
         for part in texts.slices(batch):
@@ -152,15 +153,17 @@ def _score_batches(batches, table, bias: float, keep: list[str]):
                 total += run[firsts[1:]] - run[firsts[:-1]]
                 count += np.diff(firsts)
             score = 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -50, 50)))
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(score)], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(score)], names=[*keep, into])
 
 
-def score(docs: DataFrame, model: tuple[bytes, float], keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and the score, the probability of label 1; reads the column ``text``."""
+def score(docs: DataFrame, model: tuple[bytes, float], keep: list[str], into: str = "score") -> DataFrame:
+    """The columns ``keep`` and, as ``into``, the probability of label 1; reads the column ``text``."""
+    if into in keep:
+        raise ValueError(f"{into} is a column that is kept; name another")
     table = docs.sparkSession.sparkContext.broadcast(model[0])
-    kept = docs.select(*keep, *([] if "text" in keep else ["text"]))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return kept.mapInArrow(partial(_score_batches, table=table, bias=model[1], keep=keep), f"{schema}, score double")
+    kept = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
+    schema = StructType([*(docs.schema[c] for c in keep), StructField(into, DoubleType())])
+    return kept.mapInArrow(partial(_score_batches, table=table, bias=model[1], keep=keep, into=into), schema)
 
 
 def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -578,6 +578,14 @@ def test_neighbours(spark):
     assert neighbours.linked(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_each_length_in_double(spark):
+    """Lengths are apart; a cosine is that of the doubles, not of floats near them."""
+    turn = lambda c: [c, (1 - c * c) ** 0.5, 0.0]
+    rows = [(1, [1.0, 0.0, 0.0]), (2, turn(0.9 + 1e-9)), (3, turn(0.9 - 1e-9)[:1] + [-(1 - (0.9 - 1e-9) ** 2) ** 0.5, 0.0]), (4, [1.0, 0.0]), (5, [2.0, 0.0]), (6, [1.0]), (7, None)]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.linked(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (0, 7)}
+
+
 def test_neighbours_in_pairs(spark, tmp_path):
     """Pairs just above the threshold that no third vector connects, in a table of 20,000."""
     import pyarrow as pa
@@ -611,6 +619,21 @@ def test_quality(spark, docs, empty):
     odd = quality.score(docs, (table, bias), ["doc_id"]).collect()
     assert len(odd) == docs.count() and all(0 <= r.score <= 1 for r in odd)
     assert {r.score for r in quality.classified(every, labels.limit(0)).collect()} == {0.5}
+    named = every.withColumn("score", F.lit("x"))
+    assert {r.score for r in quality.score(named, (table, bias), named.columns, into="own").limit(3).collect()} == {"x"}
+    with pytest.raises(ValueError):
+        quality.score(named, (table, bias), named.columns)
+    # the same sums, feature by feature, in plain Python
+    import pyarrow as pa
+
+    weight = np.frombuffer(table, dtype=np.float32)
+    some = [t for _, t in good[:3] + junk[:3]] + ["", "a b a b"]
+    for t, r in zip(some, quality.score(spark.createDataFrame(list(enumerate(some)), "doc_id long, text string"), (table, bias), ["doc_id"]).orderBy("doc_id").collect(), strict=True):
+        own = np.concatenate([b for b, _ in quality.features(*texts.flat(pa.array([t])))] or [np.zeros(0, int)])
+        raw = t.encode()
+        assert len(own) == sum(max(0, len(raw) - n + 1) for n in (3, 5)) + len(t.split()) + max(len(t.split()) - 1, 1 if t.split() else 0) + sum(x == y for x, y in zip(t.split(), t.split()[1:], strict=False))
+        logit = weight[own].astype(float).mean() if len(own) else 0.0
+        assert math.isclose(r.score, 1 / (1 + math.exp(-(logit + bias))), rel_tol=1e-6)
     assert quality.classified(empty, labels).count() == 0
 
 

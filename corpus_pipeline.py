@@ -16,8 +16,8 @@ from spanloom.llm.shared import settled
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier, learned from the labels of these, rejects."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
-    scored = quality.score(docs, quality.fit(docs, labels), docs.columns)
-    return scored.where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.score(docs, quality.fit(docs, labels), docs.columns, into="__quality")
+    return scored.where(F.col("__quality") >= quality.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,20 +49,33 @@ def islands(rows: DataFrame, keys: list[str], bucket_us: int | None = None) -> D
     return _merged(rows, keys)
 
 
-def segments(rows: DataFrame, keys: list[str], members: dict[str, Column]) -> DataFrame:
-    """Stretches (keys, start_us, end_us) between end points, with how many intervals of each member are active."""
+#: Stretch of time within which end points of a key are counted in one group.
+BUCKET = 7 * times.DAY
+
+
+def segments(rows: DataFrame, keys: list[str], members: dict[str, Column], bucket_us: int = BUCKET) -> DataFrame:
+    """Stretches (keys, start_us, end_us) between end points, with how many intervals of each member are active.
+
+    Running sums are taken within buckets of time, and the buckets' totals carry on from one to the next, so a
+    key with very many intervals is spread over tasks; only its buckets are ordered as a whole.
+    """
     rows = positive(rows)
     ends = F.explode(F.array(F.struct(F.col("start_us").alias("t"), F.lit(1).alias("step")), F.struct(F.col("end_us").alias("t"), F.lit(-1).alias("step"))))
     marks = rows.select(*keys, *[m.cast("int").alias(f"in_{n}") for n, m in members.items()], ends.alias("mark"))
-    steps = marks.groupBy(*keys, F.col("mark.t").alias("start_us")).agg(*[F.sum(F.col(f"in_{n}") * F.col("mark.step")).alias(n) for n in members])
-    order = Window.partitionBy(*keys).orderBy("start_us")
-    live = steps.withColumns({n: F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, 0)) for n in members})
-    return live.withColumn("end_us", F.lead("start_us").over(order)).where("end_us is not null")
+    steps = marks.groupBy(*keys, F.floor(F.col("mark.t") / bucket_us).alias("bucket"), F.col("mark.t").alias("start_us")).agg(*[F.sum(F.col(f"in_{n}") * F.col("mark.step")).alias(n) for n in members])
+    whole = steps.groupBy(*keys, "bucket").agg(F.min("start_us").alias("first_us"), *[F.sum(n).alias(f"sum_{n}") for n in members])
+    by_bucket = Window.partitionBy(*keys).orderBy("bucket")
+    before = [(F.sum(f"sum_{n}").over(by_bucket.rowsBetween(Window.unboundedPreceding, 0)) - F.col(f"sum_{n}")).alias(f"before_{n}") for n in members]
+    whole = whole.select(*keys, "bucket", F.lead("first_us").over(by_bucket).alias("next_us"), *before)
+    order = Window.partitionBy(*keys, "bucket").orderBy("start_us")
+    live = steps.withColumns({n: F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, 0)) for n in members} | {"end_us": F.lead("start_us").over(order)})
+    live = live.join(whole, [*keys, "bucket"]).withColumn("end_us", F.coalesce("end_us", "next_us")).where("end_us is not null")
+    return live.select(*keys, "start_us", *[(F.col(n) + F.col(f"before_{n}")).alias(n) for n in members], "end_us")
 
 
 def swept(rows: DataFrame, keys: list[str], members: dict[str, Column], keep: Column) -> DataFrame:
     """Union of the stretches where ``keep`` holds over the members' counts."""
-    return _merged(segments(rows, keys, members).where(keep).select(*keys, "start_us", "end_us"), keys)
+    return islands(segments(rows, keys, members).where(keep), keys, BUCKET)
 
 
 def both(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -92,7 +105,7 @@ def all_active(rows: DataFrame, keys: list[str], member: str, sizes: DataFrame)
     so a member without any interval leaves the group's intersection empty."""
     alone = islands(rows, [*keys, member])
     live = segments(alone, keys, {"active": F.lit(True)})
-    return _merged(live.join(sizes, keys).where("active = members").select(*keys, "start_us", "end_us"), keys)
+    return islands(live.join(sizes, keys).where("active = members"), keys, BUCKET)
 
 
 def total_us(rows: DataFrame, keys: list[str], name: str = "us") -> DataFrame:

@@ -117,3 +117,33 @@ def replayed(pages: DataFrame) -> DataFrame:
     nested = alarms(pages.where("source_key = 'history'").select(F.col("body").cast("string").alias("t")), "t").where("upper(alert_type) = 'AIR' and end_us > start_us")
     marks = html.history_marks(pages.where("source_key = 'page'").select(F.col("city").alias("key"), F.col("body").cast("string").alias("html")))
     return nested.select(F.col("region_id").alias("key"), "start_us", "end_us").unionByName(ingest.paired(marks, ["key"])).distinct()
+
+
+def _table_file(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    rows = spark.read.schema(", ".join(f"{c} string" for c in columns)).option("header", True).option("enforceSchema", False).option("encoding", "UTF-8").csv(path)
+    return rows.select(*[F.coalesce(F.trim(c), F.lit("")).alias(c) for c in columns])
+
+
+#: Columns of the baseline, of revisions, and what incidents add to them.
+BASELINE = ["month", "deaths", "coverage_through", "note"]
+REVISIONS = ["record_id", "observed_at", "attack_date", "deaths_delta", "status", "source_name", "source_url", "note"]
+INCIDENTS = ["city_key", "candidate_ids", "incident_id", "count_kind", "baseline_credited", "identity_proof", "credited_proof"]
+
+
+def baseline_file(spark: SparkSession, path: str) -> DataFrame:
+    """The monthly baseline: text trimmed, the count a number or null."""
+    return _table_file(spark, path, BASELINE).withColumn("deaths", F.col("deaths").try_cast("int"))
+
+
+def revision_file(spark: SparkSession, path: str, incidents: bool = False) -> DataFrame:
+    """Revisions in the old layout, or with ``incidents`` in that of incidents; all columns text, as rules read them."""
+    return _table_file(spark, path, [*REVISIONS, *(INCIDENTS if incidents else [])])
+
+
+QUEUE = """candidate_id string, city_key string, status string, url string, title string, snippet string, source string, published_at string,
+review_disposition struct<decision:string,reviewer:string,reason:string>, review_history array<struct<at:string,from:string,to:string>>"""
+
+
+def review_queue(spark: SparkSession, path: str) -> DataFrame:
+    """The candidates of a review queue, a JSON array."""
+    return spark.read.schema(QUEUE).option("multiLine", True).json(path).where("candidate_id is not null")

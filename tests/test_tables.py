@@ -293,3 +293,30 @@ def test_streams_equal_their_batch_twins(spark, tmp_path):
     run.stop()
     whole = marks(spark, rows).groupBy("key", "kind").agg(F.max("ts_us"), F.min("ts_us"))
     assert sorted(map(tuple, table.current().select("key", "kind", "fetched_us", "first_fetched_us").collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_ledger_files(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("\ufeffmonth,deaths,coverage_through,note\n2022-02,2,,\n2022-03,x,,odd\n")
+    assert [tuple(r) for r in histories.baseline_file(spark, str(tmp_path / "b.csv")).select("month", "deaths").collect()] == [("2022-02", 2), ("2022-03", None)]
+    assert sorted(r.reason for r in ledger.baseline_violations(histories.baseline_file(spark, str(tmp_path / "b.csv"))).collect()) == ["bad count"]
+    head = ",".join(histories.REVISIONS)
+    (tmp_path / "r.csv").write_text(f"\ufeff{head}\nr1,o, 2026-05-01 ,3,confirmed,n,u,\n,o,bad,x,odd,n,u,\nr2,o,2026-05-01,,needs_review,n,u,\n")
+    assert ledger.revision_violations(histories.revision_file(spark, str(tmp_path / "r.csv"))).count() == 0
+    (tmp_path / "q.json").write_text(json.dumps([{"candidate_id": "c", "city_key": "sumy", "status": "needs_review", "review_history": [{"at": "t", "from": "a", "to": "b"}]}, {"city_key": "x"}]))
+    one = histories.review_queue(spark, str(tmp_path / "q.json")).collect()
+    assert [(r.candidate_id, r.review_history[0].to) for r in one] == [("c", "b")]
+
+
+def test_outputs_and_corpus(spark, tmp_path):
+    rows = spark.createDataFrame([(0, 90_000_000, "official")], "start_us long, end_us long, source string")
+    sinks.event_file(rows, f"file://{tmp_path}/events")
+    assert [tuple(r) for r in spark.read.json(f"file://{tmp_path}/events").select("start", "end", "duration_minutes").collect()] == [("1970-01-01T00:00:00Z", "1970-01-01T00:01:30Z", 1.5)]
+    body = json.dumps({"cities": {"sumy": {"count": 2, "episodes": [{"city_key": "sumy", "start_at": "a", "end_at": "b", "episode_state": "closed"}]}, "kyiv": {"count": 0, "episodes": []}}})
+    found = histories.corpus(spark.createDataFrame([(body,)], "body string"), "body").collect()
+    assert sorted((r.city, r.declared, r.episode_state) for r in found) == [("kyiv", 0, None), ("sumy", 2, "closed")]
+    (tmp_path / "batch.json").write_text(json.dumps({"observations": [{"observation_id": "x"}, {"observation_id": "y"}], "episode_results": [{"episode_id": "e", "source_observation_ids": ["x", "z"]}]}))
+    seen, told = histories.observation_batches(spark, str(tmp_path / "batch.json"))
+    assert [(r.position, r.observation_id) for r in seen.orderBy("position").collect()] == [(0, "x"), (1, "y")] and sorted(r.observation_id for r in told.collect()) == ["x", "z"]
+    page = lambda text: spark.createDataFrame([(1, "https://e.org/x", f"<title>T</title><p>{text}</p>")], "page_id long, url string, html string")
+    old, new = pages.articles(page("one")), pages.articles(page("two"))
+    assert pages.changed(old, new).count() == 1 and pages.changed(old, old).count() == 0

@@ -648,6 +648,17 @@ def test_language(spark, docs, empty):
     held = [r for r in found if r.held_out and r.doc_id < 900]
     assert held and sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held)
     assert {r.lang_pred for r in found if r.doc_id >= 900} == {"und"} and all(0 <= r.score <= 1 for r in found)
+    # against plain compression with each dictionary
+    import zstandard
+
+    kept = spark.createDataFrame([r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2], "doc_id long, text string, lang string").select("text", "lang")
+    known = language.learn(kept)
+    how = zstandard.ZstdCompressionParameters(write_content_size=False, write_checksum=False, write_dict_id=False, **language.PARAMETERS)
+    for r in found:
+        text = next(t for i, t, _ in rows if i == r.doc_id)
+        if r.lang_pred != "und":
+            size = {k: len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(v, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=how).compress(language.normalised(text))) for k, v in known.items()}
+            assert r.lang_pred == min(sorted(size), key=size.get)
     assert language.identified(docs).count() == docs.count() and language.identified(empty).count() == 0
     assert language.has_letter("é") and not language.has_letter("½ ² ٣ _")
 

@@ -57,7 +57,7 @@ def anchors(text: Column) -> Column:
 def sketch(found: Column) -> Column:
     """The hashes (32 bits) that a fingerprint lists, in the order of their first places."""
     hashes = F.array_distinct(F.transform(found, lambda a: F.shiftrightunsigned(a["hash"], 32)))
-    least = lambda every: F.filter(every, lambda x: x <= F.element_at(F.array_sort(every), SKETCH))
+    least = lambda every: _let(F.element_at(F.array_sort(every), SKETCH), lambda most: F.filter(every, lambda x: x <= most))
     return _let(hashes, lambda every: F.when(F.size(every) > SKETCH, least(every)).otherwise(every))
 
 

@@ -110,3 +110,19 @@ def receipts(polled: DataFrame, checkpoints: DataFrame) -> DataFrame:
     good = F.coalesce((F.col("first_us") <= F.col("checked_us")) & (F.col("checked_us") <= F.col("check_us")), F.lit(False))
     after = F.when(F.col("checked_us").isNull() | good, F.col("check_us")).otherwise(F.col("checked_us"))
     return rows.withColumns({"continuous": good, "next_us": after})
+
+
+def receipt_violations(told: DataFrame, polled: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """(key, source, reason): what an independent look at the captured pages finds wrong with receipts.
+
+    ``told``: key, source, check_us, continuous, next_us. ``polled``: the rows that ``receipts`` reads, with
+    ``started_us`` of each page's request and ``intact``, whether its body has the declared hash.
+    """
+    pages = polled.groupBy("key", "source").agg(F.min(F.coalesce("intact", F.lit(False))).alias("intact"), F.max(F.col("captured_us") < F.col("started_us")).alias("back"))
+    own = receipts(polled, checkpoints).select("key", "source", *[F.col(c).alias(f"own_{c}") for c in ("check_us", "continuous", "next_us")])
+    rows = told.join(pages.join(own, ["key", "source"]), ["key", "source"], "left")
+    reasons = F.array_compact(F.array(
+        F.when(F.col("intact").isNull(), "no pages"), F.when(~F.col("intact"), "body changed"), F.when(F.col("back"), "captured before its request"),
+        F.when(F.col("check_us") != F.col("own_check_us"), "other clock"), F.when(F.col("continuous") != F.col("own_continuous"), "other continuity"),
+        F.when(F.col("next_us") != F.col("own_next_us"), "other checkpoint")))
+    return rows.select("key", "source", F.explode(reasons).alias("reason"))

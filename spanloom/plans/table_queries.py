@@ -403,3 +403,22 @@ def capture_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.year("o_orderdate").cast("string").alias("source"), start.alias("start_us"), (start + 200 * times.DAY).alias("captured_us"), "o_orderpriority")
     before = rows.where("o_orderpriority = '1-URGENT'").groupBy("key", "source").agg(F.max("start_us").alias("checked_us"))
     return ingest.receipts(rows, before).na.fill(-1, ["checked_us"])
+
+
+@query("""WITH p AS (SELECT o_custkey AS key, CAST(year(o_orderdate) AS VARCHAR) AS source, min(epoch_us(o_orderdate)) AS first_us, min(epoch_us(o_orderdate) + 86400000000 * 200) AS check_us,
+  bool_or(o_orderstatus = 'P') AS changed, bool_or(o_orderpriority = '5-LOW') AS back FROM orders GROUP BY ALL),
+c AS (SELECT o_custkey AS key, CAST(year(o_orderdate) AS VARCHAR) AS source, max(epoch_us(o_orderdate)) AS checked_us FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL),
+x AS (SELECT key, source, changed, back, coalesce(first_us <= checked_us AND checked_us <= check_us, false) AS continuous FROM p LEFT JOIN c USING (key, source))
+SELECT key, source, 'body changed' AS reason FROM x WHERE changed UNION ALL SELECT key, source, 'captured before its request' FROM x WHERE back
+UNION ALL SELECT key, source, 'other clock' FROM x WHERE key % 10 = 0 UNION ALL SELECT key, source, 'other continuity' FROM x WHERE key % 7 = 0 AND NOT continuous""")
+def receipt_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts of customers' orders by year, some with another clock or called continuous, against the pages."""
+    start = times.micros(F.col("o_orderdate"))
+    captured = start + 200 * times.DAY
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("key"), F.year("o_orderdate").cast("string").alias("source"), start.alias("start_us"), captured.alias("captured_us"), "o_orderpriority",
+        (captured + F.when(F.col("o_orderpriority") == "5-LOW", 1).otherwise(-1)).alias("started_us"), (F.col("o_orderstatus") != "P").alias("intact"))
+    before = rows.where("o_orderpriority = '1-URGENT'").groupBy("key", "source").agg(F.max("start_us").alias("checked_us"))
+    told = ingest.receipts(rows, before).select(
+        "key", "source", (F.col("check_us") + F.when(F.col("key") % 10 == 0, 1).otherwise(0)).alias("check_us"), (F.col("continuous") | (F.col("key") % 7 == 0)).alias("continuous"), "next_us")
+    return ingest.receipt_violations(told, rows, before)

@@ -299,13 +299,27 @@ def region_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histories.hierarchy(states, "body")
 
 
-@query()
+def _plain_sql(html: str) -> str:
+    """Text of HTML as in ``words.plain_text``."""
+    text = f"regexp_replace(regexp_replace({html}, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"
+    for name, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{name}', '{sign}')"
+    return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
+
+
+_ANCHOR = r"""'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'"""
+
+
+@query(rf"""WITH a AS (SELECT page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root, trim(unnest(regexp_extract_all(html, {_ANCHOR}, 1))) AS href, unnest(regexp_extract_all(html, {_ANCHOR}, 2)) AS t FROM pages),
+w AS (SELECT page_id, t, CASE WHEN starts_with(href, '//') THEN 'https:' || href WHEN starts_with(href, '/') THEN root || href ELSE href END AS u FROM a),
+b AS (SELECT page_id, t, regexp_replace(u, '#.*$', '') AS url FROM w WHERE regexp_matches(u, '(?i)^https?://[^/\s]'))
+SELECT DISTINCT page_id, lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)) AS host, url, {_plain_sql('t')} AS title FROM b""")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regular expressions of the engines differ, so the page queries have no SQL; tests check them against Python."""
     return pages.links(table(spark, sf_dir, "pages"))
 
 
-@query()
+@query(rf"""WITH x AS (SELECT page_id, {_plain_sql("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title, {_plain_sql('html')} AS text FROM pages)
+SELECT page_id, title, length(text) AS n_chars, sha256(text) AS digest FROM x""")
 def page_text_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.articles(table(spark, sf_dir, "pages"))
 

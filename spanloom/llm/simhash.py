@@ -260,8 +260,13 @@ def near_links(docs: DataFrame, unique: DataFrame, shingle: int, similarity: flo
         return settled(both.where(shared >= similarity * (F.size("s") + F.size("t") - shared)).select("a", "b"))
 
     met = buckets(unique.select("node", "prints", "weak").mapInArrow(_key_batches, "key long, node long"))
-    # first each fingerprint with the least one that it meets anywhere, which ties most of a large group
-    stars = near(met.where("node <> root").groupBy(F.col("node").alias("a")).agg(F.min("root").alias("b")))
+    # first each fingerprint with the least one that it meets anywhere, and with the one of those it meets that meets
+    # the most others, such as the text that many near copies were made from: that ties most of a large group
+    least = met.where("node <> root").groupBy(F.col("node").alias("a")).agg(F.min("root").alias("b"))
+    counted = met.select("key", "node").join(met.groupBy("node").agg(F.count("*").alias("n")), "node")
+    hubs = counted.groupBy("key").agg(F.max(F.struct("n", F.col("node").alias("hub"))).alias("top"))
+    hubs = counted.join(hubs, "key").where("node <> top.hub").groupBy(F.col("node").alias("a")).agg(F.max("top").alias("top")).select("a", F.col("top.hub").alias("b"))
+    stars = near(least.unionByName(hubs).distinct())
     links = alike(stars, _sets(docs, ends(stars).distinct(), shingle))
     # then what shares a bucket and is not tied: pairs, and larger buckets by bits before by shingles
     pairs, members = parted_buckets(met.select("key", "node"), links)

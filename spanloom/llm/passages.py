@@ -37,7 +37,7 @@ BANDS, ROWS = 4, 2
 #: Words of a paragraph that is compared beyond equality, of paragraphs that begin a run, and of a repetition, at least.
 LEAST_WORDS, SEED, RUN = 8, 8, 32
 #: Words on either side of a run that may belong to it; more would hold a paragraph of their own.
-REACH = 64
+REACH = 32
 #: Words on either side that a paragraph's last word is compared with.
 NEAR = 7
 
@@ -128,17 +128,34 @@ def _set_batches(batches, wanted):
             yield pa.RecordBatch.from_arrays([pa.array(found.hash[some].view(np.int64)), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
 
-def _place_batches(batches):
+def _owner_batches(batches):
+    """Each paragraph of a slice once, with the least and the greatest document that has it."""
+    for batch in batches:
+        for part in texts.slices(batch):
+            found = Paragraphs(*texts.flat(part.column("text")))
+            doc = part.column("doc_id").to_numpy()[np.searchsorted(found.firsts, found.first, side="right") - 1]
+            order = np.argsort(found.hash)
+            node, doc = found.hash[order], doc[order]
+            begin = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.zeros(0, np.int64)
+            low, high = (f.reduceat(doc, begin) if len(begin) else doc for f in (np.minimum, np.maximum))
+            yield pa.RecordBatch.from_arrays([pa.array(node[begin].view(np.int64)), pa.array(low), pa.array(high)], names=["node", "low", "high"])
+
+
+def _place_batches(batches, wanted):
+    """Where paragraphs stand whose hash is marked."""
+    bits = np.frombuffer(wanted.value, dtype=np.uint64)
     for batch in batches:
         for part in texts.slices(batch):
             data, offsets = texts.flat(part.column("text"))
             found = Paragraphs(data, offsets)
-            doc = np.searchsorted(found.firsts, found.first, side="right") - 1
-            first = found.first - found.firsts[doc]
-            begin = np.where(first == 0, 0, found.starts[found.first] - offsets[doc])
-            close = np.where(found.end == found.firsts[doc + 1], offsets[doc + 1], np.append(found.starts, 0)[found.end]) - offsets[doc]
+            some = np.flatnonzero(marked(found.hash, bits))
+            doc = np.searchsorted(found.firsts, found.first[some], side="right") - 1
+            first, end = found.first[some], found.end[some]
+            place = first - found.firsts[doc]
+            begin = np.where(place == 0, 0, np.append(found.starts, 0)[first] - offsets[doc])
+            close = np.where(end == found.firsts[doc + 1], offsets[doc + 1], np.append(found.starts, 0)[end]) - offsets[doc]
             own = [part.column(c).take(pa.array(doc)) for c in ("doc_id", "mark")]
-            numbers = [pa.array(x.astype(np.int64)) for x in (first, found.end - found.first, begin, close, found.hash.view(np.int64))]
+            numbers = [pa.array(x.astype(np.int64)) for x in (place, end - first, begin, close, found.hash[some].view(np.int64))]
             yield pa.RecordBatch.from_arrays([*own, *numbers], names=["doc_id", "mark", "first_word", "words", "begin", "close", "node"])
 
 
@@ -186,17 +203,17 @@ def _around_batches(batches, wanted):
             some = np.flatnonzero(marked(found.hash, bits))
             doc = np.searchsorted(found.firsts, found.first[some], side="right") - 1
             low, high, size = found.firsts[doc], found.firsts[doc + 1], np.diff(offsets)[doc]
-            words, starts = found.words.view(np.int64), np.append(found.starts, 0)
+            words, starts = (found.words >> np.uint64(32)).astype(np.uint32).view(np.int32), np.append(found.starts, 0)
             sides = [[], [], [], []]
             for first, end, lo, hi, start, length in zip(found.first[some], found.end[some], low, high, offsets[doc], size, strict=True):
                 before, after = np.arange(first - 1, max(lo, first - REACH) - 1, -1), np.arange(end, min(hi, end + REACH))
                 begin, close = starts[before] - start, starts[after + 1] - start
                 begin[before == lo] = 0
                 close[after + 1 == hi] = length
-                for side, x in zip(sides, (words[before], begin, words[after], close), strict=True):
+                for side, x in zip(sides, (words[before], begin.astype(np.int32), words[after], close.astype(np.int32)), strict=True):
                     side.append(x)
             columns = [part.column(c).take(pa.array(doc)) for c in ("doc_id", "mark")]
-            columns += [pa.array(found.first[some] - low), *(pa.array(x, pa.list_(pa.int64())) for x in sides)]
+            columns += [pa.array(found.first[some] - low), *(pa.array(x, pa.list_(pa.int32())) for x in sides)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "first_word", "before", "begins", "after", "closes"])
 
 
@@ -225,23 +242,26 @@ def repeated(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     least paragraph hash of the class that the run begins with.
     """
     body = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    places = settled(body.mapInArrow(_place_batches, "doc_id long, mark long, first_word long, words long, begin long, close long, node long"))
     found = components(alike(docs, threshold))
-    classes = places.groupBy("node").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).join(found, "node", "left")
+    owners = body.where("doc_id is not null").select("doc_id", "text").mapInArrow(_owner_batches, "node long, low long, high long")
+    classes = owners.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high")).join(found, "node", "left")
     classes = settled(classes.withColumn("class_id", F.coalesce("component", "node")).drop("component"))
     spans = classes.groupBy("class_id").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("last")).where("first_doc_id <> last")
-    wanted = classes.join(spans, "class_id").select("node", "class_id", "first_doc_id")
-    rows = places.join(wanted, "node").where("doc_id is not null").dropDuplicates(["doc_id", "mark", "first_word"])
+    wanted = settled(classes.join(spans, "class_id").select("node", "class_id", "first_doc_id"))
+    share = docs.sparkSession.sparkContext.broadcast
+    places = body.where("doc_id is not null").mapInArrow(partial(_place_batches, wanted=share(marks(wanted))), "doc_id long, mark long, first_word long, words long, begin long, close long, node long")
+    # one shuffle by document serves repeated rows, runs and their sums
+    rows = places.join(wanted, "node").repartition("doc_id", "mark").dropDuplicates(["doc_id", "mark", "first_word"])
     rows = rows.withColumn("removed", F.col("doc_id") != F.col("first_doc_id"))
     keepers = settled(rows.where("not removed").groupBy("class_id").agg(F.min(F.struct("first_word", "mark", "doc_id", "node")).alias("k")).select("class_id", "k.*"))
     runs = settled(_runs(rows))
     gone = runs.where("removed")
     edges = gone.select(F.explode(F.array("class_id", "last_class")).alias("class_id")).distinct()
     nodes = gone.select(F.explode(F.array("first_node", "last_node")).alias("node")).unionByName(keepers.join(edges, "class_id").select("node"))
-    sent = docs.sparkSession.sparkContext.broadcast(marks(nodes))
-    around = body.mapInArrow(partial(_around_batches, wanted=sent), "doc_id long, mark long, first_word long, before array<long>, begins array<long>, after array<long>, closes array<long>")
-    around = settled(around.dropDuplicates(["doc_id", "mark", "first_word"]))
-    kept = settled(around.join(keepers.drop("node"), ["doc_id", "mark", "first_word"]).select("class_id", "before", "after"))
+    schema = "doc_id long, mark long, first_word long, before array<int>, begins array<int>, after array<int>, closes array<int>"
+    around = settled(body.mapInArrow(partial(_around_batches, wanted=share(marks(nodes))), schema))
+    kept = around.join(keepers.drop("node"), ["doc_id", "mark", "first_word"]).select("class_id", "before", "after")
+    kept = settled(kept.groupBy("class_id").agg(F.first("before").alias("before"), F.first("after").alias("after")))
     place = ["doc_id", "mark", "first_word"]
     left = gone.join(around.select(*place, "before", "begins"), place, "left").join(kept.select("class_id", F.col("before").alias("kept_before")), "class_id", "left")
     left = left.withColumn("back", _shared(F.col("before"), F.col("kept_before")))
@@ -249,8 +269,9 @@ def repeated(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     right = right.join(kept.select(F.col("class_id").alias("last_class"), F.col("after").alias("kept_after")), "last_class", "left").withColumn("on", _shared(F.col("after"), F.col("kept_after")))
     grown = right.select(
         "doc_id", "mark", (F.col("first_word") - F.col("back")).alias("first_word"), (F.col("words") + F.col("back") + F.col("on")).alias("words"),
-        F.when(F.col("back") > 0, F.get("begins", F.col("back").cast("int") - 1)).otherwise(F.col("begin")).alias("begin"),
-        F.when(F.col("on") > 0, F.get("closes", F.col("on").cast("int") - 1)).otherwise(F.col("close")).alias("close"), "class_id", "first_doc_id", "removed")
+        F.when(F.col("back") > 0, F.get("begins", F.col("back").cast("int") - 1).cast("long")).otherwise(F.col("begin")).alias("begin"),
+        F.when(F.col("on") > 0, F.get("closes", F.col("on").cast("int") - 1).cast("long")).otherwise(F.col("close")).alias("close"), "class_id", "first_doc_id", "removed")
+    grown = grown.dropDuplicates(["doc_id", "mark", "first_word"])  # repeated rows have their surroundings twice
     return grown.unionByName(runs.where("not removed").select(*grown.columns)).where(F.col("words") >= RUN)
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.shared import components, released, settled
+from spanloom.llm.shared import components, grouped, released, settled
 
 K, ENLARGED = 12, 48
 ORDERS, BITS, STRETCH = 4, 24, 160
@@ -104,28 +104,12 @@ def _stretch_batches(batches, dim: int, threshold: float):
             yield from compared(rows.slice(at, STRETCH))
 
 
-def _grouped(batches, key: str):
-    """Whole groups of rows that arrive sorted by ``key``."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = pa.concat_tables([held, table]) if held is not None else table
-        ids = table.column(key).to_numpy()
-        cuts = np.flatnonzero(ids[1:] != ids[:-1]) + 1
-        last = int(cuts[-1]) if len(cuts) else 0
-        if last:
-            yield table.slice(0, last).combine_chunks(), np.concatenate([[0], cuts])
-        held = table.slice(last)
-    if held is not None and held.num_rows:
-        yield held.combine_chunks(), np.array([0, held.num_rows])
-
-
 def _join_batches(batches, dim: int, most: int = K):
     """Local joins: among the neighbours of each node, the pairs that improve either one's list.
 
     A list that is not saturated takes no more than the ``K`` best of a join, so the others are no loss to it.
     """
-    for table, cuts in _grouped(batches, "a"):
+    for table, cuts in grouped(batches, "a"):
         unit = _unit(table.column("v").chunk(0), dim)
         node, floor, fresh = (table.column(c).to_numpy() for c in ("b", "floor", "fresh"))
         found = [], [], []
@@ -148,7 +132,7 @@ def _join_batches(batches, dim: int, most: int = K):
 
 def _pair_batches(batches, dim: int, threshold: float):
     """Links between and within two blocks of one component, as weights to add to each member."""
-    for table, cuts in _grouped(batches, "pair"):
+    for table, cuts in grouped(batches, "pair"):
         unit = _unit(table.column("v").chunk(0), dim)
         node, weight, left, right = (table.column(c).to_numpy() for c in ("node", "n", "left", "right"))
         nodes, sums = [], []

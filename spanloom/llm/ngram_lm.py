@@ -7,10 +7,11 @@ form; successors are made monotone by starting each context above the last value
 lookup finds the context, takes the value before its first successor as base, and searches base plus
 position. Probabilities and back-off weights are quantised logarithms.
 
-Counts are Spark aggregates over all training texts. Pairs and triples of count 1 get no entry of their
-own, as they do not pay for their memory, but keep their share of the back-off. A triple seen twice
-consists of pairs seen twice, so only triples of such pairs are counted. Shards are written as files to the shared folder; the driver sees
-one row per shard. Smoothing is interpolated absolute discounting; what the words' discounts leave is the
+Counts cover all training texts, and every pair and triple that occurs has an entry. Words are counted first and the texts
+written once as word ids; the later passes read these. A shard is a range of contexts, whose order follows hashes of words. A task
+counts its own slice of ids and sends each shard one row with its sorted codes; the task of a shard merges what
+it gets, a few rows at a time, and writes the shard as a file to the shared folder; the driver sees one
+row per shard. Smoothing is interpolated absolute discounting; what the words' discounts leave is the
 probability of an unknown word.
 
 Defined results: a null text counts as empty; an empty text is one end token; texts are scored whole,
@@ -27,21 +28,26 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import crc_remainder, settled, shared_folder
+from spanloom.llm.shared import crc_remainder, released, settled, shared_folder, shuffles_dropped
 
 DISCOUNT = 0.75
-LEAST = 2
+#: Training tokens per shard of a level, ids that are counted or scored at once, and codes that are merged at once.
+SHARD_TOKENS, SLICE_TOKENS, MERGE = 1 << 21, 1 << 19, 1 << 21
 #: Step and number of the quantised logarithms (base 10).
 STEP, LEVELS = 12 / 4095, 4096
-#: Bits of a position in a packed (context, position): 2^30 words, 2^33 contexts.
+#: Bits of a position in a packed (context, position): 2^30 words, 2^33 contexts; beyond, fitting raises.
 PLACES = 30
+_PLACE = (1 << PLACES) - 1
 _FLIP = np.uint64(1 << 63)
 _END = np.uint64(0x5D7E1F0C3A9B2468)
 ONE = np.uint64(1)
+_BYTES, _HIGHS, _FIVES, _THREES, _NIBBLES = (np.uint64(x * 0x0101010101010101) for x in (1, 0x80, 0x55, 0x33, 0x0F))
+# place of the set bit of rank r in byte b, at 8 b + r
+_SELECT = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[r] for b in range(256) for r in range(8)], dtype=np.int64)
 
 
 class EliasFano:
@@ -50,7 +56,7 @@ class EliasFano:
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.n, self.low_bits = (int(x) for x in arrays["shape"])
         self.low, self.high, self.ones = arrays["low"], arrays["high"], arrays["ones"]
-        self.zeros = None
+        self.zeros = arrays["zeros"]
 
     @staticmethod
     def build(values: np.ndarray) -> dict[str, np.ndarray]:
@@ -70,7 +76,8 @@ class EliasFano:
         bits[place] = 1
         high = np.packbits(bits, bitorder="little").view(np.uint64)
         ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)]).astype(np.uint32 if n < 2**32 else np.int64)
-        return {"shape": np.array([n, low_bits]), "low": low, "high": high, "ones": ones}
+        zeros = np.arange(len(ones), dtype=np.int64) * 64 - ones
+        return {"shape": np.array([n, low_bits]), "low": low, "high": high, "ones": ones, "zeros": zeros.astype(np.uint32 if len(bits) < 2**32 else np.int64)}
 
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -83,26 +90,41 @@ class EliasFano:
 
     @staticmethod
     def _in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        """Place of the set bit of that rank in each word."""
-        place = np.zeros(len(word), dtype=np.uint64)
-        for width in (32, 16, 8, 4, 2, 1):
-            below = np.bitwise_count((word >> place) & np.uint64((1 << width) - 1)).astype(np.int64)
-            step = rank >= below
-            rank = rank - np.where(step, below, 0)
-            place += np.where(step, np.uint64(width), np.uint64(0))
-        return place.astype(np.int64)
+        """Place of the set bit of that rank in each word: its byte by sums over bytes, then a table."""
+        own = word - ((word >> ONE) & _FIVES)
+        own = (own & _THREES) + ((own >> np.uint64(2)) & _THREES)
+        upto = ((own + (own >> np.uint64(4))) & _NIBBLES) * _BYTES  # byte k: set bits up to and with byte k
+        wanted = rank.astype(np.uint64)
+        # a byte's high bit stays where its sum is above the rank
+        below = ((upto | _HIGHS) - (wanted * _BYTES + _BYTES)) & _HIGHS
+        byte = np.uint64(8) - np.bitwise_count(below).astype(np.uint64)
+        before = ((upto << np.uint64(8)) >> (byte << np.uint64(3))) & np.uint64(255)
+        held = (word >> (byte << np.uint64(3))) & np.uint64(255)
+        return (byte << np.uint64(3)).astype(np.int64) + _SELECT[(held << np.uint64(3) | (wanted - before)).astype(np.int64)]
 
     def at(self, i: np.ndarray) -> np.ndarray:
         """The values at positions ``i``."""
-        word = np.searchsorted(self.ones, i, side="right") - 1
+        word = np.searchsorted(self.ones, i.astype(self.ones.dtype), side="right") - 1
         place = word * 64 + self._in_word(self.high[word], i - self.ones[word].astype(np.int64))
         return ((place - i).astype(np.uint64) << np.uint64(self.low_bits)) | self._lows(i)
 
+    def at_and_after(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values at positions ``i`` and at those after them."""
+        word = np.searchsorted(self.ones, i.astype(self.ones.dtype), side="right") - 1
+        held = self.high[word]
+        bit = self._in_word(held, i - self.ones[word].astype(np.int64))
+        rest = held & (~np.uint64(1) << bit.astype(np.uint64))  # the ones above
+        after = word * 64 + np.bitwise_count((rest & (~rest + ONE)) - ONE)
+        far = np.flatnonzero(rest == 0)
+        if len(far):
+            next_word = np.searchsorted(self.ones, (i[far] + 1).astype(self.ones.dtype), side="right") - 1
+            after[far] = next_word * 64 + self._in_word(self.high[next_word], i[far] + 1 - self.ones[next_word].astype(np.int64))
+        shift = np.uint64(self.low_bits)
+        return ((word * 64 + bit - i).astype(np.uint64) << shift) | self._lows(i), ((after - i - 1).astype(np.uint64) << shift) | self._lows(i + 1)
+
     def _zero(self, k: np.ndarray) -> np.ndarray:
         """Place of the ``k``-th zero of the high bits."""
-        if self.zeros is None:
-            self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
-        word = np.minimum(np.searchsorted(self.zeros, k, side="right") - 1, len(self.high) - 1)
+        word = np.minimum(np.searchsorted(self.zeros, k.astype(self.zeros.dtype), side="right") - 1, len(self.high) - 1)
         return word * 64 + self._in_word(~self.high[word], k - self.zeros[word])
 
     def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,9 +138,7 @@ class EliasFano:
         last = len(self.high) * 64 - int(self.ones[-1]) - 1
         beyond = high > np.uint64(last)
         high = np.minimum(high, np.uint64(last)).astype(np.int64)
-        start = np.zeros(len(values), dtype=np.int64)
-        some = np.flatnonzero(high > 0)
-        start[some] = self._zero(high[some] - 1) + 1 - high[some]
+        start = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1 - high, 0)
         # a context with many successors fills a bucket densely, so its low bits are searched by halves
         stop = self._zero(high) - high
         end = stop.copy()
@@ -142,16 +162,13 @@ def save(path: str, arrays: dict[str, np.ndarray]) -> None:
         at += -(-x.nbytes // 64) * 64
     text = json.dumps(head).encode()
     text += b" " * (-(len(text) + 8) % 64)
-    with tempfile.SpooledTemporaryFile(max_size=1 << 30) as out:
-        out.write(len(text).to_bytes(8, "little") + text)
-        for x in arrays.values():
-            out.write(x.tobytes() + b"\0" * (-x.nbytes % 64))
-        out.seek(0)
-        whole = out.read()
     system, place = _system(path)
     rough = f"{place}.{uuid.uuid4().hex}"
     with system.open_output_stream(rough) as out:
-        out.write(whole)
+        out.write(len(text).to_bytes(8, "little") + text)
+        for x in arrays.values():
+            out.write(pa.py_buffer(np.ascontiguousarray(x)))
+            out.write(b"\0" * (-x.nbytes % 64))
     system.move(rough, place)
 
 
@@ -167,14 +184,14 @@ def load(path: str) -> dict[str, np.ndarray]:
 
     system, place = _system(path)
     if isinstance(system, fs.LocalFileSystem):
-        raw = np.memmap(place, dtype=np.uint8, mode="r")
+        raw = np.asarray(np.memmap(place, dtype=np.uint8, mode="r"))
     else:
         with tempfile.TemporaryFile() as own:
             with system.open_input_stream(place) as source:
                 while piece := source.read(1 << 24):
                     own.write(piece)
             own.flush()
-            raw = np.memmap(own, dtype=np.uint8, mode="r")
+            raw = np.asarray(np.memmap(own, dtype=np.uint8, mode="r"))
     size = int.from_bytes(raw[:8].tobytes(), "little")
     base = 8 + size
     return {name: raw[base + at : base + at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, n, at) in json.loads(raw[8:base].tobytes()).items()}
@@ -185,64 +202,75 @@ def _quantised(log10: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """One level of the trie over all its shards."""
+    """One level of the trie over all its shards, which are ranges of contexts."""
 
-    def __init__(self, shards: list[tuple[int, int, int, str]]):
-        """``shards``: (first context, entries, contexts, path), in order."""
+    def __init__(self, shards: list[tuple[int, int, str]]):
+        """``shards``: (first context, entries, path), in order."""
         self.first = np.array([s[0] % 2**64 for s in shards], dtype=np.uint64)
         self.base = np.concatenate([[0], np.cumsum([s[1] for s in shards], dtype=np.int64)])
-        self.paths, self.open = [s[3] for s in shards], {}
+        self.paths, self.open = [s[2] for s in shards], {}
 
     def shard(self, i: int) -> dict:
         if i not in self.open:
             a = load(self.paths[i])
             part = lambda p: EliasFano({k[len(p) :]: v for k, v in a.items() if k.startswith(p)})
-            self.open[i] = {"contexts": part("contexts."), "pointers": part("pointers."), "successors": part("successors."), **{k: a[k] for k in ("log", "back", "count")}}
+            self.open[i] = {"contexts": part("contexts."), "pointers": part("pointers."), "successors": part("successors."), **{k: a[k] for k in ("log", "back", "count") if k in a}}
         return self.open[i]
 
-    def _split(self, context: np.ndarray):
-        owner = np.searchsorted(self.first, context, side="right") - 1
-        for i in np.unique(owner):
-            if i >= 0:
-                yield int(i), np.flatnonzero(owner == i)
+    def runs(self, bounds: np.ndarray):
+        """Shards with entries, and the slice of sorted things that ``bounds`` gives each."""
+        for i in range(len(self.paths)):
+            if bounds[i] < bounds[i + 1] and self.base[i] < self.base[i + 1]:
+                yield i, slice(bounds[i], bounds[i + 1])
 
-    def starts(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each context its first entry or -1, the entry after its last, the quantised back-off weight, and the
-        base of its successors."""
-        n = len(context)
-        out = np.full(n, -1, dtype=np.int64), np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.uint16), np.zeros(n, dtype=np.uint64)
-        for i, rows in self._split(context):
-            s = self.shard(i)
-            at, here = s["contexts"].find(context[rows])
-            rows, at = rows[here], at[here]
-            if len(rows):
-                first = s["pointers"].at(at).astype(np.int64)
-                out[0][rows] = first + self.base[i]
-                out[1][rows] = s["pointers"].at(at + 1).astype(np.int64) + self.base[i]
-                out[2][rows] = s["back"][at]
-                out[3][rows] = np.where(first > 0, s["successors"].at(np.maximum(first - 1, 0)) + ONE, np.uint64(0))
+    def words(self, hashes: np.ndarray) -> np.ndarray:
+        """The entry of each of sorted hashes, or -1: in the first level all words follow the empty context."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        for i, own in self.runs(np.append(np.searchsorted(hashes, self.first), len(hashes))):
+            at, good = self.shard(i)["successors"].find(hashes[own])
+            out[own] = np.where(good, at + self.base[i], -1)
         return out
 
-    def find(self, context: np.ndarray, end: np.ndarray, base: np.ndarray, position: np.ndarray) -> np.ndarray:
-        """The entry of each context's successor at that position, or -1: a search relative to the context.
+    def find(self, context: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each (context, position), sorted: the entry, its quantised logarithm, the context's first entry and its
+        quantised back-off weight; entries that there aren't are -1.
 
-        ``end`` and ``base`` are what ``starts`` gave for the context; contexts that it did not find have end -1.
+        A search relative to the context: its pointer gives its first and last successor, the value before the
+        first one is the base, and base plus position is searched among the successors.
         """
-        out = np.full(len(context), -1, dtype=np.int64)
-        known = np.flatnonzero((end >= 0) & (position >= 0))
-        for i, rows in self._split(context[known]):
-            rows = known[rows]
-            at, good = self.shard(i)["successors"].find(base[rows] + position[rows].astype(np.uint64))
-            good &= at < end[rows] - self.base[i]
-            out[rows[good]] = at[good] + self.base[i]
-        return out
+        n = len(context)
+        entry, start = np.full(n, -1, dtype=np.int64), np.full(n, -1, dtype=np.int64)
+        log, back = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        if not n:
+            return entry, log, start, back
+        for i, rows in self.runs(np.append(np.searchsorted(context, self.first.astype(np.int64)), n)):
+            s, mine = self.shard(i), context[rows]
+            fresh = np.concatenate([[True], mine[1:] != mine[:-1]])
+            at, here = s["contexts"].find(mine[fresh].astype(np.uint64))
+            known = np.flatnonzero(here)
+            if not len(known):
+                continue
+            first, last, base = (np.full(len(here), -1, dtype=np.int64) for _ in range(3))
+            first[known], last[known] = (x.astype(np.int64) for x in s["pointers"].at_and_after(at[known]))
+            base[known] = np.where(first[known] > 0, s["successors"].at(np.maximum(first[known] - 1, 0)).astype(np.int64) + 1, 0)
+            weight = np.zeros(len(here), dtype=np.int64)
+            weight[known] = s["back"][at[known]]
+            group = np.cumsum(fresh) - 1
+            begin = first[group]
+            start[rows] = np.where(begin >= 0, begin + self.base[i], -1)
+            back[rows] = weight[group]
+            sought = position[rows]
+            at, good = s["successors"].find((base[group] + np.maximum(sought, 0)).astype(np.uint64))
+            good &= (begin >= 0) & (sought >= 0) & (at < last[group])
+            entry[rows] = np.where(good, at + self.base[i], -1)
+            log[rows] = np.where(good, s["log"][np.where(good, at, 0)], 0)
+        return entry, log, start, back
 
     def values(self, entry: np.ndarray, name: str) -> np.ndarray:
+        """A value of each of sorted entries."""
         out = np.zeros(len(entry), dtype=np.int64)
-        owner = np.searchsorted(self.base, entry, side="right") - 1
-        for i in np.unique(owner):
-            rows = owner == i
-            out[rows] = self.shard(int(i))[name][entry[rows] - self.base[i]]
+        for i, own in self.runs(np.append(np.searchsorted(entry, self.base[:-1]), len(entry))):
+            out[own] = self.shard(i)[name][entry[own] - self.base[i]]
         return out
 
 
@@ -253,32 +281,6 @@ class Model:
         self.total, self.distinct, self.unknown = total, distinct, unknown
         self.levels = [Level(shards) for shards in levels]
 
-    def words(self, hashes: np.ndarray) -> np.ndarray:
-        """The id of each word, or -1. All words follow one context, the empty one of their shard."""
-        level = self.levels[0]
-        out = np.full(len(hashes), -1, dtype=np.int64)
-        for i, rows in level._split(hashes):
-            at, good = level.shard(i)["successors"].find(hashes[rows])
-            out[rows[good]] = at[good] + level.base[i]
-        return out
-
-
-    def suffixes(self, pair: np.ndarray, position: np.ndarray) -> np.ndarray:
-        """The entry of the pair that ends a triple, from the triple's first pair and its position."""
-        level = self.levels[1]
-        unique, at = np.unique(pair, return_inverse=True)
-        last = np.zeros(len(unique), dtype=np.int64)
-        owner = np.searchsorted(level.base, unique, side="right") - 1
-        for i in np.unique(owner):
-            rows, s = np.flatnonzero(owner == i), level.shard(int(i))
-            own = unique[rows] - level.base[i]
-            # the first entry of the pair's context is the last pointer that is not above the entry
-            context, exact = s["pointers"].find(own.astype(np.uint64))
-            first = s["pointers"].at(context - ~exact).astype(np.int64)
-            base = np.where(first > 0, s["successors"].at(np.maximum(first - 1, 0)) + ONE, np.uint64(0))
-            last[rows] = (s["successors"].at(own) - base).astype(np.int64)
-        return level.starts(last.astype(np.uint64))[0][at] + position
-
 
 def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts with the end tokens, and each text's first, with the end."""
@@ -300,40 +302,59 @@ def _word_counts(batches):
             yield _rows(["word", "n"], word ^ _FLIP, n)  # signed order is then the unsigned one
 
 
+def _per_text(x: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Sums over each text's tokens, alike for equal texts wherever they stand; every text has a token."""
+    return np.add.reduceat(x, firsts[:-1])
+
+
+def _id_batches(batches, model):
+    """Each text as word ids, -1 where a word is not known; with its known tokens and base score."""
+    held = Model(*model.value)
+    for batch in batches:
+        for part in texts.slices(batch, limit=3 << 20):
+            hashes, firsts = _tokens(part)
+            unique, back = np.unique(hashes, return_inverse=True)
+            ids = held.levels[0].words(unique) if held.levels else np.full(len(unique), -1)
+            count, known = np.zeros(len(ids)), ids >= 0
+            if known.any():
+                count[known] = held.levels[0].values(ids[known], "count")
+            base = np.log10((count + 1) / (held.total + held.distinct + 1))
+            lists = pa.ListArray.from_arrays(pa.array(firsts, pa.int32()), pa.array(ids.astype(np.int32)[back]))
+            columns = [part.column("doc_id"), part.column("held_out"), pa.array(_per_text(known.astype(np.int64)[back], firsts)), pa.array(_per_text(base[back], firsts)), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_known", "base_score", "ids"])
+
+
+def _slices(batch: pa.RecordBatch, tokens: int = SLICE_TOKENS):
+    """Parts of a batch of ids of about so many tokens; one text is never cut."""
+    ends = batch.column("ids").offsets.to_numpy()
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + tokens, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+    texts.give_back()
+
+
 class Positions:
     """The tokens of a slice as word ids, and the entries of the pairs and triples that end at each."""
 
-    def __init__(self, part: pa.RecordBatch, model: Model):
-        hashes, self.firsts = _tokens(part)
-        unique, back = np.unique(hashes, return_inverse=True)
-        self.ids = model.words(unique)[back]
-        n = len(self.ids)
-        inner = np.ones(n, dtype=bool)
+    def __init__(self, part: pa.RecordBatch):
+        lists = part.column("ids")
+        ends = lists.offsets.to_numpy()
+        self.firsts = ends.astype(np.int64) - int(ends[0])
+        self.ids = lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]].astype(np.int64)
+        inner = np.ones(len(self.ids), dtype=bool)
         inner[self.firsts[:-1]] = False
-        before = np.concatenate([[-1], self.ids[:-1]])
-        self.context = np.where(inner, before, -1)
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct known (context, word) and, for each token, which one it is or -1."""
-        good = (self.context >= 0) & (self.ids >= 0)
-        code, back = np.unique((self.context[good] << PLACES) | self.ids[good], return_inverse=True)
-        which = np.full(len(self.ids), -1, dtype=np.int64)
-        which[good] = back
-        return code >> PLACES, code & ((1 << PLACES) - 1), which
+        self.context = np.where(inner, np.concatenate([[-1], self.ids[:-1]]), -1)
 
     def look_up_pairs(self, model: Model) -> None:
-        level = model.levels[1]
-        context, word, which = self.pairs()
-        n, some = len(self.ids), which >= 0
-        # every known context once, also those whose word is not known
-        own, at = np.unique(self.context, return_inverse=True)
-        start, end, back, base = level.starts(np.maximum(own, 0).astype(np.uint64))
-        start[own < 0], end[own < 0], back[own < 0] = -1, -1, 0
-        self.pair_start, self.pair_back = start[at], back[at]
-        mine = np.searchsorted(own, context)
-        entry = level.find(context.astype(np.uint64), end[mine], base[mine], word)
-        self.pair = np.full(n, -1, dtype=np.int64)
-        self.pair[some] = entry[which[some]]
+        n, some = len(self.ids), np.flatnonzero(self.context >= 0)
+        # every context and word once and in order, also those whose word is not known (-1)
+        code, which = np.unique(self.context[some] << PLACES | (self.ids[some] + 1), return_inverse=True)
+        found = model.levels[1].find(code >> PLACES, (code & _PLACE) - 1)
+        self.pair, self.pair_log, self.pair_start, self.pair_back = (np.full(n, x, dtype=np.int64) for x in (-1, 0, -1, 0))
+        for whole, own in zip((self.pair, self.pair_log, self.pair_start, self.pair_back), found, strict=True):
+            whole[some] = own[which]
         # position of a pair's word among its context's successors
         self.position = np.where(self.pair >= 0, self.pair - self.pair_start, -1)
         last = np.concatenate([[-1], self.pair[:-1]])
@@ -341,159 +362,230 @@ class Positions:
         self.long_context = last
 
 
-def _pair_counts(batches, model):
+def _planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then their second bytes and so on, as those that are mostly zero shuffle small."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def _unplanes(raw: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _packed(codes: np.ndarray) -> bytes:
+    """Sorted codes as the first context, the steps to the next ones, and positions."""
+    context = codes >> PLACES
+    steps = np.diff(context, prepend=context[:1])
+    kind = np.uint32 if int(steps.max()) < 2**32 else np.uint64
+    return context[:1].tobytes() + _planes(steps.astype(kind)) + _planes((codes & _PLACE).astype(np.uint32))
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    size = len(raw) - 8 - 4 * n
+    steps = _unplanes(raw[8 : 8 + size], np.uint32 if size == 4 * n else np.uint64).astype(np.int64)
+    context = np.cumsum(steps) + np.frombuffer(raw, dtype=np.int64, count=1)[0]
+    return context << PLACES | _unplanes(raw[8 + size :], np.uint32)
+
+
+def _counted(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes in order, how often each is there, and a place of each."""
+    order = np.argsort(code)
+    code = code[order]
+    begin = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    return code[begin], np.diff(np.append(begin, len(code))), order[begin]
+
+
+def _blocks(code: np.ndarray, n: np.ndarray, below: np.ndarray, firsts: np.ndarray) -> pa.RecordBatch:
+    """One row for each shard, of those that begin with the contexts ``firsts``: its codes (context and position) in
+    order, their counts, and the quantised logarithms of what they back off to."""
+    bounds = np.append(np.searchsorted(code >> PLACES, firsts), len(code))
+    cuts = [(i, slice(bounds[i], bounds[i + 1])) for i in np.flatnonzero(bounds[:-1] < bounds[1:])]
+    columns = [pa.array([pack(x[own]) for _, own in cuts], pa.binary()) for x, pack in ((code, _packed), (n.astype(np.uint32), _planes), (below.astype(np.uint16), _planes))]
+    return pa.RecordBatch.from_arrays([pa.array([i for i, _ in cuts], pa.int32()), *columns], names=["shard", "codes", "counts", "below"])
+
+
+def _pair_counts(batches, firsts: np.ndarray, model):
     held = Model(*model.value)
     for batch in batches:
-        for part in texts.slices(batch, limit=3 << 20):
-            context, word, which = Positions(part, held).pairs()
-            n = np.bincount(which[which >= 0], minlength=len(context))
-            yield _rows(["code", "n"], context << PLACES | word, n)
+        for part in _slices(batch, 4 * SLICE_TOKENS):  # the more at once, the fewer pairs twice
+            p = Positions(part)
+            good = (p.context >= 0) & (p.ids >= 0)
+            code, n, _ = _counted(p.context[good] << PLACES | p.ids[good])
+            word, back = np.unique(code & _PLACE, return_inverse=True)
+            yield _blocks(code, n, held.levels[0].values(word, "log")[back], firsts)
 
 
-def _triple_counts(batches, model):
+def _triple_counts(batches, firsts: np.ndarray, model):
     held = Model(*model.value)
     for batch in batches:
-        for part in texts.slices(batch, limit=3 << 20):
-            p = Positions(part, held)
+        for part in _slices(batch):
+            p = Positions(part)
             p.look_up_pairs(held)
-            good = (p.long_context >= 0) & (p.pair >= 0)
-            code, n = np.unique(p.long_context[good] << PLACES | p.position[good], return_counts=True)
-            yield _rows(["code", "n"], code, n)
-
+            good = np.flatnonzero((p.long_context >= 0) & (p.pair >= 0))
+            code, n, at = _counted(p.long_context[good] << PLACES | p.position[good])
+            yield _blocks(code, n, p.pair_log[good[at]], firsts)
 
-def _collected(batches, names):
-    got = [[b.column(n).to_numpy() for n in names] for b in batches if b.num_rows]
-    return [np.concatenate(x) for x in zip(*got, strict=True)] if got else None
 
+def _added(codes: list[np.ndarray], counts: list[np.ndarray], below: list[np.ndarray]) -> list[np.ndarray]:
+    """Distinct codes in order, with the sums of their counts, and what is below them."""
+    code = np.concatenate(codes)
+    order = np.argsort(code)
+    code, n, lower = code[order], np.concatenate(counts).astype(np.int64)[order], np.concatenate(below)[order]
+    begin = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    return [code[begin], np.add.reduceat(n, begin) if len(code) else n, lower[begin]]
 
-def _manifest(first, n, contexts, path) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([first], pa.int64()), pa.array([n], pa.int64()), pa.array([contexts], pa.int64()), pa.array([path])], names=["first", "n", "contexts", "path"])
 
-
-def _shard(folder: str, context: np.ndarray, position: np.ndarray, log: np.ndarray, back: np.ndarray, count: np.ndarray):
-    """Write one shard of sorted (context, position) entries; ``back`` has one weight for each context."""
-    fresh = np.concatenate([[True], context[1:] != context[:-1]])
-    begin = np.flatnonzero(fresh)
-    ends = np.append(begin[1:], len(context))
-    top = position[ends - 1].astype(np.uint64) + ONE
-    base = np.concatenate([np.zeros(1, np.uint64), np.cumsum(top)[:-1]]).astype(np.uint64)
-    arrays = {}
-    for name, x in (("contexts", context[begin]), ("pointers", np.append(begin, len(context))), ("successors", position.astype(np.uint64) + np.repeat(base, ends - begin))):
-        arrays |= {f"{name}.{k}": v for k, v in EliasFano.build(np.asarray(x).astype(np.uint64)).items()}
-    path = f"{folder}/{uuid.uuid4().hex}.trie"
-    save(path, arrays | {"log": _quantised(log), "back": _quantised(back), "count": count.astype(np.uint32)})
-    return _manifest(int(context[0].astype(np.uint64).view(np.int64)) if context.dtype == np.uint64 else int(context[0]), len(context), len(begin), path)
+def _merged(batches):
+    """(shard, codes, counts, below) of each shard, from blocks that come sorted by shard."""
+    shard, held, fresh = None, ([], [], []), 0
+    for batch in batches:
+        for own, *block in zip(batch.column("shard").to_pylist(), *(batch.column(c) for c in ("codes", "counts", "below")), strict=True):
+            if own != shard and held[0]:
+                yield shard, *_added(*held)
+                held, fresh = ([], [], []), 0
+            shard = own
+            code, n, below = (x.as_py() for x in block)
+            n = _unplanes(n, np.uint32)
+            for into, x in zip(held, (_unpacked(code, len(n)), n, _unplanes(below, np.uint16)), strict=True):
+                into.append(x)
+            fresh += len(n)
+            if fresh > max(MERGE, len(held[0][0])):  # a shard that has grown is merged the less often
+                held, fresh = tuple([x] for x in _added(*held)), 0
+    if held[0]:
+        yield shard, *_added(*held)
+
+
+def _manifest(key: int, n: int, path: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([n], pa.int64()), pa.array([path])], names=["key", "n", "path"])
 
 
 def _word_shards(batches, folder: str, total: int, discount: float):
-    got = _collected(batches, ["word", "n"])
-    if got is None:
+    got = [[b.column(n).to_numpy() for n in ("word", "n")] for b in batches if b.num_rows]
+    if not got:
         return
-    word, n = got[0].view(np.uint64) ^ _FLIP, got[1]
+    word, n = (np.concatenate(x) for x in zip(*got, strict=True))
+    word = word.view(np.uint64) ^ _FLIP
     arrays = {f"successors.{k}": v for k, v in EliasFano.build(word).items()}
     empty = EliasFano.build(np.zeros(1, np.uint64))
     arrays |= {f"{name}.{k}": v for name in ("contexts", "pointers") for k, v in empty.items()}
     path = f"{folder}/{uuid.uuid4().hex}.trie"
     log = np.log10(np.maximum(n - discount, 1e-9) / total)
-    save(path, arrays | {"log": _quantised(log), "back": np.zeros(1, np.uint16), "count": n})
-    yield _manifest(int(word[:1].view(np.int64)[0]), len(word), 1, path)
-
-
-def _longer_shards(batches, folder: str, model, order: int):
-    got = _collected(batches, ["context", "position", "n"])
-    if got is None:
-        return
-    held = Model(*model.value)
-    context, position, n = got
-    lower = position if order == 2 else held.suffixes(context, position)
-    fresh = np.concatenate([[True], context[1:] != context[:-1]])
-    begin = np.flatnonzero(fresh)
-    size = np.diff(np.append(begin, len(context)))
-    seen = held.levels[order - 2].values(context[begin], "count")  # how often the context was seen
-    taken = np.add.reduceat(n - DISCOUNT, begin)
-    back = np.maximum(1 - taken / seen, 1e-9)
-    below = 10.0 ** (-STEP * held.levels[order - 2].values(lower, "log"))
-    prob = (n - DISCOUNT) / np.repeat(seen, size) + np.repeat(back, size) * below
-    yield _shard(folder, context, position, np.log10(prob), np.log10(back), n)
+    save(path, arrays | {"log": _quantised(log), "back": np.zeros(1, np.uint16), "count": n.astype(np.uint32 if n.max() < 2**32 else np.int64)})
+    yield _manifest(int(word[:1].view(np.int64)[0]), len(word), path)
+
+
+def _longer_shards(batches, folder: str):
+    """Write the shards whose blocks arrive: sorted (context, position) entries, and a back-off weight for each context."""
+    for shard, code, n, lower in _merged(batches):
+        context, position = code >> PLACES, code & _PLACE
+        begin = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        ends = np.append(begin[1:], len(context))
+        size, seen = ends - begin, np.add.reduceat(n, begin)
+        back = DISCOUNT * size / seen
+        prob = (n - DISCOUNT) / np.repeat(seen, size) + np.repeat(back, size) * 10.0 ** (-STEP * lower)
+        top = position[ends - 1].astype(np.uint64) + ONE
+        base = np.concatenate([np.zeros(1, np.uint64), np.cumsum(top)[:-1]]).astype(np.uint64)
+        arrays = {}
+        for name, x in (("contexts", context[begin]), ("pointers", np.append(begin, len(context))), ("successors", position.astype(np.uint64) + np.repeat(base, size))):
+            arrays |= {f"{name}.{k}": v for k, v in EliasFano.build(np.asarray(x).astype(np.uint64)).items()}
+        path = f"{folder}/{uuid.uuid4().hex}.trie"
+        save(path, arrays | {"log": _quantised(np.log10(prob)), "back": _quantised(np.log10(back))})
+        yield _manifest(shard, len(code), path)
+        texts.give_back()
 
 
 def _score_batches(batches, model):
     held = Model(*model.value)
+    rare = np.log10(held.unknown)
     for batch in batches:
-        for part in texts.slices(batch, limit=3 << 20):
-            p = Positions(part, held)
-            n = len(p.ids)
-            known = p.ids >= 0
-            count = np.zeros(n)
-            log = np.full(n, np.log10(held.unknown))
-            if known.any():
-                ids, at = np.unique(p.ids[known], return_inverse=True)
-                count[known] = held.levels[0].values(ids, "count")[at]
-                log[known] = -STEP * held.levels[0].values(ids, "log")[at]
-            base = np.log10((count + 1) / (held.total + held.distinct + 1))
+        for part in _slices(batch):
+            p = Positions(part)
+            n, known = len(p.ids), p.ids >= 0
+            # whole numbers of steps, so that equal texts have equal sums
+            steps, alone = np.zeros(n, dtype=np.int64), known
             if len(held.levels) > 1:
                 p.look_up_pairs(held)
-                log = np.where(p.pair_start >= 0, log - STEP * p.pair_back, log)
-                hit = p.pair >= 0
-                log[hit] = -STEP * held.levels[1].values(p.pair[hit], "log")
+                steps = np.where(p.pair >= 0, p.pair_log, p.pair_back)
+                alone = known & (p.pair < 0)
+            if alone.any():  # what is no known pair backs off to the word
+                ids, at = np.unique(p.ids[alone], return_inverse=True)
+                steps[alone] += held.levels[0].values(ids, "log")[at]
             if len(held.levels) > 2:
-                level, rows = held.levels[2], np.flatnonzero(p.long_context >= 0)
-                code, at = np.unique(p.long_context[rows], return_inverse=True)
-                start, end, back, under = (x[at] for x in level.starts(code.astype(np.uint64)))
-                entry = level.find(p.long_context[rows].astype(np.uint64), end, under, p.position[rows])
-                log[rows] = np.where(start >= 0, log[rows] - STEP * back, log[rows])
-                hit = entry >= 0
-                log[rows[hit]] = -STEP * level.values(entry[hit], "log")
-            run = lambda x: np.concatenate([[0], np.cumsum(x)])
-            per = lambda x: np.diff(run(x)[p.firsts])
-            out = [part.column("doc_id"), pa.array(np.diff(p.firsts)), pa.array(per(known.astype(np.int64))), pa.array(per(base)), pa.array(per(log))]
-            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-
-def _level(rows: DataFrame, build) -> list:
-    """Write a level's shards; a context's entries stay together."""
-    key, rest = rows.columns[0], rows.columns[1]
-    dealt = rows.repartitionByRange(key).sortWithinPartitions(key, rest)
-    made = dealt.mapInArrow(build, "first long, n long, contexts long, path string").collect()
-    return sorted(((r.first, r.n, r.contexts, r.path) for r in made), key=lambda s: s[0] % 2**64)
-
-
-def fit(docs: DataFrame, orders: int = 3) -> tuple:
-    """The model of the texts' words, up to triples: (total, distinct, unknown, levels), small and picklable."""
-    spark = docs.sparkSession
-    folder = f"{shared_folder(spark)}/trie-{uuid.uuid4().hex}"
-    system, place = _system(folder)
-    system.create_dir(place, recursive=True)
-    body = docs.select("text")
-    words = settled(body.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+                rows = np.flatnonzero(p.long_context >= 0)
+                # each run once and in order, also those whose last two words are no known pair (position -1)
+                code, at = np.unique(p.long_context[rows] << PLACES | (p.position[rows] + 1), return_inverse=True)
+                entry, log, _, back = held.levels[2].find(code >> PLACES, (code & _PLACE) - 1)
+                steps[rows] = np.where((entry >= 0)[at], log[at], steps[rows] + back[at])
+            score = -STEP * _per_text(steps, p.firsts) + rare * _per_text((~known).astype(np.int64), p.firsts)
+            columns = [part.column(c) for c in ("doc_id", "held_out", "n_known", "base_score")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(p.firsts)), pa.array(score)], names=["doc_id", "held_out", "n_known", "base_score", "n_tokens", "score"])
+
+
+def _built(rows: DataFrame, build) -> list[tuple[int, int, str]]:
+    made = rows.mapInArrow(build, "key long, n long, path string").collect()
+    return sorted(((r.key, r.n, r.path) for r in made), key=lambda s: s[0] % 2**64)
+
+
+def _words(docs: DataFrame, folder: str) -> tuple:
+    """(total, distinct, unknown, [words]) of the texts."""
+    words = settled(docs.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     total, distinct, once, twice = words.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
     if not total:
         return (0, 0, 1.0, [])
+    if distinct >= _PLACE:
+        raise ValueError(f"more than {_PLACE} distinct words")
     discount = once / (once + 2 * twice) if once else 0.0
-    model = (total, distinct, max(discount * distinct / total, 1 / (total + distinct + 1)), [_level(words, partial(_word_shards, folder=folder, total=total, discount=discount))])
+    dealt = words.repartitionByRange("word").sortWithinPartitions("word")
+    level = _built(dealt, partial(_word_shards, folder=folder, total=total, discount=discount))
+    released(words)
+    del words, dealt
+    shuffles_dropped(docs.sparkSession)
+    return (total, distinct, max(discount * distinct / total, 1 / (total + distinct + 1)), [level])
+
+
+def fit(docs: DataFrame, train: Column | None = None, orders: int = 3) -> tuple[tuple, DataFrame]:
+    """The model of the texts of the rows where ``train`` holds (else of all), up to triples, and the rows as word ids.
+
+    The model is (total, distinct, unknown, levels), small and picklable; the rows (doc_id, held_out, n_known,
+    base_score, ids) are settled, and are what ``score`` takes.
+    """
+    spark = docs.sparkSession
+    folder = f"{shared_folder(spark)}/trie-{uuid.uuid4().hex}"
+    system, place = _system(folder)
+    system.create_dir(place, recursive=True)
+    held_out = F.lit(False) if train is None else ~train
+    docs = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    model = _words(docs.where("not held_out"), folder)
     share = spark.sparkContext.broadcast
-    for order in range(2, orders + 1):
+    rows = settled(docs.mapInArrow(partial(_id_batches, model=share(model)), "doc_id long, held_out boolean, n_known long, base_score double, ids array<int>"), compression="zstd")
+    learnt = rows.where("not held_out").select("ids")
+    shards = -(-model[0] // SHARD_TOKENS)
+    contexts = model[1]
+    for order in range(2, orders + 1 if model[0] else 2):
         sent = share(model)
-        count = _pair_counts if order == 2 else _triple_counts
-        rows = body.mapInArrow(partial(count, model=sent), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(f"n >= {LEAST}")
-        rows = rows.select(F.shiftright("code", PLACES).alias("context"), F.col("code").bitwiseAND(F.lit((1 << PLACES) - 1)).alias("position"), "n")
-        made = _level(rows, partial(_longer_shards, folder=folder, model=sent, order=order))
-        if not made:
+        firsts = np.arange(shards, dtype=np.int64) * contexts // shards
+        count = partial(_pair_counts if order == 2 else _triple_counts, firsts=firsts, model=sent)
+        blocks = learnt.mapInArrow(count, "shard int, codes binary, counts binary, below binary").repartition(shards, "shard").sortWithinPartitions("shard")
+        made = {key: (n, path) for key, n, path in _built(blocks, partial(_longer_shards, folder=folder))}
+        del blocks
+        shuffles_dropped(spark)
+        contexts = sum(n for n, _ in made.values())
+        if not contexts:
             break
-        model = (*model[:3], [*model[3], made])
-    return model
+        if contexts >= 1 << 63 - PLACES:
+            raise ValueError(f"more than 2^{63 - PLACES} runs of {order} words")
+        model = (*model[:3], [*model[3], [(int(first), *made.get(i, (0, ""))) for i, first in enumerate(firsts)]])
+    return model, rows
 
 
-def score(docs: DataFrame, model: tuple) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of each whole text, by looking the trie up."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("doc_id", "text").mapInArrow(
-        partial(_score_batches, model=sent), "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    )
+def score(rows: DataFrame, model: tuple) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, base_score, score) of each whole text, by looking the trie up."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+    return rows.mapInArrow(partial(_score_batches, model=sent), "doc_id long, held_out boolean, n_known long, base_score double, n_tokens long, score double")
 
 
 def scored(docs: DataFrame) -> DataFrame:
-    """Scores of all documents by the model of those that are not held out."""
-    held_out = crc_remainder("doc_id", 7) == 2
-    model = fit(docs.where(~held_out))
-    return score(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model[0]).cast("long").alias("train_tokens"), "base_score", "score")
+    """Scores of all documents by the model of those that are not held out; a null id is not."""
+    model, rows = fit(docs, F.coalesce(crc_remainder("doc_id", 7) != 2, F.lit(True)))
+    found = score(rows, model)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model[0]).cast("long").alias("train_tokens"), "base_score", "score")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from functools import partial
@@ -24,10 +25,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def settled(frame: DataFrame) -> DataFrame:
+def settled(frame: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a frame to the shared folder and read it again: lost executors then cost no recomputation of it."""
     path = f"{shared_folder(frame.sparkSession)}/settled-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
@@ -40,6 +41,12 @@ def released(frame: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def shuffles_dropped(spark: SparkSession) -> None:
+    """Let go of the shuffle files of frames that are no longer used: Spark removes them once the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def crc_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id's decimal text, modulo ``modulus``; null for a null id."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
@@ -127,8 +134,9 @@ def mixed_buckets(rows: DataFrame, links: DataFrame, least: int = 3) -> DataFram
     """(pair, key, node, component, left, right): members of buckets that ``links`` (a, b) do not tie together.
 
     ``rows`` (key, node) are distinct. A bucket whose members are all in one component is left out, and of
-    buckets with the same members one is taken. ``least`` members: of two, ``links`` has judged the only pair. The members outside a bucket's largest component are cut
-    into blocks, and so are those inside; a ``pair`` is two blocks of a key, at least one of them outside.
+    buckets with the same members one is taken. Buckets have ``least`` members or more (of two, ``links`` has
+    judged the only pair). The members outside a bucket's largest component are cut into blocks, and so are
+    those inside; a ``pair`` is two blocks of a key, at least one of them outside.
     """
     return _in_blocks(*_tagged(rows, links), least)
 

@@ -119,7 +119,7 @@ def _run_batches(batches):
 
 
 #: Members of a block of a bucket; two blocks are compared at a time.
-BLOCK = 256
+BLOCK = 1024
 
 
 def _tagged(rows: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:

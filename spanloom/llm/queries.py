@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import language, licence, mixing, neighbours, ngram_lm, packing, passages, quality, simhash, syncmers
+from spanloom.llm import language, licence, mixing, neighbours, ngram_lm, packing, passages, quality, simhash, spelling, syncmers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "place", "licence", "array_join(sentences, '|') AS sentences")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op2_repeated_passages": op2_repeated_passages,
@@ -63,6 +67,7 @@ QUERIES = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_language_id": op9_language_id,
     "op10_licence_scan": op10_licence_scan,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import language, licence, mixing, neighbours, ngram_lm, packing, passages, quality, rules, simhash, spelling, syncmers
+from spanloom.llm import language, licence, mixing, neighbours, ngram_lm, packing, passages, quality, rules, simhash, spelling, syncmers, turns
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "place", "licence", "array_join(sentences, '|') AS sentences")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.report(_table(spark, sf_dir, "conversations"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.filtered(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("broken", "|").alias("broken"))
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_language_id": op9_language_id,
     "op10_licence_scan": op10_licence_scan,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_quality_rules": op12_quality_rules,
     "op13_spelling_variants": op13_spelling_variants,
 }

@@ -6,14 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.functions import times
+from spanloom.sources import trees
 
 MUNICIPAL = "type string, dateTimeStart string, dateTimeEnd string"
 COMMITTED = "start string, end string, duration_minutes double, source string"
 NATIONAL = "oblast string, raion string, hromada string, level string, started_at string, finished_at string"
 ALARM = "struct<alertType:string,startDate:string,endDate:string,isContinue:boolean,regionId:string,regionName:string>"
 HISTORY = f"struct<regionId:string,regionName:string,alarms:array<{ALARM}>>"
-HIERARCHY = ("states array<struct<stateId:string,stateName:string,districts:array<struct<districtId:string,districtName:string,"
-             "communities:array<struct<communityId:string,communityName:string>>>>>>")
 
 
 def municipal(spark: SparkSession, path: str, kind: str, zone: str = times.ZONE) -> DataFrame:
@@ -65,26 +64,30 @@ def by_region(rows: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def alarms(bodies: DataFrame, body: str, default_id: Column | None = None, default_name: Column | None = None) -> DataFrame:
-    """Alarm rows of region histories: JSON text of one object or a list of them. Regions whose alarms are no list go."""
+    """Alarm rows of region histories: JSON text of one object or a list of them. Regions whose alarms are no list go.
+
+    A region without an id takes the fallback's, and only without one that of the alarm.
+    """
+    default_id, default_name = (F.lit(None) if c is None else c for c in (default_id, default_name))
     text = F.trim(F.col(body))
     listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
     rows = bodies.select(F.explode(F.from_json(listed, f"array<{HISTORY}>")).alias("r")).where("r.alarms is not null")
     rows = rows.select(F.col("r.regionId").alias("i"), F.col("r.regionName").alias("n"), F.explode("r.alarms").alias("a"))
     return rows.select(
-        F.coalesce(F.col("i"), F.col("a.regionId"), default_id or F.lit(None)).alias("region_id"), F.coalesce(F.col("n"), default_name or F.lit(None)).alias("region_name"),
+        F.coalesce(F.col("i"), default_id, F.col("a.regionId")).alias("region_id"), F.coalesce(F.col("n"), default_name).alias("region_name"),
         F.col("a.regionName").alias("name"), F.col("a.alertType").alias("alert_type"), times.utc_to_us(F.col("a.startDate")).alias("start_us"),
         times.utc_to_us(F.col("a.endDate")).alias("end_us"), F.coalesce("a.isContinue", F.lit(False)).alias("open"))
 
 
 def hierarchy(bodies: DataFrame, body: str) -> DataFrame:
-    """Distinct nodes (level, id, name, parent) of nested states, districts and communities."""
-    states = bodies.select(F.explode(F.from_json(body, HIERARCHY)["states"]).alias("s"))
-    districts = states.select(F.col("s.stateId").alias("p"), F.explode("s.districts").alias("d"))
-    communities = districts.select(F.col("d.districtId").alias("p"), F.explode("d.communities").alias("c"))
-    node = lambda rows, level, i, n, p: rows.select(F.lit(level).alias("level"), F.col(i).alias("id"), F.col(n).alias("name"), p.alias("parent"))
-    parts = [node(states, "state", "s.stateId", "s.stateName", F.lit(None).cast("string")), node(districts, "district", "d.districtId", "d.districtName", F.col("p")),
-             node(communities, "community", "c.communityId", "c.communityName", F.col("p"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).dropDuplicates()
+    """Distinct nodes (level, id, name, parent) of nested states, districts and communities, at whatever depth they are."""
+    return trees.nodes(bodies, body, trees.HIERARCHY).drop("kind")
+
+
+def groups_by_name(rows: DataFrame) -> DataFrame:
+    """(name, region_id, alarms) from ``alarms``: regions of one name are one group, under the id of the first of them that has one."""
+    named = rows.withColumn("name", F.trim("region_name")).where("name <> ''")
+    return named.groupBy("name").agg(F.min("region_id").alias("region_id"), F.count("*").alias("alarms"))
 
 
 def corpus(bodies: DataFrame, body: str) -> DataFrame:

@@ -28,14 +28,11 @@ def started_daily(rows: DataFrame, keys: list[str], zone: str = times.ZONE) -> D
 def daily(rows: DataFrame, keys: list[str], zone: str = times.ZONE) -> DataFrame:
     """Dense days of each key, from its first start to its last end, with counts, lengths and time under alert.
 
-    One pass over rows that are brought together by key once: behind the ends of those before it, each row adds
-    a piece of time that no other adds, so its pieces by day sum up to time under alert. Days without rows are
-    filled in up to a key's next day.
+    Behind the ends of those before it, each row adds a piece of time that no other adds, so its pieces by day sum up to
+    time under alert. Days without rows are filled in up to a key's next day.
     """
-    order = Window.partitionBy(*keys).orderBy("start_us", "end_us")
-    rows = rows.select(*keys, "start_us", "end_us")
-    fresh = F.greatest("start_us", F.max("end_us").over(order.rowsBetween(*intervals.PAST)))
-    rows = rows.withColumn("fresh_us", fresh)
+    dealt = intervals.bucketed(rows.select(*keys, "start_us", "end_us"), keys, F.col("start_us"))
+    rows = intervals.behind(dealt, keys).withColumn("fresh_us", F.greatest("start_us", "past_us"))
     length, zero = F.greatest(F.col("end_us") - F.col("start_us"), F.lit(0)), F.lit(0).cast("long")
     part = lambda day, n, us, alert: F.struct(day.alias("day"), n.alias("n"), us.alias("us"), alert.alias("alert"))
     days = F.sequence(times.local_day(F.col("fresh_us"), zone), times.local_day(F.col("end_us") - 1, zone))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import times, words
 from spanloom.operators import intervals
+from spanloom.sources.staging import staged
 
 
 def overlap_metrics(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,14 +39,16 @@ def full_coverage(rows: DataFrame, group: str, member: str, sizes: DataFrame, ex
     explicit alert, or alerts of all members at once; episodes are unions of any alert.
     """
     whole, parts = rows.where(explicit), rows.where(~explicit)
-    any_one, own = intervals.islands(rows, [group]), intervals.islands(whole, [group])
-    full = intervals.islands(own.unionByName(intervals.all_active(parts, [group], member, sizes)), [group])
-    episodes = any_one.withColumn("event_id", F.concat_ws(":", group, "start_us"))
-    reached = intervals.overlapping(episodes, full, [group]).groupBy(group).agg(F.count("*").alias("full_episodes"))
-    seen = intervals.positive(parts).groupBy(group).agg(F.count_distinct(member).alias("members_seen"))
-    total = any_one.groupBy(group).agg(F.sum(F.col("end_us") - F.col("start_us")).alias("any_us"), F.count("*").alias("episodes"))
-    out = total.join(intervals.total_us(own, [group], "explicit_us"), group, "left").join(intervals.total_us(full, [group], "full_us"), group, "left")
-    out = out.join(reached, group, "left").join(seen, group, "left").na.fill(0, ["explicit_us", "full_us", "full_episodes", "members_seen"])
+    united = staged(intervals.islands(parts, [group, member]))  # read twice
+    alone = united.select(group, "start_us", "end_us", F.lit(False).alias("own"))
+    every = whole.select(group, "start_us", "end_us", F.lit(True).alias("own")).unionByName(alone)
+    own, active = F.col("own_n") > 0, F.col("active_n") > 0
+    episodes = intervals.runs(every, [group], {"own_n": F.col("own"), "active_n": ~F.col("own")}, own | active,
+                              {"explicit_us": own, "full_us": own | (F.col("active_n") == F.col("members"))}, sizes=sizes)
+    out = episodes.groupBy(group).agg(F.sum(F.col("end_us") - F.col("start_us")).alias("any_us"), F.count("*").alias("episodes"), F.sum("explicit_us").alias("explicit_us"),
+                                      F.sum("full_us").alias("full_us"), F.count_if(F.col("full_us") > 0).alias("full_episodes"))
+    seen = united.select(group, member).distinct().groupBy(group).agg(F.count(member).alias("members_seen"))
+    out = out.join(seen, group, "left").na.fill(0, ["members_seen"])
     share = lambda c, of: times.ratio(F.col(c), F.col(of), 100)
     return out.withColumns({"explicit_pct": share("explicit_us", "any_us"), "full_pct": share("full_us", "any_us"), "full_episodes_pct": share("full_episodes", "episodes")})
 
@@ -122,12 +125,37 @@ def activity(places: DataFrame, rows: DataFrame, keys: list[str], before_us: tup
 CITY_MARK, EXACT, INSIDE = "м. ", 100, 50
 
 
+#: Letters of the pieces that candidates are indexed by.
+GRAM = 3
+
+
+def _pieces(text: Column, size: int) -> Column:
+    """Distinct pieces of ``size`` letters of a text; none of a shorter one."""
+    last = F.char_length(text) - size + 1
+    return F.when(last > 0, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def may_contain(names: DataFrame, candidates: DataFrame, within: list[str], size: int = GRAM) -> DataFrame:
+    """(within, name, candidate): candidates of a name's group that hold the name's rarest piece, in any case.
+
+    A candidate that holds the name holds all its pieces, so one is enough to look up, and the rarest gives the fewest.
+    A name shorter than ``size`` is a piece itself. Blank names are in every candidate and are left to the caller.
+    """
+    held = candidates.select(*within, "candidate", F.explode(F.array_distinct(F.concat(*[_pieces(F.lower("candidate"), n) for n in range(1, size + 1)]))).alias("piece"))
+    asked = names.where("name <> ''").select(*within, "name", F.lower("name").alias("low"))
+    asked = asked.withColumn("piece", F.explode(F.when(F.char_length("low") < size, F.array("low")).otherwise(_pieces(F.col("low"), size))))
+    often = held.groupBy(*within, "piece").agg(F.count("*").alias("n"))
+    # a piece that no candidate has is the rarest of all
+    rarest = asked.join(often, [*within, "piece"], "left").groupBy(*within, "name").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("r"))
+    return rarest.where("r.n > 0").select(*within, "name", F.col("r.piece").alias("piece")).join(held, [*within, "piece"]).select(*within, "name", "candidate")
+
+
 def best_match(names: DataFrame, candidates: DataFrame, within: list[str], mark: str = CITY_MARK) -> DataFrame:
     """For each (within, name) the candidate of the same group whose name fits best; of equals, the last in order.
 
     A candidate that is the mark and the name, or goes on with a space, scores ``EXACT``; one that holds the
-    name anywhere, in any case, ``INSIDE``. Exact ones are met by an equi-join on the candidates' leading words;
-    only names without one are searched for within their group.
+    name anywhere, in any case, ``INSIDE``. Exact ones are met by an equi-join on the candidates' leading words; names
+    without one are looked up by their rarest piece of ``GRAM`` letters. A blank name is in every candidate.
     """
     left = names.select(*within, "name").distinct()
     right = candidates.select(*within, F.col("name").alias("candidate")).distinct()
@@ -135,8 +163,10 @@ def best_match(names: DataFrame, candidates: DataFrame, within: list[str], mark:
     heads = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), " "))
     headed = right.select(*within, "candidate", F.explode(heads).alias("head"))
     exact = left.withColumn("head", F.concat(F.lit(mark), "name")).join(headed, [*within, "head"]).select(*within, "name", "candidate", F.lit(EXACT).alias("score"))
-    rest = left.join(exact, [*within, "name"], "left_anti").join(right, within).where(F.lower("candidate").contains(F.lower("name")))
-    scored = exact.unionByName(rest.select(*within, "name", "candidate", F.lit(INSIDE).alias("score")))
+    rest = left.join(exact, [*within, "name"], "left_anti")
+    inside = may_contain(rest, right, within).where(F.lower("candidate").contains(F.lower("name")))
+    blank = rest.where("name = ''").join(right.groupBy(*within).agg(F.max("candidate").alias("candidate")), within).select(*within, "name", "candidate")
+    scored = exact.unionByName(inside.unionByName(blank).select("*", F.lit(INSIDE).alias("score")))
     return scored.groupBy(*within, "name").agg(F.max(F.struct("score", "candidate")).alias("best")).select(*within, "name", "best.candidate", "best.score")
 
 

@@ -154,3 +154,74 @@ def test_full_coverage_joins_explicit_and_all_members(spark):
 def test_last_complete_day(spark):
     rows = spark.createDataFrame([(us("2024-01-10T23:00"),), (us("2024-01-10T21:59"),)], "t long")  # 01:00 and 23:59 local
     assert [str(r[0]) for r in rows.select(times.last_complete_day(F.col("t"))).collect()] == ["2024-01-10", "2024-01-09"]
+
+
+def test_overlaps_of_any_length_and_order(spark):
+    rng = random.Random(8)
+    a = [(str(k), *x) for k in range(6) for x in some(rng, 9)] + [(None, 3, 9), ("q", 5, 5), ("0", 7, 6), ("0", -(10**15), 10**15)]
+    b = [(str(k), *x) for k in range(5) for x in some(rng, 2)] + [(None, 8, 9), ("q", 4, 6)]
+    hit = {i for i, x in enumerate(a) if any(x[0] == y[0] and x[1] < y[2] and x[2] > y[1] and y[2] > y[1] for y in b)}
+    for bucket in (4, 10**18):
+        found = intervals.overlapping(frame(spark, a), frame(spark, b), ["k"], bucket_us=bucket)
+        assert {r.event_id for r in found.collect()} == hit and found.columns == ["event_id", "k", "start_us", "end_us"]
+    assert {r.event_id for r in intervals.overlapping(frame(spark, a), frame(spark, b), ["k"], "left_anti", 4).collect()} == set(range(len(a))) - hit
+
+
+def test_covered_time_and_places_in_unions(spark):
+    rng = random.Random(9)
+    a = [(str(k), *x) for k in range(5) for x in some(rng, 8)] + [(None, 3, 9), (None, 9, 10)]
+    asked = [(k, t) for k in [*map(str, range(6)), None] for t in range(-1, 62, 3)]
+    want = {(k, t): len({p for x in a if x[0] == k for p in range(x[1], x[2]) if p < t}) for k, t in asked}
+    probes = spark.createDataFrame(asked, "k string, at_us long")
+    for bucket in (5, 1000):
+        assert {(r.k, r.at_us): r.covered_us for r in intervals.covered_until(frame(spark, a), probes, ["k"], bucket).collect()} == want
+        united = {(k, x, y) for k, x, y in [*[(str(k), *i) for k in range(5) for i in brute([[r[1:] for r in a if r[0] == str(k)]], any)], (None, 3, 10)]}
+        for r in intervals.located(frame(spark, a), ["k"], bucket).collect():
+            assert (r.k, r.low_us, r.high_us) in united and r.low_us <= r.start_us < r.end_us <= r.high_us
+        assert {(r.k, r.start_us, r.end_us) for r in intervals.islands(frame(spark, a), ["k"], bucket).collect()} == united
+
+
+def test_one_key_is_spread_over_tasks(spark):
+    """Two million intervals of one key: in no stage does a task read more than twice what the median task does."""
+    day = times.DAY
+    rows = spark.range(2_000_000, numPartitions=4).select(F.lit("k").alias("k"), (F.col("id") * (day // 500)).alias("start_us"), ((F.col("id") + F.col("id") % 2) * (day // 500) + 1000).alias("end_us"))
+    store = spark.sparkContext._jsc.sc().statusStore()
+    spark.sparkContext.setJobGroup("hot", "one key")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        n = intervals.islands(rows, ["k"]).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert n == 1_000_001
+    seen = 0
+    for job in spark.sparkContext.statusTracker().getJobIdsForGroup("hot"):
+        for stage in spark.sparkContext.statusTracker().getJobInfo(job).stageIds:
+            try:
+                tasks = store.taskList(stage, 0, 1000)
+            except Exception:  # a stage that was skipped has none
+                continue
+            read = sorted(tasks.apply(i).taskMetrics().get().shuffleReadMetrics().recordsRead() for i in range(tasks.size()))
+            if sum(read) > 100_000:
+                seen += 1
+                assert read[-1] <= 2 * read[len(read) // 2], read
+    assert seen
+
+
+def test_names_inside_candidates_are_looked_up_by_pieces(spark):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("абвгдежз ") for _ in range(n))
+    cands = [(g, word(rng.randint(6, 20)).strip().upper()) for g in range(2) for _ in range(300)]
+    names = [(g, c[i : i + rng.randint(1, 7)].lower()) for g, c in cands[::7] for i in (0, 3)] + [(0, ""), (1, "яяяя"), (0, "м")]
+    left = spark.createDataFrame(names, "g long, name string").distinct()
+    right = spark.createDataFrame(cands, "g long, name string")
+    found = {(r.g, r.name): (r.candidate, r.score) for r in coverage.best_match(left, right, ["g"]).collect()}
+    want = {}
+    for g, n in set(names):
+        hits = [(100 if c == f"м. {n}" or c.startswith(f"м. {n} ") else 50, c) for h, c in cands if h == g and (n in c.lower() or c == f"м. {n}")]
+        if hits:
+            want[g, n] = max(hits)[::-1]
+    assert found == want and (0, "") in found
+    longer = left.where("char_length(name) >= 3")
+    pairs = coverage.may_contain(longer, right.withColumnRenamed("name", "candidate"), ["g"]).count()
+    assert pairs <= 0.02 * longer.count() * 300, (pairs, longer.count())

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from spanloom.operators import ingest
-from spanloom.sources.sinks import VersionedTable, stream_name
+from spanloom.sources.sinks import KeyedTable, VersionedTable, stream_name
 
 OPEN_HOURS = 36
 
@@ -54,16 +54,23 @@ def paired(marks: DataFrame) -> DataFrame:
     )
 
 
-def upsert_into(table: VersionedTable, key: list[str]):
-    """A ``foreachBatch`` function that merges polled rows into a versioned table by key, once for each batch."""
+def _upserted(store: DataFrame | None, batch: DataFrame, key: list[str]) -> DataFrame:
+    if store is None:
+        store = batch.limit(0).withColumn("first_fetched_us", F.col("fetched_us"))
+    return ingest.upserted(store, batch, key)
+
+
+def upsert_into(table: VersionedTable | KeyedTable, key: list[str]):
+    """A ``foreachBatch`` function that merges polled rows into a table by key, once for each batch.
+
+    A ``KeyedTable`` of that key rewrites only the buckets that the batch has keys in.
+    """
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        store = table.current()
-        batch = batch.withColumn("first_fetched_us", F.col("fetched_us")) if store is None else batch
-        if store is None:
-            store = batch.limit(0)
-            batch = batch.drop("first_fetched_us")
-        table.replace(ingest.upserted(store, batch, key), epoch, stream_name(batch))
+        if isinstance(table, KeyedTable):
+            table.merge(batch, lambda old, new: _upserted(old, new, key), epoch, stream_name(batch))
+        else:
+            table.replace(_upserted(table.current(), batch, key), epoch, stream_name(batch))
 
     return merge
 
@@ -85,19 +92,35 @@ def receipts_into(table: VersionedTable, receipts: VersionedTable):
     return record
 
 
-def parents_first(parents: VersionedTable, children: VersionedTable, keys: list[str]):
-    """A ``foreachBatch`` function that writes a batch's parents, then those of its children that have one."""
-    from spanloom.operators import proofs
+def parents_first(table: KeyedTable):
+    """A ``foreachBatch`` function that keeps children until their parent comes.
+
+    A batch has ``kind`` (parent or child), the table's key, ``at_us`` and other columns. The table holds parents, children that
+    have exactly one, and waiting children, all of one key in one bucket and committed together, so a child that
+    comes before its parent, by a batch or by a restart, is placed when the parent comes. Nothing is dropped:
+    ``waiting`` tells which are overdue.
+    """
+
+    def settle(old: DataFrame | None, batch: DataFrame) -> DataFrame:
+        rows = batch if old is None else old.withColumn("kind", F.when(F.col("kind") == "parent", "parent").otherwise("child")).unionByName(batch)
+        # a parent that is told again is one parent; children are kept as often as they come
+        parents = rows.where("kind = 'parent'").groupBy(*table.key).agg(F.max(F.struct("at_us", *[c for c in rows.columns if c not in {*table.key, "at_us", "kind"}])).alias("row"))
+        parents = parents.select(*table.key, F.lit("parent").alias("kind"), "row.*").select(rows.columns)
+        known = parents.select(*[F.col(c).alias(f"p_{c}") for c in table.key], F.lit(True).alias("known"))
+        same = F.lit(True)
+        for c in table.key:
+            same &= F.col(c).eqNullSafe(F.col(f"p_{c}"))
+        children = rows.where("kind <> 'parent'").join(known, same, "left")
+        children = children.withColumn("kind", F.when(F.col("known"), "child").otherwise("waiting")).select(rows.columns)
+        return parents.unionByName(children)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        stream = stream_name(batch)
-        old = parents.current()
-        new = batch.where("kind = 'parent'").select(*keys)
-        parents.replace((new if old is None else old.unionByName(new)).distinct(), epoch, stream)
-        mine = batch.where("kind = 'child'")
-        bad = proofs.orphans(mine, parents.current(), keys).select(mine.columns)
-        good = mine.exceptAll(bad)
-        held = children.current()
-        children.replace(good if held is None else held.unionByName(good), epoch, stream)
+        table.merge(batch, settle, epoch, stream_name(batch))
 
     return write
+
+
+def waiting(table: KeyedTable, now_us: Column, patience_us: int = OPEN_HOURS * 3_600_000_000) -> DataFrame:
+    """Children without a parent so far, with ``overdue``: waiting for longer than ``patience_us``."""
+    rows = table.current().where("kind = 'waiting'").drop("kind")
+    return rows.withColumn("overdue", now_us - F.col("at_us") > patience_us)

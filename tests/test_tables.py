@@ -246,13 +246,19 @@ def test_parents_and_receipts_as_streams(spark, tmp_path):
     for name in ("rows", "captures"):
         (tmp_path / name).mkdir()
     source = f"file://{tmp_path}/rows"
-    schema = "kind string, k long, v long"
+    schema = "kind string, k long, v long, at_us long"
     stream = spark.readStream.schema(schema).parquet(source)
-    parents, children = (sinks.VersionedTable(spark, f"file://{tmp_path}/{n}") for n in ("parents", "children"))
-    for rows in ([("parent", 1, 0), ("child", 1, 5), ("child", 2, 6)], [("parent", 2, 0), ("child", 2, 7)]):
+    hour = 3_600_000_000
+    batches = [("parent", 1, 0, 0), ("child", 1, 5, 1), ("child", 2, 6, 1), ("child", 3, 8, 2 * hour)], [("parent", 2, 0, 3), ("child", 2, 7, 4), ("parent", 1, 0, 5)], [("child", 3, 9, 90 * hour)], [("parent", 3, 0, 91 * hour)]
+    for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
-        run_stream(stream, polls.parents_first(parents, children, ["k"]), tmp_path / "c3")
-    assert sorted(r.k for r in parents.current().collect()) == [1, 2] and sorted((r.k, r.v) for r in children.current().collect()) == [(1, 5), (2, 7)]
+        table = sinks.KeyedTable(spark, f"file://{tmp_path}/family", ["k"], buckets=8)  # each batch after a restart
+        run_stream(stream, polls.parents_first(table), tmp_path / "c3")
+        placed = sorted((r.k, r.v) for r in table.current().where("kind = 'child'").collect())
+        late = sorted((r.k, r.v, r.overdue) for r in polls.waiting(table, F.lit(92 * hour)).collect())
+        want = {0: ([(1, 5)], [(2, 6, True), (3, 8, True)]), 1: ([(1, 5), (2, 6), (2, 7)], [(3, 8, True)]), 2: ([(1, 5), (2, 6), (2, 7)], [(3, 8, True), (3, 9, False)]), 3: ([(1, 5), (2, 6), (2, 7), (3, 8), (3, 9)], [])}
+        assert (placed, late) == want[batches.index(rows)]
+    assert sorted(r.k for r in table.current().where("kind = 'parent'").collect()) == [1, 2, 3]
     source = f"file://{tmp_path}/captures"
     schema = "key string, source string, start_us long, captured_us long"
     stream = spark.readStream.schema(schema).parquet(source)
@@ -265,6 +271,25 @@ def test_parents_and_receipts_as_streams(spark, tmp_path):
     assert seen == [(False, 10), (True, 20), (False, 20)]
 
 
+def test_keyed_table_writes_what_a_batch_touches(spark, tmp_path):
+    table = sinks.KeyedTable(spark, f"file://{tmp_path}/t", ["key"], buckets=64, keep=2)
+    upsert = lambda rows, epoch: polls.upsert_into(table, ["key"])(rows, epoch)
+    size = lambda: sum(p.stat().st_size for p in (tmp_path / "t/data").rglob("*.parquet"))
+    polled = lambda ids, at: spark.range(*ids).select(F.concat(F.lit("k"), "id").alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(at).cast("long").alias("fetched_us"))
+    upsert(polled((0, 20_000), 1), 0)
+    whole = size()
+    for epoch, ids in enumerate([(5, 7), (19_999, 20_003), (5, 6)], 1):
+        before = size()
+        upsert(polled(ids, epoch + 1), epoch)
+        upsert(polled(ids, 99), epoch)  # a repeated epoch does nothing
+        assert size() - before < whole * (ids[1] - ids[0] + 1) / 64
+    found = {r.key: (r.fetched_us, r.first_fetched_us) for r in table.current().collect()}
+    assert len(found) == 20_003 and found["k5"] == (4, 1) and found["k6"] == (2, 1) and found["k20002"] == (3, 3) and found["k0"] == (1, 1)
+    assert len(list((tmp_path / "t/lists").glob("*.json"))) == 2
+    listed = table._listed(3)
+    assert len(listed) == 64 and {v for v in listed.values()} == {0, 1, 2, 3}
+
+
 def test_regions_by_left_out_columns(spark):
     rows = [("raion", "O", "R", None, 1, 2), ("hromada", "O", "R", "H", 3, 4), ("hromada", "O", "Q", "H", 5, 6), ("oblast", "O", None, None, 7, 8)]
     dim = [("raion", "O", "R", None, "a", 0), ("hromada", None, None, "H", "b", None), ("hromada", "O", "R", "H", "c", 0), ("oblast", "O", None, None, "d", 9), ("oblast", None, None, None, "e", 0)]

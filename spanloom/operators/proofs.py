@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import times
+from spanloom.sources.staging import staged
 
 FRESH = 36 * 3600 * times.SECOND
 
@@ -33,32 +36,128 @@ def unequal_sets(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b).withColumn("side", F.lit("a")).unionByName(b.subtract(a).withColumn("side", F.lit("b")))
 
 
-def fingerprint(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per key: rows, a SHA-256 over its sorted row hashes, and an order-free sum.
+def row_text(rows: DataFrame) -> Column:
+    """A row's columns by name as text that other engines can make, too: `name=bytes:value;`, or `name=;` for a null.
 
-    Row hashes are summed in a first step over parts of a key; the ordered hash is taken over the parts' digests.
+    Numbers with a fraction count to six decimals where they are below 9e12, instants in microseconds (local times as in UTC sessions), booleans as 0 and 1,
+    elements of a list by commas (null: empty).
     """
-    own = F.sha2(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}), 256)
-    part = rows.withColumn("h", own).withColumn("part", F.substring("h", 1, 3))
-    parts = part.groupBy(*keys, "part").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("d"),
-                                            F.sum(F.conv(F.substring("h", 1, 12), 16, 10).cast("decimal(38,0)")).alias("s"))
-    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "d"))), lambda x: x["d"]), ""), 256).alias("digest"),
-                                    F.sum("s").cast("string").alias("hash_sum"))
+    def said(value: Column, kind) -> Column:
+        name = kind.typeName()
+        if name in ("float", "double"):
+            return F.when(F.abs(value) < 9e12, F.floor(value.cast("double") * 1_000_000 + 0.5).cast("string")).otherwise(value.cast("string"))
+        if name in ("timestamp", "timestamp_ntz"):
+            return F.unix_micros(value.cast("timestamp")).cast("string")
+        if name == "boolean":
+            return value.cast("int").cast("string")
+        if name == "array":
+            return F.array_join(F.transform(value, lambda x: said(x, kind.elementType)), ",", "")
+        return value.cast("string")
 
+    each = []
+    for field in sorted(rows.schema.fields, key=lambda f: f.name):
+        value = said(F.col(f"`{field.name}`"), field.dataType)
+        each.append(F.coalesce(F.concat(F.lit(f"{field.name}="), F.octet_length(value).cast("string"), F.lit(":"), value, F.lit(";")), F.lit(f"{field.name}=;")))
+    return F.concat(*each)
+
+
+#: Row hashes that a leaf of a digest tree holds about, and the children of each node above.
+LEAF, FAN = 256, 16
+
+
+def tree_depth(n: int) -> int:
+    """Levels under the root of the tree over ``n`` rows: the fewest with which leaves hold ``LEAF`` rows or less on average."""
+    depth = 0
+    while n > LEAF * FAN**depth:
+        depth += 1
+    return depth
 
-def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per table: its name, number of rows, and a SHA-256 of it that no order of rows changes.
 
-    Row hashes are brought together in parts, whose digests make the table's.
+def row_hashes(rows: DataFrame, keys: list[str], text: Column | None = None) -> DataFrame:
+    """(keys, h, n): the SHA-256 of each distinct row, and how often it occurs. ``text`` is the row's; else its JSON with nulls."""
+    own = F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}) if text is None else text
+    return rows.select(*keys, F.sha2(own, 256).alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("n"))
+
+
+def digest_tree(hashed: DataFrame, keys: list[str], depth: int) -> list[DataFrame]:
+    """Levels from the root down: (keys, prefix, n, digest, hash_sum), one node for each prefix of the row hashes of the level's length.
+
+    A leaf's digest is that of its `hash:times;`, in order, a node's that of its children's `prefix:digest;`. Equal rows are
+    one entry, so a leaf has about ``LEAF`` entries at the depth of ``tree_depth``, whatever the rows are, and a node ``FAN``.
     """
+    def digest(text: Column, order: list[str]) -> Column:
+        return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, text.alias("text")))), lambda x: x["text"]), ""), 256).alias("digest")
+
+    number = F.conv(F.substring("h", 1, 12), 16, 10).cast("decimal(38,0)") * F.col("n")
+    level = hashed.groupBy(*keys, F.substring("h", 1, depth).alias("prefix")).agg(F.sum("n").alias("n"), digest(F.concat("h", F.lit(":"), "n", F.lit(";")), ["h"]), F.sum(number).cast("decimal(38,0)").alias("hash_sum"))
+    levels = [level]
+    for length in range(depth - 1, -1, -1):
+        level = level.groupBy(*keys, F.substring("prefix", 1, length).alias("up")).agg(F.sum("n").alias("n"), digest(F.concat("prefix", F.lit(":"), "digest", F.lit(";")), ["prefix"]), F.sum("hash_sum").cast("decimal(38,0)").alias("hash_sum"))
+        level = level.withColumnRenamed("up", "prefix")
+        levels.append(level)
+    return levels[::-1]
+
+
+def _largest(rows: DataFrame, keys: list[str]) -> int:
+    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
+def fingerprint(rows: DataFrame, keys: list[str], text: Column | None = None) -> DataFrame:
+    """Per key: rows, the root of a digest tree over the row hashes (of ``text``, see ``row_hashes``), and an order-free sum of them.
+
+    The tree's depth follows the rows of the largest key.
+    """
+    root = digest_tree(row_hashes(rows, keys, text), keys, tree_depth(_largest(rows, keys)))[0]
+    return root.select(*keys, "n", "digest", F.col("hash_sum").cast("string").alias("hash_sum"))
+
+
+def manifest(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per table: its name, number of rows, and a SHA-256 of it (the root of its digest tree) that no order of rows changes."""
     out = None
     for name, rows in sorted(tables.items()):
-        one = fingerprint(rows.select(F.lit(name).alias("__name"), F.struct(*sorted(rows.columns)).alias("row")), ["__name"])
-        one = one.select(F.col("__name").alias("name"), "n", F.col("digest").alias("sha256"))
+        hashed = row_hashes(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), row_text(rows).alias("__text")), [], F.col("__text"))
+        root = digest_tree(hashed, [], tree_depth(_largest(rows, [])))[0]
+        one = root.select(F.lit(name).alias("name"), "n", F.col("digest").alias("sha256"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
+def changed_ranges(before: list[DataFrame], after: list[DataFrame], keys: list[str]) -> DataFrame:
+    """(keys, prefix): the leaves in which two digest trees of one depth differ.
+
+    From the root down only children of nodes that differ are compared, so that little is read where little has changed.
+    """
+    names, found = [*keys, "prefix"], None
+    for a, b in zip(before, after, strict=True):
+        if found is not None:
+            length = F.char_length("prefix") - 1
+            near = lambda x, found=found: x.withColumn("up", F.substring("prefix", F.lit(1), length)).join(found.withColumnsRenamed({n: f"u_{n}" for n in names}), _up(keys), "left_semi").drop("up")
+            a, b = near(a), near(b)
+        both = a.select(*names, "digest", F.lit(1).alias("side")).unionByName(b.select(*names, "digest", F.lit(2).alias("side")))
+        apart = both.groupBy(*names).agg(F.count_distinct("digest").alias("kinds"), F.count("*").alias("sides")).where("kinds > 1 OR sides = 1")
+        found = staged(apart.select(*names))
+        if found.isEmpty():
+            break
+    return found
+
+
+def _up(keys: list[str]) -> Column:
+    same = F.col("up") == F.col("u_prefix")
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"u_{k}"))
+    return same
+
+
+def changed_rows(before: DataFrame, after: DataFrame, keys: list[str], text: Callable[[DataFrame], Column] = row_text) -> DataFrame:
+    """(keys, h, before, after): hashes of rows that two snapshots do not have equally often; found by the ranges in which their digest trees differ."""
+    a, b = (staged(row_hashes(x, keys, text(x))) for x in (before, after))
+    depth = tree_depth(max(_largest(before, keys), _largest(after, keys)))
+    ranges = changed_ranges([staged(x) for x in digest_tree(a, keys, depth)], [staged(x) for x in digest_tree(b, keys, depth)], keys)
+    both = a.select(*keys, "h", F.col("n").alias("before"), F.lit(0).cast("long").alias("after")).unionByName(b.select(*keys, "h", F.lit(0).cast("long").alias("before"), F.col("n").alias("after")))
+    near = both.withColumn("up", F.substring("h", 1, depth)).join(ranges.withColumnsRenamed({n: f"u_{n}" for n in [*keys, "prefix"]}), _up(keys), "left_semi")
+    return near.groupBy(*keys, "h").agg(F.sum("before").alias("before"), F.sum("after").alias("after")).where("before <> after")
+
+
 def declared_counts(rows: DataFrame, declared: DataFrame, key: str) -> DataFrame:
     """Keys whose declared number of rows is not what the table has, or which have none."""
     found = rows.groupBy(key).agg(F.count("*").alias("found"))

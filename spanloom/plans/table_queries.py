@@ -256,17 +256,64 @@ def unequal_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.unequal_sets(*(orders.where(c).select(F.col("o_custkey").alias("k")).distinct() for c in ("o_orderpriority = '1-URGENT'", "o_orderstatus = 'P'")))
 
 
-@query()
+def _text_sql(columns: str) -> str:
+    """The text of a row as in ``proofs.row_text``; ``columns`` are name:kind, kind one of t (as text), d (with a fraction), u (instant), l (list of d)."""
+    said = {"t": "CAST({c} AS VARCHAR)", "d": "CAST(CAST(floor({c} * 1000000 + 0.5) AS BIGINT) AS VARCHAR)", "u": "CAST(epoch_us({c}) AS VARCHAR)",
+            "l": "array_to_string(list_transform({c}, lambda x: CAST(CAST(floor(CAST(x AS DOUBLE) * 1000000 + 0.5) AS BIGINT) AS VARCHAR)), ',')"}
+    each = []
+    for name, kind in sorted(c.split(":") for c in columns.split()):
+        value = said[kind].format(c=name)
+        each.append(f"coalesce('{name}=' || strlen({value}) || ':' || {value} || ';', '{name}=;')")
+    return " || ".join(each)
+
+
+def _tree_sql(name: str, source: str, keys: str, text: str, deepest: int = 8) -> str:
+    """CTEs that end in ``name`` (keys, n, digest, hash_sum), the roots of the digest trees of ``source``'s rows."""
+    by = f"{keys}, " if keys else ""
+    one = f"SELECT {by}count(*) AS n FROM {source} GROUP BY {keys}" if keys else f"SELECT count(*) AS n FROM {source}"
+    depth = f"(SELECT greatest(0, CAST(ceil(log(max(n) / {proofs.LEAF}.0) / log({proofs.FAN}.0) - 1e-12) AS BIGINT)) FROM ({one}))"
+    parts = [f"{name}_h AS (SELECT {by}h, count(*) AS n, {depth} AS depth FROM (SELECT {by}sha256({text}) AS h FROM {source}) GROUP BY {by}h)"]
+    leaf = f"SELECT {by}left(h, depth) AS prefix, sum(n)::BIGINT AS n, sha256(string_agg(h || ':' || n || ';', '' ORDER BY h)) AS digest, sum(('0x' || left(h, 12))::BIGINT::HUGEINT * n) AS hash_sum FROM {name}_h WHERE depth = {{l}} GROUP BY {by}left(h, depth)"
+    for level in range(deepest, -1, -1):
+        up = f" UNION ALL SELECT {by}left(prefix, {level}), sum(n)::BIGINT, sha256(string_agg(prefix || ':' || digest || ';', '' ORDER BY prefix)), sum(hash_sum) FROM {name}_{level + 1} GROUP BY {by}left(prefix, {level})" if level < deepest else ""
+        parts.append(f"{name}_{level} AS ({leaf.format(l=level)}{up})")
+    return ", ".join([*parts, f"{name} AS (SELECT {by}n, digest, CAST(hash_sum AS VARCHAR) AS hash_sum FROM {name}_0)"])
+
+
+@query(f"""WITH {SPANS_SQL}, {islands_sql('u', 'alerts', 'raion')}, e AS (SELECT CAST(raion AS VARCHAR) AS city, {_EPISODE} AS episode_id, start_us, end_us FROM u),
+{_tree_sql('t', 'e', 'city', _text_sql('city:t episode_id:t start_us:t end_us:t'))} SELECT * FROM t""")
 def corpus_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical JSON differs between engines, so this has no SQL; tests check it against hashlib."""
     rows = snapshot.episodes(alerts(spark, sf_dir), "raion").select(F.col("raion").cast("string").alias("city"), "episode_id", "start_us", "end_us")
-    return proofs.fingerprint(rows, ["city"])
+    return proofs.fingerprint(rows, ["city"], proofs.row_text(rows))
 
 
-@query()
+_TABLES = {
+    "region": "r_regionkey:t r_name:t", "nation": "n_nationkey:t n_name:t n_regionkey:t", "customer": "c_custkey:t c_name:t c_nationkey:t c_acctbal:d c_mktsegment:t",
+    "supplier": "s_suppkey:t s_name:t s_nationkey:t s_acctbal:d", "part": "p_partkey:t p_name:t p_brand:t p_type:t p_size:t p_retailprice:d",
+    "orders": "o_orderkey:t o_custkey:t o_orderstatus:t o_totalprice:d o_orderdate:u o_orderpriority:t",
+    "lineitem": "l_orderkey:t l_partkey:t l_suppkey:t l_linenumber:t l_quantity:d l_extendedprice:d l_discount:d l_tax:d l_returnflag:t l_linestatus:t l_shipdate:u",
+    "events": "event_id:t ts:u user_id:t event_type:t value:d props:t", "documents": "doc_id:t text:t lang:t source:t n_chars:t", "embeddings": "vec_id:t embedding:l label:t",
+    "pages": "page_id:t url:t html:t", "benchmark": "item_id:t text:t", "labels": "doc_id:t quality:t toxic:t", "conversations": "conv_id:t turn:t role:t text:t",
+}
+
+
+@query("WITH " + ", ".join(_tree_sql(f"t_{n}", n, "", _text_sql(c)) for n, c in _TABLES.items()) + " " + " UNION ALL ".join(f"SELECT '{n}' AS name, n, digest AS sha256 FROM t_{n}" for n in _TABLES))
 def table_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-    return proofs.manifest({n: table(spark, sf_dir, n) for n in names})
+    return proofs.manifest({n: table(spark, sf_dir, n) for n in _TABLES})
+
+
+@query(f"""WITH a AS (SELECT *, sha256({_text_sql(_TABLES['orders'])}) AS h FROM orders),
+c AS (SELECT * REPLACE (CASE WHEN o_totalprice < 20000 THEN 'X' ELSE o_orderpriority END AS o_orderpriority) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity = 50 AND l_returnflag = 'R' AND l_discount = 0.1)),
+d AS (SELECT *, sha256({_text_sql(_TABLES['orders'])}) AS h FROM (SELECT * FROM c UNION ALL SELECT * FROM c WHERE o_totalprice > 400000))
+SELECT o_orderstatus, h, coalesce(x, 0) AS before, coalesce(y, 0) AS after FROM (SELECT o_orderstatus, h, count(*) AS x FROM a GROUP BY ALL) FULL JOIN (SELECT o_orderstatus, h, count(*) AS y FROM d GROUP BY ALL) USING (o_orderstatus, h) WHERE x IS DISTINCT FROM y""")
+def changed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a later snapshot of the orders has lost, changed or doubled, found by digest trees."""
+    before = table(spark, sf_dir, "orders")
+    gone = table(spark, sf_dir, "lineitem").where("l_quantity = 50 AND l_returnflag = 'R' AND l_discount = 0.1D").select(F.col("l_orderkey").alias("o_orderkey"))
+    after = before.join(gone, "o_orderkey", "left_anti").select(before.columns)
+    after = after.withColumn("o_orderpriority", F.when(F.col("o_totalprice") < 20000, "X").otherwise(F.col("o_orderpriority")))
+    after = after.unionByName(after.where("o_totalprice > 400000"))
+    return proofs.changed_rows(before, after, ["o_orderstatus"])
 
 
 @query("""SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_type = 'error'""")

@@ -86,11 +86,30 @@ def test_fingerprint_is_order_free_and_sensitive(spark):
     one = proofs.fingerprint(rows, ["city"]).first()
     assert one == proofs.fingerprint(rows.orderBy(F.desc("n")), ["city"]).first()
     assert one.digest != proofs.fingerprint(rows.where("n <> 7"), ["city"]).first().digest
-    hashes = sorted(hashlib.sha256(json.dumps({"city": "c", "n": i}, separators=(",", ":")).encode()).hexdigest() for i in range(50))
-    parts = {}
-    for h in hashes:
-        parts.setdefault(h[:3], []).append(h)
-    assert one.digest == hashlib.sha256("".join(hashlib.sha256("".join(parts[p]).encode()).hexdigest() for p in sorted(parts)).encode()).hexdigest()
+    text = "".join(f"{h}:1;" for h in sorted(hashlib.sha256(json.dumps({"city": "c", "n": i}, separators=(",", ":")).encode()).hexdigest() for i in range(50)))
+    assert one.digest == hashlib.sha256(text.encode()).hexdigest() and one.n == 50
+
+
+def test_digest_trees(spark):
+    """Deep enough for leaves of bounded size, also with a row that is a third of all; changes are found from the root down."""
+    rows = spark.range(9000).select((F.col("id") % 2).alias("k"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("v"))
+    assert [proofs.tree_depth(n) for n in (0, 256, 257, 4096, 4097)] == [0, 0, 1, 1, 2]
+    hashed = proofs.row_hashes(rows, ["k"])
+    levels = proofs.digest_tree(hashed, ["k"], 2)
+    leaves = hashed.groupBy("k", F.substring("h", 1, 2)).count()
+    assert len(levels) == 3 and leaves.agg(F.max("count")).first()[0] < 2 * proofs.LEAF and levels[0].agg(F.sum("n")).first()[0] == 9000
+    assert levels[1].count() == 32 and levels[2].count() == 512
+    after = rows.where("v <> 7").unionByName(rows.where("v = 8")).unionByName(spark.createDataFrame([(0, 10**7), (5, 1)], "k long, v long")).repartition(5)
+    found = {(r.k, r.before, r.after) for r in proofs.changed_rows(rows, after, ["k"]).collect()}
+    assert found == {(1, 1, 0), (0, 1, 2), (0, 0, 1), (5, 0, 1)}
+    ranges = proofs.changed_ranges(levels, proofs.digest_tree(proofs.row_hashes(after, ["k"]), ["k"], 2), ["k"])
+    assert ranges.count() == 4
+    assert proofs.changed_rows(rows, rows.repartition(7), ["k"]).count() == 0 and proofs.changed_rows(rows.limit(0), rows.limit(0), ["k"]).count() == 0
+
+
+def test_row_text(spark):
+    rows = spark.createDataFrame([(1, "ї=;", 2.5, True, [0.1, None], None)], "b long, a string, c double, d boolean, e array<double>, f string")
+    assert rows.select(proofs.row_text(rows)).first()[0] == "a=4:ї=;;b=1:1;c=7:2500000;d=1:1;e=7:100000,;f=;"
 
 
 def test_freshness_reasons(spark):

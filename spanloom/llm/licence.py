@@ -6,7 +6,7 @@ by an Aho-Corasick automaton; a grant, which names a licence and its version aft
 under"; a title, which is a licence's name and nothing else; or an SPDX tag. The identifiers, in order, are
 matched against the licence rules: a rule holds where its identifiers follow one another (those with a
 question mark may be missing). Rules are tried in their order, and identifiers that a rule has used are not
-used again. "All rights reserved" counts only where no licence is recognised within ``NEAR`` sentences.
+used again. A title stands on a line of fewer than 120 characters. "All rights reserved" counts only where no licence is recognised within ``NEAR`` sentences.
 
 Defined results: a null or empty text, and one without a known sentence, gives no row; texts are read
 whole; a name that is only mentioned or negated is no sentence; identifiers without a matching rule are
@@ -95,17 +95,17 @@ RULES = [
     ("proprietary", ["reserved"]),
 ]
 
-# every known sentence has one of these words, so other texts need no normalising
-_sign = re.compile(r"licen|permission|redistribution|rights|software|warrant|cc0|\b(?:cc|[al]?gpl|gnu|mpl)\b|spdx", re.IGNORECASE)
 _decoration = re.compile(r"^[ \t>|]*(?:<!--|//+!?|/\*+!?|\*+/|\*+|#+!?|--+|;+|%+|rem\b|dnl\b)*[ \t]*|[ \t]*(?:\*+/|-->)?[ \t\r]*$", re.IGNORECASE | re.MULTILINE)
-_markup = re.compile(r"<[^<>\n]{0,200}>")
+_markup = re.compile(r"<[^<>\n]*>")
 _block = re.compile(r"\n[ \t]*\n\s*")
 # a stop ends a sentence, but not one behind "v" or another short abbreviation
-_stop = re.compile(r"(?<!\bv)(?<!\binc)(?<!\bltd)(?<!\be\.g)(?<!\bi\.e)[.!?](?=\s|[\"')\]]|$)")
+_stop = re.compile(r"(?<!\bv)(?<!\binc)(?<!\bltd)(?<!\be\.g)(?<!\bi\.e)[.!?](?=\s|[\"')\]]|$)", re.IGNORECASE)
 _word = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
-_spdx = re.compile(r"spdx-licen[sc]e-identifier:\s*([a-z0-9.+-]+(?:[ \t]+(?:and|or|with)[ \t]+\(?[a-z0-9.+-]+\)?)*)", re.IGNORECASE)
+_spdx = re.compile(r"spdx-licen[sc]e-identifier:\s*(\(*[a-z0-9.+-]+\)*(?:[ \t]+(?:and|or|with)[ \t]+\(*[a-z0-9.+-]+\)*)*)", re.IGNORECASE)
 _name = re.compile(" (?:" + "|".join(f"(?P<n{i}>{pattern})" for i, (_, pattern) in enumerate(NAMES)) + r")(?= |$)")
-_grant = re.compile(r" (?:under|governed by|covered by)(?: (?:the|a|an|terms|conditions|and|of|provisions|version|v|[0-9]+(?:\.[0-9]+)*)){0,9}$")
+_grant = re.compile(r" (?:under|governed by|covered by)(?: (?:the|a|an|either|both|one|any|terms|conditions|and|of|provisions|version|v|[0-9]+(?:\.[0-9]+)*)){0,9}$")
+# what stands between two licences of one grant
+_also = re.compile(r"(?: licen[sc]e)? (?:and or|and|or)(?: (?:under|the|a|an|terms|of))*")
 _verb = re.compile(r" (?:licen[sc]ed|released|distributed|redistribute|modify|available|published|provided|covered|use|used|governed|dual|shared|made|offered|issued) ")
 _denied = re.compile(r" (?:not|never|neither|cannot|isn t|aren t|wasn t|no longer) ")
 _version = re.compile(r"(?: (?:international|unported|either|only|public|licen[sc]e|as published by the free software foundation))*(?: (?:version|v|ver))? ?v?([0-9]+(?:\.[0-9]+)?)(?= |$)")
@@ -120,6 +120,19 @@ def normalised(sentence: str) -> str:
     return "".join(f" {w}" for w in _word.findall(sentence.lower()))
 
 
+def _sign() -> re.Pattern:
+    """One word that each known wording, name and tag cannot be without: a text that has none of them needs no normalising.
+
+    Of a wording the longest word, of each way to write a name the longest of its words that are not optional. Marks and
+    line ends never stand inside a word, so a word is found in the raw text wherever a sentence has it.
+    """
+    signs = {max(normalised(wording).split(), key=len) for wording in SENTENCES.values()}
+    for _, pattern in NAMES:
+        pattern = re.sub(r" ?\(\?:[^()]*\)\??| \?", " ", pattern)
+        signs |= {max(way.split(), key=len) for way in pattern.split("|")}
+    return re.compile(r"(?<![^\W_])(?:spdx|" + "|".join(sorted(signs)) + r")(?![^\W_])", re.IGNORECASE)
+
+
 def sentences(text: str) -> list[str]:
     """The sentences of a text without comment marks and mark-up, wrapped lines joined; titles on lines of their own apart."""
     plain = _markup.sub(" ", _decoration.sub("", text))
@@ -162,11 +175,15 @@ def _named(words: str, alone: bool) -> list[tuple[int, int, str]]:
             if _headed.match(before) and _rest.match(words, end) and (m[0].endswith(("license", "licence")) or before or version or family.startswith(("BSD-", "CC"))):
                 return [(0, len(words), f"title:{licence}")]
             return []
-        if _grant.search(before) and _verb.search(f"{before} ") and not _denied.search(f"{before} "):
+        granted = _grant.search(before) or (found and _also.fullmatch(words[found[-1][1] : m.start()]))
+        if granted and _verb.search(f"{before} ") and not _denied.search(f"{before} "):
             found.append((m.start(), end, f"grant:{licence}"))
     return found
 
 
+SIGN = _sign()
+
+
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for name, wording in SENTENCES.items():
@@ -178,7 +195,7 @@ def automaton() -> ahocorasick.Automaton:
 
 def identified(text: str, known: ahocorasick.Automaton) -> list[tuple[int, str]]:
     """(sentence, identifier) of the known sentences in a text, in order, without those inside a longer one."""
-    if not _sign.search(text):
+    if not SIGN.search(text):
         return []
     out = []
     for number, sentence in enumerate(sentences(text)):

@@ -12,7 +12,8 @@ has no room for. At last the links of every hundredth vector are counted against
 
 Defined results: a vector that is null, empty, zero, or holds null or non-finite components links with nothing;
 vectors link with those of their own length only; equal vectors are links of each other; ties go to the smaller
-id; repeated rows count as vectors of their own; extra columns are ignored; an empty table gives an empty
+id; repeated rows and repeated ids count as vectors of their own; a null id is counted as a link, names no component (a component of null
+ids only has none) and is never kept; extra columns are ignored; an empty table gives an empty
 result.
 """
 
@@ -33,6 +34,8 @@ ORDERS, BITS, STRETCH = 4, 24, 160
 MISSED, AUDIT = 0.01, 0.995
 #: Tables of no more nodes are audited whole; queries of an audit that a driver holds at a time.
 WHOLE, QUERIES = 10_000, 4096
+#: How often the orders are doubled at most to reach ``AUDIT``.
+DOUBLINGS = 12
 FEW = 0.005
 MEMBERS = 256
 SIDE = 24
@@ -264,21 +267,26 @@ def recall(true: DataFrame, totals: DataFrame) -> float:
 
 def _of_one_length(rows: DataFrame, dim: int, threshold: float) -> DataFrame:
     """(mark, dim, n_links, component_id) of the sound vectors (vec_id, mark, v) of one length."""
-    least = rows.groupBy("mark").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"))
-    nodes = settled(rows.join(least, "mark").where("vec_id = node").dropDuplicates(["node"]).select("node", "mark", "n", "v"))
+    # a node is a vector, whatever ids it has; ids only name what is found
+    least = rows.groupBy("mark").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+    nodes = settled(rows.select("mark", "v").dropDuplicates(["mark"]).join(least, "mark").select(F.col("mark").alias("node"), "least", "n", "v"))
     count = nodes.count()
-    asked = nodes if count <= WHOLE else nodes.join(rows.where("vec_id % 100 = 0").select("mark").distinct(), "mark", "left_semi")
+    asked = nodes if count <= WHOLE else nodes.join(rows.where("vec_id % 100 = 0").select(F.col("mark").alias("node")).distinct(), "node", "left_semi")
     true = true_links(nodes, asked, dim, threshold)
     orders, seed, lists = orders_for(count, threshold), 11, None
-    while True:
+    for _ in range(DOUBLINGS):
         lists = graph(nodes, dim, threshold, orders, seed, lists)
         totals, classes = _completed(nodes, lists, dim, threshold)
         if recall(true, totals) >= AUDIT:
             break
         orders, seed = 2 * orders, seed + 1
         released(totals), released(classes)
-    result = nodes.select("node", "mark", "n").join(totals, "node", "left").join(classes, "node", "left")
-    return result.select("mark", F.lit(dim).alias("dim"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    else:
+        raise RuntimeError(f"recall of the audited links is below {AUDIT} after {DOUBLINGS} doublings of the orders")
+    named = classes.join(nodes.select("node", "least"), "node").groupBy("component").agg(F.min("least").alias("first"))
+    classes = classes.join(named, "component").select("node", "first")
+    result = nodes.select("node", "least", "n").join(totals, "node", "left").join(classes, "node", "left")
+    return result.select(F.col("node").alias("mark"), F.lit(dim).alias("dim"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.least("first", "least").alias("component_id"))
 
 
 def linked(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -295,4 +303,4 @@ def linked(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
         found = [_of_one_length(rows.where(F.col("dim") == dim), dim, threshold) for dim in lengths]
         out = every.join(reduce(DataFrame.unionByName, found), ["mark", "dim"], "left")
     own = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), (F.col("vec_id") == own).alias("kept"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), F.coalesce(F.col("vec_id") == own, F.lit(False)).alias("kept"))

@@ -35,6 +35,8 @@ from spanloom.llm import texts
 from spanloom.llm.shared import crc_remainder, released, settled, shared_folder, shuffles_dropped
 
 DISCOUNT = 0.75
+#: The most that the words' own discount, which is taken from their counts, comes to.
+MOST_DISCOUNT = 0.9
 #: Training tokens per shard of a level, ids that are counted or scored at once, and codes that are merged at once.
 SHARD_TOKENS, SLICE_TOKENS, MERGE = 1 << 21, 1 << 19, 1 << 21
 #: Step and number of the quantised logarithms (base 10).
@@ -534,7 +536,8 @@ def _words(docs: DataFrame, folder: str) -> tuple:
         return (0, 0, 1.0, [])
     if distinct >= _PLACE:
         raise ValueError(f"more than {_PLACE} distinct words")
-    discount = once / (once + 2 * twice) if once else 0.0
+    # without words seen twice, or next to none, the estimate comes to 1, and would leave words seen once no mass
+    discount = min(once / (once + 2 * twice), MOST_DISCOUNT) if once and twice else DISCOUNT if once else 0.0
     dealt = words.repartitionByRange("word").sortWithinPartitions("word")
     level = _built(dealt, partial(_word_shards, folder=folder, total=total, discount=discount))
     released(words)

@@ -66,8 +66,20 @@ def fingerprint(listed: Column) -> Column:
     return F.array_join(F.transform(listed, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
 
 
+def _rising(places: Column) -> Column:
+    """The least ends of rising subsequences of each length, by patience: as many as the longest one has members."""
+
+    def put(ends: Column, at: Column) -> Column:
+        below = F.size(F.filter(ends, lambda x: x < at))
+        rest = F.slice(ends, below + 2, F.lit(SKETCH))
+        return F.when(F.coalesce(F.get(ends, F.size(ends) - 1) < at, F.lit(True)), F.array_append(ends, at)).otherwise(F.concat(F.slice(ends, F.lit(1), below), F.array(at), rest))
+
+    return F.aggregate(places, F.array().cast("array<long>"), lambda ends, at: put(ends, at.cast("long")))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Share of the anchors of two sketches that both have in the same order."""
+    """Share of the anchors of two sketches that both have in one order: the longest run of common anchors that stand in the same
+    order in both (not side by side), over all anchors of either. It is the same whichever comes first."""
     largest = lambda x: F.when(F.size(x) >= SKETCH, F.array_max(x)).otherwise(F.lit(1 << 32))
 
     def upto(limit: Column) -> Column:
@@ -77,9 +89,8 @@ def likeness(a: Column, b: Column) -> Column:
         places = F.filter(F.transform(both["p"], lambda h: F.array_position(both["q"], h)), lambda at: at > 0)
 
         def share(places: Column) -> Column:
-            ordered = F.filter(places, lambda at, i: (i == 0) | (at > F.get(places, i - 1)))
             every = F.size(both["p"]) + F.size(both["q"]) - F.size(places)
-            return F.when(every == 0, 1.0).otherwise(F.size(ordered) / every)
+            return F.when(every == 0, 1.0).otherwise(F.size(_rising(places)) / every)
 
         return _let(places, share)
 

@@ -210,9 +210,26 @@ def plain_likeness(a, b):
     cut = min(max(x) if len(x) >= syncmers.SKETCH else "g" for x in (a, b))
     p, q = ([h for h in x if h <= cut] for x in (a, b))
     at = [q.index(h) for h in p if h in q]
-    ordered = sum(i == 0 or at[i] > at[i - 1] for i in range(len(at)))
+    run = [1] * len(at)
+    for i in range(len(at)):
+        run[i] = 1 + max((run[j] for j in range(i) if at[j] < at[i]), default=0)
     every = len(p) + len(q) - len(at)
-    return ordered / every if every else 1.0
+    return max(run, default=0) / every if every else 1.0
+
+
+def test_likeness_is_symmetric_and_in_order(spark):
+    rng = random.Random(6)
+    pairs = [([5, 6, 1, 2], [1, 2, 5, 6]), ([2, 4, 1, 3], [1, 2, 3, 4]), ([], []), ([], [1]), ([7], [7])]
+    for _ in range(60):
+        some = rng.sample(range(40), 14)
+        pairs.append((some[:10], rng.sample(some, 11)))
+    whole = rng.sample(range(10**6), syncmers.SKETCH)
+    pairs.append((whole, sorted(whole)))
+    df = spark.createDataFrame(pairs, "a array<long>, b array<long>")
+    found = df.select("a", "b", syncmers.likeness(F.col("a"), F.col("b")).alias("x"), syncmers.likeness(F.col("b"), F.col("a")).alias("y")).collect()
+    digits = lambda x: [f"{h:08x}" for h in x]
+    assert all(r.x == r.y and math.isclose(r.x, plain_likeness(digits(r.a), digits(r.b))) for r in found)
+    assert [r.x for r in found[:5]] == [0.5, 0.5, 1.0, 0.0, 1.0]
 
 
 def test_syncmers(docs, rows, empty):
@@ -730,3 +747,68 @@ def test_licence_sentences_against_plain_search():
             want += [name for at, name in sorted(hits) if at >= 0]
         got = [i for _, i in licence.identified(rng.choice([" ", "\n", "\n\n", "\n# "]).join(parts), known) if i != "mpl-terms"]
         assert [g for g in got if not g.startswith("grant:")] == want
+
+
+def test_fingerprints_are_recomputed(spark):
+    """Anchors and sketches of whole texts against the definition, hash by hash."""
+    rng = random.Random(12)
+    some = [" ".join(f"w{rng.randrange(300)}" for _ in range(n)) for n in (0, 1, 4, 5, 6, 90, 900)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(some)], "i int, t string")
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    word = {w: signed(xxhash.xxh64_intdigest(w, 42)) for t in some for w in t.split()}
+    runs = {tuple(word[w] for w in t.split()[j : j + n]) for t in some for n in (2, 5) for j in range(len(t.split()) - n + 1)}
+    hashed = {}
+    for n in (2, 5):
+        own = [r for r in runs if len(r) == n]
+        rows = spark.createDataFrame([(list(r),) for r in own], "r array<long>").select("r", F.xxhash64(*[F.col("r")[j] for j in range(n)]).alias("h")).collect()
+        hashed |= {tuple(r.r): r.h for r in rows}
+    for r in df.select("i", "t", syncmers.sketch(syncmers.anchors(F.col("t"))).alias("s")).collect():
+        h = [word[w] for w in r.t.split()]
+        want = []
+        for j in range(len(h) - 4):
+            inner = [hashed[tuple(h[j + x : j + x + 2])] for x in range(4)]
+            if min(inner[0], inner[3]) <= min(inner[1:3]):
+                want.append(hashed[tuple(h[j : j + 5])] % 2**64 >> 32)
+        want = list(dict.fromkeys(want))
+        if len(want) > syncmers.SKETCH:
+            most = sorted(want)[syncmers.SKETCH - 1]
+            want = [x for x in want if x <= most]
+        if len(h) >= 5 or not h:
+            assert r.s == want, r.i
+        else:
+            assert len(r.s) == 1
+
+
+def test_links_of_repeated_and_null_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (None, [5.0, 5.0]), (7, [5.0, 5.01]), (None, [-1.0, 0.0]), (9, [0.0, 0.0])]
+    found = neighbours.linked(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (None, 1, 7, False), (7, 1, 7, True), (None, 0, None, False), (9, 0, 9, True)], key=str)
+
+
+def test_every_licence_sign_passes(spark):
+    """No known wording, name, title or tag is lost before it is looked for."""
+    known = licence.automaton()
+    for name, wording in licence.SENTENCES.items():
+        for text in (wording, f"# {wording}\n".replace(" ", "\n# "), f"// {wording.upper()}."):
+            assert name in [x for _, x in licence.identified(text, known)] or any("reserved" in x or ":" in x for _, x in licence.identified(text, known)), name
+    names = ["GNU Lesser General Public License", "LGPL", "GNU Affero General Public Licence", "agpl", "General Public License", "GNU GPL", "gpl", "Apache License", "Apache", "MIT license", "MIT", "Expat License", "BSD 3-Clause", "3-clause BSD license",
+             "New BSD License", "BSD 2-Clause License", "2-clause BSD", "Simplified BSD License", "FreeBSD License", "BSD", "ISC", "isc license", "Mozilla Public License", "MPL", "Eclipse Public License", "EPL", "Boost Software License", "BSL", "zlib", "zlib licence",
+             "CC0", "Creative Commons Zero", "CC BY-NC-ND", "Creative Commons Attribution-NonCommercial-NoDerivatives", "CC-BY-NC-SA", "CC BY NC", "CC BY-ND", "CC-BY-SA", "CC BY", "Creative Commons Attribution"]
+    for name in names:
+        for text in (f"This work is released under {name}.", f"_{name}_ is what it is released under the {name}", f"Released\n * under the {name} 2.0"):
+            assert any(x.startswith("grant:") for _, x in licence.identified(text, known)), text
+    for text, want in {"Apache 2.0": ["Apache-2.0"], "SPDX-License-Identifier: (MIT OR Apache-2.0)": ["(MIT OR Apache-2.0)"], "Available under EPL 2.0.": ["EPL-2.0"],
+                       "Licensed under either of Apache License, Version 2.0 or MIT license at your option.": ["Apache-2.0", "MIT"], "We drove under the bridge with mit and bsd.": []}.items():
+        assert [x for x, _ in licence.licences(licence.identified(text, known))] == want, text
+
+
+def test_scores_where_no_word_occurs_twice(spark):
+    """The only training token is one text's end: it keeps most of the mass."""
+    rows = [(i, t, None, None, 0, "", "", "", "") for i, t in ((2, None), (1, "a b"), (5, "c"))]
+    for doc_id in range(2, 60):
+        own = [(doc_id, None, *rows[0][2:])]
+        train = [r for r in own if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+        if train:
+            break
+    found = ngram_lm.scored(spark.createDataFrame(own, COLUMNS)).first()
+    assert found.train_tokens == 1 and found.score > -1.0

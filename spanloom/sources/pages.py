@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from spanloom.functions import times, words
 
 
-def links(pages: DataFrame, hosts: list[str] | None = None) -> DataFrame:
-    """Distinct (page_id, host, url, title) of a page's anchors, absolute, http(s) only, without fragments."""
+def links(pages: DataFrame, hosts: list[str] | None = None, relevant: bool = False) -> DataFrame:
+    """Distinct (page_id, host, url, title) of a page's anchors, absolute, http(s) only, without fragments; with ``relevant`` only those
+    whose text names a place, an attack and its victims."""
     anchor = r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
     rows = pages.withColumn("hrefs", F.regexp_extract_all("html", F.lit(anchor), F.lit(1))).withColumn("titles", F.regexp_extract_all("html", F.lit(anchor), F.lit(2)))
     rows = rows.select("page_id", F.regexp_extract("url", r"^(https?://[^/?#]+)", 1).alias("root"), F.explode(F.arrays_zip("hrefs", "titles")).alias("a"))
@@ -17,6 +18,8 @@ def links(pages: DataFrame, hosts: list[str] | None = None) -> DataFrame:
     whole = F.when(href.startswith("//"), F.concat(F.lit("https:"), href)).when(href.startswith("/"), F.concat("root", href)).otherwise(href)
     url = words.bare_url(whole)
     rows = rows.select("page_id", F.lower(F.regexp_extract(url, r"^https?://([^/?#:]+)", 1)).alias("host"), url.alias("url"), words.plain_text(F.col("a.titles")).alias("title")).where("url is not null")
+    if relevant:
+        rows = rows.where(words.relevant(F.col("title")))
     return (rows if hosts is None else rows.where(F.col("host").isin(hosts))).dropDuplicates()
 
 

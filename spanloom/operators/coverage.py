@@ -11,18 +11,21 @@ from spanloom.sources.staging import staged
 
 
 def overlap_metrics(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Microseconds of a, b, both, either, and of one alone, with shares; from one sweep."""
+    """Microseconds of a, b, both, either, and of one alone, with shares, and how many intervals a and either have; from one sweep."""
     rows = intervals.both(a.select(*keys, "start_us", "end_us"), b.select(*keys, "start_us", "end_us"))
-    live = intervals.segments(rows, keys, {"a": F.col("side") == "a", "b": F.col("side") == "b"})
+    begins = {"a_intervals": F.col("a") > 0, "either_intervals": (F.col("a") > 0) | (F.col("b") > 0)}
+    live = intervals.beginnings(rows, keys, {"a": F.col("side") == "a", "b": F.col("side") == "b"}, begins)
     length = F.col("end_us") - F.col("start_us")
     when = lambda c: F.sum(F.when(F.expr(c), length).otherwise(0))
     sums = live.groupBy(*keys).agg(
         when("a > 0").alias("a_us"), when("b > 0").alias("b_us"), when("a > 0 and b > 0").alias("both_us"),
         when("a > 0 or b > 0").alias("either_us"), when("a > 0 and b = 0").alias("a_only_us"), when("a = 0 and b > 0").alias("b_only_us"),
+        *[F.count_if(n).alias(n) for n in begins],
     )
     return sums.withColumns({
         "coverage_pct": times.ratio(F.col("both_us"), F.col("a_us"), 100), "precision_pct": times.ratio(F.col("both_us"), F.col("b_us"), 100),
         "jaccard_pct": times.ratio(F.col("both_us"), F.col("either_us"), 100), "bias_pct": times.ratio(F.col("b_us") - F.col("a_us"), F.col("a_us"), 100),
+        "increase_pct": times.ratio(F.col("either_us") - F.col("a_us"), F.col("a_us"), 100), "b_only_share_pct": times.ratio(F.col("b_only_us"), F.col("either_us"), 100),
     })
 
 

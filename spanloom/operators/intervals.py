@@ -137,6 +137,15 @@ def _live(rows: DataFrame, keys: list[str], members: dict[str, Column], bucket_u
     return every.withColumns(sums | {"end_us": end} | {c: F.max(c).over(bucket) for c in told}).drop("next_us")
 
 
+def beginnings(rows: DataFrame, keys: list[str], members: dict[str, Column], kept: dict[str, Column], bucket_us: int = BUCKET) -> DataFrame:
+    """``segments`` with a column for each of ``kept`` (conditions over the counts): whether a run in which it holds begins there."""
+    live = _live(rows, keys, members, bucket_us)
+    order = _growing(keys)
+    live = live.withColumns({f"now_{n}": F.coalesce(c, F.lit(False)) for n, c in kept.items()})
+    live = live.withColumns({n: F.col(f"now_{n}") & ~F.coalesce(F.lag(f"now_{n}").over(order), F.lit(False)) for n in kept})
+    return live.where("start_us is not null and end_us is not null").select(*keys, "start_us", *members, "end_us", *kept)
+
+
 def segments(rows: DataFrame, keys: list[str], members: dict[str, Column], bucket_us: int = BUCKET) -> DataFrame:
     """Stretches (keys, start_us, end_us) between end points, with how many intervals of each member are active."""
     live = _live(rows, keys, members, bucket_us).where("start_us is not null and end_us is not null")

@@ -50,6 +50,18 @@ def monthly_counts(baseline: DataFrame, revisions: DataFrame) -> DataFrame:
     return both.withColumn("total", F.col("deaths") + F.col("delta"))
 
 
+def negative_totals(monthly: DataFrame) -> DataFrame:
+    """Months that confirmed revisions make negative: violations."""
+    return monthly.where("total < 0")
+
+
+def published_monthly(baseline: DataFrame, revisions: DataFrame) -> DataFrame:
+    """``monthly_counts``; raises where a total is negative."""
+    monthly = monthly_counts(baseline, revisions)
+    require_none(negative_totals(monthly), "negative monthly totals")
+    return monthly
+
+
 def control_totals(monthly: DataFrame, expected: DataFrame) -> DataFrame:
     """(year, deaths, expected) of years whose sums differ, also those that only one side has."""
     sums = monthly.groupBy(F.substring("month", 1, 4).alias("year")).agg(F.sum("deaths").alias("deaths"))

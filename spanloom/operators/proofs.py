@@ -187,6 +187,46 @@ def parts_unequal(rows: DataFrame, total: str, parts: list[str], slack: int = 0)
     return rows.where(F.abs(F.col(total) - sum((F.col(p) for p in parts), F.lit(0))) > slack)
 
 
+def total_breaks(rows: DataFrame, key: list[str], total: str, parts: list[str], longest: Column, slack: int = 0) -> DataFrame:
+    """(key, reason) of totals that are not the sum of their parts, or are more than their window is long; ``slack`` is allowed in both."""
+    apart = F.abs(F.col(total) - sum((F.col(p) for p in parts), F.lit(0))) > slack
+    reasons = F.array_compact(F.array(F.when(apart, "parts and total differ"), F.when(F.col(total) > longest + slack, "longer than its window")))
+    return rows.select(*key, F.explode(reasons).alias("reason"))
+
+
+def progress_breaks(rows: DataFrame) -> DataFrame:
+    """Rows (terminal, processed, total) that are not 0 <= terminal <= processed <= total, or where one is missing."""
+    return rows.where("NOT coalesce(0 <= terminal AND terminal <= processed AND processed <= total, false)")
+
+
+#: What an open-interval snapshot says of a source.
+OPEN, CLOSED = "open_at_source_capture", "no_open_at_source_capture"
+
+
+def open_snapshot_breaks(rows: DataFrame, now_us: Column, skew_us: int = 120 * times.SECOND, oldest_us: int = 8 * 3600 * times.SECOND, zone: str = times.ZONE) -> DataFrame:
+    """(key, reason): what a second look at an open-interval snapshot finds before it is used.
+
+    ``rows``: key, state, date, capture_us, start_us, and of the day's period from_day, through_day, closed_us, provisional_us, combined_us.
+    """
+    today, age = times.local_day(now_us, zone), now_us - F.col("capture_us")
+    is_open, has_start = F.col("state") == OPEN, F.col("start_us").isNotNull()
+    sums = [F.col(c) for c in ("closed_us", "provisional_us", "combined_us")]
+    negative = F.coalesce(sums[0] < 0, F.lit(True)) | F.coalesce(sums[1] < 0, F.lit(True)) | F.coalesce(sums[2] < 0, F.lit(True))
+    reasons = F.array_compact(F.array(
+        F.when(~F.coalesce(F.col("state").isin(OPEN, CLOSED), F.lit(False)), "unknown state"), F.when(~F.col("date").eqNullSafe(today), "another day"),
+        F.when(F.coalesce((age < -skew_us) | (age > oldest_us) | (times.local_day(F.col("capture_us"), zone) != today), F.lit(True)), "capture not of now"),
+        F.when(F.coalesce(is_open, F.lit(False)) != has_start, "state and start disagree"), F.when(F.col("start_us") >= F.col("capture_us"), "starts after its capture"),
+        F.when(~(F.col("from_day").eqNullSafe(today) & F.col("through_day").eqNullSafe(today)), "period is not today"), F.when(negative, "sums missing or negative"),
+        F.when(F.abs(sums[0] + sums[1] - sums[2]) >= times.SECOND // 100, "sums differ"), F.when(~F.coalesce(is_open, F.lit(False)) & (sums[1] != 0), "provisional time without an open interval")))
+    return rows.select("key", F.explode(reasons).alias("reason"))
+
+
+def conflicting_messages(messages: DataFrame, key: str, id_: str, content: list[str]) -> DataFrame:
+    """(key, id, versions): messages of one id that pages of a source tell in different ways."""
+    told = messages.groupBy(key, id_).agg(F.count_distinct(F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in content])).alias("versions"))
+    return told.where("versions > 1")
+
+
 def orphans(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
     """Children without exactly one parent of equal keys."""
     found = parents.groupBy(*keys).agg(F.count("*").alias("parents"))

@@ -136,10 +136,13 @@ def interval_union2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _metrics_sql(source: str, keys: str) -> str:
     part = lambda c, n: f"coalesce(sum(end_us - start_us) FILTER ({c}), 0)::BIGINT AS {n}"
     share = lambda x, y, n: f"CASE WHEN {y} <> 0 THEN ({x})::DOUBLE * 100.0::DOUBLE / {y}::DOUBLE END AS {n}"
-    return f"""q AS (SELECT {keys}, {part('a > 0', 'a_us')}, {part('b > 0', 'b_us')}, {part('a > 0 AND b > 0', 'both_us')}, {part('a > 0 OR b > 0', 'either_us')},
-  {part('a > 0 AND b = 0', 'a_only_us')}, {part('a = 0 AND b > 0', 'b_only_us')} FROM {source} GROUP BY {keys})
+    count = lambda c, p, n: f"count(*) FILTER (({c}) AND NOT ({p})) AS {n}"
+    any_before = "coalesce(pa, 0) > 0 OR coalesce(pb, 0) > 0"
+    return f"""z AS (SELECT *, lag(a) OVER w AS pa, lag(b) OVER w AS pb FROM {source} WINDOW w AS (PARTITION BY {keys} ORDER BY start_us)),
+q AS (SELECT {keys}, {part('a > 0', 'a_us')}, {part('b > 0', 'b_us')}, {part('a > 0 AND b > 0', 'both_us')}, {part('a > 0 OR b > 0', 'either_us')},
+  {part('a > 0 AND b = 0', 'a_only_us')}, {part('a = 0 AND b > 0', 'b_only_us')}, {count('a > 0', 'coalesce(pa, 0) > 0', 'a_intervals')}, {count('a > 0 OR b > 0', any_before, 'either_intervals')} FROM z GROUP BY {keys})
 SELECT *, {share('both_us', 'a_us', 'coverage_pct')}, {share('both_us', 'b_us', 'precision_pct')}, {share('both_us', 'either_us', 'jaccard_pct')},
-  {share('b_us - a_us', 'a_us', 'bias_pct')} FROM q"""
+  {share('b_us - a_us', 'a_us', 'bias_pct')}, {share('either_us - a_us', 'a_us', 'increase_pct')}, {share('b_only_us', 'either_us', 'b_only_share_pct')} FROM q"""
 
 
 @query(f"WITH {SPANS_SQL}, {sweep_sql('s', 'fine', 'mid', 'raion')}, {_metrics_sql('s', 'raion')}")

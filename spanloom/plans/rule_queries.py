@@ -262,3 +262,45 @@ def page_count_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     total = orders.groupBy("key").agg((F.count("*") - F.when(F.col("key") % 4 == 0, 1).otherwise(0)).alias("total"))
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page")).join(orders.select("key", "page"), "page")
     return proofs.page_counts(orders.join(total, "key"), lines, "key", "total")
+
+
+@query(f"""WITH {SPANS_SQL}, r AS (SELECT event_id, end_us - start_us AS whole, (end_us - start_us) // 3 AS a, (end_us - start_us) - (end_us - start_us) // 3 + CASE WHEN event_id % 8 = 0 THEN 5 ELSE 0 END AS b FROM spans)
+SELECT event_id, 'parts and total differ' AS reason FROM r WHERE event_id % 8 = 0 UNION ALL SELECT event_id, 'longer than its window' FROM r WHERE whole > 3600000002""")
+def window_totals_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of events against their two parts and an hour's window, two microseconds allowed."""
+    whole = F.col("end_us") - F.col("start_us")
+    a = F.expr("(end_us - start_us) div 3")
+    rows = spans(spark, sf_dir).select("event_id", whole.alias("whole"), a.alias("a"), (whole - a + F.when(F.col("event_id") % 8 == 0, 5).otherwise(0)).alias("b"))
+    return proofs.total_breaks(rows, ["event_id"], "whole", ["a", "b"], F.lit(3600 * times.SECOND), 2)
+
+
+@query("""SELECT o_orderkey, o_custkey AS terminal, o_orderkey % 4000 AS processed, CAST(floor(o_totalprice) AS BIGINT) // 100 AS total FROM orders WHERE NOT (o_custkey <= o_orderkey % 4000 AND o_orderkey % 4000 <= CAST(floor(o_totalprice) AS BIGINT) // 100)""")
+def progress_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress that is not bounded by what there is."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("terminal"), (F.col("o_orderkey") % 4000).alias("processed"), F.expr("CAST(floor(o_totalprice) AS BIGINT) div 100").alias("total"))
+    return proofs.progress_breaks(rows)
+
+
+@query(f"""WITH {SPANS_SQL}, r AS (SELECT event_id AS key, event_id % 12 AS f, {NOW_US} - (event_id % 10) * 3600000000 AS capture_us, end_us - start_us AS us, start_us FROM spans),
+s AS (SELECT *, CASE WHEN f = 0 THEN 'other' WHEN f < 7 THEN 'open_at_source_capture' ELSE 'no_open_at_source_capture' END AS state, CASE WHEN f < 6 OR f = 8 THEN start_us END AS open_us,
+  us AS closed_us, CASE WHEN f < 7 OR f = 9 THEN 1000000 ELSE 0 END AS provisional_us, us + CASE WHEN f < 7 OR f = 9 THEN 1000000 ELSE 0 END + CASE WHEN f = 10 THEN 10000 WHEN f = 11 THEN 9999 ELSE 0 END AS combined_us FROM r)
+SELECT key, unnest(list_filter([CASE WHEN f = 0 THEN 'unknown state' END, CASE WHEN f = 3 THEN 'another day' END, CASE WHEN capture_us < {NOW_US} - 8 * 3600000000 THEN 'capture not of now' END,
+  CASE WHEN (state = 'open_at_source_capture') <> (open_us IS NOT NULL) THEN 'state and start disagree' END, CASE WHEN open_us >= capture_us THEN 'starts after its capture' END, CASE WHEN f = 4 THEN 'period is not today' END,
+  CASE WHEN closed_us < 0 OR combined_us < 0 THEN 'sums missing or negative' END, CASE WHEN f = 10 THEN 'sums differ' END, CASE WHEN state <> 'open_at_source_capture' AND provisional_us <> 0 THEN 'provisional time without an open interval' END], lambda x: x IS NOT NULL)) AS reason FROM s""")
+def open_snapshot_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of open intervals in which every rule is broken by some rows."""
+    f, today = F.col("event_id") % 12, times.local_day(F.lit(NOW_US))
+    state = F.when(f == 0, "other").when(f < 7, proofs.OPEN).otherwise(proofs.CLOSED)
+    us, provisional = F.col("end_us") - F.col("start_us"), F.when((f < 7) | (f == 9), times.SECOND).otherwise(0)
+    rows = spans(spark, sf_dir).select(
+        F.col("event_id").alias("key"), state.alias("state"), F.when(f == 3, F.date_sub(today, 1)).otherwise(today).alias("date"), (F.lit(NOW_US) - F.col("event_id") % 10 * snapshot.HOUR).alias("capture_us"),
+        F.when((f < 6) | (f == 8), F.col("start_us")).alias("start_us"), F.when(f == 4, F.date_sub(today, 1)).otherwise(today).alias("from_day"), today.alias("through_day"), us.alias("closed_us"), provisional.alias("provisional_us"),
+        (us + provisional + F.when(f == 10, 10_000).when(f == 11, 9_999).otherwise(0)).alias("combined_us"))
+    return proofs.open_snapshot_breaks(rows, F.lit(NOW_US))
+
+
+@query("SELECT l_suppkey AS source, l_partkey AS message, count(DISTINCT l_returnflag || '|' || CAST(l_linenumber AS VARCHAR)) AS versions FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_returnflag || '|' || CAST(l_linenumber AS VARCHAR)) > 1")
+def conflicting_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as messages of a supplier about a part: those that are told in different ways."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("source"), F.col("l_partkey").alias("message"), "l_returnflag", "l_linenumber")
+    return proofs.conflicting_messages(rows, "source", "message", ["l_returnflag", "l_linenumber"])

@@ -47,6 +47,17 @@ def month_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.monthly_counts(baseline, revisions)
 
 
+@query("""WITH b AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS deaths FROM orders GROUP BY 1),
+d AS (SELECT strftime(l_shipdate, '%Y-%m') AS month, -count(*) AS delta FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT month, coalesce(deaths, 0) AS deaths, coalesce(delta, 0) AS delta, coalesce(deaths, 0) + coalesce(delta, 0) AS total FROM b FULL JOIN d USING (month) WHERE coalesce(deaths, 0) + coalesce(delta, 0) < 0""")
+def negative_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months that revisions downwards make negative, which may not be published."""
+    baseline = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("deaths"))
+    status = F.when(F.col("l_returnflag") == "R", "confirmed").otherwise("pending")
+    revisions = table(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("month"), status.alias("status"), F.lit(-1).cast("long").alias("deaths_delta"))
+    return ledger.negative_totals(ledger.monthly_counts(baseline, revisions))
+
+
 _EFFECT = """SELECT l_orderkey AS incident, coalesce(arg_max(CAST(l_quantity AS BIGINT), (l_linenumber, l_quantity, l_partkey)) FILTER (l_returnflag <> 'R'), 0)
   + coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_returnflag = 'R'), 0)::BIGINT - 2 AS effect FROM {0} GROUP BY l_orderkey"""
 

@@ -29,6 +29,14 @@ def test_strict_inputs(spark):
     ledger.require_none(ledger.baseline_violations(base.limit(0)), "baseline")
 
 
+def test_negative_months_are_not_published(spark):
+    base = spark.createDataFrame([("2026-01", 1), ("2026-02", 7)], "month string, deaths long")
+    less = spark.createDataFrame([("2026-01", "confirmed", -5), ("2026-02", "confirmed", -5)], "month string, status string, deaths_delta long")
+    with pytest.raises(ledger.Violations):
+        ledger.published_monthly(base, less)
+    assert ledger.published_monthly(base, less.where("month = '2026-02'")).where("month = '2026-02'").first().total == 2
+
+
 def test_promotion_is_a_no_op_the_second_time(spark):
     candidates = spark.createDataFrame([("c1", "r1", 3), ("c2", "r2", 4), ("c3", "r3", 5)], "candidate_id string, record_id string, n long")
     old = spark.createDataFrame([("r2", 4, ["x"]), ("r3", 6, ["y"])], "record_id string, n long, candidate_ids array<string>")

@@ -3,7 +3,7 @@
 Paragraphs are cut by content: a paragraph ends with a word whose hash is the least of the ``NEAR`` words on
 either side, where words with ``.``, ``!``, ``?`` or a line's end behind them come before all others. The cut
 depends on the words around it only, so a passage that was pasted into the middle of a line has the same
-paragraphs inside it wherever it stands.
+paragraphs inside it wherever it stands. Text that repeats itself is cut by its periods.
 
 Paragraphs with equal words are one node. Nodes are filed under ``BANDS`` bands of ``ROWS`` minima of
 five-word shingles (two alike at 0.8 meet with a probability of 98 %), tied to the least node of each
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import bucket_links, buckets, components, marked, marks, settled
+from spanloom.llm.shared import bucket_links, buckets, components, kept, marked, marks, released, scratch, settled, shuffles_dropped
 
 SHINGLE = 5
 ALIKE = 0.8
@@ -75,7 +75,23 @@ class Paragraphs:
         two = np.minimum(held[:-1], held[1:])
         four = np.minimum(two[:-2], two[2:])
         seven = np.minimum(four[:-3], four[3:])  # of NEAR words, from each place on
-        return (value < seven[at - NEAR]) & (value <= seven[at + 1])
+        return self._thinned((value <= seven[at - NEAR]) & (value <= seven[at + 1]), value)
+
+    def _thinned(self, cut: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Cuts without most of those that text which repeats itself has, once in each of its short periods.
+
+        Of cuts of equal value that follow one another within ``NEAR`` words some are left, all as many words apart, so that paragraphs have
+        ``LEAST_WORDS`` or more. Within such text all paragraphs are the same wherever its counting begins.
+        """
+        at = np.flatnonzero(cut)
+        if not len(at):
+            return cut
+        gap = np.diff(at, prepend=at[0] - NEAR - 1)
+        again = (gap <= NEAR) & (value[at] == np.append(value[at[:1]] + np.uint64(1), value[at[:-1]]))
+        number = np.arange(len(at))
+        since = number - np.maximum.accumulate(np.where(again, 0, number))
+        cut[at[again & (since % -(-LEAST_WORDS // gap) > 0)]] = False
+        return cut
 
     def shingled(self) -> tuple[np.ndarray, np.ndarray]:
         """For each word the hash of the shingle from there on, and whether it lies within the paragraph."""
@@ -241,32 +257,45 @@ def repeated(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     ``begin`` and ``close`` are offsets in the text's UTF-8 bytes, ``mark`` a hash of the text, ``class_id`` the
     least paragraph hash of the class that the run begins with.
     """
+    with scratch():
+        return kept(_repeated(docs, threshold))
+
+
+def _repeated(docs: DataFrame, threshold: float) -> DataFrame:
+    spark = docs.sparkSession
     body = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
-    found = components(alike(docs, threshold))
+    with scratch():
+        found = kept(components(alike(docs, threshold)))
+    shuffles_dropped(spark)
     owners = body.where("doc_id is not null").select("doc_id", "text").mapInArrow(_owner_batches, "node long, low long, high long")
     classes = owners.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high")).join(found, "node", "left")
     classes = settled(classes.withColumn("class_id", F.coalesce("component", "node")).drop("component"))
     spans = classes.groupBy("class_id").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("last")).where("first_doc_id <> last")
     wanted = settled(classes.join(spans, "class_id").select("node", "class_id", "first_doc_id"))
-    share = docs.sparkSession.sparkContext.broadcast
+    released(found), released(classes)
+    shuffles_dropped(spark)
+    share = spark.sparkContext.broadcast
     places = body.where("doc_id is not null").mapInArrow(partial(_place_batches, wanted=share(marks(wanted))), "doc_id long, mark long, first_word long, words long, begin long, close long, node long")
     # one shuffle by document serves repeated rows, runs and their sums
     rows = places.join(wanted, "node").repartition("doc_id", "mark").dropDuplicates(["doc_id", "mark", "first_word"])
     rows = rows.withColumn("removed", F.col("doc_id") != F.col("first_doc_id"))
     keepers = settled(rows.where("not removed").groupBy("class_id").agg(F.min(F.struct("first_word", "mark", "doc_id", "node")).alias("k")).select("class_id", "k.*"))
     runs = settled(_runs(rows))
+    released(wanted)
+    del rows, places
+    shuffles_dropped(spark)
     gone = runs.where("removed")
     edges = gone.select(F.explode(F.array("class_id", "last_class")).alias("class_id")).distinct()
     nodes = gone.select(F.explode(F.array("first_node", "last_node")).alias("node")).unionByName(keepers.join(edges, "class_id").select("node"))
     schema = "doc_id long, mark long, first_word long, before array<int>, begins array<int>, after array<int>, closes array<int>"
     around = settled(body.mapInArrow(partial(_around_batches, wanted=share(marks(nodes))), schema))
-    kept = around.join(keepers.drop("node"), ["doc_id", "mark", "first_word"]).select("class_id", "before", "after")
-    kept = settled(kept.groupBy("class_id").agg(F.first("before").alias("before"), F.first("after").alias("after")))
+    near = around.join(keepers.drop("node"), ["doc_id", "mark", "first_word"]).select("class_id", "before", "after")
+    near = settled(near.groupBy("class_id").agg(F.first("before").alias("before"), F.first("after").alias("after")))
     place = ["doc_id", "mark", "first_word"]
-    left = gone.join(around.select(*place, "before", "begins"), place, "left").join(kept.select("class_id", F.col("before").alias("kept_before")), "class_id", "left")
+    left = gone.join(around.select(*place, "before", "begins"), place, "left").join(near.select("class_id", F.col("before").alias("kept_before")), "class_id", "left")
     left = left.withColumn("back", _shared(F.col("before"), F.col("kept_before")))
     right = left.join(around.select("doc_id", "mark", F.col("first_word").alias("last_word"), "after", "closes"), ["doc_id", "mark", "last_word"], "left")
-    right = right.join(kept.select(F.col("class_id").alias("last_class"), F.col("after").alias("kept_after")), "last_class", "left").withColumn("on", _shared(F.col("after"), F.col("kept_after")))
+    right = right.join(near.select(F.col("class_id").alias("last_class"), F.col("after").alias("kept_after")), "last_class", "left").withColumn("on", _shared(F.col("after"), F.col("kept_after")))
     grown = right.select(
         "doc_id", "mark", (F.col("first_word") - F.col("back")).alias("first_word"), (F.col("words") + F.col("back") + F.col("on")).alias("words"),
         F.when(F.col("back") > 0, F.get("begins", F.col("back").cast("int") - 1).cast("long")).otherwise(F.col("begin")).alias("begin"),

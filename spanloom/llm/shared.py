@@ -5,10 +5,12 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +27,50 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Frames that the open ``scratch`` blocks have settled, innermost last.
+_scratch: list[list[DataFrame]] = []
+
+
 def settled(frame: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a frame to the shared folder and read it again: lost executors then cost no recomputation of it."""
     path = f"{shared_folder(frame.sparkSession)}/settled-{uuid.uuid4().hex}"
     frame.write.parquet(path, compression=compression)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    out = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    if _scratch:
+        _scratch[-1].append(out)
+    return out
+
+
+@contextmanager
+def scratch():
+    """Frames settled inside the block are removed at its end, but for those that ``kept`` has passed out of it."""
+    held: list[DataFrame] = []
+    _scratch.append(held)
+    try:
+        yield
+    finally:
+        _scratch.remove(held)
+        for frame in held:
+            released(frame)
+
+
+def kept(frame: DataFrame) -> DataFrame:
+    """A frame settled beyond the innermost ``scratch`` block."""
+    inner = _scratch.pop()
+    try:
+        return settled(frame)
+    finally:
+        _scratch.append(inner)
 
 
 def released(frame: DataFrame) -> None:
     """Remove the files of a settled frame that nothing reads any more."""
     spark = frame.sparkSession
-    for file in frame.inputFiles()[:1]:
+    try:
+        files = frame.inputFiles()[:1]
+    except AnalysisException:  # its files are gone already
+        return
+    for file in files:
         path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
         if path.getName().startswith("settled-"):
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -239,21 +274,30 @@ def bucket_links(rows: DataFrame, links: DataFrame, values: DataFrame, check) ->
     return links.unionByName(compared(mixed_buckets(rows, links), values, check))
 
 
-#: Leading bits of a node that a mark is made of.
-MARK_BITS = 25
+#: Leading bits of a node that a mark is made of, at least and at most (64 MB), and how many more than it takes to count the nodes.
+MARK_BITS, MOST_MARK_BITS, SPARE_BITS = 20, 29, 4
 
 
 def marks(nodes: DataFrame) -> bytes:
-    """A bit set of fixed size (4 MB) that holds all nodes' leading bits; it only spares work, never decides."""
-    place = F.shiftrightunsigned("node", 64 - MARK_BITS)
+    """A bit set that holds all nodes' leading bits, of at most 64 MB; it only spares work, never decides.
+
+    Its size follows the number of nodes, so that at most one bit in 2^``SPARE_BITS`` is set. Of more nodes than that allows there
+    is none (no bytes): everything is marked then, and the joins that follow do all the work.
+    """
+    bits = max(MARK_BITS, nodes.count().bit_length() + SPARE_BITS)
+    if bits > MOST_MARK_BITS:
+        return b""
+    place = F.shiftrightunsigned("node", 64 - bits)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
     rows = nodes.groupBy(F.shiftrightunsigned(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    out = np.zeros(1 << (MARK_BITS - 6), dtype=np.int64)
+    out = np.zeros(1 << (bits - 6), dtype=np.int64)
     out[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
     return out.tobytes()
 
 
 def marked(nodes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Which nodes (uint64) may be in the set of ``marks``."""
-    place = nodes >> np.uint64(64 - MARK_BITS)
+    if not len(bits):
+        return np.ones(len(nodes), dtype=bool)
+    place = nodes >> np.uint64(64 - (len(bits).bit_length() - 1 + 6))
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1

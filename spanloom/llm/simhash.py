@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import bucket_links, buckets, compared, components, marked, marks, mixed_buckets, parted_buckets, settled
+from spanloom.llm.shared import bucket_links, buckets, compared, components, kept, marked, marks, mixed_buckets, parted_buckets, released, scratch, settled, shuffles_dropped
 
 SEED = 42
 
@@ -259,6 +259,7 @@ def near_links(docs: DataFrame, unique: DataFrame, shingle: int, similarity: flo
         shared = F.size(F.array_intersect("s", "t"))
         return settled(both.where(shared >= similarity * (F.size("s") + F.size("t") - shared)).select("a", "b"))
 
+    spark = docs.sparkSession
     met = buckets(unique.select("node", "prints", "weak").mapInArrow(_key_batches, "key long, node long"))
     # first each fingerprint with the least one that it meets anywhere, and with the one of those it meets that meets
     # the most others, such as the text that many near copies were made from: that ties most of a large group
@@ -267,11 +268,18 @@ def near_links(docs: DataFrame, unique: DataFrame, shingle: int, similarity: flo
     hubs = counted.groupBy("key").agg(F.max(F.struct("n", F.col("node").alias("hub"))).alias("top"))
     hubs = counted.join(hubs, "key").where("node <> top.hub").groupBy(F.col("node").alias("a")).agg(F.max("top").alias("top")).select("a", F.col("top.hub").alias("b"))
     stars = near(least.unionByName(hubs).distinct())
-    links = alike(stars, _sets(docs, ends(stars).distinct(), shingle))
+    sets = _sets(docs, ends(stars).distinct(), shingle)
+    links = alike(stars, sets)
+    released(stars), released(sets)
+    del counted, hubs, least
+    shuffles_dropped(spark)
     # then what shares a bucket and is not tied: pairs, and larger buckets by bits before by shingles
     pairs, members = parted_buckets(met.select("key", "node"), links)
     pairs, screened = near(pairs), partial(_near_prints, tau=tau)
     rest = settled(compared(members, prints, screened, links=False).distinct())
+    released(met)
+    del members
+    shuffles_dropped(spark)
     sets = _sets(docs, ends(pairs).unionByName(rest.select("node")).distinct(), shingle)
     links = links.unionByName(alike(pairs, sets))
     more = compared(mixed_buckets(rest, links, 2), prints.join(sets, "node"), screened, partial(_sure, similarity=similarity))
@@ -287,7 +295,9 @@ def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     words = lambda c, n: F.array(*[F.min(F.col(c)[i]) for i in range(n)]).alias(c)
     unique = each.groupBy(F.col("mark").alias("node")).agg(F.min("doc_id").alias("least"), words("prints", BLOCKS), words("weak", 64 * BLOCKS // WIDTH))
     unique = settled(unique)
-    found = components(near_links(docs, unique, shingle, similarity))
+    with scratch():
+        found = kept(components(near_links(docs, unique, shingle, similarity)))
+    shuffles_dropped(docs.sparkSession)
     roots = found.join(unique, "node").groupBy("component").agg(F.min("least").alias("group_id"))
     groups = unique.join(found, "node", "left").join(roots, "component", "left")
     groups = groups.select("node", F.coalesce("group_id", "least").alias("group_id"))

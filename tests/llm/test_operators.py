@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -812,3 +813,29 @@ def test_scores_where_no_word_occurs_twice(spark):
             break
     found = ngram_lm.scored(spark.createDataFrame(own, COLUMNS)).first()
     assert found.train_tokens == 1 and found.score > -1.0
+
+
+def test_passages_that_repeat_themselves(spark):
+    """Shared stretches of short periods have cuts, too; so have long ones between foreign words."""
+    rng = random.Random(21)
+    foreign = lambda n: " ".join(f"f{rng.randrange(10**7)}" for _ in range(n))
+    shared_ = {"na": "na " * 200, "five": "alpha beta gamma delta epsilon " * 40, "zero": "0 0 1 " * 80, "two": "left right " * 100, "seven": "a b c d e f g " * 30, "ten": "p q r s t u v w x y " * 12}
+    rows = []
+    for i, (name, text) in enumerate(shared_.items()):
+        rows += [(10 * i, f"{foreign(40)} {text} {foreign(40)}"), (10 * i + 1, f"{foreign(33)} {text} {foreign(50)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: len(r.text.split()) for r in passages.without_repeats(docs).collect()}
+    for i, (name, text) in enumerate(shared_.items()):
+        words = len(text.split())
+        assert out[10 * i] == 80 + words, name
+        assert out[10 * i + 1] <= 83 + 0.2 * words, (name, out[10 * i + 1], words)
+
+
+def test_settled_frames_are_let_go(spark, tmp_path):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i // 2) * 500 + j}" for j in range(90))) for i in range(60)], "doc_id long, text string")
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(folder))
+    spans = passages.repeated(docs)
+    assert spans.where("removed").count() >= 30
+    left = set(os.listdir(folder)) - before
+    assert len([x for x in left if x.startswith("settled-")]) == 1, left

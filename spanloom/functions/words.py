@@ -38,9 +38,19 @@ def relevant(text: Column, place: list[str] = PLACE, attack: list[str] = ATTACK,
     return F.coalesce(held, F.lit(False))
 
 
-def counts_near(text: Column, patterns: list[str] = DEATHS, low: int = 1, high: int = 200) -> Column:
-    """Distinct numbers that stand in the patterns' first groups, in range, sorted. Letters are those of any script."""
-    found = F.concat(*[F.regexp_extract_all(F.lower(text), F.lit(f"(?U){p}"), F.lit(1)) for p in patterns])
+#: A text that each of ``DEATHS`` cannot be without.
+DEATH_STEMS = ["загин", "загибл", "загибл", "відомо", "кільк"]
+
+
+def counts_near(text: Column, patterns: list[str] = DEATHS, stems: list[str] | None = None, low: int = 1, high: int = 200) -> Column:
+    """Distinct numbers that stand in the patterns' first groups, in range, sorted. Letters are those of any script.
+
+    A pattern is only looked for in texts that hold its stem of ``stems`` (by default those of ``DEATHS``).
+    """
+    if stems is None:
+        stems = DEATH_STEMS if patterns is DEATHS else [""] * len(patterns)
+    lower, none = F.lower(text), F.array().cast("array<string>")
+    found = F.concat(*[F.when(lower.contains(stem), F.regexp_extract_all(lower, F.lit(f"(?U){p}"), F.lit(1))).otherwise(none) for p, stem in zip(patterns, stems, strict=True)])
     numbers = F.transform(found, lambda x: x.try_cast("int"))
     return F.array_sort(F.array_distinct(F.filter(numbers, lambda x: (x >= low) & (x <= high))))
 

@@ -163,10 +163,10 @@ def proxy_metrics_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.overlap_metrics(fine, mid, ["raion", "period"])
 
 
-_HOURLY = "SELECT raion, oblast, level, start_us, start_us + CASE WHEN level = 'raion' THEN 30 ELSE 1 END * greatest(end_us - start_us, 0) AS end_us FROM alerts WHERE level IN ('raion', 'oblast')"
+_PARTS = "SELECT raion, oblast, level, start_us, end_us FROM alerts WHERE level IN ('raion', 'oblast')"
 
 
-@query(f"""WITH {SPANS_SQL}, l AS ({_HOURLY}), {islands_sql('e', 'l', 'oblast')}, o AS (SELECT * FROM l WHERE level = 'oblast'), {islands_sql('w', 'o', 'oblast')},
+@query(f"""WITH {SPANS_SQL}, l AS ({_PARTS}), {islands_sql('e', 'l', 'oblast')}, o AS (SELECT * FROM l WHERE level = 'oblast'), {islands_sql('w', 'o', 'oblast')},
 r AS (SELECT * FROM l WHERE level = 'raion'), {islands_sql('m', 'r', 'oblast, raion')},
 t AS (SELECT oblast, start_us AS t, 1 AS x FROM m UNION ALL SELECT oblast, end_us, -1 FROM m), g AS (SELECT oblast, t, sum(x) AS x FROM t GROUP BY ALL),
 v AS (SELECT oblast, t AS start_us, lead(t) OVER z AS end_us, sum(x) OVER z AS active FROM g WINDOW z AS (PARTITION BY oblast ORDER BY t)),
@@ -181,10 +181,9 @@ SELECT oblast, any_us, episodes, coalesce(explicit_us, 0) AS explicit_us, coales
   CASE WHEN episodes <> 0 THEN coalesce(full_episodes, 0)::DOUBLE * 100.0::DOUBLE / episodes::DOUBLE END AS full_episodes_pct
 FROM a LEFT JOIN x USING (oblast) LEFT JOIN b USING (oblast) LEFT JOIN c USING (oblast) LEFT JOIN d USING (oblast)""")
 def full_coverage_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All raions of an oblast; their alerts are taken thirty times as long, so that all are active at once now and then. Highest share first."""
+    """All raions of an oblast, or an alert of the oblast itself. Highest share first."""
     sizes = views.table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").cast("long").alias("oblast")).agg(F.count("*").alias("members"))
-    times_long = F.when(F.col("level") == "raion", 30).otherwise(1)
-    rows = alerts(spark, sf_dir, "raion", "oblast").withColumn("end_us", F.col("start_us") + times_long * (F.col("end_us") - F.col("start_us")))
+    rows = alerts(spark, sf_dir, "raion", "oblast")
     return coverage.by_share(coverage.full_coverage(rows, "oblast", "raion", sizes, F.col("level") == "oblast"))
 
 

@@ -26,7 +26,7 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", F.col("user_id").alias("k"), (F.col("user_id") % 25).alias("raion"), level.alias("level"), start.alias("start_us"),
         (start + F.round(F.col("value") * 60).cast("long") * times.SECOND).alias("end_us"),
     )
-    return rows.join(F.broadcast(nation), "raion").select("event_id", "k", "raion", "oblast", "level", "start_us", "end_us")
+    return rows.join(nation, "raion").select("event_id", "k", "raion", "oblast", "level", "start_us", "end_us")
 
 
 def alerts(spark: SparkSession, sf_dir: str, *levels: str) -> DataFrame:

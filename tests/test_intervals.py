@@ -225,3 +225,11 @@ def test_names_inside_candidates_are_looked_up_by_pieces(spark):
     longer = left.where("char_length(name) >= 3")
     pairs = coverage.may_contain(longer, right.withColumnRenamed("name", "candidate"), ["g"]).count()
     assert pairs <= 0.02 * longer.count() * 300, (pairs, longer.count())
+
+
+def test_order_of_published_rows(spark):
+    rows = [("b", 2), (None, 5), ("a", None), ("a", 1), ("b", None)]
+    found = calendar.in_order(spark.createDataFrame(rows, "k string, n long").repartition(3), ["k", "n"])
+    assert [tuple(r) for r in found.collect()] == [(None, 5), ("a", None), ("a", 1), ("b", None), ("b", 2)]
+    shares = spark.createDataFrame([("x", 1.0), ("y", None), ("z", 7.5)], "g string, full_pct double").repartition(3)
+    assert [r.g for r in coverage.by_share(shares).collect()] == ["z", "x", "y"]

@@ -103,9 +103,9 @@ def receipts(polled: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Capture receipts: continuous where the first completed start is not after the previous check.
 
     ``polled``: key, source, start_us, captured_us per page row; ``checkpoints``: key, source, checked_us. The clock is
-    the oldest page; a first capture only begins a series; the checkpoint moves only if the capture is continuous.
+    the oldest page (``check_us``, by which freshness counts), the latest one is that of the export (``export_us``); a first capture only begins a series; the checkpoint moves only if the capture is continuous.
     """
-    rows = polled.groupBy("key", "source").agg(F.min("captured_us").alias("check_us"), F.min("start_us").alias("first_us"), F.count("start_us").alias("completed"))
+    rows = polled.groupBy("key", "source").agg(F.min("captured_us").alias("check_us"), F.max("captured_us").alias("export_us"), F.min("start_us").alias("first_us"), F.count("start_us").alias("completed"))
     rows = rows.join(checkpoints, ["key", "source"], "left")
     good = F.coalesce((F.col("first_us") <= F.col("checked_us")) & (F.col("checked_us") <= F.col("check_us")), F.lit(False))
     after = F.when(F.col("checked_us").isNull() | good, F.col("check_us")).otherwise(F.col("checked_us"))

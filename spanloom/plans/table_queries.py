@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.functions import times, words
-from spanloom.operators import coverage, ingest, intervals, ledger, observations, proofs, snapshot
+from spanloom.operators import coverage, ingest, ledger, observations, proofs, snapshot
 from spanloom.plans import views
 from spanloom.plans.views import NOW_US, SPANS_SQL, alerts, islands_sql, spans, table
 from spanloom.sources import histories, pages
@@ -470,9 +470,9 @@ def incomplete_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.incomplete_index(rows.where("n > 10"), rows, ["raion", "day"]).select("raion", "day", "n")
 
 
-@query("""WITH p AS (SELECT o_custkey AS key, CAST(year(o_orderdate) AS VARCHAR) AS source, min(epoch_us(o_orderdate)) AS first_us, min(epoch_us(o_orderdate) + 86400000000 * 200) AS check_us, count(*) AS completed FROM orders GROUP BY ALL),
+@query("""WITH p AS (SELECT o_custkey AS key, CAST(year(o_orderdate) AS VARCHAR) AS source, min(epoch_us(o_orderdate)) AS first_us, min(epoch_us(o_orderdate) + 86400000000 * 200) AS check_us, max(epoch_us(o_orderdate) + 86400000000 * 200) AS export_us, count(*) AS completed FROM orders GROUP BY ALL),
 c AS (SELECT o_custkey AS key, CAST(year(o_orderdate) AS VARCHAR) AS source, max(epoch_us(o_orderdate)) AS checked_us FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL)
-SELECT key, source, check_us, first_us, completed, coalesce(checked_us, -1) AS checked_us, coalesce(first_us <= checked_us AND checked_us <= check_us, false) AS continuous,
+SELECT key, source, check_us, export_us, first_us, completed, coalesce(checked_us, -1) AS checked_us, coalesce(first_us <= checked_us AND checked_us <= check_us, false) AS continuous,
   CASE WHEN checked_us IS NULL OR (first_us <= checked_us AND checked_us <= check_us) THEN check_us ELSE checked_us END AS next_us FROM p LEFT JOIN c USING (key, source)""")
 def capture_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = times.micros(F.col("o_orderdate"))

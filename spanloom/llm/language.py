@@ -7,7 +7,7 @@ narrow margin are marked as not accepted.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter, and for every text where
 there is nothing to learn from; equal sizes go to the language that sorts first; texts of any length are
-compressed whole; repeated rows get equal results; extra columns are ignored; an empty table gives an
+compressed whole; repeated rows get equal results; a null id is not held out, and its text is learned from; extra columns are ignored; an empty table gives an
 empty result.
 """
 
@@ -101,6 +101,6 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
 
 def identified(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, accepted), learned from the documents that are not held out."""
-    held_out = crc_remainder("doc_id", 4) == 2
+    held_out = F.coalesce(crc_remainder("doc_id", 4) == 2, F.lit(False))
     model = learn(docs.where(~held_out).select("text", "lang"))
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")

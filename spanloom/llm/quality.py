@@ -7,7 +7,7 @@ at most ``SAMPLE`` labelled rows. Since the average comes before a linear output
 contribution to the logit is one number; scoring looks only those up and needs no shuffle.
 
 Defined results: null and empty texts have no features and get the score of the output's bias; texts are
-scored whole, however long; repeated rows get equal scores; extra columns are ignored; without any
+scored whole, however long; repeated rows get equal scores; a null id is not held out, and has no label; extra columns are ignored; without any
 labelled row to learn from every score is 0.5; an empty table gives an empty result.
 """
 
@@ -168,7 +168,7 @@ def score(docs: DataFrame, model: tuple[bytes, float], keep: list[str], into: st
 
 def classified(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted), learned from the labels of documents that are not held out."""
-    held_out = crc_remainder("doc_id", 5) == 0
+    held_out = F.coalesce(crc_remainder("doc_id", 5) == 0, F.lit(False))
     learn = labels.where(~held_out).select("doc_id", F.col("quality").alias("label"))
     return score(docs, fit(docs, learn), ["doc_id"]).select(
         "doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted")

@@ -839,3 +839,13 @@ def test_settled_frames_are_let_go(spark, tmp_path):
     assert spans.where("removed").count() >= 30
     left = set(os.listdir(folder)) - before
     assert len([x for x in left if x.startswith("settled-")]) == 1, left
+
+
+def test_null_ids_are_not_held_out(spark):
+    rows = [(None, "der hund und die katze sind im haus " * 5, "de"), (3, "the dog and the cat are in the house " * 5, "en"), (4, "the end of the day", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(3, 1), (None, 0)], "doc_id long, quality int")
+    for found in (quality.classified(docs, labels), language.identified(docs), ngram_lm.scored(docs)):
+        held = {r.doc_id: r.held_out for r in found.collect()}
+        assert len(held) == 3 and held[None] is False and None not in held.values()
+    assert {r.doc_id: r.lang_pred for r in language.identified(docs).collect()}[None] == "de"

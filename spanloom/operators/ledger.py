@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
 class Violations(ValueError):
     """Rows that break a strict input's rules."""
 

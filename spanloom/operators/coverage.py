@@ -63,9 +63,9 @@ def by_share(rows: DataFrame, share: str = "full_pct") -> DataFrame:
 
 def largest_gap(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The longest time between consecutive distinct starts."""
-    starts = rows.select(*keys, "start_us").distinct()
-    gap = F.col("start_us") - F.lag("start_us").over(Window.partitionBy(*keys).orderBy("start_us"))
-    return starts.withColumn("gap_us", gap).groupBy(*keys).agg(F.max("gap_us").alias("largest_gap_us"))
+    starts = rows.select(*keys, "start_us", F.col("start_us").alias("end_us")).distinct()
+    dealt = intervals.bucketed(starts, keys, F.col("start_us"))
+    return intervals.behind(dealt, keys).groupBy(*keys).agg(F.max(F.col("start_us") - F.col("past_us")).alias("largest_gap_us"))
 
 
 def source_audit(fine: DataFrame, coarse: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import times, words
 from spanloom.operators import coverage, ingest, ledger, observations, proofs, snapshot
-from spanloom.sources import histories, pages, sinks
+from spanloom.sources import captures, histories, pages, sinks
 from spanloom.streaming import polls
 
 
@@ -372,3 +372,19 @@ def test_outputs_and_corpus(spark, tmp_path):
     page = lambda text: spark.createDataFrame([(1, "https://e.org/x", f"<title>T</title><p>{text}</p>")], "page_id long, url string, html string")
     old, new = pages.articles(page("one")), pages.articles(page("two"))
     assert pages.changed(old, new).count() == 1 and pages.changed(old, old).count() == 0
+
+
+def test_captures_are_read_by_source(spark, tmp_path):
+    """A reader that asks for one kind of source opens its folder only; bodies that were changed are told."""
+    pages_ = [("history", "7", "u1", b'{"regionId":"7","alarms":[{"alertType":"AIR","startDate":"2024-01-01T00:00:00Z","endDate":"2024-01-01T01:00:00Z"}]}'), ("page", "c", "u2", "<li>08:05 01.02.24 Повітряна тривога</li><li>10:07 01.02.24 Відбій</li>".encode()), ("page", "d", "u3", b"<li></li>")]
+    rows = spark.createDataFrame(pages_, "source_key string, city string, url string, body binary").selectExpr("*", "'2024-02-01T00:00:00Z' AS started_at", "'2024-02-01T00:00:01Z' AS captured_at")
+    captures.write(captures.bundled(rows, ["source_key", "city"]), f"file://{tmp_path}/b")
+    one = captures.read(spark, f"file://{tmp_path}/b", ["page"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "source_key" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r.city for r in one.collect()} == {"c", "d"}
+    every = histories.capture_pages(captures.read(spark, f"file://{tmp_path}/b"))
+    assert every.where("intact").count() == 3
+    assert histories.capture_pages(captures.read(spark, f"file://{tmp_path}/b").withColumn("body_sha256", F.lit("0"))).where("intact").count() == 0
+    found = {(r.key, r.start_us, r.end_us) for r in histories.replayed(every).collect()}
+    assert len(found) == 2 and {k for k, *_ in found} == {"7", "c"} and all(b - a in (3_600_000_000, 122 * 60_000_000) for _, a, b in found)

@@ -118,3 +118,14 @@ def test_trees_are_read_once_whatever_their_depth(spark):
     assert found == {(str(i), str(i + 1) if i < 119 else None) for i in range(120)} and jobs < 10
     odd = ['{"regionId":1.50,"regionName":"a"}', '{"regionId":true,"regionName":"b"}', '{"regionId":[1],"regionName":"c"}', '{"regionId":1,"regionId":2,"regionName":"d"}', '{"regionId":NaN,"regionName":"e"}']
     assert {(r.id, r.name) for r in trees.nodes(spark.createDataFrame([(x,) for x in odd], "body string"), "body").collect()} == {("1.5", "a"), ("true", "b")}
+
+
+def test_lost_members_take_one_plan_and_know_equal_numbers(spark):
+    make = lambda *x: spark.createDataFrame(list(enumerate(x)), "k long, body string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lost", "lost")
+    lost = trees.not_retained(make("[1, true]", "[1.0, {}]", '{"a":[1,1]}'), make("[1, 1]", "[{}, 1]", '{"a":[1],"b":2}'), "k", "body").collect()
+    jobs = len(tracker.getJobIdsForGroup("lost"))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert jobs < 10
+    assert {(r.key, tuple(r.path), r.lost, r.n) for r in lost} == {(0, (), "element", 1), (2, ("a",), "element", 1)}

@@ -79,27 +79,30 @@ def row_hashes(rows: DataFrame, keys: list[str], text: Column | None = None) ->
     return rows.select(*keys, F.sha2(own, 256).alias("h")).groupBy(*keys, "h").agg(F.count("*").alias("n"))
 
 
-def digest_tree(hashed: DataFrame, keys: list[str], depth: int) -> list[DataFrame]:
+def digest_tree(hashed: DataFrame, keys: list[str], depth: int, keep: Callable[[DataFrame], DataFrame] = lambda level: level) -> list[DataFrame]:
     """Levels from the root down: (keys, prefix, n, digest, hash_sum), one node for each prefix of the row hashes of the level's length.
 
     A leaf's digest is that of its `hash:times;`, in order, a node's that of its children's `prefix:digest;`. Equal rows are
     one entry, so a leaf has about ``LEAF`` entries at the depth of ``tree_depth``, whatever the rows are, and a node ``FAN``.
+    Each level is made from what ``keep`` makes of the one below it, such as a written table. Hashes move as bytes, texts are made where they meet.
     """
-    def digest(text: Column, order: list[str]) -> Column:
-        return F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, text.alias("text")))), lambda x: x["text"]), ""), 256).alias("digest")
+    def digest(name: Column, value: str, said: Callable[[Column], Column]) -> Column:
+        held = F.array_sort(F.collect_list(F.struct(name.alias("name"), F.col(value).alias("value"))))
+        return F.sha2(F.array_join(F.transform(held, lambda x: F.concat(said(x["name"]), F.lit(":"), x["value"], F.lit(";"))), ""), 256).alias("digest")
 
     number = F.conv(F.substring("h", 1, 12), 16, 10).cast("decimal(38,0)") * F.col("n")
-    level = hashed.groupBy(*keys, F.substring("h", 1, depth).alias("prefix")).agg(F.sum("n").alias("n"), digest(F.concat("h", F.lit(":"), "n", F.lit(";")), ["h"]), F.sum(number).cast("decimal(38,0)").alias("hash_sum"))
-    levels = [level]
+    level = hashed.groupBy(*keys, F.substring("h", 1, depth).alias("prefix")).agg(F.sum("n").alias("n"), digest(F.unhex("h"), "n", lambda h: F.lower(F.hex(h))), F.sum(number).cast("decimal(38,0)").alias("hash_sum"))
+    levels = [level := keep(level)]
     for length in range(depth - 1, -1, -1):
-        level = level.groupBy(*keys, F.substring("prefix", 1, length).alias("up")).agg(F.sum("n").alias("n"), digest(F.concat("prefix", F.lit(":"), "digest", F.lit(";")), ["prefix"]), F.sum("hash_sum").cast("decimal(38,0)").alias("hash_sum"))
-        level = level.withColumnRenamed("up", "prefix")
+        level = level.groupBy(*keys, F.substring("prefix", 1, length).alias("up")).agg(F.sum("n").alias("n"), digest(F.col("prefix"), "digest", lambda prefix: prefix), F.sum("hash_sum").cast("decimal(38,0)").alias("hash_sum"))
+        level = keep(level.withColumnRenamed("up", "prefix"))
         levels.append(level)
     return levels[::-1]
 
 
-def _largest(rows: DataFrame, keys: list[str]) -> int:
-    return rows.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def _largest(rows: DataFrame, keys: list[str], counted: Column | None = None) -> int:
+    n = F.count("*") if counted is None else counted
+    return rows.groupBy(*keys).agg(n.alias("n")).agg(F.max("n")).first()[0] or 0
 
 
 def fingerprint(rows: DataFrame, keys: list[str], text: Column | None = None) -> DataFrame:
@@ -150,12 +153,21 @@ def _up(keys: list[str]) -> Column:
 
 def changed_rows(before: DataFrame, after: DataFrame, keys: list[str], text: Callable[[DataFrame], Column] = row_text) -> DataFrame:
     """(keys, h, before, after): hashes of rows that two snapshots do not have equally often; found by the ranges in which their digest trees differ."""
-    a, b = (staged(row_hashes(x, keys, text(x))) for x in (before, after))
-    depth = tree_depth(max(_largest(before, keys), _largest(after, keys)))
-    ranges = changed_ranges([staged(x) for x in digest_tree(a, keys, depth)], [staged(x) for x in digest_tree(b, keys, depth)], keys)
-    both = a.select(*keys, "h", F.col("n").alias("before"), F.lit(0).cast("long").alias("after")).unionByName(b.select(*keys, "h", F.lit(0).cast("long").alias("before"), F.col("n").alias("after")))
-    near = both.withColumn("up", F.substring("h", 1, depth)).join(ranges.withColumnsRenamed({n: f"u_{n}" for n in [*keys, "prefix"]}), _up(keys), "left_semi")
-    return near.groupBy(*keys, "h").agg(F.sum("before").alias("before"), F.sum("after").alias("after")).where("before <> after")
+    def hashed(rows: DataFrame) -> DataFrame:
+        own = rows.select(*keys, F.unhex(F.sha2(text(rows), 256)).alias("b")).groupBy(*keys, "b").agg(F.count("*").alias("n"))
+        return staged(own).withColumn("h", F.lower(F.hex("b")))
+
+    a, b = hashed(before), hashed(after)
+    depth = tree_depth(max(_largest(a, keys, F.sum("n")), _largest(b, keys, F.sum("n"))))
+    ranges = changed_ranges(digest_tree(a, keys, depth, staged), digest_tree(b, keys, depth, staged), keys)
+    # keys and prefix as one text that is never null, so that the grouping meets the rows where the join has put them
+    place = lambda prefix: F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], prefix.alias("prefix"))).alias("place")
+    none = F.lit(0).cast("long")
+    side = lambda x, n, m: x.select(*keys, "b", n.alias("before"), m.alias("after"), place(F.substring("h", 1, depth)))
+    both = side(a, F.col("n"), none).unionByName(side(b, none, F.col("n")))
+    near = both.join(ranges.select(place(F.col("prefix"))), "place", "left_semi")
+    found = near.groupBy("place", *keys, "b").agg(F.sum("before").alias("before"), F.sum("after").alias("after")).where("before <> after")
+    return found.select(*keys, F.lower(F.hex("b")).alias("h"), "before", "after")
 
 
 def declared_counts(rows: DataFrame, declared: DataFrame, key: str) -> DataFrame:

@@ -388,3 +388,21 @@ def test_captures_are_read_by_source(spark, tmp_path):
     assert histories.capture_pages(captures.read(spark, f"file://{tmp_path}/b").withColumn("body_sha256", F.lit("0"))).where("intact").count() == 0
     found = {(r.key, r.start_us, r.end_us) for r in histories.replayed(every).collect()}
     assert len(found) == 2 and {k for k, *_ in found} == {"7", "c"} and all(b - a in (3_600_000_000, 122 * 60_000_000) for _, a, b in found)
+
+
+def test_digest_tree_levels_are_made_from_the_kept_one_below(spark):
+    rows = spark.range(3000).select((F.col("id") % 3).alias("k"), "id")
+    hashed = proofs.row_hashes(rows, ["k"])
+    kept = []
+
+    def keep(level):
+        kept.append(spark.createDataFrame(level.collect(), level.schema))
+        return kept[-1]
+
+    levels = proofs.digest_tree(hashed, ["k"], 2, keep)
+    assert levels == kept[::-1] and len(kept) == 3
+    for a, b in zip(levels, proofs.digest_tree(hashed, ["k"], 2), strict=True):
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    after = rows.where("id <> 7").unionByName(rows.where("id = 9")).withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    before = rows.withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    assert sorted((r.k or 0, r.before, r.after) for r in proofs.changed_rows(before, after, ["k"]).collect()) == [(0, 1, 2), (1, 1, 0)]

@@ -28,14 +28,17 @@ def name_key(name: Column) -> Column:
 
 def relevant(text: Column, place: list[str] = PLACE, attack: list[str] = ATTACK, loss: list[str] = LOSS) -> Column:
     """Whether a text holds a stem of each of the three kinds, in any case."""
-    low = F.lower(text)
-    held = F.lit(True)
-    for stems in (place, attack, loss):
-        some = F.lit(False)
-        for stem in stems:
-            some = some | low.contains(stem)
-        held = held & some
-    return F.coalesce(held, F.lit(False))
+    def holds(low: Column) -> Column:
+        held = F.lit(True)
+        for stems in (place, attack, loss):
+            some = F.lit(False)
+            for stem in stems:
+                some = some | low.contains(stem)
+            held = held & some
+        return held
+
+    # inside a list of one, so that the text is made and put in lower case once and not for each stem
+    return F.coalesce(F.get(F.transform(F.array(F.lower(text)), holds), F.lit(0)), F.lit(False))
 
 
 #: A text that each of ``DEATHS`` cannot be without.

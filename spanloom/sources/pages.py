@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions import times, words
@@ -13,11 +13,17 @@ def links(pages: DataFrame, hosts: list[str] | None = None, relevant: bool = Fal
     whose text names a place, an attack and its victims."""
     anchor = r'(?is)<a\b[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
     rows = pages.withColumn("hrefs", F.regexp_extract_all("html", F.lit(anchor), F.lit(1))).withColumn("titles", F.regexp_extract_all("html", F.lit(anchor), F.lit(2)))
-    rows = rows.select("page_id", F.regexp_extract("url", r"^(https?://[^/?#]+)", 1).alias("root"), F.explode(F.arrays_zip("hrefs", "titles")).alias("a"))
-    href = F.trim(F.col("a.hrefs"))
-    whole = F.when(href.startswith("//"), F.concat(F.lit("https:"), href)).when(href.startswith("/"), F.concat("root", href)).otherwise(href)
-    url = words.bare_url(whole)
-    rows = rows.select("page_id", F.lower(F.regexp_extract(url, r"^https?://([^/?#:]+)", 1)).alias("host"), url.alias("url"), words.plain_text(F.col("a.titles")).alias("title")).where("url is not null")
+    root = F.regexp_extract("url", r"^(https?://[^/?#]+)", 1).alias("root")
+
+    def told(a: Column) -> Column:
+        href = F.trim(a["hrefs"])
+        whole = F.when(href.startswith("//"), F.concat(F.lit("https:"), href)).when(href.startswith("/"), F.concat("root", href)).otherwise(href)
+        return F.struct(words.bare_url(whole).alias("url"), words.plain_text(a["titles"]).alias("title"))
+
+    # through a generator, as filters over plain columns would have texts made again for each mention
+    rows = rows.select("page_id", root, F.arrays_zip("hrefs", "titles").alias("anchors")).select("page_id", F.explode(F.transform("anchors", told)).alias("a"))
+    host = F.lower(F.regexp_extract(F.col("a.url"), r"^https?://([^/?#:]+)", 1))
+    rows = rows.select("page_id", host.alias("host"), "a.url", "a.title").where("url is not null")
     if relevant:
         rows = rows.where(words.relevant(F.col("title")))
     return (rows if hosts is None else rows.where(F.col("host").isin(hosts))).dropDuplicates()

@@ -406,3 +406,10 @@ def test_digest_tree_levels_are_made_from_the_kept_one_below(spark):
     after = rows.where("id <> 7").unionByName(rows.where("id = 9")).withColumn("k", F.when(F.col("k") > 0, F.col("k")))
     before = rows.withColumn("k", F.when(F.col("k") > 0, F.col("k")))
     assert sorted((r.k or 0, r.before, r.after) for r in proofs.changed_rows(before, after, ["k"]).collect()) == [(0, 1, 2), (1, 1, 0)]
+
+
+def test_titles_of_links_are_made_once(spark):
+    rows = spark.createDataFrame([(1, "https://a.org/x", '<a href="/1"><b>Удар</b> по Києву, є загиблі</a><a href="/2">Удар</a><a href="mailto:x">Удар, Київ, загинув</a>')], "page_id long, url string, html string")
+    found = pages.links(rows, ["a.org"], relevant=True)
+    assert [tuple(r) for r in found.collect()] == [(1, "a.org", "https://a.org/1", "Удар по Києву, є загиблі")]
+    assert str(found._jdf.queryExecution().optimizedPlan()).count("regexp_replace") < 12

@@ -64,7 +64,10 @@ def _rates(rows: DataFrame, days: Column) -> DataFrame:
 
 
 def _complete(days: DataFrame, keys: list[str], period: Column, length: Column, skip_first: bool) -> DataFrame:
-    rows = _summed(days.withColumn("period", period), [*keys, "period"])
+    return _whole(_summed(days.withColumn("period", period), [*keys, "period"]), keys, length, skip_first)
+
+
+def _whole(rows: DataFrame, keys: list[str], length: Column, skip_first: bool) -> DataFrame:
     if skip_first:
         first = F.min("period").over(Window.partitionBy(*keys))
         rows = rows.withColumn("first", first).where("period > first").drop("first")
@@ -81,6 +84,42 @@ def weekly(days: DataFrame, keys: list[str], skip_first: bool = False) -> DataFr
     return _complete(days, keys, times.week(F.col("day")), F.lit(7), skip_first)
 
 
+def covered_months(rows: DataFrame, keys: list[str], zone: str = times.ZONE) -> DataFrame:
+    """(keys, period, alerts_started, length_us, alert_us, days) of each key's months, from its first start to its last end: the sums of
+    ``daily`` by month, with how many of its days a month has, without a row for each day.
+
+    Pieces of time are cut at months instead of days, so one interval makes one or a few.
+    """
+    dealt = intervals.bucketed(rows.select(*keys, "start_us", "end_us"), keys, F.col("start_us"))
+    fresh = F.greatest("start_us", "past_us")
+    day = lambda c: times.local_day(F.col(c), zone)
+    rows = intervals.behind(dealt, keys).select(*keys, "start_us", "end_us", fresh.alias("fresh_us"))
+    adds = F.col("end_us") > F.col("fresh_us")
+    rows = rows.select(*keys, "end_us", "fresh_us", F.greatest(F.col("end_us") - F.col("start_us"), F.lit(0)).alias("length"),
+                       F.explode(F.array(F.struct(day("start_us").alias("begun"), F.when(adds, day("fresh_us")).alias("low"), F.when(adds, times.local_day(F.col("end_us") - 1, zone)).alias("high")))).alias("d"))
+    zero = F.lit(0).cast("long")
+    part = lambda month, n, us, alert, low, high: F.struct(month.alias("period"), n.alias("n"), us.alias("us"), alert.alias("alert"), low.alias("low"), high.alias("high"))
+    begun, low, high = F.col("d.begun"), F.col("d.low"), F.col("d.high")
+    started = F.array(part(times.month(begun), F.lit(1).cast("long"), F.col("length"), zero, begun, begun))
+    months = F.sequence(times.month(low), times.month(high), F.expr("INTERVAL 1 MONTH"))
+    inside = lambda m: F.least("end_us", times.midnight(F.add_months(m, 1), zone)) - F.greatest("fresh_us", times.midnight(m, zone))
+    covered = F.coalesce(F.transform(months, lambda m: part(m, zero, zero, inside(m), low, high)), F.array())
+    parts = rows.select(*keys, F.inline(F.concat(started, covered)))
+    held = parts.groupBy(*keys, "period").agg(F.sum("n").alias("alerts_started"), F.sum("us").alias("length_us"), F.sum("alert").alias("alert_us"), F.min("low").alias("low"), F.max("high").alias("high"))
+    key = Window.partitionBy(*keys)
+    until = F.coalesce(F.add_months(F.lead("period").over(key.orderBy("period")), -1), F.col("period"))
+    dense = held.withColumns({"first": F.min("low").over(key), "last": F.max("high").over(key), "until": until})
+    dense = dense.withColumn("each", F.explode(F.sequence("period", "until", F.expr("INTERVAL 1 MONTH"))))
+    own = lambda c: F.when(F.col("each") == F.col("period"), F.col(c)).otherwise(0).alias(c)
+    days = F.datediff(F.least("last", F.last_day("each")), F.greatest("first", "each")) + 1
+    return dense.select(*keys, F.col("each").alias("period"), own("alerts_started"), own("length_us"), own("alert_us"), days.cast("long").alias("days"))
+
+
+def complete_months(rows: DataFrame, keys: list[str], skip_first: bool = False, zone: str = times.ZONE) -> DataFrame:
+    """``monthly`` of the ``daily`` table of these intervals, made from ``covered_months``."""
+    return _whole(covered_months(rows, keys, zone), keys, times.days_in_month(F.col("period")), skip_first)
+
+
 def after_first_day(periods: DataFrame, days: DataFrame, keys: list[str]) -> DataFrame:
     """Periods that begin after their key's first day; one that begins on it goes too."""
     first = days.groupBy(*keys).agg(F.min("day").alias("first_day"))

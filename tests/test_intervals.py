@@ -233,3 +233,27 @@ def test_order_of_published_rows(spark):
     assert [tuple(r) for r in found.collect()] == [(None, 5), ("a", None), ("a", 1), ("b", None), ("b", 2)]
     shares = spark.createDataFrame([("x", 1.0), ("y", None), ("z", 7.5)], "g string, full_pct double").repartition(3)
     assert [r.g for r in coverage.by_share(shares).collect()] == ["z", "x", "y"]
+
+
+def test_months_without_days_are_those_of_the_daily_table(spark):
+    import random
+
+    from spanloom.functions import times
+    from spanloom.operators import calendar
+
+    rng = random.Random(6)
+    rows = []
+    for k in ("a", "b", None, "c"):
+        for _ in range(40):
+            start = rng.randrange(1_640_000_000, 1_720_000_000) * 1_000_000
+            rows.append((k, start, start + rng.choice([0, -5, 3600, 86_400 * 3, 86_400 * 70]) * 1_000_000))
+    rows += [("gap", 1_600_000_000_000_000, 1_600_000_100_000_000), ("gap", 1_700_000_000_000_000, 1_700_000_100_000_000), ("one", 1_711_836_000_000_000, 1_711_836_000_000_001)]
+    df = spark.createDataFrame(rows, "k string, start_us long, end_us long")
+    daily = calendar.daily(df, ["k"])
+    want = calendar._summed(daily.withColumn("period", times.month(F.col("day"))), ["k", "period"])
+    found = calendar.covered_months(df, ["k"])
+    order = lambda x: sorted(map(str, map(tuple, x.select(*want.columns).collect())))
+    assert order(found) == order(want)
+    for skip in (False, True):
+        a, b = calendar.monthly(daily, ["k"], skip), calendar.complete_months(df, ["k"], skip)
+        assert sorted(map(str, map(tuple, a.collect()))) == sorted(map(str, map(tuple, b.select(*a.columns).collect())))

@@ -29,16 +29,30 @@ def baseline_violations(baseline: DataFrame) -> DataFrame:
 STATUSES = ("confirmed", "needs_review", "rejected")
 
 
-def revision_violations(revisions: DataFrame, statuses: tuple[str, ...] = STATUSES) -> DataFrame:
-    """(record_id, reason) of revisions that break a rule. Rows without an id are not read; a blank count is 0."""
+def counted_violations(revisions: DataFrame, statuses: tuple[str, ...] = STATUSES) -> DataFrame:
+    """(record_id, reason, n): how many revisions of each id break which rule. Rows without an id are not read; a blank count is 0.
+
+    What a row breaks is known before ids meet, so only counts do, and no id's rows are held or sorted.
+    """
     rows = revisions.withColumn("record_id", F.trim("record_id")).where("record_id <> ''")
-    rows = rows.withColumn("twice", F.count("*").over(Window.partitionBy("record_id")) > 1)
     count = F.coalesce(F.nullif(F.trim(F.col("deaths_delta").cast("string")), F.lit("")), F.lit("0"))
-    reasons = F.array_compact(F.array(
-        F.when(F.col("twice"), "id twice"),
-        F.when(~F.coalesce(F.lower(F.trim("status")).isin(*statuses), F.lit(False)), "bad status"),
-        F.when(F.try_to_date(F.trim("attack_date"), "yyyy-MM-dd").isNull(), "bad date"), F.when(count.try_cast("int").isNull(), "bad count")))
-    return rows.select("record_id", F.explode(reasons).alias("reason"))
+    broken = {"bad status": ~F.coalesce(F.lower(F.trim("status")).isin(*statuses), F.lit(False)),
+              "bad date": F.try_to_date(F.trim("attack_date"), "yyyy-MM-dd").isNull(), "bad count": count.try_cast("int").isNull()}
+    told = rows.groupBy("record_id").agg(F.count("*").alias("rows"), *[F.count_if(c).alias(reason) for reason, c in broken.items()])
+    each = F.filter(F.array(F.struct(F.lit("id twice").alias("reason"), F.when(F.col("rows") > 1, F.col("rows")).otherwise(0).alias("n")),
+                            *[F.struct(F.lit(reason).alias("reason"), F.col(reason).alias("n")) for reason in broken]), lambda x: x["n"] > 0)
+    return told.select("record_id", F.inline(each))
+
+
+#: Rows that one step repeats at most, so that no list is as long as a key has rows.
+_REPEATED = 4096
+
+
+def revision_violations(revisions: DataFrame, statuses: tuple[str, ...] = STATUSES) -> DataFrame:
+    """(record_id, reason) of revisions that break a rule, as ``counted_violations``, one row for each."""
+    counted = counted_violations(revisions, statuses)
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _REPEATED))))
+    return blocks.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(_REPEATED), F.col("n") - F.col("block") * _REPEATED)))).select("record_id", "reason")
 
 
 def monthly_counts(baseline: DataFrame, revisions: DataFrame) -> DataFrame:

@@ -88,7 +88,7 @@ def revision_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", F.floor(F.col("l_linenumber") / 2)).alias("record_id"), status.alias("status"), day.alias("attack_date"),
         F.when(F.col("l_linenumber") == 7, "x").when(F.col("l_linenumber") == 6, " ").otherwise("1").alias("deaths_delta"))
-    return ledger.revision_violations(rows).groupBy("record_id", "reason").agg(F.count("*").alias("n"))
+    return ledger.counted_violations(rows)
 
 
 @query("""SELECT 'o' || o_orderkey AS candidate_id, strftime(o_orderdate, '%Y-%m-%d') AS updated_at FROM orders WHERE o_orderstatus = 'P' ORDER BY updated_at DESC, candidate_id LIMIT 30""")

@@ -413,3 +413,12 @@ def test_titles_of_links_are_made_once(spark):
     found = pages.links(rows, ["a.org"], relevant=True)
     assert [tuple(r) for r in found.collect()] == [(1, "a.org", "https://a.org/1", "Удар по Києву, є загиблі")]
     assert str(found._jdf.queryExecution().optimizedPlan()).count("regexp_replace") < 12
+
+
+def test_violations_of_a_frequent_id_are_counted_where_they_are(spark):
+    rows = spark.range(10_000).select(F.lit(" a ").alias("record_id"), F.when(F.col("id") < 9000, "confirmed").otherwise("x").alias("status"), F.lit("2026-01-02").alias("attack_date"), F.lit("1").alias("deaths_delta"))
+    counted = ledger.counted_violations(rows)
+    assert sorted(map(tuple, counted.collect())) == [("a", "bad status", 1000), ("a", "id twice", 10_000)]
+    assert "Window" not in str(counted._jdf.queryExecution().optimizedPlan())
+    each = ledger.revision_violations(rows)
+    assert sorted(map(tuple, each.groupBy("record_id", "reason").count().collect())) == sorted(map(tuple, counted.collect()))

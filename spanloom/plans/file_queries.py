@@ -177,10 +177,11 @@ def batch_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = part.groupBy("batch", "l_orderkey").agg(F.collect_list(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")).alias("ids"))
     told = told.groupBy("batch").agg(F.collect_list(F.struct(F.concat(F.lit("o"), "l_orderkey").alias("episode_id"), F.col("ids").alias("source_observation_ids"))).alias("episode_results"))
     path = new_path(spark)
-    rows = told.join(seen, "batch", "left").select("batch", F.to_json(F.struct("observations", "episode_results")).alias("value"))
-    rows.repartition("batch").write.partitionBy("batch").text(path)
-    observed, referred = histories.observation_batches(spark, f"{path}/*")
-    lost = referred.join(observed.select("path", "observation_id"), ["path", "observation_id"], "left_anti")
+    rows = told.join(seen, "batch", "left").select(F.to_json(F.struct("observations", "episode_results")).alias("value"))
+    rows.write.option("maxRecordsPerFile", 1).text(path)  # a file for each batch, without a folder and a move of its own
+    name = F.substring_index("path", "/", -1).alias("file")
+    observed, referred = (x.select(name, *[c for c in ("episode_id", "observation_id") if c in x.columns]) for x in histories.observation_batches(spark, path))
+    lost = referred.join(observed, ["file", "observation_id"], "left_anti")
     return lost.groupBy("episode_id", F.substring_index("observation_id", "-", -1).alias("observation_id")).agg(F.count("*").alias("times"))
 
 

@@ -422,3 +422,15 @@ def test_violations_of_a_frequent_id_are_counted_where_they_are(spark):
     assert "Window" not in str(counted._jdf.queryExecution().optimizedPlan())
     each = ledger.revision_violations(rows)
     assert sorted(map(tuple, each.groupBy("record_id", "reason").count().collect())) == sorted(map(tuple, counted.collect()))
+
+
+def test_batch_files_lie_in_one_folder(spark):
+    from pathlib import Path
+
+    from spanloom.plans import file_queries
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.iterdir())
+    file_queries.batch_references(spark, "/root/testdata/sf0.001").count()
+    made = [f for d in set(shared.iterdir()) - before for f in d.iterdir()]
+    assert made and not any(f.is_dir() for f in made)

@@ -177,9 +177,10 @@ def tokenised(data: np.ndarray, offsets: np.ndarray, coder: ChunkTokenizer) -> t
 
 
 def _piece_batches(batches, path: str, capacity: int, end_id: int):
+    texts.give_back()  # what the tasks of earlier stages have left in this process
     coder = _coder(path)
     for batch in batches:
-        for part in texts.slices(batch, limit=3 << 20):
+        for part in texts.slices(batch, limit=1 << 20):
             data, offsets = texts.flat(part.column("text"))
             ids, firsts = tokenised(data, offsets, coder)
             odd = data.tobytes().decode()

@@ -849,3 +849,20 @@ def test_null_ids_are_not_held_out(spark):
         held = {r.doc_id: r.held_out for r in found.collect()}
         assert len(held) == 3 and held[None] is False and None not in held.values()
     assert {r.doc_id: r.lang_pred for r in language.identified(docs).collect()}[None] == "de"
+
+
+def test_workers_give_freed_memory_back():
+    """Freed blocks below a live one are returned to the system, not kept by the process that later stages share."""
+    from pathlib import Path
+
+    from spanloom.llm import texts
+
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096 / 1e6
+
+    blocks = [bytes([1]) * 60_000 for _ in range(4000)]
+    pins = [bytes(600) for _ in range(1000)]
+    high = resident()
+    del blocks
+    texts.give_back()
+    assert resident() < high - 150 and len(pins) == 1000

@@ -129,3 +129,41 @@ def test_lost_members_take_one_plan_and_know_equal_numbers(spark):
     spark.sparkContext.setJobGroup("rest", "rest")
     assert jobs < 10
     assert {(r.key, tuple(r.path), r.lost, r.n) for r in lost} == {(0, (), "element", 1), (2, ("a",), "element", 1)}
+
+
+def test_versions_dealt_by_their_key_meet_without_another_shuffle(spark):
+    from spanloom.plans import document_queries
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = document_queries.lost_members(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+        whole = document_queries.lost_members(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "coalesce(key" not in plan and whole.count("Exchange hashpartitioning") == 8
+    assert not [x for x in plan.splitlines() if "Join [" in x and "StructsToJson" in x]  # a text is made once
+
+
+def test_equal_ends_of_lists_are_not_hashed(monkeypatch):
+    asked = []
+    frozen = trees.frozen
+    monkeypatch.setattr(trees, "frozen", lambda x: asked.append(x) or frozen(x))
+    line = lambda i: {"n": i, "of": {"part": i * 7}}
+    lines = [line(i) for i in range(9)]
+    for new, n in ((lines, 0), (lines[1:], 1), (lines + lines[:1], 0), (lines[:4] + lines[5:], 1), ([], 9)):
+        assert [x for *_, x in trees.lost_parts({"l": lines}, {"l": new}, plain=True)] == ([n] if n else [])
+    assert not asked
+    rng = random.Random(3)
+    for _ in range(300):
+        old, new = ([rng.choice([1, 2, "a", None, [1], {"b": 2}]) for _ in range(rng.randint(0, 6))] for _ in "ab")
+        assert [*trees.lost_parts(old, new, plain=True)] == [*trees.lost_parts(old, new)]
+
+
+def test_null_keys_and_truth_values(spark):
+    make = lambda *x: spark.createDataFrame(x, "k long, body string")
+    old, new = make((None, "[1,2]"), (1, "[1,true]"), (2, None), (3, "{"), (4, "[1]")), make((None, "[1]"), (1, "[true,true]"), (2, "[1]"), (3, "[1]"))
+    found = {(r.key, r.lost, r.n) for r in trees.not_retained(old, new, "k", "body").collect()}
+    assert found == {(None, "element", 1), (1, "element", 1), (4, "document", 1)}
+    keyed = {(r.key, r.lost, r.n) for r in trees.not_retained(old.where("k > 0"), new.where("k > 0"), "k", "body", null_keys=False).collect()}
+    assert keyed == found - {(None, "element", 1)}

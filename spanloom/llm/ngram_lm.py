@@ -203,6 +203,22 @@ def _quantised(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.round(-log10 / STEP), 0, LEVELS - 1).astype(np.uint16)
 
 
+class Steps:
+    """Quantised logarithms in twelve bits each: a byte, and half of one that two share."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray):
+        self.low, self.high = low, high
+
+    @staticmethod
+    def build(name: str, steps: np.ndarray) -> dict[str, np.ndarray]:
+        high = (steps >> 8).astype(np.uint8)
+        high = np.append(high, np.zeros(len(high) % 2, np.uint8))
+        return {f"{name}.low": steps.astype(np.uint8), f"{name}.high": high[::2] | (high[1::2] << 4)}
+
+    def __getitem__(self, i: np.ndarray) -> np.ndarray:
+        return (self.high[i >> 1] >> ((i & 1) << 2).astype(np.uint8) & np.uint8(15)).astype(np.int64) << 8 | self.low[i]
+
+
 class Level:
     """One level of the trie over all its shards, which are ranges of contexts."""
 
@@ -216,7 +232,7 @@ class Level:
         if i not in self.open:
             a = load(self.paths[i])
             part = lambda p: EliasFano({k[len(p) :]: v for k, v in a.items() if k.startswith(p)})
-            self.open[i] = {"contexts": part("contexts."), "pointers": part("pointers."), "successors": part("successors."), **{k: a[k] for k in ("log", "back", "count") if k in a}}
+            self.open[i] = {"contexts": part("contexts."), "pointers": part("pointers."), "successors": part("successors."), **{k: Steps(a[f"{k}.low"], a[f"{k}.high"]) for k in ("log", "back")}, **{k: a[k] for k in ("count",) if k in a}}
         return self.open[i]
 
     def runs(self, bounds: np.ndarray):
@@ -369,6 +385,15 @@ def _planes(x: np.ndarray) -> bytes:
     return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
 
 
+def _zipped(raw: bytes) -> bytes:
+    """Its length and itself by zstandard, which codes bytes by how often they come, as the shuffle's own compression does not."""
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def _unzipped(held: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(memoryview(held)[8:], int.from_bytes(held[:8], "little"), asbytes=True)
+
+
 def _unplanes(raw: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(width, -1).T).view(kind).ravel()
@@ -402,7 +427,7 @@ def _blocks(code: np.ndarray, n: np.ndarray, below: np.ndarray, firsts: np.ndarr
     order, their counts, and the quantised logarithms of what they back off to."""
     bounds = np.append(np.searchsorted(code >> PLACES, firsts), len(code))
     cuts = [(i, slice(bounds[i], bounds[i + 1])) for i in np.flatnonzero(bounds[:-1] < bounds[1:])]
-    columns = [pa.array([pack(x[own]) for _, own in cuts], pa.binary()) for x, pack in ((code, _packed), (n.astype(np.uint32), _planes), (below.astype(np.uint16), _planes))]
+    columns = [pa.array([_zipped(pack(x[own])) for _, own in cuts], pa.binary()) for x, pack in ((code, _packed), (n.astype(np.uint32), _planes), (below.astype(np.uint16), _planes))]
     return pa.RecordBatch.from_arrays([pa.array([i for i, _ in cuts], pa.int32()), *columns], names=["shard", "codes", "counts", "below"])
 
 
@@ -437,8 +462,8 @@ def _added(codes: list[np.ndarray], counts: list[np.ndarray], below: list[np.nda
     return [code[begin], np.add.reduceat(n, begin) if len(code) else n, lower[begin]]
 
 
-def _merged(batches):
-    """(shard, codes, counts, below) of each shard, from blocks that come sorted by shard."""
+def _merged(batches, read=bytes):
+    """(shard, codes, counts, below) of each shard, from blocks that come sorted by shard; ``read`` opens a block's column."""
     shard, held, fresh = None, ([], [], []), 0
     for batch in batches:
         for own, *block in zip(batch.column("shard").to_pylist(), *(batch.column(c) for c in ("codes", "counts", "below")), strict=True):
@@ -446,7 +471,7 @@ def _merged(batches):
                 yield shard, *_added(*held)
                 held, fresh = ([], [], []), 0
             shard = own
-            code, n, below = (x.as_py() for x in block)
+            code, n, below = (read(x.as_py()) for x in block)
             n = _unplanes(n, np.uint32)
             for into, x in zip(held, (_unpacked(code, len(n)), n, _unplanes(below, np.uint16)), strict=True):
                 into.append(x)
@@ -472,13 +497,14 @@ def _word_shards(batches, folder: str, total: int, discount: float):
     arrays |= {f"{name}.{k}": v for name in ("contexts", "pointers") for k, v in empty.items()}
     path = f"{folder}/{uuid.uuid4().hex}.trie"
     log = np.log10(np.maximum(n - discount, 1e-9) / total)
-    save(path, arrays | {"log": _quantised(log), "back": np.zeros(1, np.uint16), "count": n.astype(np.uint32 if n.max() < 2**32 else np.int64)})
+    arrays |= Steps.build("log", _quantised(log)) | Steps.build("back", np.zeros(1, np.uint16))
+    save(path, arrays | {"count": n.astype(np.uint32 if n.max() < 2**32 else np.int64)})
     yield _manifest(int(word[:1].view(np.int64)[0]), len(word), path)
 
 
 def _longer_shards(batches, folder: str):
     """Write the shards whose blocks arrive: sorted (context, position) entries, and a back-off weight for each context."""
-    for shard, code, n, lower in _merged(batches):
+    for shard, code, n, lower in _merged(batches, _unzipped):
         context, position = code >> PLACES, code & _PLACE
         begin = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         ends = np.append(begin[1:], len(context))
@@ -491,7 +517,7 @@ def _longer_shards(batches, folder: str):
         for name, x in (("contexts", context[begin]), ("pointers", np.append(begin, len(context))), ("successors", position.astype(np.uint64) + np.repeat(base, size))):
             arrays |= {f"{name}.{k}": v for k, v in EliasFano.build(np.asarray(x).astype(np.uint64)).items()}
         path = f"{folder}/{uuid.uuid4().hex}.trie"
-        save(path, arrays | {"log": _quantised(np.log10(prob)), "back": _quantised(np.log10(back))})
+        save(path, arrays | Steps.build("log", _quantised(np.log10(prob))) | Steps.build("back", _quantised(np.log10(back))))
         yield _manifest(shard, len(code), path)
         texts.give_back()
 

@@ -866,3 +866,20 @@ def test_workers_give_freed_memory_back():
     del blocks
     texts.give_back()
     assert resident() < high - 150 and len(pins) == 1000
+
+
+def test_ngram_files_are_small(spark, tmp_path):
+    """Logarithms take twelve bits, and blocks of a shard no more bytes than their entropy asks for."""
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 2, 999, 1000):
+        steps = rng.integers(0, ngram_lm.LEVELS, n).astype(np.uint16)
+        made = ngram_lm.Steps.build("log", steps)
+        assert (ngram_lm.Steps(*made.values())[np.arange(n)] == steps).all() and sum(x.nbytes for x in made.values()) == n + (n + 1) // 2
+    code = np.unique(rng.integers(0, 1 << 20, 50_000) << ngram_lm.PLACES | rng.integers(0, 1 << 16, 50_000))
+    below = np.minimum(rng.geometric(0.02, len(code)), 4095)
+    block = ngram_lm._blocks(code, np.ones(len(code), np.int64), below, np.zeros(1, np.int64))
+    shard, codes, counts, lower = next(iter(ngram_lm._merged([block], ngram_lm._unzipped)))
+    assert shard == 0 and (codes == code).all() and (counts == 1).all() and (lower == below).all()
+    share = np.bincount(below) / len(below)
+    entropy = -(share[share > 0] * np.log2(share[share > 0])).sum() / 8
+    assert len(block.column("below")[0].as_py()) < 1.15 * entropy * len(code) and len(block.column("counts")[0].as_py()) < 0.01 * len(code)

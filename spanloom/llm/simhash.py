@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import bucket_links, buckets, compared, components, kept, marked, marks, mixed_buckets, parted_buckets, released, scratch, settled, shuffles_dropped
+from spanloom.llm.shared import bucket_links, buckets, compared, components, hubs, kept, marked, marks, mixed_buckets, parted_buckets, released, scratch, settled, shuffles_dropped
 
 SEED = 42
 
@@ -264,17 +264,14 @@ def near_links(docs: DataFrame, unique: DataFrame, shingle: int, similarity: flo
     # first each fingerprint with the least one that it meets anywhere, and with the one of those it meets that meets
     # the most others, such as the text that many near copies were made from: that ties most of a large group
     least = met.where("node <> root").groupBy(F.col("node").alias("a")).agg(F.min("root").alias("b"))
-    counted = met.select("key", "node").join(met.groupBy("node").agg(F.count("*").alias("n")), "node")
-    hubs = counted.groupBy("key").agg(F.max(F.struct("n", F.col("node").alias("hub"))).alias("top"))
-    hubs = counted.join(hubs, "key").where("node <> top.hub").groupBy(F.col("node").alias("a")).agg(F.max("top").alias("top")).select("a", F.col("top.hub").alias("b"))
-    stars = near(least.unionByName(hubs).distinct())
+    stars = near(least.unionByName(hubs(met)).distinct())
     sets = _sets(docs, ends(stars).distinct(), shingle)
     links = alike(stars, sets)
     released(stars), released(sets)
-    del counted, hubs, least
+    del least
     shuffles_dropped(spark)
     # then what shares a bucket and is not tied: pairs, and larger buckets by bits before by shingles
-    pairs, members = parted_buckets(met.select("key", "node"), links)
+    pairs, members = parted_buckets(met, links)
     pairs, screened = near(pairs), partial(_near_prints, tau=tau)
     rest = settled(compared(members, prints, screened, links=False).distinct())
     released(met)

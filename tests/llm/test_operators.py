@@ -883,3 +883,40 @@ def test_ngram_files_are_small(spark, tmp_path):
     share = np.bincount(below) / len(below)
     entropy = -(share[share > 0] * np.log2(share[share > 0])).sum() / 8
     assert len(block.column("below")[0].as_py()) < 1.15 * entropy * len(code) and len(block.column("counts")[0].as_py()) < 0.01 * len(code)
+
+
+def test_buckets_of_a_family_are_compared_once(spark):
+    """Members of a family that meets in hundreds of nearly equal buckets are listed once, and all that meet are still compared."""
+    from spanloom.llm import shared
+
+    rng = random.Random(6)
+    rows = {(k, n) for k in range(400) for n in rng.sample(range(300), 60)} | {(1000 + i, 5000 + i + j) for i in range(0, 40, 2) for j in range(3)}
+    met = shared.settled(shared.buckets(spark.createDataFrame(sorted(rows), "key long, node long")))
+    links = spark.createDataFrame([(1, 2), (5000, 5001)], "a long, b long")
+    pairs, members = shared.parted_buckets(met, links)
+    got = members.collect()
+    compared = {frozenset((x.node, y.node)) for p in {r.pair for r in got} for x in got if x.pair == p and x.left for y in got if y.pair == p and y.right and y.component != x.component}
+    keys = collections.defaultdict(list)
+    for k, n in rows:
+        keys[k].append(n)
+    one = {1: 2, 2: 2, 5000: 5001, 5001: 5001}
+    want = {frozenset((a, b)) for v in keys.values() if len(v) > 2 for a in v for b in v if a < b and one.get(a, a) != one.get(b, b)}
+    assert want <= compared and pairs.count() == 0
+    assert len(got) < 0.1 * met.count()  # before: more rows than memberships
+
+
+def test_hubs(spark):
+    rng = random.Random(4)
+    rows = sorted({(rng.randrange(60), rng.randrange(80)) for _ in range(700)})
+    from spanloom.llm import shared
+
+    n, keys = collections.Counter(x for _, x in rows), collections.defaultdict(list)
+    for k, x in rows:
+        keys[k].append(x)
+    want = {}
+    for v in keys.values():
+        top = max((n[x], x) for x in v)
+        for x in v:
+            if x != top[1]:
+                want[x] = max(want.get(x, top), top)
+    assert {r.a: r.b for r in shared.hubs(spark.createDataFrame(rows, "key long, node long")).collect()} == {x: t[1] for x, t in want.items()}

@@ -25,8 +25,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from spanloom.llm import texts
 from spanloom.llm.shared import bucket_links, buckets, components, kept, marked, marks, released, scratch, settled, shuffles_dropped
@@ -219,24 +221,51 @@ def _around_batches(batches, wanted):
             some = np.flatnonzero(marked(found.hash, bits))
             doc = np.searchsorted(found.firsts, found.first[some], side="right") - 1
             low, high, size = found.firsts[doc], found.firsts[doc + 1], np.diff(offsets)[doc]
+            first, end = found.first[some], found.end[some]
             words, starts = (found.words >> np.uint64(32)).astype(np.uint32).view(np.int32), np.append(found.starts, 0)
-            sides = [[], [], [], []]
-            for first, end, lo, hi, start, length in zip(found.first[some], found.end[some], low, high, offsets[doc], size, strict=True):
-                before, after = np.arange(first - 1, max(lo, first - REACH) - 1, -1), np.arange(end, min(hi, end + REACH))
-                begin, close = starts[before] - start, starts[after + 1] - start
-                begin[before == lo] = 0
-                close[after + 1 == hi] = length
-                for side, x in zip(sides, (words[before], begin.astype(np.int32), words[after], close.astype(np.int32)), strict=True):
-                    side.append(x)
+            before, begins = _side(words, starts, offsets[doc], first - 1, -1, np.minimum(REACH, first - low), low, 0)
+            after, closes = _side(words, starts[1:], offsets[doc], end, 1, np.minimum(REACH, high - end), high - 1, size)
             columns = [part.column(c).take(pa.array(doc)) for c in ("doc_id", "mark")]
-            columns += [pa.array(found.first[some] - low), *(pa.array(x, pa.list_(pa.int32())) for x in sides)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "first_word", "before", "begins", "after", "closes"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(first - low), before, begins, after, closes], names=["doc_id", "mark", "first_word", "before", "begins", "after", "closes"])
+
+
+def _side(words: np.ndarray, bytes_at: np.ndarray, text_at: np.ndarray, near: np.ndarray, step: int, n: np.ndarray, last: np.ndarray, border) -> list[pa.Array]:
+    """For each place ``n`` words from ``near`` on, and a byte in the text for each: ``border`` at the text's ``last`` one. As bytes of 32-bit numbers."""
+    row = np.repeat(np.arange(len(n)), n)
+    firsts = np.concatenate([[0], np.cumsum(n)])
+    at = near[row] + step * (np.arange(firsts[-1]) - firsts[row])
+    place = np.where(at == last[row], np.broadcast_to(border, len(n))[row], bytes_at[at] - text_at[row])
+    ends = pa.py_buffer((4 * firsts).astype(np.int32))
+    return [pa.Array.from_buffers(pa.binary(), len(n), [None, ends, pa.py_buffer(np.ascontiguousarray(x.astype(np.int32)))]) for x in (words[at], place)]
+
+
+def _rows_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of at most ``REACH`` 32-bit numbers, as bytes, as the rows of a matrix, and how long each is; nulls are empty."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1] // 4
+    held = np.frombuffer(column.buffers()[2], dtype=np.int32) if column.buffers()[2] is not None else np.zeros(0, np.int32)
+    size, at = np.diff(ends), np.arange(REACH)
+    out = np.zeros((len(column), REACH), dtype=np.int32)
+    if len(held):
+        out = held[np.minimum(ends[:-1, None] + at, len(held) - 1)]
+    return out, size
 
 
-def _shared(a: Column, b: Column) -> Column:
-    """How many leading elements of two arrays are equal; 0 where one is missing."""
-    parted = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False))
-    return F.coalesce(F.when(parted == 0, F.size(a)).otherwise(parted - 1), F.lit(0)).cast("long")
+def _reach_batches(batches, own: str, kept: str, places: str, into: str, keep: list[str]):
+    """How many leading words the lists ``own`` and ``kept`` share, as ``into``, and the byte of the last of them."""
+    for batch in batches:
+        (a, n), (b, m), (place, _) = (_rows_of(batch.column(c)) for c in (own, kept, places))
+        alike = (a == b) & (np.arange(REACH) < np.minimum(n, m)[:, None])
+        shared = np.where(alike.all(axis=1), REACH, alike.argmin(axis=1)).astype(np.int64)
+        byte = place[np.arange(len(place)), np.maximum(shared - 1, 0)].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(shared), pa.array(byte)], names=[*keep, into, f"{into}_byte"])
+
+
+def _reached(rows: DataFrame, own: str, kept: str, places: str, into: str) -> DataFrame:
+    """``rows`` with ``into`` and ``into``_byte of ``_reach_batches`` in place of the lists."""
+    keep = rows.drop(own, kept, places)
+    schema = StructType([*keep.schema.fields, StructField(into, LongType()), StructField(f"{into}_byte", LongType())])
+    return rows.mapInArrow(partial(_reach_batches, own=own, kept=kept, places=places, into=into, keep=keep.columns), schema)
 
 
 def _runs(rows: DataFrame) -> DataFrame:
@@ -269,6 +298,8 @@ def _repeated(docs: DataFrame, threshold: float) -> DataFrame:
     shuffles_dropped(spark)
     owners = body.where("doc_id is not null").select("doc_id", "text").mapInArrow(_owner_batches, "node long, low long, high long")
     classes = owners.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high")).join(found, "node", "left")
+    # what is alone and in one document repeats nowhere
+    classes = classes.where("component is not null or low <> high")
     classes = settled(classes.withColumn("class_id", F.coalesce("component", "node")).drop("component"))
     spans = classes.groupBy("class_id").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("last")).where("first_doc_id <> last")
     wanted = settled(classes.join(spans, "class_id").select("node", "class_id", "first_doc_id"))
@@ -276,30 +307,30 @@ def _repeated(docs: DataFrame, threshold: float) -> DataFrame:
     shuffles_dropped(spark)
     share = spark.sparkContext.broadcast
     places = body.where("doc_id is not null").mapInArrow(partial(_place_batches, wanted=share(marks(wanted))), "doc_id long, mark long, first_word long, words long, begin long, close long, node long")
-    # one shuffle by document serves repeated rows, runs and their sums
-    rows = places.join(wanted, "node").repartition("doc_id", "mark").dropDuplicates(["doc_id", "mark", "first_word"])
-    rows = rows.withColumn("removed", F.col("doc_id") != F.col("first_doc_id"))
+    rows = settled(places.join(wanted, "node").withColumn("removed", F.col("doc_id") != F.col("first_doc_id")))
     keepers = settled(rows.where("not removed").groupBy("class_id").agg(F.min(F.struct("first_word", "mark", "doc_id", "node")).alias("k")).select("class_id", "k.*"))
-    runs = settled(_runs(rows))
-    released(wanted)
+    # one shuffle by document serves repeated rows, runs and their sums
+    runs = settled(_runs(rows.repartition("doc_id", "mark").dropDuplicates(["doc_id", "mark", "first_word"])))
+    released(wanted), released(rows)
     del rows, places
     shuffles_dropped(spark)
     gone = runs.where("removed")
     edges = gone.select(F.explode(F.array("class_id", "last_class")).alias("class_id")).distinct()
     nodes = gone.select(F.explode(F.array("first_node", "last_node")).alias("node")).unionByName(keepers.join(edges, "class_id").select("node"))
-    schema = "doc_id long, mark long, first_word long, before array<int>, begins array<int>, after array<int>, closes array<int>"
+    schema = "doc_id long, mark long, first_word long, before binary, begins binary, after binary, closes binary"
     around = settled(body.mapInArrow(partial(_around_batches, wanted=share(marks(nodes))), schema))
     near = around.join(keepers.drop("node"), ["doc_id", "mark", "first_word"]).select("class_id", "before", "after")
     near = settled(near.groupBy("class_id").agg(F.first("before").alias("before"), F.first("after").alias("after")))
     place = ["doc_id", "mark", "first_word"]
     left = gone.join(around.select(*place, "before", "begins"), place, "left").join(near.select("class_id", F.col("before").alias("kept_before")), "class_id", "left")
-    left = left.withColumn("back", _shared(F.col("before"), F.col("kept_before")))
+    left = _reached(left, "before", "kept_before", "begins", "back")
     right = left.join(around.select("doc_id", "mark", F.col("first_word").alias("last_word"), "after", "closes"), ["doc_id", "mark", "last_word"], "left")
-    right = right.join(near.select(F.col("class_id").alias("last_class"), F.col("after").alias("kept_after")), "last_class", "left").withColumn("on", _shared(F.col("after"), F.col("kept_after")))
+    right = right.join(near.select(F.col("class_id").alias("last_class"), F.col("after").alias("kept_after")), "last_class", "left")
+    right = _reached(right, "after", "kept_after", "closes", "on")
     grown = right.select(
         "doc_id", "mark", (F.col("first_word") - F.col("back")).alias("first_word"), (F.col("words") + F.col("back") + F.col("on")).alias("words"),
-        F.when(F.col("back") > 0, F.get("begins", F.col("back").cast("int") - 1).cast("long")).otherwise(F.col("begin")).alias("begin"),
-        F.when(F.col("on") > 0, F.get("closes", F.col("on").cast("int") - 1).cast("long")).otherwise(F.col("close")).alias("close"), "class_id", "first_doc_id", "removed")
+        F.when(F.col("back") > 0, F.col("back_byte")).otherwise(F.col("begin")).alias("begin"),
+        F.when(F.col("on") > 0, F.col("on_byte")).otherwise(F.col("close")).alias("close"), "class_id", "first_doc_id", "removed")
     grown = grown.dropDuplicates(["doc_id", "mark", "first_word"])  # repeated rows have their surroundings twice
     return grown.unionByName(runs.where("not removed").select(*grown.columns)).where(F.col("words") >= RUN)
 

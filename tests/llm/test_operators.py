@@ -920,3 +920,48 @@ def test_hubs(spark):
             if x != top[1]:
                 want[x] = max(want.get(x, top), top)
     assert {r.a: r.b for r in shared.hubs(spark.createDataFrame(rows, "key long, node long")).collect()} == {x: t[1] for x, t in want.items()}
+
+
+def test_places_of_passages_are_found_once(spark, monkeypatch):
+    """The texts are read once for the places of repeated paragraphs, though keepers and runs both need them."""
+    read, plain = spark.sparkContext.accumulator(0), passages._place_batches
+
+    def counted(batches, wanted):
+        def each():
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        yield from plain(each(), wanted)
+
+    monkeypatch.setattr(passages, "_place_batches", counted)
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i // 2) * 500 + j}" for j in range(90))) for i in range(60)], "doc_id long, text string")
+    assert passages.repeated(docs).where("removed").count() >= 30
+    assert read.value == 60
+
+
+def test_words_around_paragraphs():
+    """Surroundings are bytes of 32-bit numbers, nearest word first, and shared from there on."""
+    import pyarrow as pa
+
+    texts_ = ["", "alone", " ".join(f"w{i}" for i in range(150)) + "  ", "one two three"]
+    batch = pa.record_batch({"doc_id": [1, 2, 3, 4], "mark": [5, 6, 7, 8], "text": texts_})
+    every = np.full(1 << 14, -1, dtype=np.int64).tobytes()
+    wanted = type("Sent", (), {"value": every})
+    got = [r for b in passages._around_batches(iter([batch]), wanted) for r in b.to_pylist()]
+    numbers = lambda raw: np.frombuffer(raw, np.int32).tolist()
+    assert {r["doc_id"] for r in got} == {2, 3, 4}
+    for r in got:
+        text, words = texts_[r["doc_id"] - 1], texts_[r["doc_id"] - 1].split()
+        begins, closes = numbers(r["begins"]), numbers(r["closes"])
+        for i, at in enumerate(begins):
+            k = r["first_word"] - 1 - i
+            assert at == 0 if k == 0 else text[at:].startswith(words[k] + " ")
+        assert len(begins) == min(passages.REACH, r["first_word"]) == len(numbers(r["before"]))
+        if closes and len(closes) < passages.REACH:
+            assert closes[-1] == len(text)
+        assert len(closes) == len(numbers(r["after"]))
+    lists = lambda *rows: pa.array([None if x is None else np.array(x, np.int32).tobytes() for x in rows], pa.binary())
+    a, b, at = lists([1, 2, 3], [4], None, [5, 6], []), lists([1, 2, 9, 9], [4, 7], [1], [8], [3]), lists([10, 20, 30], [40], None, [50, 60], [])
+    out = next(passages._reach_batches(iter([pa.record_batch({"a": a, "b": b, "p": at, "x": [0, 1, 2, 3, 4]})]), "a", "b", "p", "n", ["x"]))
+    assert out.column("n").to_pylist() == [2, 1, 0, 0, 0] and out.column("n_byte").to_pylist()[:2] == [20, 40]

@@ -922,6 +922,37 @@ def test_hubs(spark):
     assert {r.a: r.b for r in shared.hubs(spark.createDataFrame(rows, "key long, node long")).collect()} == {x: t[1] for x, t in want.items()}
 
 
+def test_hubs_join_nothing(spark):
+    rows = spark.createDataFrame([(k, n) for k in range(5) for n in range(k, 9)], "key long, node long")
+    assert "Join" not in shared.hubs(rows)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_blocks_grow_less_than_the_square(spark, monkeypatch):
+    """Members that nothing ties are given out as rows that grow with the power 1.5 of the bucket, and are all compared."""
+    monkeypatch.setattr(shared, "BLOCK", 16)
+    monkeypatch.setattr(shared, "BLOCK_ROOT", 2)
+    monkeypatch.setattr(shared, "STRIP", 7)
+    none = spark.createDataFrame([], "a long, b long")
+    rows = {n: spark.range(n).selectExpr("1L AS key", "id AS node") for n in (400, 1600)}
+    given = {n: shared.mixed_buckets(x, none).count() for n, x in rows.items()}
+    assert given[1600] < 9 * given[400]  # before: 16 times
+    near = lambda left, right: np.array([[x[0] == y[0] for y in right] for x in left])
+    values = rows[400].selectExpr("node", "array(node % 150) AS v")
+    found = shared.bucket_links(rows[400], none, values, near).collect()
+    assert roots(range(400), [tuple(r) for r in found]) == roots(range(400), [(n, n % 150) for n in range(150, 400)])
+
+
+def test_rounds_of_components_let_shuffles_go(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(shared, "shuffles_dropped", calls.append)
+    order = list(range(700))
+    random.Random(2).shuffle(order)
+    links = list(zip(order[:-1], order[1:], strict=True))
+    found = shared.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.node for r in found} == set(order) and {r.component for r in found} == {0}
+    assert calls
+
+
 def test_places_of_passages_are_found_once(spark, monkeypatch):
     """The texts are read once for the places of repeated paragraphs, though keepers and runs both need them."""
     read, plain = spark.sparkContext.accumulator(0), passages._place_batches

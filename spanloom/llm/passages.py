@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from spanloom.llm import texts
-from spanloom.llm.shared import bucket_links, buckets, components, kept, marked, marks, released, scratch, settled, shuffles_dropped
+from spanloom.llm.shared import bucket_components, bucket_links, buckets, kept, marked, marks, released, scratch, settled, shuffles_dropped
 
 SHINGLE = 5
 ALIKE = 0.8
@@ -198,6 +198,11 @@ def _alike_sets(left: list[np.ndarray], right: list[np.ndarray], threshold: floa
 
 def alike(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     """(a, b): links between unequal paragraphs whose shingle sets have that Jaccard similarity or more."""
+    return bucket_links(*_met(docs, threshold), partial(_alike_sets, threshold=threshold))
+
+
+def _met(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The buckets (key, node) of paragraphs, links (a, b) of those alike with the least ones of their buckets, and their shingles (node, shingles)."""
     body = docs.select("text")
     met = buckets(body.mapInArrow(_band_batches, "key long, node long"))
     nodes = settled(met.select("node").distinct())
@@ -208,7 +213,7 @@ def alike(docs: DataFrame, threshold: float = ALIKE) -> DataFrame:
     both = pairs.join(sets.selectExpr("node AS a", "shingles AS p"), "a").join(sets.selectExpr("node AS b", "shingles AS q"), "b")
     shared = F.size(F.array_intersect("p", "q"))
     links = both.where(shared >= threshold * (F.size("p") + F.size("q") - shared)).select("a", "b")
-    return bucket_links(met.select("key", "node"), links, sets, partial(_alike_sets, threshold=threshold))
+    return met.select("key", "node"), links, sets
 
 
 def _around_batches(batches, wanted):
@@ -294,7 +299,7 @@ def _repeated(docs: DataFrame, threshold: float) -> DataFrame:
     spark = docs.sparkSession
     body = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
     with scratch():
-        found = kept(components(alike(docs, threshold)))
+        found = kept(bucket_components(*_met(docs, threshold), partial(_alike_sets, threshold=threshold)))
     shuffles_dropped(spark)
     owners = body.where("doc_id is not null").select("doc_id", "text").mapInArrow(_owner_batches, "node long, low long, high long")
     classes = owners.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high")).join(found, "node", "left")

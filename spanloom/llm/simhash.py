@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import texts
-from spanloom.llm.shared import bucket_links, buckets, compared, components, hubs, kept, marked, marks, mixed_buckets, parted_buckets, released, scratch, settled, shuffles_dropped
+from spanloom.llm.shared import bucket_components, buckets, compared, components, hubs, kept, marked, marks, mixed_by, parted_by, released, scratch, settled, shuffles_dropped, tied
 
 SEED = 42
 
@@ -175,7 +175,7 @@ def hamming_groups(docs: DataFrame, shingle: int = 5, tau: int = 2) -> DataFrame
     pairs = met.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()
     links = within_ring(pairs, tau).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau)
     values = unique.select("node", F.array("node").alias("prints"))
-    found = components(bucket_links(met, links, values, partial(_near_prints, tau=tau)))
+    found = bucket_components(met, links, values, partial(_near_prints, tau=tau))
     roots = found.join(unique, "node").groupBy("component").agg(F.min("least").alias("component_id"))
     classes = unique.join(found, "node", "left").join(roots, "component", "left")
     classes = classes.select("node", F.coalesce("component_id", "least").alias("component_id"))
@@ -245,7 +245,7 @@ def _sure(left: np.ndarray, right: np.ndarray, similarity: float) -> bool:
 
 
 def near_links(docs: DataFrame, unique: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links (a, b) between the nodes of ``unique`` (node, prints, weak), texts of ``docs`` with that Jaccard similarity or more."""
+    """Links (a, b) that tie the nodes of ``unique`` (node, prints, weak) as do links between texts of ``docs`` with that Jaccard similarity or more."""
     tau = most_apart(similarity, 64 * BLOCKS)
     prints = unique.select("node", "prints")
     left, right = prints.selectExpr("node AS a", "prints AS p"), prints.selectExpr("node AS b", "prints AS q")
@@ -266,21 +266,22 @@ def near_links(docs: DataFrame, unique: DataFrame, shingle: int, similarity: flo
     least = met.where("node <> root").groupBy(F.col("node").alias("a")).agg(F.min("root").alias("b"))
     stars = near(least.unionByName(hubs(met)).distinct())
     sets = _sets(docs, ends(stars).distinct(), shingle)
-    links = alike(stars, sets)
+    # components once found stand for the links that made them, so that none is looked for twice
+    found = components(alike(stars, sets))
     released(stars), released(sets)
     del least
     shuffles_dropped(spark)
     # then what shares a bucket and is not tied: pairs, and larger buckets by bits before by shingles
-    pairs, members = parted_buckets(met, links)
+    pairs, members = parted_by(met, found)
     pairs, screened = near(pairs), partial(_near_prints, tau=tau)
     rest = settled(compared(members, prints, screened, links=False).distinct())
     released(met)
     del members
     shuffles_dropped(spark)
     sets = _sets(docs, ends(pairs).unionByName(rest.select("node")).distinct(), shingle)
-    links = links.unionByName(alike(pairs, sets))
-    more = compared(mixed_buckets(rest, links, 2), prints.join(sets, "node"), screened, partial(_sure, similarity=similarity))
-    return links.unionByName(more)
+    found = components(tied(found).unionByName(alike(pairs, sets)))
+    more = compared(mixed_by(rest, found, 2), prints.join(sets, "node"), screened, partial(_sure, similarity=similarity))
+    return tied(found).unionByName(more)
 
 
 def near_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:

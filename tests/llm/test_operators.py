@@ -953,6 +953,34 @@ def test_rounds_of_components_let_shuffles_go(spark, monkeypatch):
     assert calls
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    written, plain = [], shared.settled
+    monkeypatch.setattr(shared, "settled", lambda frame, *more: written.append(frame) or plain(frame, *more))
+    stars = spark.createDataFrame([(n, n % 7) for n in range(7, 90)], "a long, b long")
+    found = shared.components(stars)
+    assert {(r.node, r.component) for r in found.collect()} == {(n, n % 7) for n in range(90)}
+    assert len(written) == 1  # before: a round to see that nothing changes
+    again = shared.components(shared.tied(found).unionByName(spark.createDataFrame([(8, 2), (89, 90)], "a long, b long")))
+    part = {n: min(n % 7, 1) if n % 7 in (1, 2) else n % 7 for n in range(90)}
+    assert {(r.node, r.component) for r in again.collect()} == {*part.items(), (90, part[89])}
+
+
+def test_a_round_of_components_runs_few_tasks(spark):
+    """A chain of links: tasks of all rounds, with 4 shuffle partitions that nothing merges."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup("rounds", "")
+    try:
+        chain = spark.range(64).selectExpr("id AS a", "id + 1 AS b")
+        assert {r.component for r in shared.components(chain).collect()} == {0}
+        state = spark.sparkContext.statusTracker()
+        stages = {k for j in state.getJobIdsForGroup("rounds") for k in state.getJobInfo(j).stageIds}
+        tasks = sum(x.numCompletedTasks for k in stages if (x := state.getStageInfo(k)))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tasks < 300  # 202; before 396
+
+
 def test_places_of_passages_are_found_once(spark, monkeypatch):
     """The texts are read once for the places of repeated paragraphs, though keepers and runs both need them."""
     read, plain = spark.sparkContext.accumulator(0), passages._place_batches

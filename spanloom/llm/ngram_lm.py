@@ -87,7 +87,7 @@ class EliasFano:
         at = i.astype(np.uint64) * np.uint64(self.low_bits)
         word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
         value = self.low[word] >> shift
-        far = np.where(shift > 0, self.low[word + 1] << ((np.uint64(64) - shift) & np.uint64(63)), np.uint64(0))
+        far = self.low[word + 1] << ONE << (np.uint64(63) - shift)  # nothing where the shift is 0
         return (value | far) & np.uint64((1 << self.low_bits) - 1)
 
     @staticmethod
@@ -140,19 +140,26 @@ class EliasFano:
         last = len(self.high) * 64 - int(self.ones[-1]) - 1
         beyond = high > np.uint64(last)
         high = np.minimum(high, np.uint64(last)).astype(np.int64)
-        start = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1 - high, 0)
+        place = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1, 0)
+        start = place - high
+        # a bucket is a run of ones, which mostly ends in the word where it begins
+        rest = ~self.high[place >> 6] >> (place & 63).astype(np.uint64)
+        stop = start + np.bitwise_count((rest & (~rest + ONE)) - ONE)
+        far = np.flatnonzero(rest == 0)
+        if len(far):
+            stop[far] = self._zero(high[far]) - high[far]
         # a context with many successors fills a bucket densely, so its low bits are searched by halves
-        stop = self._zero(high) - high
-        end = stop.copy()
-        active = np.flatnonzero((start < end) & ~beyond)
+        active = np.flatnonzero((start < stop) & ~beyond)
+        begin, end, sought = start[active], stop[active], low[active]
+        same = np.zeros(len(active), dtype=bool)  # whether the element at the end equals the value
         while len(active):
-            middle = (start[active] + end[active]) >> 1
-            less = self._lows(middle) < low[active]
-            start[active[less]] = middle[less] + 1
-            end[active[~less]] = middle[~less]
-            active = active[start[active] < end[active]]
-        held = np.flatnonzero((start < stop) & ~beyond)
-        exact[held] = self._lows(start[held]) == low[held]
+            middle = (begin + end) >> 1
+            held = self._lows(middle)
+            less = held < sought
+            begin, end, same = np.where(less, middle + 1, begin), np.where(less, end, middle), np.where(less, same, held == sought)
+            start[active], exact[active] = begin, same
+            more = np.flatnonzero(begin < end)
+            active, begin, end, sought, same = (x.take(more) for x in (active, begin, end, sought, same))
         return np.where(beyond, self.n, start), exact
 
 

@@ -981,6 +981,20 @@ def test_a_round_of_components_runs_few_tasks(spark):
     assert tasks < 300  # 202; before 396
 
 
+def test_elias_fano_finds_one_border_of_a_bucket(monkeypatch):
+    """The first element not below a value, in dense and sparse stretches and runs over several words; one border is looked up, the other read off."""
+    rng, asked, plain = np.random.default_rng(5), [], ngram_lm.EliasFano._zero
+    monkeypatch.setattr(ngram_lm.EliasFano, "_zero", lambda self, k: asked.append(len(k)) or plain(self, k))
+    dense = np.arange(10**9, 10**9 + 700)
+    for values in (np.zeros(0, np.int64), np.array([0]), np.arange(300), np.sort(rng.choice(10**10, 3000, replace=False)), np.union1d(dense, rng.choice(10**12, 500))):
+        held = ngram_lm.EliasFano(ngram_lm.EliasFano.build(values.astype(np.uint64)))
+        sought = np.sort(np.concatenate([values, values + 1, rng.integers(0, 10**12, 400), [0, 2**40]]))
+        asked.clear()
+        at, exact = held.find(sought.astype(np.uint64))
+        assert at.tolist() == np.searchsorted(values, sought).tolist() and exact.tolist() == np.isin(sought, values).tolist()
+        assert sum(asked) < 1.7 * len(sought)  # before: twice
+
+
 def test_places_of_passages_are_found_once(spark, monkeypatch):
     """The texts are read once for the places of repeated paragraphs, though keepers and runs both need them."""
     read, plain = spark.sparkContext.accumulator(0), passages._place_batches

@@ -332,11 +332,11 @@ def _repeated(docs: DataFrame, threshold: float) -> DataFrame:
     right = left.join(around.select("doc_id", "mark", F.col("first_word").alias("last_word"), "after", "closes"), ["doc_id", "mark", "last_word"], "left")
     right = right.join(near.select(F.col("class_id").alias("last_class"), F.col("after").alias("kept_after")), "last_class", "left")
     right = _reached(right, "after", "kept_after", "closes", "on")
-    grown = right.select(
+    # repeated rows have their surroundings twice; by where a run began, as two runs may have grown back to one word
+    grown = right.dropDuplicates(["doc_id", "mark", "first_word"]).select(
         "doc_id", "mark", (F.col("first_word") - F.col("back")).alias("first_word"), (F.col("words") + F.col("back") + F.col("on")).alias("words"),
         F.when(F.col("back") > 0, F.col("back_byte")).otherwise(F.col("begin")).alias("begin"),
         F.when(F.col("on") > 0, F.col("on_byte")).otherwise(F.col("close")).alias("close"), "class_id", "first_doc_id", "removed")
-    grown = grown.dropDuplicates(["doc_id", "mark", "first_word"])  # repeated rows have their surroundings twice
     return grown.unionByName(runs.where("not removed").select(*grown.columns)).where(F.col("words") >= RUN)
 
 

@@ -1038,3 +1038,46 @@ def test_words_around_paragraphs():
     a, b, at = lists([1, 2, 3], [4], None, [5, 6], []), lists([1, 2, 9, 9], [4, 7], [1], [8], [3]), lists([10, 20, 30], [40], None, [50, 60], [])
     out = next(passages._reach_batches(iter([pa.record_batch({"a": a, "b": b, "p": at, "x": [0, 1, 2, 3, 4]})]), "a", "b", "p", "n", ["x"]))
     assert out.column("n").to_pylist() == [2, 1, 0, 0, 0] and out.column("n_byte").to_pylist()[:2] == [20, 40]
+
+
+def test_runs_that_grow_back_to_one_word_are_all_found(spark):
+    """A short run is followed by one whose keeper has the short one's words before it, too: both begin at one word then."""
+    rng = random.Random(31)
+    part = lambda n: " ".join(sentence(rng, 10) for _ in range(n))
+    texts_, longer = {}, {}
+    for i in range(60):
+        short, long = part(2), part(5)
+        texts_[3 * i] = f"{part(4)} {short} {part(4)}"
+        texts_[3 * i + 1] = f"{part(3)} {short} {long} {part(4)}"
+        texts_[3 * i + 2] = f"{part(5)} {short} {long} {part(3)}"
+        longer[3 * i + 2] = texts_[3 * i + 2].index(long), texts_[3 * i + 2].index(long) + len(long)
+    docs = spark.createDataFrame([*texts_.items(), *list(texts_.items())[:9]], "doc_id long, text string").repartition(5)
+    spans = collections.defaultdict(list)
+    found = passages.repeated(docs).where("removed").collect()
+    for r in found:
+        raw = texts_[r.doc_id].encode()
+        spans[r.doc_id].append((len(raw[: r.begin].decode()), len(raw[: r.close].decode())))
+    assert len(found) == len(set(found))
+    held = [any(b <= begin + 12 and c >= close - 12 for b, c in spans[d]) for d, (begin, close) in longer.items()]
+    assert sum(held) >= 0.97 * len(held), (sum(held), len(held))
+
+
+def test_marks_leave_no_rows_with_the_driver(spark):
+    """The set is a plain bit set of the leading bits, and the driver's Python holds little more than it."""
+    import tracemalloc
+
+    frame = spark.range(300_000).select((F.xxhash64("id")).alias("node"))
+    few = [0, -1, 1, 2**63 - 1, -(2**63), 7, 7, 1 << 44]
+    for nodes in (frame, spark.createDataFrame([(x,) for x in few], "node long"), frame.limit(0)):
+        nodes = shared.settled(nodes)
+        tracemalloc.start()
+        held = shared.marks(nodes)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        values = np.array([r.node for r in nodes.collect()], dtype=np.int64).view(np.uint64)
+        bits = len(held).bit_length() + 2
+        plain = np.zeros(1 << bits, dtype=bool)
+        plain[(values >> np.uint64(64 - bits)).astype(np.int64)] = True
+        assert np.array_equal(np.unpackbits(np.frombuffer(held, np.uint8), bitorder="little"), plain)
+        assert shared.marked(values, np.frombuffer(held, dtype=np.uint64)).all()
+        assert most < 4 * len(held) + 2_000_000, (most, len(held))
